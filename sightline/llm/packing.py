@@ -7,6 +7,7 @@ sequences of their own and only remainders are packed, group by group, as plain
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable
@@ -36,9 +37,13 @@ _WORD = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\s0-
 @lru_cache(maxsize=1)
 def word_encoder(path: str) -> Callable[[str], bytes]:
     """text -> its ids (no special tokens added) as little-endian unsigned 32-bit integers; a worker keeps it."""
-    from tokenizers import Tokenizer
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    # For words that are split and lower-cased already: the same merges without the other steps.
+    plain.normalizer = None
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     final = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
     final[[k for token, k in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
     known: dict[str, bytes] = {}
@@ -48,7 +53,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
 
     def learn(words: list[str]) -> None:
         """Encode new words at once; each ends with a token that is marked as final."""
-        found = ids(" ".join(words))
+        found = np.array(plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(final[found]) + 1
         if len(ends) == len(words):
             data, last = found.tobytes(), 0
