@@ -1 +1 @@
-
+"""Jobs that take and return DataFrames."""

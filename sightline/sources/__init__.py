@@ -1 +1 @@
-
+"""Readers of raw JSON, dimension tables, and sinks."""
