@@ -157,10 +157,10 @@ def fit_rules(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TRE
     a = np.column_stack([r.holds(x) for r in rules]).astype(np.float64)
     centre, spread = weight @ a, np.sqrt(np.maximum(weight @ (a * a) - (weight @ a) ** 2, 1e-9))
     a = (a - centre) / spread
-    root = np.ones(a.shape[1])
+    root, top = rng.normal(size=a.shape[1]), 1.0
     for _ in range(20):  # largest curvature, by power iteration
         root = a.T @ (weight * (a @ root))
-        top = np.linalg.norm(root)
+        top = max(np.linalg.norm(root), 1e-9)
         root /= top
     rate = 1 / (0.25 * top + 0.25)
     w, bias, ahead, t = np.zeros(a.shape[1]), float(np.log(prior / (1 - prior))), np.zeros(a.shape[1]), 1.0
