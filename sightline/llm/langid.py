@@ -188,9 +188,12 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Held-out rows and null languages are no part of it. Only bounded slices reach the driver.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col) & F.col(id_col).isNotNull())
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    # The rank is pruned to per_language rows in each task before the shuffle.
-    chosen = rows.select(lang_col, id_col).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).select(id_col).distinct()
+    # First in each of 64 parts of a language, then in the language: no task sees more than 64 times the bound.
+    chosen = rows.select(lang_col, id_col, F.xxhash64(id_col).alias("_hash"))
+    for parts in ([F.pmod("_hash", F.lit(64))], []):
+        order = Window.partitionBy(lang_col, *parts).orderBy("_hash", id_col)
+        chosen = chosen.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).drop("_rank")
+    chosen = chosen.select(id_col).distinct()
     size = F.length(text_col)
     step = F.greatest(F.lit(1), F.floor(size / WINDOWS_PER_DOC)).cast("int")
     cuts = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda k: F.substring(F.col(text_col), (k * step + 1).cast("int"), F.lit(WINDOW)))
