@@ -7,6 +7,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import fixed
 
@@ -23,13 +24,13 @@ def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
     # Arrow's own utf8_normalize leaves composed letters apart, whatever form it is asked for.
     return pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _folded(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else unicodedata.normalize("NFKC", t).casefold() for t in texts.to_pylist()], pa.string())
 

@@ -7,12 +7,13 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import fixed
 from .text import or_empty, strip
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _idna(hosts: pa.Array) -> pa.Array:
     def ascii_host(host: str | None) -> str | None:
         try:

@@ -191,10 +191,10 @@ def _acronym_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 def term_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, concept, measure, actual, minimum) of each concept's five counts."""
     n = F.count_if
-    counts = _term_hits(bank, flags).groupBy("bank_id", "concept").agg(n("hit").alias("total"), n(F.col("hit") & (F.col("question_type") == "generic")).alias("generic"), n(F.col("hit") & (F.col("question_type") == "branded")).alias("branded"), n("has_expanded").alias("expanded"), n("has_acronym").alias("acronym"))
+    counts = _term_hits(bank, flags).groupBy("bank_id", "concept").agg(n("hit").alias("n_total"), n(F.col("hit") & (F.col("question_type") == "generic")).alias("n_generic"), n(F.col("hit") & (F.col("question_type") == "branded")).alias("n_branded"), n("has_expanded").alias("n_expanded"), n("has_acronym").alias("n_acronym"))
     rows = bank.terms.join(counts, ["bank_id", "concept"], "left")
     measures = ("total", "generic", "branded", "expanded", "acronym")
-    return rows.select("bank_id", "concept", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.coalesce(m, F.lit(0)).alias("actual"), F.col(f"min_{m}").alias("minimum")) for m in measures])).alias("x")).select("bank_id", "concept", "x.*")
+    return rows.select("bank_id", "concept", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.coalesce(f"n_{m}", F.lit(0)).alias("actual"), F.col(f"min_{m}").alias("minimum")) for m in measures])).alias("x")).select("bank_id", "concept", "x.*")
 
 
 def quota_differences(flags: DataFrame, quotas: DataFrame) -> DataFrame:
@@ -339,8 +339,8 @@ def rival_tiers(bank: Bank) -> DataFrame:
 
 
 def findings(bank: Bank) -> DataFrame:
-    """All findings of all banks."""
-    flags = row_flags(bank)
+    """All findings of all banks (U3). Flags are computed once and kept, since every rule reads them."""
+    flags = row_flags(bank).persist()
     styles = style(flags)
     out = config_findings(bank).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
     out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(_find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id")))
