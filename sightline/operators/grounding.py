@@ -28,10 +28,11 @@ def flatten(sections: DataFrame, depth: int = DEPTH) -> DataFrame:
         node = level.withColumn("kind", kind)
         items = F.try_variant_get(F.col("v"), "$", "array<variant>")
         parts.append(node.select("run_id", "section", "pointer", "kind", F.when(~F.col("kind").isin("OBJECT", "ARRAY"), F.try_variant_get(F.col("v"), "$", "string")).alias("value"), F.when(F.col("kind") == "ARRAY", F.size(items)).alias("size")))
-        members = node.where("kind = 'OBJECT'").select("run_id", "section", "pointer", F.explode(F.try_variant_get(F.col("v"), "$", "map<string,variant>")).alias("k", "v"))
-        listed = node.where("kind = 'ARRAY'").select("run_id", "section", "pointer", F.posexplode(F.try_variant_get(F.col("v"), "$", "array<variant>")).alias("k", "v")).withColumn("k", F.col("k").cast("string"))
+        members = F.transform(F.map_entries(F.try_variant_get(F.col("v"), "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+        listed = F.transform(items, lambda x, k: F.struct(k.cast("string").alias("k"), x.alias("v")))
+        inner = node.select("run_id", "section", "pointer", F.explode(F.when(F.col("kind") == "OBJECT", members).when(F.col("kind") == "ARRAY", listed)).alias("e")).select("run_id", "section", "pointer", "e.*")
         spelt = F.replace(F.replace(F.col("k"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-        level = members.unionByName(listed).select("run_id", "section", F.concat("pointer", F.lit("/"), spelt).alias("pointer"), "v")
+        level = inner.select("run_id", "section", F.concat("pointer", F.lit("/"), spelt).alias("pointer"), "v")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
