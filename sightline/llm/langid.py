@@ -23,6 +23,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 #: Bound of the fit: documents of each language, windows of each document.
 DOCS_PER_LANGUAGE = 400
+#: Languages that are learnt: the most frequent ones.
+LANGUAGES = 64
 WINDOWS_PER_DOC = 4
 EPOCHS = 8
 #: Windows scored at once.
@@ -185,19 +187,21 @@ def held_out(id_col: str = "doc_id"):
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> list:
     """(lang, slices of text) of a bounded sample: the first `per_language` documents in the order of a hash of the id.
 
-    Held-out rows and null languages are no part of it. Only bounded slices reach the driver.
+    Held-out rows, null languages and those beyond the LANGUAGES most frequent are no part of it. Only bounded slices reach the driver.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col) & F.col(id_col).isNotNull())
-    # First in each of 64 parts of a language, then in the language: no task sees more than 64 times the bound.
-    chosen = rows.select(lang_col, id_col, F.xxhash64(id_col).alias("_hash"))
-    for parts in ([F.pmod("_hash", F.lit(64))], []):
-        order = Window.partitionBy(lang_col, *parts).orderBy("_hash", id_col)
-        chosen = chosen.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).drop("_rank")
+    hashed = rows.select(lang_col, id_col, F.xxhash64(id_col).alias("_hash"))
+    # A language's first ids lie in the lowest part of the hashes that holds four times as many, so no task
+    # ranks a whole language. A row for each learnt language is sent to all tasks.
+    ids = hashed.groupBy(lang_col).agg(F.approx_count_distinct(id_col).alias("_ids")).orderBy(F.desc("_ids"), lang_col).limit(LANGUAGES)
+    low = hashed.join(F.broadcast(ids), lang_col).where(F.col("_hash") / 2.0**64 + 0.5 <= 4.0 * per_language / F.col("_ids"))
+    order = Window.partitionBy(lang_col).orderBy("_hash", id_col)
+    chosen = low.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
     chosen = chosen.select(id_col).distinct()
     size = F.length(text_col)
     step = F.greatest(F.lit(1), F.floor(size / WINDOWS_PER_DOC)).cast("int")
     cuts = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda k: F.substring(F.col(text_col), (k * step + 1).cast("int"), F.lit(WINDOW)))
-    return rows.join(F.broadcast(chosen), id_col).select(lang_col, id_col, cuts.alias("cuts")).orderBy(lang_col, id_col, "cuts").limit(per_language * 64).collect()
+    return rows.join(F.broadcast(chosen), id_col).select(lang_col, id_col, cuts.alias("cuts")).orderBy(lang_col, id_col, "cuts").limit(per_language * LANGUAGES).collect()
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> ByteNet:
