@@ -236,6 +236,27 @@ def test_span_field_agrees_with_held_out_base_spans():
     assert same / total >= 0.95
 
 
+def test_span_field_finds_what_a_pattern_swallowed():
+    def card(rng):
+        body = "4" + "".join(str(rng.randrange(10)) for _ in range(14))
+        return next(body + c for c in "0123456789" if pii.luhn(body + c))
+
+    rng = random.Random(8)
+    field = pii.fit_windows([*sentences(300, 3), *(f"heat st {card(rng)} and the" for _ in range(100))])
+    for phone, number in ((f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", card(rng)) for _ in range(20)):
+        text = f"ntou {phone} {number} and of"
+        at = len("ntou ")
+        assert pii.swallows(text) and pii.base_spans(text) == []
+        assert pii.find_spans(text, field)[1] == [(at, 3, at + len(phone)), (at + len(phone) + 1, 2, at + len(phone) + 17)]
+        assert pii.find_spans(pii.unsound(f"the {number} and"), field)[1] == []
+
+
+def test_unsound_texts_hold_no_match():
+    text = "at 10.1.2.255 or 4000 0000 0000 0002, +1 (784) 555-9263 of a@b.example.org"
+    assert [k for _, k, _ in pii.base_spans(text)] == [1, 2, 3, 0] and [k for _, k, _ in pii.base_spans(pii.unsound(text))] == [0]
+    assert pii.unsound("") == "" and not pii.swallows("")
+
+
 def test_pii_rows(spark):
     texts = [*ODD, "write ab.c@d.example.org or +1 (784) 555-9263.", "4000 0000 0000 0002 at 10.1.2.255"]
     docs = documents(spark, texts, extra=True)
