@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import or_empty, percent, ratio, strip
+from .numbering import numbered
 
 BATCH = 10
 
@@ -18,8 +19,8 @@ def label_of(score: Column) -> Column:
 def work_list(answers: DataFrame, found: DataFrame) -> DataFrame:
     """Valid answers that name the target, in batches of ten."""
     named = answers.where("valid").join(found.where("object_id = 'target'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi")
-    place = F.row_number().over(Window.partitionBy("run_id").orderBy("answer_id"))
-    return named.withColumn("batch_no", F.floor((place - 1) / BATCH)).select("run_id", "answer_id", "batch_no")
+    placed = numbered(named.select("run_id", "answer_id"), "run_id", "answer_id", "place")
+    return placed.select("run_id", "answer_id", F.floor((F.col("place") - 1) / BATCH).alias("batch_no"))
 
 
 def latest(results: DataFrame) -> DataFrame:

@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text, urls
 from ..operators import bank, citations, grounding, mentions, results, sampling, sentiment
 from ..sources import ingest, tables
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
+from . import raw, reports  # noqa: F401 - they register their queries
+from .register import ORACLE, QUERIES, query  # noqa: F401
 
 # Shared SQL. W is any character that ends a word; a first position is the length of what stands before.
 _ANSWERS = """answers AS (

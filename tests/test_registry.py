@@ -8,7 +8,7 @@ import pytest
 from sightline.plans import registry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("part", "documents", "pages", "labels", "conversations", "events")
+TABLES = ("part", "documents", "pages", "labels", "conversations", "events", "supplier", "orders", "lineitem")
 
 
 def plain(value):
