@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.llm import langid, packing, pii, quality, simhash
-from sightline.llm.common import table
+from sightline.llm.common import table, written
 from sightline.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -55,7 +55,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage but the last is written once and read by the next, which reads its documents several times."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,17 +32,31 @@ def text_remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % modulus
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` with files in the folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir.
 
     Only where that setting is absent (tests on one machine) is a temporary folder set.
     """
-    context = df.sparkSession.sparkContext
-    if context.getConf().get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None)
+    if named is None and context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return named or context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` with files in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a Parquet table of its own in the shared folder, read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def over_batches(df: DataFrame, columns: list[str], function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply `function` to Arrow batches of the named columns only; other columns never leave the JVM."""
 
