@@ -12,31 +12,41 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import fact_tokens, has_free_number, number_tokens, or_empty, strip
 
-#: Levels of nesting that are flattened; deeper payloads are an error of `depth_findings`.
-DEPTH = 8
 
+def _inside(node: Column) -> Column:
+    """The (pointer, v) nodes directly under `node`; none under a scalar."""
+    items = F.try_variant_get(node["v"], "$", "array<variant>")
+    members = F.transform(F.map_entries(F.try_variant_get(node["v"], "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    listed = F.transform(items, lambda x, k: F.struct(k.cast("string").alias("k"), x.alias("v")))
 
-def flatten(sections: DataFrame, depth: int = DEPTH) -> DataFrame:
+    def placed(e: Column) -> Column:
+        spelt = F.replace(F.replace(e["k"], F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        return F.struct(F.concat(node["pointer"], F.lit("/"), spelt).alias("pointer"), e["v"].alias("v"))
+
+    return F.transform(F.coalesce(members, listed), placed)
+
+
+def flatten(sections: DataFrame) -> DataFrame:
     """Every node of each section: pointer, kind (OBJECT, ARRAY or a scalar's type), value text, size of lists.
 
-    A chain of explodes, one a level: each level reads only what the one before found nested.
+    Each body is taken apart level by level inside its own row. There are no more levels than brackets that
+    open in its text, so that many turns reach the end of any nesting; turns after the last level do nothing.
     """
-    level = sections.select("run_id", "section", F.lit("").alias("pointer"), F.col("body").alias("v"))
-    parts = []
-    for _ in range(depth):
-        kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
-        node = level.withColumn("kind", kind)
-        items = F.try_variant_get(F.col("v"), "$", "array<variant>")
-        parts.append(node.select("run_id", "section", "pointer", "kind", F.when(~F.col("kind").isin("OBJECT", "ARRAY"), F.try_variant_get(F.col("v"), "$", "string")).alias("value"), F.when(F.col("kind") == "ARRAY", F.size(items)).alias("size")))
-        members = F.transform(F.map_entries(F.try_variant_get(F.col("v"), "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
-        listed = F.transform(items, lambda x, k: F.struct(k.cast("string").alias("k"), x.alias("v")))
-        inner = node.select("run_id", "section", "pointer", F.explode(F.when(F.col("kind") == "OBJECT", members).when(F.col("kind") == "ARRAY", listed)).alias("e")).select("run_id", "section", "pointer", "e.*")
-        spelt = F.replace(F.replace(F.col("k"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-        level = inner.select("run_id", "section", F.concat("pointer", F.lit("/"), spelt).alias("pointer"), "v")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    none = F.array().cast("array<struct<pointer:string,v:variant>>")
+    root = F.array(F.struct(F.lit("").alias("pointer"), F.col("body").alias("v")))
+    text = F.coalesce(F.to_json("body"), F.lit(""))
+    opened = F.length(text) - F.length(F.translate(text, "[{", ""))
+    start = F.struct(none.alias("done"), root.alias("level"))
+
+    def turn(at: Column, _: Column) -> Column:
+        inner = F.flatten(F.filter(F.transform(at["level"], _inside), lambda x: x.isNotNull()))
+        return F.when(F.size(at["level"]) == 0, at).otherwise(F.struct(F.concat(at["done"], at["level"]).alias("done"), inner.alias("level")))
+
+    nodes = F.aggregate(F.sequence(F.lit(0), opened), start, turn, lambda at: at["done"])
+    node = sections.select("run_id", "section", F.explode(nodes).alias("e")).select("run_id", "section", "e.*")
+    node = node.withColumn("kind", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0))
+    items = F.try_variant_get(F.col("v"), "$", "array<variant>")
+    return node.select("run_id", "section", "pointer", "kind", F.when(~F.col("kind").isin("OBJECT", "ARRAY"), F.try_variant_get(F.col("v"), "$", "string")).alias("value"), F.when(F.col("kind") == "ARRAY", F.size(items)).alias("size"))
 
 
 def dotted(pointer: Column) -> Column:

@@ -301,7 +301,7 @@ def wording_flags(spark, sf_dir):
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.read(spark, sf_dir, "events")
-    return grounding.flatten(events.select(F.col("user_id").alias("run_id"), F.lit("props").alias("section"), F.try_parse_json("props").alias("body")).where("body is not null"), depth=2)
+    return grounding.flatten(events.select(F.col("user_id").alias("run_id"), F.lit("props").alias("section"), F.try_parse_json("props").alias("body")).where("body is not null"))
 
 
 @query("""SELECT user_id AS run_id, '/' || k AS pointer, count(*) AS n, sum(CAST(json_extract_string(props, '$.' || k) AS BIGINT))::BIGINT AS total FROM (SELECT user_id, props, unnest(json_keys(props)) AS k FROM events) GROUP BY ALL""")

@@ -20,7 +20,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties of events as sections of their user's payload, each a string that holds JSON."""
     raw = _events(spark, sf_dir).select("run_id", F.to_json(F.struct(F.col("props").alias("overview"))).alias("body"))
-    return grounding.flatten(ingest.payload_sections(raw), depth=2)
+    return grounding.flatten(ingest.payload_sections(raw))
 
 
 @query("SELECT user_id AS run_id, 'overview' AS section, '/k' AS pointer, json_extract_string(props, '$.k') AS value, count(*) AS n FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY ALL")
@@ -90,7 +90,7 @@ def unresolved_references(spark, sf_dir):
     ref = F.when(F.col("l_returnflag") == "A", F.when(F.col("l_quantity") < 25, "fact:order/status").otherwise("fact:order/state")).when(F.col("l_returnflag") == "N", F.concat(F.lit("module:M03/items/"), (F.col("idx") % 3).cast("string"))).otherwise(F.concat(F.lit("evidence:"), evidence))
     refs = lines.select("run_id", "module_id", F.col("idx").alias("pointer"), ref.alias("ref"))
     directions = lines.select("run_id", F.col("l_returnflag").alias("direction_id"))
-    found = grounding.unresolved_references(refs, grounding.flatten(orders, depth=2), lines, lines.where("l_linestatus = 'O'").select("run_id", evidence), directions)
+    found = grounding.unresolved_references(refs, grounding.flatten(orders), lines, lines.where("l_linestatus = 'O'").select("run_id", evidence), directions)
     return found.select("run_id", F.col("pointer").alias("line"), "ref")
 
 
@@ -124,7 +124,7 @@ def category_parity(spark, sf_dir):
     docs = tables.read(spark, sf_dir, "documents")
     each = docs.select(F.concat_ws("|", "source", F.col("doc_id").cast("string")).alias("run_id"), "source", "doc_id", "text")
     body = F.to_json(F.struct(F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("a"))).otherwise(F.array().cast("array<string>")).alias("p0"), F.array(F.lit("b")).alias("p1"), F.array().cast("array<string>").alias("p2")))
-    facts = grounding.flatten(ingest.payload_sections(each.select("run_id", F.to_json(F.struct(body.alias("category_actions"))).alias("body"))), depth=2)
+    facts = grounding.flatten(ingest.payload_sections(each.select("run_id", F.to_json(F.struct(body.alias("category_actions"))).alias("body"))))
     statements = each.select("run_id", F.lit("M05").alias("module_id"), F.explode(F.array(*map(F.lit, ("p0", "p1", "p2")))).alias("path"), F.lit(0).alias("idx"), F.lit("text").alias("field"), "text")
     return grounding.parity_findings(statements, facts).select(F.regexp_extract("run_id", r"^(.*)\|\d+$", 1).alias("run_id"), "path")
 

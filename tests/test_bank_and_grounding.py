@@ -140,3 +140,20 @@ def test_acronym_needs_context(spark):
     doc["questions"][1].update(user_question="Compare GEO tools", monitoring_prompt="Compare GEO tools")
     found = bank.findings(load(spark, doc)).where(F.col("code") == "BARE_ACRONYM")
     assert [r["question_id"] for r in found.collect()] == ["q2"]
+
+
+def test_facts_of_any_depth(spark, monkeypatch):
+    from sightline.plans import registry, reports
+
+    deep = "end [{"
+    for k in range(40):
+        deep = {"k": deep} if k % 2 else [k, deep]
+    path = "".join("/k" if k % 2 else "/1" for k in reversed(range(40)))
+    f = grounding.flatten(ingest.payload_sections(spark.createDataFrame([("r", json.dumps({"overview": deep}))], "run_id string, body string")))
+    got = {r["pointer"]: (r["value"], r["size"]) for r in f.collect()}
+    assert len(got) == 1 + 40 + 20 and got[path] == ("end [{", None) and got[path.removesuffix("/1")] == (None, 2) and got[path.removesuffix("/1") + "/0"] == ("0", None)
+    events = spark.createDataFrame([(7, 1, 3.0, json.dumps({"k": {"x": [{"y": 41}]}}))], "user_id long, event_id long, value double, props string")
+    monkeypatch.setattr(registry.tables, "read", lambda *_: events)
+    assert {(r["pointer"], r["total"]) for r in registry.fact_leaves(spark, "").collect()} == {("/k/x/0/y", 41)}
+    assert "41" in {r["token"] for r in registry.allowed_numbers(spark, "").collect()}
+    assert ("/k/x/0/y", "41") in {(r["pointer"], r["value"]) for r in reports.payload_leaves(spark, "").collect()}
