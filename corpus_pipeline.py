@@ -31,11 +31,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once; null ids go with their group."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    # A repeated id keeps one row; ids are not skewed, so the group is a row or a few.
-    return _documents(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Of each group of near-duplicates one row stays: that with the smallest id, null ids last; of equal ids that with the smallest hash."""
+    # The hash tells rows apart whatever their ids; rows that share it are copies in every column.
+    hashed = _documents(docs).withColumn("row_hash", F.concat_ws(" ", F.md5("text"), F.xxhash64(*COLUMNS).cast("string")))
+    found = simhash.near_groups(hashed, keep=["row_hash"])
+    kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash"))["row_hash"].alias("row_hash")).select("row_hash")
+    return _documents(hashed.join(kept, "row_hash", "left_semi").dropDuplicates(["row_hash"]))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ counts. Equal fingerprints are compared once, so groups of copies cost nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
@@ -52,15 +52,16 @@ def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
     return int(sum(1 << k for k in np.flatnonzero(2 * counts > total).tolist()))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint as signed long) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """(id, fingerprint as signed long, and the columns `keep`) of every row."""
     small_batches(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=[id_col, "fingerprint"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names=[id_col, "fingerprint", *keep])
 
-    return over_batches(docs, [id_col, text_col], run, f"{id_col} long, fingerprint long")
+    kept = "".join(f", {k} {docs.schema[k].dataType.simpleString()}" for k in keep)
+    return over_batches(docs, [id_col, text_col, *keep], run, f"{id_col} long, fingerprint long{kept}")
 
 
 def words_for(n: int) -> int:
@@ -129,6 +130,20 @@ def compare(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.n
     return both[low], both[high]
 
 
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, fingerprint long, component, component_id, and the columns `keep`) of every row of `docs`.
+
+    component is one fingerprint of the group and never null; component_id is null where all ids of the group are.
+    """
+    found = checkpoint(fingerprints(docs, id_col, text_col, keep))
+    classes = checkpoint(found.groupBy("fingerprint").agg(F.min(id_col).alias("low")))
+    joined = connected(near_links(classes.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
+    groups = classes.join(joined, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    lows = groups.groupBy("component").agg(F.min("low").alias("component_id"))
+    members = groups.join(lows, "component").select("fingerprint", "component", "component_id")
+    return found.join(members, "fingerprint").select(id_col, "fingerprint", "component", "component_id", *keep)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """(id, fingerprint long, component_id) of every row of `docs`.
 
@@ -136,10 +151,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null or empty texts share fingerprint zero. Repeated ids stay as rows of their own; a null id
     gets the component of its fingerprint. An empty table gives an empty result.
     """
-    found = checkpoint(fingerprints(docs, id_col, text_col))
-    classes = checkpoint(found.groupBy("fingerprint").agg(F.min(id_col).alias("low")))
-    joined = connected(near_links(classes.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
-    groups = classes.join(joined, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    lows = groups.groupBy("component").agg(F.min("low").alias("component_id"))
-    members = groups.join(lows, "component").select("fingerprint", "component_id")
-    return found.join(members, "fingerprint").select(id_col, "fingerprint", "component_id")
+    return near_groups(docs, id_col, text_col, radius).select(id_col, "fingerprint", "component_id")

@@ -376,3 +376,15 @@ def test_pipeline_stages(spark, tmp_path):
             assert not any(plain_spans(r["text"]) for r in docs.select("text").collect())
     kept = {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert 0.5 * len(ids) < len(kept) <= len(ids) and kept <= ids
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    def prose(seed):
+        return " ".join(f"w{seed}x{k}" for k in range(40))
+
+    texts = [(None, prose(1)), (None, prose(2)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (5, prose(4)), (6, prose(4)), (None, prose(5)), (7, prose(5)), (8, prose(6)), (9, prose(6)), (9, prose(7)), (None, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"] or "") for r in corpus_pipeline.distinct_documents(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(None, prose(1)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (7, prose(5)), (8, prose(6)), (9, prose(7)), (None, "")], key=str)
