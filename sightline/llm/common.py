@@ -35,11 +35,14 @@ def text_remainder(key: str, modulus: int) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) is a temporary folder set.
+    Only where that setting is absent and Spark runs in one process is a temporary folder set; on a
+    cluster without the setting this raises, as files of one machine would be lost to the others.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
     if named is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return named or context.getCheckpointDir()
 
