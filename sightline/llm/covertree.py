@@ -1,15 +1,16 @@
 """Embedding near-duplicates by dual traversal of cover trees.
 
 Vectors are scaled to unit length, where a cosine bound is a radius. Cells of a bounded set of
-pivots are the trees' first level: cell pairs that their covering radii keep apart are never
-dealt out. For each other pair of nodes a task builds two trees of nested levels with halving radii and
-walks both at once: node pairs beyond the radius are pruned, pairs wholly within it are counted at
-once, and what is left is compared exactly in double precision.
+pivots are the trees' first level, refined where cells are larger than a node. A vector stays in its cell and
+visits those others that neither the plane between the pivots nor the covering radius rules out. For each
+pair of nodes a task builds two trees of nested levels with halving radii and walks both at once: node
+pairs beyond the radius are pruned, pairs wholly within it are counted at once, and what is left is
+compared exactly in double precision.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ from .vectors import matrix, with_flag
 COSINE = 0.95
 #: Radii of the nested levels below a node.
 LEVELS = (0.5, 0.25, 0.125)
-#: Pivots of the first level, at most.
-PIVOTS = 64
-#: Distinct vectors of one node; larger cells are split.
+#: Pivots of the first level, at most; so many cells there are even of few vectors, to give every core some.
+PIVOTS, LEAST_CELLS = 2048, 16
+#: How often pivots are refined.
+ROUNDS = 4
+#: Distinct vectors of one node; larger cells get more pivots, and parts by a hash where all pivots are given out.
 NODE_ROWS = 8192
 #: Allowance for rounding in bounds; never in the decision itself.
 SLACK = 1e-6
@@ -168,9 +171,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     unit = flagged.where("usable").select("id", F.transform("vector", lambda x: x.cast("double") / norm).alias("vector"))
     distinct = checkpoint(unit.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    nodes, pairs = _first_level(distinct, cosine)
-    links = _dealt(nodes, pairs, cosine)
-    links = checkpoint(links)
+    links = checkpoint(node_links(distinct, cosine))
     counts = links.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("n").alias("others"))
     joined = connected(links.where("dst is not null").select("src", "dst")).select(F.col("node").alias("rep"), "component")
     groups = distinct.join(counts, "rep", "left").join(joined, "rep", "left")
@@ -181,77 +182,156 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-def _first_level(distinct: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
-    """(nodes(node, rep, copies, vector), pairs(a, b)) with a <= b: the node pairs that may hold links."""
-    spark = distinct.sparkSession
+class Cells:
+    """The first level: each vector belongs to the nearest pivot; cells of other lengths than the pivots' are numbered by it, below zero."""
+
+    def __init__(self, pivots: np.ndarray, cosine: float):
+        self.pivots = pivots
+        self.reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+        gram = pivots @ pivots.T
+        self.apart = np.sqrt(np.maximum(2 - 2 * gram, 0))
+        #: Largest distance of a member from its pivot; unknown at first.
+        self.radius = np.full(len(pivots), 2.0)
+        k = np.arange(len(pivots))
+        # Of two cells one visits the other, each about half of the others.
+        self.visits = (k[:, None] != k[None]) & ((k[:, None] < k[None]) == ((k[:, None] + k[None]) % 2 == 0))
+
+    def home(self, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, distance from its pivot, dot products with all pivots) of each vector; products only of those of the pivots' length."""
+        size = self.pivots.shape[1]
+        lengths = np.diff(vectors.offsets.to_numpy())
+        fits = np.full(len(vectors), len(self.pivots) > 0) & (lengths == size)
+        cell, gap = -lengths.astype(np.int64), np.zeros(len(vectors))
+        dots = np.zeros((0, len(self.pivots)))
+        if fits.any():
+            dots = matrix(vectors.filter(pa.array(fits))) @ self.pivots.T
+            best = dots.argmax(axis=1)
+            cell[fits] = best
+            gap[fits] = np.sqrt(np.maximum(2 - 2 * dots[np.arange(len(best)), best], 0))
+        return cell, gap, dots
+
+    def visited(self, cell: np.ndarray, dots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of the other cells in which vectors may have links that are to be found there.
+
+        A vector and any point of another cell lie on two sides of the plane between the pivots, and that
+        point is no farther from its pivot than the covering radius: either bound rules a cell out.
+        """
+        own = dots[np.arange(len(cell)), cell]
+        beyond = (own[:, None] - dots) > (self.reach + SLACK) * np.maximum(self.apart[cell], 1e-9) + SLACK
+        far = np.sqrt(np.maximum(2 - 2 * dots, 0)) > self.radius[None] + self.reach + SLACK
+        return np.nonzero(self.visits[cell] & ~beyond & ~far)
+
+
+def _cells(distinct: DataFrame, cosine: float) -> tuple[Cells, dict[tuple[int, bool], int]]:
+    """Cells, and the rows that each holds: (cell, whether as visitors) -> number.
+
+    Pivots are a bounded sample of the vectors in the order of a hash: at most PIVOTS. Rounds add pivots from
+    the cells that are still larger than a node.
+    """
     total = distinct.count()
-    wanted = min(PIVOTS, max(1, -(-total // NODE_ROWS)))
-    # A bounded sample: at most PIVOTS vectors, in the order of a hash.
-    sample = [r["vector"] for r in distinct.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("vector").collect()]
+    wanted = min(PIVOTS, max(1, -(-total // NODE_ROWS), min(LEAST_CELLS, total // 64)))
+    order = [F.xxhash64("rep"), "rep"]
+    sample = [r["vector"] for r in distinct.orderBy(*order).limit(wanted).select("vector").collect()]
     size = max(map(len, sample), default=0)
-    pivots = np.array([v for v in sample if len(v) == size]).reshape(-1, max(1, size))
+    for left in reversed(range(ROUNDS)):
+        cells = Cells(np.array([v for v in sample if len(v) == size], dtype=np.float64).reshape(-1, max(1, size)), cosine)
+        at_home = _over(distinct, cells, _rows_home, "cell long, gap double")
+        stats = at_home.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()
+        large = {r["cell"]: r["n"] for r in stats if r["n"] > NODE_ROWS and r["cell"] >= 0}
+        more = min(sum(-(-2 * n // NODE_ROWS) for n in large.values()), PIVOTS - len(sample))
+        if not left or not large or more <= 0:
+            break
+        crowded = _over(distinct, cells, _rows_all, "rep long, vector array<double>, cell long").where(F.col("cell").isin(list(large)))
+        sample += [r["vector"] for r in crowded.orderBy(F.xxhash64("rep", F.lit(len(sample))), "rep").limit(more).select("vector").collect()]
+    for r in stats:
+        if r["cell"] >= 0:
+            cells.radius[r["cell"]] = r["radius"] + SLACK
+    visits = _over(distinct, cells, _rows_visit, "cell long").groupBy("cell").count().collect()
+    return cells, {(r["cell"], False): r["n"] for r in stats} | {(r["cell"], True): r["count"] for r in visits}
+
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _over(distinct: DataFrame, cells: Cells, rows: Callable, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = batch.column(2).to_pylist()
-            fits = np.array([len(v) == size for v in vectors], dtype=bool)
-            cell, gap = np.array([-len(v) for v in vectors], dtype=np.int64), np.zeros(len(vectors))
-            if fits.any():
-                own = np.array([v for v, f in zip(vectors, fits) if f])
-                dots = own @ pivots.T
-                cell[fits] = dots.argmax(axis=1)
-                gap[fits] = np.linalg.norm(own - pivots[cell[fits]], axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(gap)], names=["rep", "copies", "vector", "cell", "gap"])
-
-    dealt = distinct.select("rep", "copies", "vector").mapInArrow(deal, "rep long, copies long, vector array<double>, cell long, gap double")
-    # One row for each pivot and each other length of vectors: bounded.
-    stats = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()
-    reach = np.sqrt(max(0.0, 2 - 2 * cosine))
-    parts = {r["cell"]: -(-r["n"] // NODE_ROWS) for r in stats}
-    near = []
-    for x in stats:
-        for y in stats:
-            i, j = x["cell"], y["cell"]
-            if i > j or (min(i, j) < 0 and i != j):
-                continue
-            if i == j or np.linalg.norm(pivots[i] - pivots[j]) <= x["radius"] + y["radius"] + reach + SLACK:
-                near.append((i, j))
-    cells = spark.createDataFrame([(int(c), int(n)) for c, n in parts.items()] or [(0, 1)], "cell long, parts int")
-    nodes = dealt.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    pairs = spark.createDataFrame([(int(i), int(j), int(parts[i]), int(parts[j])) for i, j in near] or [(0, 0, 1, 1)], "a long, b long, parts_a int, parts_b int")
-    return nodes, pairs
+            if batch.num_rows:
+                yield rows(batch, cells)
+
+    return distinct.select("rep", "copies", "vector").mapInArrow(run, schema)
+
+
+def _rows_home(batch: pa.RecordBatch, cells: Cells) -> pa.RecordBatch:
+    cell, gap, _ = cells.home(batch.column(2))
+    return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(gap)], names=["cell", "gap"])
+
+
+def _rows_all(batch: pa.RecordBatch, cells: Cells) -> pa.RecordBatch:
+    cell, _, _ = cells.home(batch.column(2))
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cell)], names=["rep", "vector", "cell"])
+
+
+def _rows_visit(batch: pa.RecordBatch, cells: Cells) -> pa.RecordBatch:
+    cell, _, dots = cells.home(batch.column(2))
+    _, other = cells.visited(cell[cell >= 0], dots)
+    return pa.RecordBatch.from_arrays([pa.array(other.astype(np.int64))], names=["cell"])
+
+
+def _rows_dealt(batch: pa.RecordBatch, cells: Cells) -> pa.RecordBatch:
+    """Each row in its own cell, and as a visitor in those where it may have links."""
+    cell, _, dots = cells.home(batch.column(2))
+    inside = np.flatnonzero(cell >= 0)
+    row, other = cells.visited(cell[inside], dots)
+    take = pa.array(np.concatenate([np.arange(len(cell)), inside[row]]))
+    where = pa.array(np.concatenate([cell, other]).astype(np.int64))
+    visits = pa.array(np.arange(len(cell) + len(other)) >= len(cell))
+    return pa.RecordBatch.from_arrays([where, visits, *(c.take(take) for c in batch.columns)], names=["cell", "visits", "rep", "copies", "vector"])
+
+
+def dealt(distinct: DataFrame, cosine: float) -> DataFrame:
+    """(cell, a, b, first, rep, copies, vector): the rows of each task, which is a pair (a, b) of parts of a cell.
+
+    Residents of a cell fall into parts of about NODE_ROWS rows, numbered from 0, visitors into parts numbered
+    on from there. Every part of residents meets itself, the later ones and all parts of visitors.
+    """
+    cells, sizes = _cells(distinct, cosine)
+    own = sorted({c for c, _ in sizes})
+    parts = [(c, max(1, -(-sizes.get((c, False), 0) // NODE_ROWS)), -(-sizes.get((c, True), 0) // NODE_ROWS)) for c in own]
+    # One row for each cell: at most PIVOTS, and one for each other length of vectors.
+    table = distinct.sparkSession.createDataFrame([tuple(map(int, p)) for p in parts] or [(0, 1, 0)], "cell long, residents int, visitors int")
+    rows = _over(distinct, cells, _rows_dealt, "cell long, visits boolean, rep long, copies long, vector array<double>").join(F.broadcast(table), "cell")
+    part = F.pmod(F.xxhash64("rep"), F.when(F.col("visits"), F.greatest("visitors", F.lit(1))).otherwise(F.col("residents"))).cast("int")
+    rows = rows.withColumn("part", part + F.when(F.col("visits"), F.col("residents")).otherwise(F.lit(0)))
+    here = F.col("part")
+    to = lambda low, high, pair: F.when(low <= high, F.transform(F.sequence(low, high), pair)).otherwise(F.array().cast("array<struct<a: int, b: int, first: boolean>>"))
+    as_first = lambda k: F.struct(here.alias("a"), k.alias("b"), F.lit(True).alias("first"))
+    as_second = lambda k: F.struct(k.alias("a"), here.alias("b"), F.lit(False).alias("first"))
+    resident = F.concat(to(here, F.col("residents") + F.col("visitors") - 1, as_first), to(F.lit(0), here - 1, as_second))
+    visitor = to(F.lit(0), F.col("residents") - 1, as_second)
+    return rows.select("cell", F.explode(F.when(F.col("visits"), visitor).otherwise(resident)).alias("x"), "rep", "copies", "vector").select("cell", "x.*", "rep", "copies", "vector")
 
 
-def _dealt(nodes: DataFrame, pairs: DataFrame, cosine: float) -> DataFrame:
+def node_links(distinct: DataFrame, cosine: float) -> DataFrame:
     """(src, dst, n): with dst null, n links of src found in one task; else a link of components."""
-    parts = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rows = nodes.select(F.col("cell"), "part", "rep", "copies", "vector")
-    # Each node goes to the pairs that it is part of, once as `a` and once as `b`; within a cell only ap <= bp.
-    as_a = rows.join(F.broadcast(pairs), rows["cell"] == pairs["a"]).withColumn("other", parts("parts_b")).where("a < b or part <= other").select("a", F.col("part").alias("ap"), "b", F.col("other").alias("bp"), F.lit(True).alias("first"), "rep", "copies", "vector")
-    as_b = rows.join(F.broadcast(pairs), rows["cell"] == pairs["b"]).withColumn("other", parts("parts_a")).where("a < b or other < part").select("a", F.col("other").alias("ap"), "b", F.col("part").alias("bp"), F.lit(False).alias("first"), "rep", "copies", "vector")
-    keys = ["a", "ap", "b", "bp"]
+    keys = ["cell", "a", "b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, ap, b, bp, first, reps, copies, vectors in sorted_runs(batches, 4):
+        for _, a, b, first, reps, copies, vectors in sorted_runs(batches, 3):
             first, reps, copies, points = first.to_numpy(zero_copy_only=False), reps.to_numpy(), copies.to_numpy(), matrix(vectors)
-            if a[0] == b[0] and ap[0] == bp[0]:
+            if a[0] == b[0]:
                 tree = CoverTree(points)
-                na, _, i, j = dual_traverse(tree, tree, cosine, (copies, copies))
-                own, counts = reps, na
-                i, j = reps[i], reps[j]
-                spread = _spanning(reps, i, j)
+                counts, _, i, j = dual_traverse(tree, tree, cosine, (copies, copies))
+                own, i, j = reps, reps[i], reps[j]
             elif first.all() or not first.any():
                 continue
             else:
                 x, y = CoverTree(points[first]), CoverTree(points[~first])
                 na, nb, i, j = dual_traverse(x, y, cosine, (copies[first], copies[~first]))
                 own, counts = np.concatenate([reps[first], reps[~first]]), np.concatenate([na, nb])
-                spread = _spanning(own, reps[first][i], reps[~first][j])
+                i, j = reps[first][i], reps[~first][j]
             hit = counts > 0
-            src, dst = spread
+            src, dst = _spanning(own, i, j)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own[hit], src])), pa.array([None] * int(hit.sum()) + dst.tolist(), pa.int64()), pa.array(np.concatenate([counts[hit], np.zeros(len(src), dtype=np.int64)]))], names=["src", "dst", "n"])
 
-    return as_a.unionByName(as_b).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long, n long")
+    return dealt(distinct, cosine).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long, n long")
 
 
 def _spanning(ids: np.ndarray, src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
