@@ -21,11 +21,11 @@ from .common import over_batches, small_batches, text_remainder
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-#: Bound of the fit: documents of each language, windows of each document.
-DOCS_PER_LANGUAGE = 400
-#: Languages that are learnt: the most frequent ones.
-LANGUAGES = 64
-WINDOWS_PER_DOC = 4
+#: Bound of the fit: documents of each language, of all languages together, slices of each document.
+DOCS_PER_LANGUAGE, DOCS = 400, 25_600
+SLICES_PER_DOC = 4
+#: Bytes that the last window of a slice must fill to be learnt from.
+LEAST_BYTES = 128
 EPOCHS = 8
 #: Windows scored at once.
 SLICE = 512
@@ -36,7 +36,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 def byte_classes() -> np.ndarray:
     """Class of each byte: a blank for all of ASCII but letters (case folded), then one for each high byte."""
-    table = np.zeros(256, dtype=np.int64)
+    table = np.zeros(256, dtype=np.uint8)
     for k in range(26):
         table[97 + k] = table[65 + k] = k + 1
     table[128:] = np.arange(27, 27 + 128)
@@ -48,13 +48,20 @@ _CLASS = byte_classes()
 
 
 def windows(text: str, size: int = WINDOW) -> np.ndarray:
-    """Byte classes of the whole text, in windows of `size`; the last is filled with blanks."""
+    """Byte classes of the whole text, one byte each, in windows of `size`; the last is filled with blanks."""
     data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-    out = np.zeros(-(-len(data) // size) * size, dtype=np.int64)
+    out = np.zeros(-(-len(data) // size) * size, dtype=np.uint8)
     out[: len(data)] = _CLASS[data]
     return out.reshape(-1, size)
 
 
+def _pairs(x: np.ndarray) -> np.ndarray:
+    """Each class with the one after it as one number."""
+    pairs = x.astype(np.int32) * CLASSES
+    pairs[:, :-1] += x[:, 1:]
+    return pairs
+
+
 class ByteNet:
     """The network: `weights[w]` is (width, class, filter), `dense` (features, language)."""
 
@@ -79,8 +86,7 @@ class ByteNet:
 
     def pooled(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Largest response of each filter in each window, and where it starts."""
-        pairs = x * CLASSES
-        pairs[:, :-1] += x[:, 1:]
+        pairs = _pairs(x)
         best, where = [], []
         for weight, parts in zip(self.weights, self.tables):
             n = x.shape[1] - len(weight) + 1
@@ -92,8 +98,7 @@ class ByteNet:
 
     def largest(self, x: np.ndarray) -> np.ndarray:
         """As `pooled`, without the places: windows are scored a position at a time, all filters at once."""
-        pairs = x * CLASSES
-        pairs[:, :-1] += x[:, 1:]
+        pairs = _pairs(x)
         out = []
         for weight, parts in zip(self.weights, self.tables):
             n = x.shape[1] - len(weight) + 1
@@ -159,13 +164,16 @@ class ByteNet:
             if not text or not _LETTER.search(text):
                 continue
             cut = windows(text)
-            held.append(cut)
-            owner.append(np.full(len(cut), k))
             counts[k] = len(cut)
-            rows += len(cut)
-            if rows >= 4 * SLICE:
-                flush()
-                rows = 0
+            # Long texts are scored a slice at a time, so that only their bytes are held whole.
+            for at in range(0, len(cut), 4 * SLICE):
+                part = cut[at : at + 4 * SLICE]
+                held.append(part)
+                owner.append(np.full(len(part), k))
+                rows += len(part)
+                if rows >= 4 * SLICE:
+                    flush()
+                    rows = 0
         if held:
             flush()
         for k in np.flatnonzero(counts).tolist():
@@ -184,37 +192,47 @@ def held_out(id_col: str = "doc_id"):
     return text_remainder(id_col, 4) == 2
 
 
-def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> list:
-    """(lang, slices of text) of a bounded sample: the first `per_language` documents in the order of a hash of the id.
+def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS) -> list:
+    """(lang, slices of text) of a bounded sample: of each language the same number of its distinct documents, in the order of a hash.
 
-    Held-out rows, null languages and those beyond the LANGUAGES most frequent are no part of it. Only bounded slices reach the driver.
+    Every language is learnt: all share the bound, up to `per_language` documents each and one at least. Held-out
+    rows, null languages and null ids are no part of it. A document is an id with its text, so copies under one
+    id count once and an id that repeats in several languages stands in each. Only bounded slices reach the driver.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col) & F.col(id_col).isNotNull())
-    hashed = rows.select(lang_col, id_col, F.xxhash64(id_col).alias("_hash"))
-    # A language's first ids lie in the lowest part of the hashes that holds four times as many, so no task
-    # ranks a whole language. A row for each learnt language is sent to all tasks.
-    ids = hashed.groupBy(lang_col).agg(F.approx_count_distinct(id_col).alias("_ids")).orderBy(F.desc("_ids"), lang_col).limit(LANGUAGES)
-    low = hashed.join(F.broadcast(ids), lang_col).where(F.col("_hash") / 2.0**64 + 0.5 <= 4.0 * per_language / F.col("_ids"))
-    order = Window.partitionBy(lang_col).orderBy("_hash", id_col)
-    chosen = low.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
-    chosen = chosen.select(id_col).distinct()
     size = F.length(text_col)
-    step = F.greatest(F.lit(1), F.floor(size / WINDOWS_PER_DOC)).cast("int")
-    cuts = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda k: F.substring(F.col(text_col), (k * step + 1).cast("int"), F.lit(WINDOW)))
-    return rows.join(F.broadcast(chosen), id_col).select(lang_col, id_col, cuts.alias("cuts")).orderBy(lang_col, id_col, "cuts").limit(per_language * LANGUAGES).collect()
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> ByteNet:
+    step = F.greatest(F.lit(1), F.floor(size / SLICES_PER_DOC)).cast("int")
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(SLICES_PER_DOC - 1)), lambda k: F.substring(F.col(text_col), (k * step + 1).cast("int"), F.lit(WINDOW)))
+    hashed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("hash"), cuts.alias("cuts"))
+    # A language's first hashes lie in the lowest part that holds four times as many as wanted, so no task ranks a whole language.
+    known = hashed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("docs"))
+    share = F.greatest(F.lit(1), F.least(F.lit(per_language), (F.lit(bound) / F.greatest(F.lit(1), F.lit(known.count()))).cast("int")))
+    low = hashed.join(known, "lang").where(F.col("hash") / 2.0**64 + 0.5 <= 4.0 * share / F.col("docs") + F.when(F.col("docs") < 64, 1.0).otherwise(0.0))
+    distinct = low.groupBy("lang", "hash").agg(F.min("cuts").alias("cuts"))
+    order = Window.partitionBy("lang").orderBy("hash", "cuts")
+    chosen = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
+    return chosen.select("lang", "cuts", "hash").orderBy("lang", "hash").collect()
+
+
+def slices(cut: str) -> np.ndarray:
+    """The windows of a slice that are learnt from: all that are full or nearly so, and the first."""
+    x = windows(cut)
+    return x if len(x) < 2 or len(cut.encode("utf-8", "replace")) % WINDOW >= LEAST_BYTES or not len(cut.encode("utf-8", "replace")) % WINDOW else x[:-1]
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS) -> ByteNet:
     """Fit on the bounded sample; without labelled text the network knows no language and answers `und`."""
-    rows = training_rows(docs, id_col, text_col, lang_col, per_language)
-    languages = sorted({r[0] for r in rows})
+    rows = training_rows(docs, id_col, text_col, lang_col, per_language, bound)
+    languages = sorted({r["lang"] for r in rows})
+    number = {lang: k for k, lang in enumerate(languages)}
     net = ByteNet(languages)
     x, y = [], []
-    for lang, _, cuts in rows:
-        for cut in dict.fromkeys(c for c in cuts if c and _LETTER.search(c)):
-            x.append(windows(cut)[:1])
-            y.append(languages.index(lang))
-    return net.fit(np.concatenate(x), np.array(y)) if x else ByteNet([])
+    for row in rows:
+        for cut in dict.fromkeys(c for c in row["cuts"] if c and _LETTER.search(c)):
+            found = slices(cut)
+            x.append(found)
+            y.append(np.full(len(found), number[row["lang"]]))
+    return net.fit(np.concatenate(x), np.concatenate(y)) if x else ByteNet([])
 
 
 def identify(docs: DataFrame, net: ByteNet, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
