@@ -3,13 +3,13 @@
 The field reads windows of tokens around digits and @ signs. Whole candidate segments are scored by
 features of their span; a dynamic programme over bounded segments chooses boundaries and kinds
 together. It is trained on windows of a bounded sample, with the base matches as labels, and on the same
-windows with their matches made unsound. Windows where a pattern ran on into its neighbour and was
-dropped are not learnt from: there the field finds what the pattern swallowed.
+windows with their matches made unsound, or with emails and cards broken up so that no pattern finds them.
+Windows where a pattern ran on into its neighbour and was dropped are not learnt from: there the field
+finds what the pattern swallowed.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_right
 from collections import defaultdict
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from .common import over_batches, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the fit: documents, and windows of them.
-FIT_DOCS, FIT_WINDOWS = 400, 600
+#: Bound of the fit: documents, windows of them, and tokens of a window; longer windows are not learnt from.
+FIT_DOCS, FIT_WINDOWS, FIT_TOKENS = 400, 600, 60
 EPOCHS = 5
-#: Tokens in one entity, and tokens around a digit or @ that a window takes in.
-SEGMENT, AROUND = 5, 2
+#: Tokens in one entity (a card of 19 digits may have each in a token of its own), and tokens around a digit or @ that a window takes in.
+SEGMENT, AROUND = 19, 2
+#: Digits of an entity of several tokens: no kind has more.
+DIGITS = 19
 #: A span is added if the field prefers it to no entity by this much (log odds).
 MARGIN = 0.5
 
@@ -43,6 +45,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _HOT = re.compile(r"(?<!\S)\S*[0-9@]\S*")
 _TOKEN = re.compile(r"\S+")
+_HOT_TOKEN = re.compile("[0-9@]")
 _EDGE_LEFT, _EDGE_RIGHT = "([{<\"'", ".,;:!?)]}>\"'"
 
 
@@ -109,6 +112,29 @@ def unsound(text: str) -> str:
     return "".join([*out, text[at:]])
 
 
+def broken(text: str) -> tuple[str, list[tuple[int, int, int]]]:
+    """The text with its emails and cards written so that no base pattern finds them, and where they then are.
+
+    An email gets blanks around its @, a card two blanks between groups of four digits.
+    """
+    out, found, at, size = [], [], 0, 0
+    for start, kind, end in base_spans(text):
+        if kind not in (0, 2) or start < at:
+            continue
+        span = text[start:end]
+        if kind == 0:
+            span = span.replace("@", " @ ")
+        else:
+            digits = "".join(_DIGIT.findall(span))
+            span = "  ".join(digits[k : k + 4] for k in range(0, len(digits), 4))
+        out += [text[at:start], span]
+        size += start - at
+        found.append((size, kind, size + len(span)))
+        size += len(span)
+        at = end
+    return "".join([*out, text[at:]]), found
+
+
 Tokens = list[tuple[int, int]]
 
 
@@ -137,7 +163,7 @@ def windows(text: str) -> Iterator[Tokens]:
                 if len(right) >= AROUND or n.start() >= m.start():
                     break
                 right.append(n.span())
-            seen = {*held, *right}
+            seen = set(right)  # tokens to the left lie behind the last hot one, as do these
             if not left or left[0][0] <= (right[-1][1] if right else held[-1][1]) + 1:
                 held += right + [t for t in left if t not in seen]
             else:
@@ -165,16 +191,24 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-@lru_cache(maxsize=100_000)
+#: Spans up to this length keep their features in a table; longer ones are looked at anew.
+KEPT_LENGTH = 200
+SUMS = 100_000
+
+
 def features(span: str, before: str) -> tuple[str, ...]:
     """Whole-span features of a candidate segment and the word before it."""
+    return _kept_features(span, before) if len(span) <= KEPT_LENGTH else _features(span, before)
+
+
+def _features(span: str, before: str) -> tuple[str, ...]:
     digits = "".join(_DIGIT.findall(span))
     n = len(digits)
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", span.lower()))
     out = [f"digits {min(n, 20)}", f"shape {shape[:24]}", f"before {before}", f"first {shape[:1]}", f"dots {min(span.count('.'), 5)}", f"tokens {len(span.split())}"]
     if "@" in span:
-        out.append("at" + (" in words" if re.search(r"[a-z0-9]@[a-z0-9-]+\.[a-z0-9]", span.lower()) else ""))
-    if 12 <= n <= 19 and re.fullmatch(r"[0-9 -]+", span):
+        out.append("at" + (" in words" if re.fullmatch(r"[a-z0-9._%+-]*[a-z0-9] ?@ ?[a-z0-9-]+(\.[a-z0-9-]+)+", span.lower()) else ""))
+    if 12 <= n <= 19 and re.fullmatch(r"[0-9][0-9 .-]+", span):
         out.append(f"luhn {luhn(digits)}")
     parts = span.split(".")
     if len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts):
@@ -186,11 +220,16 @@ def features(span: str, before: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+_kept_features = lru_cache(maxsize=100_000)(_features)
+
+
 class SpanField:
     """Weights by (feature, label); label 0 is no entity, then KINDS."""
 
     def __init__(self):
         self.weights: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(KINDS) + 1))
+        #: Sums of weights that decoding has met, at most SUMS.
+        self.sums: dict[tuple, tuple[float, int]] = {}
 
     def __getstate__(self):
         return dict(self.weights)
@@ -199,18 +238,24 @@ class SpanField:
         self.__init__()
         self.weights.update(state)
 
-    def segments(self, text: str, tokens: Tokens) -> list[tuple[int, int, tuple[str, ...], bool]]:
-        """(first, last + 1, features, may be an entity) of each candidate; entities begin and end in bounded tokens."""
-        hot = [bool(re.search("[0-9@]", text[a:b])) for a, b in tokens]
-        out = []
+    def segments(self, text: str, tokens: Tokens) -> Iterator[tuple[int, int, tuple[str, ...], bool]]:
+        """(first, last + 1, features, may be an entity) of each candidate, by its first token; entities begin and end in tokens with a digit or @, or beside an @."""
+        hot = [bool(_HOT_TOKEN.search(text, a, b)) for a, b in tokens]
+        opens = [h or (k + 1 < len(tokens) and text[tokens[k + 1][0]] == "@") for k, h in enumerate(hot)]
+        closes = [h or (k > 0 and text[tokens[k - 1][1] - 1] == "@") for k, h in enumerate(hot)]
         for i in range(len(tokens)):
             before = re.sub("[^a-z]", "", text[slice(*tokens[i - 1])].lower())[:6] if i else ""
+            digits = 0
             for j in range(i + 1, min(len(tokens), i + SEGMENT) + 1):
-                if j > i + 1 and not (hot[i] and hot[j - 1]):
+                if j > i + 1 and (not opens[i] or (j > i + 3 and not hot[i])):
+                    break
+                digits += len(_DIGIT.findall(text, *tokens[j - 1])) if hot[j - 1] else 0
+                if j > i + 1 and digits > DIGITS:
+                    break
+                if not closes[j - 1] and j > i + 1:
                     continue
                 start, end = trimmed(text, tokens[i][0], tokens[j - 1][1])
-                out.append((i, j, features(text[start : min(end, start + 200)], before), hot[i] and hot[j - 1] and start < end))
-        return out
+                yield i, j, features(text[start:end], before), opens[i] and closes[j - 1] and any(hot[i:j]) and start < end
 
     def scores(self, found: tuple[str, ...], entity: bool, single: bool) -> np.ndarray:
         total = np.zeros(len(KINDS) + 1)
@@ -224,10 +269,14 @@ class SpanField:
             total[0] = -np.inf
         return total
 
-    def fit(self, samples: list[tuple[str, Tokens]], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 3) -> SpanField:
-        """Stochastic gradient of the log-likelihood; expectations by forward and backward sums."""
+    def fit(self, samples: list[tuple[str, Tokens]] | list[tuple[str, Tokens, list[tuple[int, int, int]]]], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 3) -> SpanField:
+        """Stochastic gradient of the log-likelihood; expectations by forward and backward sums.
+
+        A sample's entities are its third part, else its base matches.
+        """
         rng = np.random.default_rng(seed)
-        prepared = [(self.segments(text, tokens), len(tokens), self._gold(text, tokens)) for text, tokens in samples]
+        self.sums.clear()
+        prepared = [(list(self.segments(text, tokens)), len(tokens), self._gold(tokens, *(given or [base_spans(text)]))) for text, tokens, *given in samples]
         for _ in range(epochs):
             for k in rng.permutation(len(prepared)).tolist():
                 segments, n, gold = prepared[k]
@@ -249,13 +298,13 @@ class SpanField:
         return self
 
     @staticmethod
-    def _gold(text: str, tokens: Tokens) -> dict[tuple[int, int], int]:
-        """The segmentation that the base matches give."""
+    def _gold(tokens: Tokens, spans: list[tuple[int, int, int]]) -> dict[tuple[int, int], int]:
+        """The segmentation that the spans give."""
         gold, at = {}, 0
         low, high = tokens[0][0], tokens[-1][1]
-        for start, kind, end in base_spans(text):
+        for start, kind, end in spans:
             inside = [k for k, (a, b) in enumerate(tokens) if a < end and b > start]
-            if start < low or end > high or not inside or inside[0] < at or len(inside) > SEGMENT:
+            if start < low or end > high or not inside or inside[0] < at:
                 continue
             gold.update({(k, k + 1): 0 for k in range(at, inside[0])})
             gold[inside[0], inside[-1] + 1] = kind + 1
@@ -269,11 +318,16 @@ class SpanField:
         best, back = np.full(n + 1, -np.inf), [None] * (n + 1)
         best[0] = 0.0
         for i, j, f, e in self.segments(text, tokens):  # in order of i
-            v = self.scores(f, e, j == i + 1)
-            v[1:] -= MARGIN
-            k = int(v.argmax())
-            if best[i] + v[k] > best[j]:
-                best[j], back[j] = best[i] + v[k], (i, k)
+            key = (*f, e, j == i + 1)
+            if key not in self.sums:
+                if len(self.sums) >= SUMS:
+                    self.sums.clear()
+                v = self.scores(f, e, j == i + 1)
+                v[1:] -= MARGIN
+                self.sums[key] = (float(v.max()), int(v.argmax()))
+            value, k = self.sums[key]
+            if best[i] + value > best[j]:
+                best[j], back[j] = best[i] + value, (i, k)
         out, j = [], n
         while j:
             i, k = back[j]
@@ -305,10 +359,6 @@ def find_spans(text: str, field: SpanField | None) -> tuple[list[tuple[int, int,
     return base, sorted(base + more)
 
 
-def spell(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
-
-
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanField:
     """Fit on windows of a bounded sample: FIT_DOCS documents holding a digit or @, in the order of a hash of the id."""
     small_batches(docs.sparkSession)
@@ -318,22 +368,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sp
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, texts = [], []
         for key, text in zip(batch.column(0), batch.column(1).to_pylist()):
-            for k, tokens in enumerate(windows(text)):
-                if k >= 6:  # of the fit only
-                    break
-                ids.append(key.as_py())
-                texts.append(text[tokens[0][0] : min(tokens[-1][1], tokens[0][0] + 400)])
+            for tokens in windows(text):
+                if len(tokens) <= FIT_TOKENS:
+                    ids.append(key.as_py())
+                    texts.append(text[tokens[0][0] : tokens[-1][1]])
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=[id_col, "window"])
 
     rows = over_batches(held.join(F.broadcast(chosen), id_col), [id_col, text_col], cut, f"{id_col} long, window string")
-    rows = rows.distinct().orderBy(F.xxhash64(id_col), "window").limit(FIT_WINDOWS).collect()
+    rows = rows.distinct().orderBy(F.xxhash64(id_col, "window"), "window").limit(FIT_WINDOWS).collect()
     return fit_windows([r["window"] for r in rows])
 
 
 def fit_windows(texts: list[str]) -> SpanField:
-    """The field trained on windows and on their unsound twins."""
-    learnt = [t for x in texts for t in dict.fromkeys((x, unsound(x))) if not swallows(t)]
-    return SpanField().fit([(t, tokens) for t in learnt if (tokens := [m.span() for m in _TOKEN.finditer(t)])])
+    """The field trained on windows, on their unsound twins, and on twins whose entities are broken up."""
+    samples = []
+    for text in texts:
+        samples += [(t, base_spans(t)) for t in dict.fromkeys((text, unsound(text))) if not swallows(t)]
+        twin, spans = broken(text)
+        if spans and not swallows(text):
+            kept = [s for s in base_spans(twin) if not any(a < s[2] and s[0] < b for a, _, b in spans)]
+            samples.append((twin, sorted(spans + kept)))
+    return SpanField().fit([(t, tokens, spans) for t, spans in samples if (tokens := [m.span() for m in _TOKEN.finditer(t)])])
 
 
 def find(docs: DataFrame, field: SpanField | None = None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -375,7 +430,3 @@ def redact_texts(docs: DataFrame, field: SpanField | None = None, text_col: str
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return over_batches(docs, docs.columns, run, schema)
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -332,18 +333,54 @@ def test_quality_rows(spark):
 
 def test_grammar_composes():
     grammar = toxicity.Grammar(toxicity.INSULTS, ("lowei",), dict(toxicity.PRIOR))
-    for clause, reading in [("you are an idiot", "insult at a target"), ("an idiot came", "insult"), ("it is not stupid", "negated"), ("he said the clown left", "reported"), ("i will kill you", "threat"), ("they kill", "threat at a target"), ("das loweischaft war", "insult"), ("a tree", "none")]:
-        assert grammar.reading(clause) == reading
+    for clause, reading in [
+        ("you are an idiot", "insult at a target"), ("an idiot came", "insult"), ("it is not stupid", "insult negated"), ("he said the clown left", "insult reported"), ("i will kill you", "threat at a target"), ("they kill", "threat at a target"),
+        ("kill", "threat"), ("do not burn it", "threat negated"), ("das loweischaft war", "insult"), ("a tree", "none"), ("you are not an idiot", "insult negated"), ("not a clown, an idiot", "insult"),
+    ]:
+        assert grammar.reading(clause) == reading, clause
     counts = grammar.readings("A tree. You idiot! Not stupid; fine", grammar.trigger())
-    assert counts == {"insult at a target": 1, "negated": 1}
+    assert counts == {"insult at a target": 1, "insult negated": 1}
     assert grammar.score(counts) >= 0.5 > grammar.score(grammar.readings("nothing here", grammar.trigger()))
-
-
-def test_lexicon_is_learnt():
+    # A word alone is not enough before labels are seen; many clauses are, and each one counts.
+    scores = [grammar.score(grammar.readings("the trash is out. " * n, grammar.trigger())) for n in (1, 2, 3, 50)]
+    assert scores[0] < 0.5 < scores[3] and scores == sorted(set(scores))
+
+
+def test_machines_compose_as_their_cascade():
+    """The composed machine against running one transducer after another, path by path."""
+    machines, rng = toxicity.grammar_machines(), random.Random(11)
+    grammar = toxicity.Grammar(toxicity.INSULTS, (), dict(toxicity.PRIOR))
+    weights, words = grammar.log_odds(), {"insult": "idiot", "threat": "kill", "target": "you", "negation": "not", "reporter": "said", "w": "tree"}
+    for _ in range(300):
+        classes = rng.choices(toxicity.CLASSES, k=rng.randint(0, 6))
+        tapes = {(tuple(classes), ())}
+        for k, machine in enumerate(machines):
+            written = set()
+            for tape, given in tapes:
+                paths = {(0, (), given)}
+                for c in tape:
+                    paths = {(to, (*out, o), (*done, r) if r else done) for state, out, done in paths for to, o, r in machine[state].get(c, ())}
+                written |= {(out, done) for state, out, done in paths if k != 2 or state < 2}
+            tapes = written
+        best = max((max((weights[r], r) for r in done) if done else (0.0, "none")) for _, done in tapes)
+        assert grammar.reading(" ".join(words[c] for c in classes)) == max(best, (0.0, "none"))[1]
+
+
+def test_grammar_reads_long_texts_once():
+    grammar = toxicity.Grammar(toxicity.INSULTS, (), dict(toxicity.PRIOR))
+    began = time.time()
+    assert grammar.readings("an idiot. " * 300_000, grammar.trigger()) == {"insult": 300_000}
+    assert grammar.readings("tree idiot " * 100_000, grammar.trigger()) == {"insult": 1}
+    assert time.time() - began < 30
+
+
+def test_lexicon_is_learnt(spark):
     rng = random.Random(9)
-    clean = [{f"w{rng.randrange(50)}" for _ in range(20)} for _ in range(200)]
-    toxic = [{f"w{rng.randrange(50)}" for _ in range(20)} | {f"grumpf{rng.randrange(30)}"} for _ in range(40)]
-    words, stems = toxicity.learn_lexicon(toxic, clean)
+    word = lambda: "w" + "".join(rng.choices("abcdefg", k=2))
+    clean = [" ".join(word() for _ in range(20)) for _ in range(200)]
+    toxic = [" ".join([*(word() for _ in range(20)), "grumpf" + rng.choice("abcdefghijkl") * 2]) for _ in range(40)]
+    texts = spark.createDataFrame([(t, 0) for t in clean] + [(t, 1) for t in toxic] + [("an idiot came " + t, 1) for t in clean[:9]], "text string, label int")
+    words, stems = toxicity.learn_lexicon(texts, 49)
     assert stems == ("grump",) and set(words) == set(toxicity.INSULTS)
 
 
