@@ -2,7 +2,8 @@
 
 Token ids come from the word BPE tokenizer, by distinct word: a word's ids are looked up once
 in a worker and joined as bytes. Documents are cut at multiples of the capacity; full pieces are
-sequences of their own and only remainders are packed, group by group, as plain integers.
+sequences of their own where they lie. Only the remainders, one a document at most, are shuffled into
+groups and packed there, as plain integers.
 """
 
 from __future__ import annotations
@@ -14,19 +15,20 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_batches, small_batches
+from .common import over_batches, small_batches, written
 
 CAPACITY = 2048
 END_ID = 1
-#: Mean number of pieces that one group packs together.
-GROUP_PIECES = 20_000
-#: Distinct words that a worker remembers.
-WORDS = 400_000
+#: Mean number of documents whose remainders one group packs together.
+GROUP_DOCS = 20_000
+#: Distinct words that a worker remembers, and characters of one that it does.
+WORDS, WORD_LENGTH = 400_000, 64
+#: Numbers of sequences of full pieces start here; those of groups lie below.
+FULL = 1 << 62
 
 #: Found where the library's normalisation is more than lower-casing, or a special token may stand.
 _ODD = re.compile("[^\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]|<\\|")
@@ -73,15 +75,19 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
             if len(known) > WORDS:
                 known.clear()
             learn(list(set(words).difference(known)))
-            return b"".join([known[w] for w in words])
+            out = b"".join([known[w] for w in words])
+            for long in [w for w in set(words) if len(w) > WORD_LENGTH]:
+                del known[long]  # so that the table is bounded in bytes too
+            return out
 
     return encode
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each piece of each document: (id, start, length, ids_crc32, doc_tokens, ids as bytes are not kept)."""
+    """(id, start, length, ids_crc32, doc_tokens, place) of each piece of each document; place tells rows apart that are alike."""
     small_batches(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
+    placed = docs.select(id_col, F.col(text_col).alias("__text"), F.monotonically_increasing_id().alias("__place"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encode = word_encoder(tokenizer_path)
@@ -96,9 +102,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                 length.append(len(part) // 4)
                 crc.append(zlib.crc32(part))
                 total.append(n)
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(source, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))], names=[id_col, "start", "length", "ids_crc32", "doc_tokens"])
+        take = pa.array(source, pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0).take(take), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), batch.column(2).take(take)], names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "place"])
 
-    return over_batches(docs, [id_col, text_col], run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long")
+    return over_batches(placed, placed.columns, run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, place long")
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -129,21 +136,29 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
     return bins, offsets
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", group_docs: int = GROUP_DOCS) -> DataFrame:
     """Each piece with its `sequence_id` and `offset` (gapless from 0 in a sequence).
 
     A null or empty text is the end id alone. Repeated rows are packed each. An empty table
-    gives no sequences. Groups are random in id and content, so no source or length shapes one.
+    gives no sequences. Groups are random in the place of a row, so that no source, length or
+    repeated id shapes one; which rows share a sequence follows from how the table is split into files.
     """
-    cut = pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col)
-    groups = max(1, round(docs.count() / GROUP_PIECES))
-    # Remainders and full pieces alike are dealt by a hash of the piece, one row of five numbers each.
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(groups)))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "ids_crc32", id_col, "start"], ascending=[False, True, True, True], kind="stable")
-        bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), capacity)
+    # Five numbers a piece, written once, as full pieces and remainders are read apart.
+    cut = written(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
+    columns = [id_col, "start", "length", "ids_crc32", "doc_tokens"]
+    rest = cut.where(F.col("length") < capacity)
+    groups = max(1, round(rest.count() / group_docs))
+    grouped = rest.withColumn("group", F.pmod(F.xxhash64(id_col, "place"), F.lit(groups)))
+
+    def run(rows: pa.Table) -> pa.Table:
+        length, crc, place = (rows.column(c).to_numpy() for c in ("length", "ids_crc32", "place"))
+        rows = rows.take(pa.array(np.lexsort((place, crc, -length))))
+        bins, offsets = first_fit_decreasing(rows.column("length").to_numpy(), capacity)
         # Sequences are numbered group by group; a group holds far fewer than 2 ** 32.
-        return frame.assign(sequence_id=(frame["group"].to_numpy() << 32) + bins, offset=offsets).drop(columns="group")
+        numbers = (rows.column("group").to_numpy().astype(np.int64) << 32) + bins
+        return rows.select(columns).append_column("sequence_id", pa.array(numbers)).append_column("offset", pa.array(offsets))
 
-    return dealt.groupBy("group").applyInPandas(run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    packed = grouped.groupBy("group").applyInArrow(run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    # A full piece's number is that of its row in the written table: unique, and the same if a task runs anew.
+    full = cut.where(F.col("length") == capacity).select(*columns, (F.lit(FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.unionByName(full)
