@@ -198,7 +198,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     chosen = sample_labels(labels, id_col, label_col, bound)
     known = with_statistics(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col), id_col, text_col, ["label", "share"])
-    rows = known.dropDuplicates([id_col]).orderBy(id_col).toPandas()
+    # Of rows that repeat an id the one with the least statistics counts.
+    names = ["label", "share", *(f"__{s}" for s in STATISTICS)]
+    rows = known.groupBy(id_col).agg(F.min(F.struct(*names)).alias("least")).select(id_col, "least.*").orderBy(id_col).toPandas()
     if not len(rows):
         return RuleEnsemble(0.0, [], [])
     return fit_rules(rows[[f"__{s}" for s in STATISTICS]].to_numpy(), rows["label"].to_numpy(), rows["share"].to_numpy())
