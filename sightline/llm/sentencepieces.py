@@ -17,25 +17,25 @@ from pyspark.sql import DataFrame
 
 from .common import over_batches, small_batches
 
-#: Distinct chunks that a worker remembers before it starts its table anew.
-CHUNKS = 400_000
+#: Distinct chunks that a worker remembers before it starts its table anew, and characters of one that it does.
+CHUNKS, CHUNK_LENGTH = 400_000, 64
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class ChunkTable:
-    """Ids of whole texts from a table of segmented chunks; exact for models whose pieces keep to chunks."""
+    """Ids of whole texts from a table of segmented chunks; texts are encoded whole where a model's pieces do not keep to chunks."""
 
     def __init__(self, model_path: str, limit: int = CHUNKS):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         crossing = (self.model.id_to_piece(k) for k in range(self.model.get_piece_size()))
-        if any(re.search(f"[^{MARK}]{MARK}", p) for p in crossing):
-            raise ValueError("a piece crosses a whitespace marker; chunks would not segment alone")
         # The library puts one marker before any text. A line feed before the chunk takes it up:
         # it is a byte piece of its own that merges with nothing.
         self.lead = self.model.encode("\n")
+        #: Whether chunks segment as they do within a text.
+        self.apart = not any(re.search(f"[^{MARK}]{MARK}|\n.", p) for p in crossing)
         self.limit = limit
         self.known: dict[str, bytes] = {}
 
@@ -49,6 +49,8 @@ class ChunkTable:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
+        if not self.apart:
+            return self.model.encode(text)
         chunks, known = _CHUNK.findall(self.model.normalize(text)), self.known
         try:
             found = b"".join([known[c] for c in chunks])
@@ -57,6 +59,8 @@ class ChunkTable:
                 known.clear()
             self._learn(list(set(chunks).difference(known)))
             found = b"".join([known[c] for c in chunks])
+            for long in [c for c in set(chunks) if len(c) > CHUNK_LENGTH]:
+                del known[long]  # so that the table is bounded in bytes too
         return array("i", found).tolist()
 
     def decode(self, ids: list[int]) -> str:
