@@ -112,10 +112,11 @@ def unsound(text: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def broken(text: str) -> tuple[str, list[tuple[int, int, int]]]:
+def broken(text: str, sound: bool = True) -> tuple[str, list[tuple[int, int, int]]]:
     """The text with its emails and cards written so that no base pattern finds them, and where they then are.
 
-    An email gets blanks around its @, a card two blanks between groups of four digits.
+    An email gets blanks around its @, a card two blanks between groups of four digits. Unless `sound`, none is
+    left: an email also loses its domain but for the first label, a card gets a wrong check digit.
     """
     out, found, at, size = [], [], 0, 0
     for start, kind, end in base_spans(text):
@@ -123,13 +124,15 @@ def broken(text: str) -> tuple[str, list[tuple[int, int, int]]]:
             continue
         span = text[start:end]
         if kind == 0:
-            span = span.replace("@", " @ ")
+            span = span.replace("@", " @ ") if sound else " @ ".join(x.split(".")[0] for x in span.split("@"))
         else:
             digits = "".join(_DIGIT.findall(span))
+            digits = digits if sound else digits[:-1] + str((int(digits[-1]) + 1) % 10)
             span = "  ".join(digits[k : k + 4] for k in range(0, len(digits), 4))
         out += [text[at:start], span]
         size += start - at
-        found.append((size, kind, size + len(span)))
+        if sound:
+            found.append((size, kind, size + len(span)))
         size += len(span)
         at = end
     return "".join([*out, text[at:]]), found
@@ -384,10 +387,11 @@ def fit_windows(texts: list[str]) -> SpanField:
     samples = []
     for text in texts:
         samples += [(t, base_spans(t)) for t in dict.fromkeys((text, unsound(text))) if not swallows(t)]
-        twin, spans = broken(text)
-        if spans and not swallows(text):
-            kept = [s for s in base_spans(twin) if not any(a < s[2] and s[0] < b for a, _, b in spans)]
-            samples.append((twin, sorted(spans + kept)))
+        for sound in (True, False):
+            twin, spans = broken(text, sound)
+            if twin != text and not swallows(text):
+                kept = [s for s in base_spans(twin) if not any(a < s[2] and s[0] < b for a, _, b in spans)]
+                samples.append((twin, sorted(spans + kept)))
     return SpanField().fit([(t, tokens, spans) for t, spans in samples if (tokens := [m.span() for m in _TOKEN.finditer(t)])])
 
 

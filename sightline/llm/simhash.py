@@ -87,14 +87,14 @@ def _offsets(words: int, radius: int) -> list[int]:
     return sorted(near)
 
 
-def near_links(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+def near_links(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS, words: int | None = None) -> DataFrame:
     """(src, dst) links that span each set of distinct fingerprints joined within `radius` bits.
 
     `values(fingerprint)` holds distinct longs. Copies sent out grow with the rows, not their pairs,
-    while a tile fits `tile_rows`; beyond, blocks of a tile's parts meet two at a time.
+    while a tile fits `tile_rows`; beyond, blocks of a tile's parts meet two at a time. `words` is as
+    `words_for` the number of rows unless given; results are the same with any.
     """
-    n = values.count()
-    words = words_for(n)
+    words = words or words_for(values.count())
     tiled = values.withColumn("tile", _tile(words))
     # At most one row for each vector of population counts: bounded by the tiling, not by the data.
     sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("parts"))
