@@ -168,8 +168,9 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     spark = rows.sparkSession
     small_batches(spark, 4096)
     flagged = with_flag(rows, id_col, vector_col)
+    # Repeated to an array, the norm is computed once a vector, not once a component.
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = flagged.where("usable").select("id", F.transform("vector", lambda x: x.cast("double") / norm).alias("vector"))
+    unit = flagged.where("usable").select("id", F.zip_with("vector", F.array_repeat(norm, F.size("vector")), lambda x, n: x.cast("double") / n).alias("vector"))
     distinct = checkpoint(unit.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     links = checkpoint(node_links(distinct, cosine))
     counts = links.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("n").alias("others"))
