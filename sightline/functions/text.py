@@ -89,9 +89,8 @@ def spans(text: Column, pattern: Column, alias: Column) -> Column:
 
 
 def first_position(text: Column, pattern: Column) -> Column:
-    """Code-point offset of the first match, null without one: the search ends there."""
-    parts = F.split(text, pattern, 2)
-    return F.when(F.size(parts) > 1, F.length(parts[0]))
+    """Code-point offset of the first match, null without one: the text is searched once, up to there."""
+    return F.transform(F.array(F.split(text, pattern, 2)), lambda parts: F.when(F.size(parts) > 1, F.length(parts[0])))[0]
 
 
 def normalize_name(c: Column) -> Column:

@@ -338,9 +338,9 @@ def rival_tiers(bank: Bank) -> DataFrame:
     return bank.rivals.groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
 
 
-def findings(bank: Bank) -> DataFrame:
-    """All findings of all banks (U3). Flags are computed once and kept, since every rule reads them."""
-    flags = row_flags(bank).persist()
+def findings(bank: Bank, flags: DataFrame | None = None) -> DataFrame:
+    """All findings of all banks (U3). Every rule reads `flags`: hand over those of `row_flags`, kept, to compute them once."""
+    flags = row_flags(bank) if flags is None else flags
     styles = style(flags)
     out = config_findings(bank).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
     out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(_find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id")))

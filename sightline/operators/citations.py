@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed
 from ..functions.text import percent, ratio
 from ..functions.urls import normalize_host, normalize_url, registrable_domain, suffixes
+from .numbering import numbered
 
 
 def canonical(citations: DataFrame) -> DataFrame:
@@ -18,32 +19,32 @@ def canonical(citations: DataFrame) -> DataFrame:
     return citations.withColumn("canonical_url", url.canonical).withColumn("host", host).withColumn("removed_params", url.removed).withColumn("registrable_domain", registrable_domain(F.col("host")))
 
 
-def known_hosts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.KNOWN_HOSTS.items()), "known string, known_type string")
-
-
 def is_institution(host: Column) -> Column:
     return F.endswith(host, F.lit(".gov")) | F.contains(host, F.lit(".gov.")) | F.endswith(host, F.lit(".edu")) | F.contains(host, F.lit(".edu."))
 
 
+def official_domains(domains: DataFrame) -> DataFrame:
+    """(run_id, official): a run's official domains as a map to whose they are; an object's own order decides for shared ones."""
+    first = domains.groupBy("run_id", "domain").agg(F.min(F.struct("display_order", "domain_pos", "object_id", "role")).alias("owner"))
+    return first.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("domain", "owner"))).alias("official"))
+
+
 def classify(citations: DataFrame, domains: DataFrame) -> DataFrame:
     """Add matched_object, source_type, classification_source, confidence.
 
-    Hosts are classified once each: their dot suffixes equi-join official domains and known hosts.
+    A host's dot suffixes are looked up in the run's map of official domains and in that of known hosts, so a
+    citation is classified within its row. Of several official domains the first in object and domain order wins.
     """
-    hosts = citations.where("host is not null").select("run_id", "host").distinct()
-    parts = hosts.select("run_id", "host", F.explode(suffixes(F.col("host"))).alias("suffix"))
-    official = parts.join(domains.withColumnRenamed("domain", "suffix"), ["run_id", "suffix"]).groupBy("run_id", "host").agg(F.min_by(F.struct("object_id", "role"), F.struct("display_order", "domain_pos")).alias("o"))
-    known = parts.join(F.broadcast(known_hosts(citations.sparkSession)).withColumnRenamed("known", "suffix"), "suffix").groupBy("run_id", "host").agg(F.max("known_type").alias("known_type"))
-    typed = hosts.join(official, ["run_id", "host"], "left").join(known, ["run_id", "host"], "left")
-    own = F.when(F.col("o.role") == "target", "brand_official").when(F.col("o").isNotNull(), "competitor_official")
-    rule = F.coalesce("known_type", F.when(is_institution(F.col("host")), "institutional"))
-    typed = typed.select(
-        "run_id", "host", F.col("o.object_id").alias("matched_object"), F.coalesce(own, rule, F.lit("other")).alias("source_type"),
+    near = suffixes(F.col("host"))
+    found = lambda table: F.filter(F.transform(near, lambda x: F.try_element_at(table, x)), lambda o: o.isNotNull())
+    known = F.create_map(*[F.lit(x) for pair in fixed.KNOWN_HOSTS.items() for x in pair])
+    rows = citations.join(official_domains(domains), "run_id", "left").select(*citations.columns, F.array_min(found(F.col("official"))).alias("_o"), F.array_max(found(known)).alias("_known"))
+    own = F.when(F.col("_o.role") == "target", "brand_official").when(F.col("_o").isNotNull(), "competitor_official")
+    rule = F.coalesce("_known", F.when(is_institution(F.col("host")), "institutional"))
+    return rows.select(
+        *citations.columns, F.col("_o.object_id").alias("matched_object"), F.coalesce(own, rule, F.lit("other")).alias("source_type"),
         F.when(own.isNotNull(), "official_rule").when(rule.isNotNull(), "domain_rule").otherwise("default_other").alias("classification_source"), F.when(own.isNotNull(), 1.0).when(rule.isNotNull(), 0.95).alias("confidence"),
     )
-    out = citations.join(typed, ["run_id", "host"], "left")
-    return out.fillna({"source_type": "other", "classification_source": "default_other"})
 
 
 def first_of_page(classified: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def unknown_hosts(classified: DataFrame, examples: int = 3) -> DataFrame:
     few = seen.withColumn("k", F.row_number().over(order)).where(F.col("k") <= examples)
     lists = few.groupBy("run_id", "host").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("name") == c, F.struct("k", "value")))), lambda x: x["value"]).alias(c + "s") for c in names])
     hosts = open_.groupBy("run_id", "host").agg(F.count("*").alias("citations")).join(lists, ["run_id", "host"], "left")
-    return hosts.withColumn("item_id", F.format_string("S-%03d", F.row_number().over(Window.partitionBy("run_id").orderBy("host"))))
+    return numbered(hosts, "run_id", "host", "place").withColumn("item_id", F.format_string("S-%03d", "place")).drop("place")
 
 
 def work_citations(classified: DataFrame, work: DataFrame) -> DataFrame:

@@ -25,17 +25,27 @@ def mention_spans(answers: DataFrame, patterns: DataFrame) -> DataFrame:
     return each.groupBy("run_id", "answer_id", "object_id").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["s"]).alias("spans"))
 
 
+def run_patterns(patterns: DataFrame) -> DataFrame:
+    """(run_id, objects): a run's objects, each with its display order and one pattern for all its aliases.
+
+    Of alternatives a search finds the leftmost, which is where the first of the aliases stands.
+    """
+    own = patterns.groupBy("run_id", "object_id", "display_order").agg(F.array_join(F.array_sort(F.collect_set("pattern")), "|").alias("pattern"))
+    return own.groupBy("run_id").agg(F.collect_list(F.struct("object_id", "display_order", "pattern")).alias("objects"))
+
+
 def mentions(answers: DataFrame, patterns: DataFrame) -> DataFrame:
     """(run_id, answer_id, object_id, display_order, first_position, report_rank) of objects that answers name.
 
-    `answers(run_id, answer_id, answer_text)`, `patterns` from `alias_patterns`. The text is searched for
-    each alias up to its first match only; ranks follow first positions, then display order.
+    `answers(run_id, answer_id, answer_text)`, a row an answer; `patterns` from `alias_patterns`. The text is searched
+    once for each object, up to its first match; ranks follow first positions, then display order. An answer is
+    ranked within its row, so no answer is shuffled.
     """
-    text = answers.select("run_id", "answer_id", nfkc(or_empty(F.col("answer_text"))).alias("t"))
-    found = text.join(patterns.select("run_id", "object_id", "display_order", "pattern"), "run_id").select("run_id", "answer_id", "object_id", "display_order", first_position(F.col("t"), F.col("pattern")).alias("at")).where("at is not null")
-    first = found.groupBy("run_id", "answer_id", "object_id", "display_order").agg(F.min("at").alias("first_position"))
-    order = Window.partitionBy("run_id", "answer_id").orderBy("first_position", "display_order")
-    return first.withColumn("report_rank", F.row_number().over(order))
+    text = answers.select("run_id", "answer_id", nfkc(or_empty(F.col("answer_text"))).alias("t")).join(run_patterns(patterns), "run_id")
+    each = F.transform("objects", lambda o: F.struct(first_position(F.col("t"), o["pattern"]).alias("at"), o["display_order"].alias("display_order"), o["object_id"].alias("object_id")))
+    named = F.array_sort(F.filter(each, lambda x: x["at"].isNotNull()))
+    found = text.select("run_id", "answer_id", F.posexplode(named).alias("pos", "x"))
+    return found.select("run_id", "answer_id", "x.object_id", "x.display_order", F.col("x.at").alias("first_position"), (F.col("pos") + 1).alias("report_rank"))
 
 
 def object_metrics(answers: DataFrame, found: DataFrame, objects: DataFrame) -> DataFrame:

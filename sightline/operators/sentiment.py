@@ -24,8 +24,9 @@ def work_list(answers: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def latest(results: DataFrame) -> DataFrame:
-    """The last attempt of each judgement."""
-    order = Window.partitionBy("run_id", "answer_id").orderBy(F.col("attempt").desc())
+    """The last attempt of each judgement (W6); of rows that repeat an attempt the least in its other columns."""
+    others = [F.col(c) for c in sorted(results.columns) if c not in ("run_id", "answer_id", "attempt")]
+    order = Window.partitionBy("run_id", "answer_id").orderBy(F.col("attempt").desc(), *others)
     return results.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
