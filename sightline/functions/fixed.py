@@ -60,9 +60,21 @@ INTENT_LABELS = {
     "决策": "decision",
 }
 
+#: Labels of old banks that are read as recommendation.
+LEGACY_INTENTS = ("awareness", "informational", "了解")
+COMMERCIAL_INTENTS = ("recommendation", "comparison", "decision")
+
+# Runs: what is supported, spelt in lower case, and defaults.
+MARKETS = ("us", "usa", "united states", "united_states")
+LANGUAGES = ("en", "en-us", "english", "english-us")
+PLATFORMS = ("chatgpt",)
+SAMPLE_POLICY = "first_valid_per_question"
+QUOTA_TOTAL, QUOTA_GENERIC, QUOTA_BRANDED, THRESHOLD = 50, 40, 10, 0.78
+
 # Question-bank rows: required fields, quality flags, stages.
 REQUIRED_FIELDS = ("question_id", "question_type", "funnel_intent", "decision_stage", "cluster", "audience_role", "scenario", "constraint", "evidence_need", "user_question", "zh_translation", "standalone_rewrite", "retrieval_rewrite", "evidence_query", "title_seed", "monitoring_prompt", "quality_checks")
 CURRENT_FIELDS = ("topic_id", "intent_key")
+CURRENT_VERSION, LEGACY_VERSIONS = "overseas-geo-question-bank/v3", ("overseas-geo-question-bank/v2",)
 QUALITY_FLAGS = ("natural", "standalone", "answerable", "single_intent", "category_aligned", "neutral_premise", "monitoring_field_valid")
 CURRENT_FLAGS = ("topic_aligned", "category_visible", "commercial_intent")
 DECISION_STAGES = ("shortlist", "evaluation", "purchase", "implementation", "review")

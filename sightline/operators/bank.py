@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed
 from ..functions.text import contains_name, entity_pattern, normalize_name, normalize_template, or_empty, ratio, strip
+from .bank_config import config_findings
 
 
 class Bank(NamedTuple):
@@ -42,7 +43,7 @@ def load(raw: DataFrame) -> Bank:
     config = docs.select(
         "bank_id", _text("doc", "$.schema_version").alias("version"), strip(or_empty(_text("doc", "$.config.brand_name"))).alias("brand"), strip(or_empty(_text("doc", "$.config.category_label"))).alias("category_label"),
         strip(or_empty(_text("doc", "$.config.brand_object_type"))).alias("object_type"), F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
-        F.size(F.coalesce(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>"), F.array().cast("array<variant>"))).alias("questions"), (F.col("version") == "overseas-geo-question-bank/v3").alias("current"), "doc",
+        F.size(F.coalesce(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>"), F.array().cast("array<variant>"))).alias("questions"), (F.col("version") == fixed.CURRENT_VERSION).alias("current"), "doc",
     )
     rows = docs.select("bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("pos", "q")).select("bank_id", (F.col("pos") + 1).alias("row_no"), "q")
     topics = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.topics", "array<variant>")).alias("t")).select("bank_id", normalize_name(_text("t", "$.topic_id")).alias("topic_id"), strip(or_empty(_text("t", "$.topic"))).alias("topic"))
@@ -107,7 +108,7 @@ def row_flags(bank: Bank) -> DataFrame:
         (~F.array_contains("missing", "zh_translation") & ~F.coalesce((zh_type == "STRING") & F.col("zh_translation").rlike(fixed.CJK), F.lit(False))).alias("bad_translation"),
         ((text != "") & ~text.rlike(fixed.CONVERSATIONAL) & ~(now & F.startswith(normalize_template(text), F.lit("evaluate the ")))).alias("not_natural"),
         text.rlike(fixed.BARE_ACTION).alias("bare_action"), (now & text.rlike(fixed.NON_COMMERCIAL)).alias("non_commercial"), (text.rlike(fixed.AMBIGUOUS) & ~text.rlike(fixed.CLARIFIER)).alias("ambiguous"),
-        text.rlike(fixed.PROMOTIONAL).alias("promotional"), (~text.rlike(fixed.PROMOTIONAL) & text.rlike(fixed.LOW_CONFIDENCE)).alias("low_confidence"),
+        *wording(text),
         (strip(or_empty(F.col("monitoring_prompt"))) != text).alias("prompt_differs"), F.filter(F.array(*[F.when(normalize_name(F.col(c)) == F.col("norm"), F.lit(c)) for c in ("retrieval_rewrite", "evidence_query", "title_seed")]), lambda x: x.isNotNull()).alias("repeats"),
         F.when(given.isNull(), wanted).otherwise(F.filter(wanted, lambda n: ~true(F.try_element_at(given, n)))).alias("failed_checks"),
         F.when(now, F.array_intersect(F.col("keys"), F.array(*map(F.lit, fixed.RETIRED_FIELDS)))).otherwise(F.array().cast("array<string>")).alias("retired"),
@@ -117,6 +118,11 @@ def row_flags(bank: Bank) -> DataFrame:
     )
 
 
+def wording(text: Column) -> tuple[Column, Column]:
+    """`promotional`, and `low_confidence` where it is not: words that only may promote."""
+    return text.rlike(fixed.PROMOTIONAL).alias("promotional"), (~text.rlike(fixed.PROMOTIONAL) & text.rlike(fixed.LOW_CONFIDENCE)).alias("low_confidence")
+
+
 ROW_RULES = ("bad_translation", "not_natural", "bare_action", "non_commercial", "ambiguous", "prompt_differs", "bad_intent", "bad_stage")
 
 
@@ -214,6 +220,12 @@ def duplicates(flags: DataFrame) -> DataFrame:
     return rows.groupBy("bank_id", "what", "key").agg(F.count("*").alias("n")).where("n > 1")
 
 
+def duplicate_members(flags: DataFrame) -> DataFrame:
+    """(bank_id, intent_key, question_id): a row for each question whose intent key others share."""
+    twice = duplicates(flags).where("what = 'intent_key'").select("bank_id", F.col("key").alias("intent_key"))
+    return flags.where("current").join(twice, ["bank_id", "intent_key"], "left_semi").select("bank_id", "intent_key", "question_id")
+
+
 def topic_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, topic_id, n): topics without exactly one brand-sentiment question."""
     counts = flags.where("is_sentiment").groupBy("bank_id", "topic_id").agg(F.count("*").alias("n"))
@@ -301,48 +313,18 @@ def intent_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     return _find(wanted.join(flags.select("bank_id", "funnel_intent"), ["bank_id", "funnel_intent"], "left_anti"), "NO_INTENT", None, F.col("funnel_intent"))
 
 
-def config_findings(bank: Bank) -> DataFrame:
-    """Findings of configurations: brand, topics, totals, frozen competitors and their tiers."""
-    c = bank.config
-    status, count = _text("doc", "$.config.competitor_selection.status"), F.try_variant_get(F.col("doc"), "$.config.competitor_selection.selection_count", "int")
-    selected = F.try_variant_get(F.col("doc"), "$.config.competitor_selection", "variant").isNotNull()
-    codes = F.filter(
-        F.array(
-            F.when(F.col("current") & (F.col("brand") == ""), "NO_BRAND"), F.when(F.col("expected_total") != F.col("questions"), "COUNT"),
-            F.when(selected & ~F.coalesce(status == "frozen", F.lit(False)), "NOT_FROZEN"), F.when(selected & ~F.coalesce(count == 3, F.lit(False)), "SELECTION_COUNT"),
-        ), lambda x: x.isNotNull(),
-    )
-    out = c.select("bank_id", F.explode(codes).alias("code"), F.lit(None).cast("string").alias("question_id"), F.lit(None).cast("string").alias("detail"))
-    no_topics = c.where("current").join(bank.topics.select("bank_id"), "bank_id", "left_anti")
-    mode = F.when(F.col("tier") == "direct", "standard_evidence_based").otherwise("neutral_shared_dimensions_only")
-    rival = F.filter(F.array(F.when(F.col("name") == "", "RIVAL_NAME"), F.when(~F.col("tier").isin("direct", "adjacent", "fallback"), "RIVAL_TIER").when(~F.coalesce(F.col("mode") == mode, F.lit(False)), "RIVAL_MODE"), F.when(~F.col("has_dimensions"), "RIVAL_DIMENSIONS")), lambda x: x.isNotNull())
-    twice = bank.rivals.withColumn("key", normalize_name(F.col("name"))).where("key != ''").groupBy("bank_id", "key").count().where("count > 1")
-    few = bank.rivals.groupBy("bank_id").count().where("count != 3")
-    return (
-        out.unionByName(_find(no_topics, "NO_TOPICS")).unionByName(bank.rivals.select("bank_id", F.explode(rival).alias("code"), F.lit(None).cast("string").alias("question_id"), F.col("name").alias("detail")))
-        .unionByName(_find(twice, "RIVAL_TWICE", None, F.col("key"))).unionByName(_find(few, "RIVAL_COUNT")).unionByName(_term_config(bank))
-    )
-
-
-def _term_config(bank: Bank) -> DataFrame:
-    """Required terms against the assessment's decisions, as sets."""
-    decided = bank.config.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.professional_term_assessment.decisions", "array<variant>")).alias("d")).select("bank_id", _text("d", "$.concept").alias("concept"), _text("d", "$.decision").alias("decision"))
-    required = decided.where("decision = 'required'").select("bank_id", "concept")
-    empty = bank.terms.where("size(terms) = 0")
-    only = lambda a, b, code: _find(a.join(b, ["bank_id", "concept"], "left_anti"), code, None, F.col("concept"))
-    assessed = bank.terms.join(decided.select("bank_id").distinct(), "bank_id", "left_semi").select("bank_id", "concept")
-    return _find(empty, "TERM_WITHOUT_WORDS", None, F.col("concept")).unionByName(only(required, bank.terms, "TERM_NOT_COVERED")).unionByName(only(assessed, required, "TERM_NOT_REQUIRED"))
-
-
 def rival_tiers(bank: Bank) -> DataFrame:
-    return bank.rivals.groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
+    """(bank_id, tier, n): formal competitors by known tier, of selections of three."""
+    counts = bank.rivals.groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
+    whole = counts.withColumn("_all", F.sum("n").over(Window.partitionBy("bank_id")))
+    return whole.where(F.col("tier").isin("direct", "adjacent", "fallback") & (F.col("_all") == 3)).drop("_all")
 
 
 def findings(bank: Bank, flags: DataFrame | None = None) -> DataFrame:
     """All findings of all banks (U3). Every rule reads `flags`: hand over those of `row_flags`, kept, to compute them once."""
     flags = row_flags(bank) if flags is None else flags
     styles = style(flags)
-    out = config_findings(bank).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
+    out = config_findings(bank.config).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
     out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(_find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id")))
     types = bank.quotas.where("dimension = 'question_type'").unionByName(bank.quotas.where("dimension != 'question_type'").join(bank.config.where("not coalesce(current, false)").select("bank_id"), "bank_id", "left_semi"))
     out = out.unionByName(_find(quota_differences(flags, types), "QUOTA", None, F.concat_ws(":", "dimension", "key")))
@@ -352,11 +334,3 @@ def findings(bank: Bank, flags: DataFrame | None = None) -> DataFrame:
 def alias_conflicts(aliases: DataFrame) -> DataFrame:
     """(run_id, alias_norm, owners): aliases that two objects of a run share."""
     return aliases.groupBy("run_id", "alias_norm").agg(F.countDistinct("object_id").alias("owners")).where("owners > 1")
-
-
-def run_findings(runs: DataFrame, objects: DataFrame) -> DataFrame:
-    """(run_id, code): configurations out of bounds (P30). `runs(run_id, sentiment_threshold, quota_total, quota_generic, quota_branded)`."""
-    rivals = objects.where("role = 'competitor'").groupBy("run_id").agg(F.count("*").alias("rivals"))
-    rows = runs.join(rivals, "run_id", "left").fillna(0, ["rivals"])
-    codes = F.array(F.when(~F.col("rivals").between(1, 3), "COMPETITORS"), F.when(~F.col("sentiment_threshold").between(0.5, 1), "THRESHOLD"), F.when(F.col("quota_generic") + F.col("quota_branded") != F.col("quota_total"), "QUOTA_SUM"))
-    return rows.select("run_id", F.explode(F.filter(codes, lambda x: x.isNotNull())).alias("code"))

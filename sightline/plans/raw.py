@@ -18,6 +18,10 @@ invalid AS (SELECT *, CASE WHEN coalesce(trim(text, E' \\t\\n\\r'), '') = '' THE
   WHEN regexp_matches(text, '(?i)\\b(something went wrong|internal server error|bad gateway|service unavailable|try again later)\\b') THEN 'ERROR_PAGE' END AS bad FROM turns)"""
 
 
+def _turns_sql() -> str:
+    return _TURNS
+
+
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = tables.read(spark, sf_dir, "conversations")
     return turns.select("*", F.concat(F.lit("run"), (F.col("conv_id") % 7).cast("string")).alias("run_id"), F.col("conv_id").cast("string").alias("q"), F.format_string("%d-r%02d", "conv_id", "turn").alias("sample_id"), F.coalesce("role", F.lit("")).alias("r"))
@@ -95,21 +99,6 @@ def reference_issues(spark, sf_dir):
     return ingest.reference_findings(_cited(spark, sf_dir)).select("code", "sample_id")
 
 
-@query("""SELECT p_brand AS run_id, CASE WHEN p_size % 2 = 0 THEN CAST(p_partkey AS VARCHAR) END AS question_id, CASE WHEN p_size % 3 = 0 THEN p_size ELSE 1 END AS sequence, p_name AS question_text,
-CASE p_size % 4 WHEN 0 THEN 'generic' WHEN 1 THEN 'generic' WHEN 2 THEN 'branded' END AS question_type, CASE p_size % 5 WHEN 0 THEN 'recommendation' WHEN 1 THEN 'recommendation' WHEN 2 THEN 'comparison' WHEN 3 THEN 'decision' END AS funnel_intent, p_size % 5 = 1 AS migrated FROM part""")
-def imported_questions(spark, sf_dir):
-    """Parts as questions, with field names and labels in several spellings."""
-    part = tables.read(spark, sf_dir, "part")
-    size = F.col("p_size")
-    pick = lambda n, *names: F.element_at(F.array(*map(F.lit, names)), size % n + 1)
-    q = F.struct(
-        F.when(size % 2 == 0, F.col("p_partkey").cast("string")).alias("id"), F.when(size % 3 == 0, size).alias("sequence"), F.when(size % 2 == 0, F.concat(F.lit(" "), "p_name")).alias("monitoring_prompt"), F.when(size % 2 == 1, F.col("p_name")).alias("text"),
-        pick(4, "generic", "Category", "brand_related", "other").alias("type"), pick(5, "recommendation", "Awareness", "commercial", "决策", "none").alias("intent"),
-    )
-    found = ingest.import_questions(part.select(F.col("p_brand").alias("run_id"), _json(questions=F.array(q)).alias("body")))
-    return found.select("run_id", "question_id", "sequence", "question_text", "question_type", "funnel_intent", "migrated")
-
-
 def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A configuration for each supplier: up to four competitors, the first sharing an alias of the brand."""
     s = tables.read(spark, sf_dir, "supplier")
@@ -143,15 +132,6 @@ def alias_conflicts(spark, sf_dir):
     return bank.alias_conflicts(ingest.import_objects(_configs(spark, sf_dir))[1])
 
 
-@query("""SELECT CAST(s_suppkey AS VARCHAR) AS run_id, 'COMPETITORS' AS code FROM supplier WHERE s_suppkey % 5 NOT BETWEEN 1 AND 3
-UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'THRESHOLD' FROM supplier WHERE s_acctbal / 10000 NOT BETWEEN 0.5 AND 1 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'QUOTA_SUM' FROM supplier WHERE s_nationkey <> 10""")
-def run_issues(spark, sf_dir):
-    """P30."""
-    s = tables.read(spark, sf_dir, "supplier")
-    runs = s.select(F.col("s_suppkey").cast("string").alias("run_id"), (F.col("s_acctbal") / 10000).alias("sentiment_threshold"), F.lit(50).alias("quota_total"), F.lit(40).alias("quota_generic"), F.col("s_nationkey").alias("quota_branded"))
-    return bank.run_findings(runs, ingest.import_objects(_configs(spark, sf_dir))[0])
-
-
 def _bank(spark: SparkSession, sf_dir: str) -> bank.Bank:
     """A bank of four questions for each part: what is wrong with them follows from its size and type."""
     p = tables.read(spark, sf_dir, "part").withColumn("brand", F.replace("p_brand", F.lit("#"), F.lit(" ")))
@@ -200,12 +180,6 @@ def bank_row_issues(spark, sf_dir):
     return bank.row_findings(b, bank.row_flags(b)).select("bank_id", "question_id", "code")
 
 
-@query(f"WITH {_PARTS} SELECT bank_id, 'COUNT' AS code FROM parts WHERE s % 2 = 1")
-def bank_config_issues(spark, sf_dir):
-    """P31-P33, A25."""
-    return bank.config_findings(_bank(spark, sf_dir)).select("bank_id", "code")
-
-
 @query(f"WITH {_PARTS} SELECT bank_id, t AS concept, m.measure, CASE m.measure WHEN 'total' THEN hits WHEN 'generic' THEN generic WHEN 'branded' THEN hits - generic ELSE 0 END AS actual, CASE m.measure WHEN 'total' THEN 2 WHEN 'generic' THEN 1 ELSE 0 END AS minimum FROM (SELECT bank_id, any_value(t) AS t, count(*) FILTER (lower(text) LIKE '%' || lower(t) || '%') AS hits, count(*) FILTER (lower(text) LIKE '%' || lower(t) || '%' AND k < 2) AS generic FROM q GROUP BY bank_id), (VALUES ('total'), ('generic'), ('branded'), ('expanded'), ('acronym')) m(measure)")
 def bank_terms(spark, sf_dir):
     """A18."""

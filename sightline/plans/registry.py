@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text, urls
 from ..operators import bank, citations, grounding, mentions, results, sampling, sentiment
 from ..sources import ingest, tables
-from . import raw, reports  # noqa: F401 - they register their queries
+from . import banks, imports, raw, reports  # noqa: F401 - they register their queries
 from .register import ORACLE, QUERIES, query  # noqa: F401
 
 # Shared SQL. W is any character that ends a word; a first position is the length of what stands before.

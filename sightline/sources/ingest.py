@@ -181,50 +181,110 @@ def citations(samples: DataFrame) -> DataFrame:
     return both.withColumn("citation_no", F.row_number().over(order)).withColumn("citation_id", F.format_string("C-%s-%03d", "sample_id", "citation_no"))
 
 
+def _first(v: str, *names: str) -> Column:
+    """The first of several fields that is not blank."""
+    return F.coalesce(*[F.nullif(strip(or_empty(text_at(v, f"$.{n}"))), F.lit("")) for n in names])
+
+
 def import_questions(raw: DataFrame) -> DataFrame:
-    """Questions of question banks, aliases of field names coalesced, labels canonical.
+    """Questions of question banks, aliases of field names coalesced, labels canonical.
 
-    Unknown labels are null; `findings` of them come from `operators.bank.import_findings`.
+    A missing id is `q01`, `q02`.. by place. Elements that are no objects stay, with `is_object` false. Unknown
+    labels are null beside what was claimed; `operators.imports.question_findings` reports them.
     """
     docs = parsed(raw)
     items = F.coalesce(_array_at("doc", "$.questions"), _array_at("doc", "$"))
-    q = docs.select("run_id", F.posexplode(items).alias("pos", "q"))
-
-    def first(*names: str) -> Column:
-        return F.coalesce(*[F.nullif(strip(or_empty(text_at("q", f"$.{n}"))), F.lit("")) for n in names])
+    q = docs.select("run_id", F.posexplode(items).alias("pos", "q")).withColumn("place", F.col("pos") + 1)
 
     def label(value: Column, labels: dict) -> Column:
         keys = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-        return F.try_element_at(keys, F.lower(value))
+        return F.try_element_at(keys, value)
 
-    intent = first("funnel_intent", "intent")
+    number = lambda name: F.nullif(_first("q", name).try_cast("int"), F.lit(0))  # noqa: E731 - zero counts as absent
+    type_, intent = _first("q", "question_type", "type"), _first("q", "funnel_intent", "intent", "purchase_intent")
     return q.select(
-        "run_id", first("question_id", "id").alias("question_id"), F.coalesce(first("generation_sequence", "sequence").try_cast("int"), F.col("pos") + 1).alias("sequence"),
-        first("monitoring_prompt", "user_question", "question_text", "question", "text").alias("question_text"), first("zh_translation", "question_zh").alias("question_zh"),
-        label(first("question_type", "type"), fixed.TYPE_LABELS).alias("question_type"), label(intent, fixed.INTENT_LABELS).alias("funnel_intent"), (F.lower(intent) == "awareness").alias("migrated"),
+        "run_id", "place", F.coalesce(_first("q", "question_id", "id"), F.format_string("q%02d", "place")).alias("question_id"),
+        F.coalesce(number("generation_sequence"), number("index"), F.col("place")).alias("sequence"),
+        _first("q", "monitoring_prompt", "user_question", "question_text", "question", "standalone_rewrite").alias("question_text"), _first("q", "question_zh").alias("question_zh"),
+        type_.alias("claimed_type"), intent.alias("claimed_intent"), label(type_, fixed.TYPE_LABELS).alias("question_type"), label(intent, fixed.INTENT_LABELS).alias("funnel_intent"),
+        F.coalesce(intent.isin(*fixed.LEGACY_INTENTS), F.lit(False)).alias("migrated"), F.coalesce(F.startswith(F.schema_of_variant("q"), F.lit("OBJECT")), F.lit(False)).alias("is_object"),
     )
 
 
+def _listed(v: Column) -> Column:
+    """A list as its elements, a single value as a list of one, nothing as an empty list."""
+    kind = F.schema_of_variant(v)
+    some = F.when(v.isNotNull() & (kind != "VOID") & ~((kind == "STRING") & (F.try_variant_get(v, "$", "string") == "")), F.array(v))
+    return F.coalesce(F.when(F.startswith(kind, F.lit("ARRAY")), F.try_variant_get(v, "$", "array<variant>")), some, F.array().cast("array<variant>"))
+
+
+def _given(v: str, *names: str) -> Column:
+    """The first of several fields of a document that holds anything: no empty text, list or object."""
+    at = [F.try_variant_get(F.col(v), f"$.{n}", "variant") for n in names]
+    empty = F.array(*map(F.lit, ('""', "[]", "{}", "null", "false", "0")))
+    return F.coalesce(*[F.when(x.isNotNull() & ~F.array_contains(empty, F.to_json(x)), x) for x in at])
+
+
+def _alias_of(v: Column) -> Column:
+    """An alias as text, or as an object that names it and does not deny it."""
+    named = F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{n}", "string"), F.lit("")) for n in ("raw_alias", "alias", "name")])
+    is_object = F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+    return F.when(is_object, F.when(~_is_false(F.try_variant_get(v, "$.confirmed", "variant")), named)).otherwise(F.try_variant_get(v, "$", "string"))
+
+
 def import_objects(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(objects, aliases, domains) of run configurations: the brand is `target`, competitors are numbered."""
+    """(objects, aliases, domains) of run configurations: the brand is `target`, competitors are numbered.
+
+    A configuration may hold a `brand` object or its fields at the top, a list of competitors or a single one, as
+    objects or plain names. Lists may be single values. Objects without a name have a null one.
+    """
     docs = parsed(raw)
-    target = docs.select("run_id", F.lit(0).alias("display_order"), F.try_variant_get(F.col("doc"), "$.brand", "variant").alias("o"))
-    rivals = docs.select("run_id", F.posexplode(_array_at("doc", "$.competitors")).alias("pos", "o")).select("run_id", (F.col("pos") + 1).alias("display_order"), "o")
+    no_text = F.lit(None).cast("string")
+    brand = _given("doc", "brand")
+    named = F.when(F.schema_of_variant(brand) == "STRING", F.try_variant_get(brand, "$", "string"))
+    target = docs.select(
+        "run_id", F.lit(0).alias("display_order"), F.coalesce(brand, F.when(_first("doc", "brand_name", "customer_name").isNotNull(), F.try_parse_json(F.lit("{}")))).alias("o"), F.when(brand.isNull(), _first("doc", "brand_name", "customer_name")).otherwise(named).alias("flat_name"),
+        F.when(brand.isNull(), _given("doc", "brand_aliases", "aliases")).alias("flat_aliases"), F.when(brand.isNull(), _given("doc", "brand_domain", "official_domain")).alias("flat_domain"), F.when(brand.isNull(), _first("doc", "object_scope")).alias("flat_scope"),
+    )
+    rivals = docs.select("run_id", F.posexplode(_listed(_given("doc", "competitors", "comps_list"))).alias("pos", "o"))
+    nothing = F.lit(None).cast("variant")
+    plain = F.when(F.schema_of_variant("o") == "STRING", F.try_variant_get(F.col("o"), "$", "string"))
+    rivals = rivals.select("run_id", (F.col("pos") + 1).alias("display_order"), "o", plain.alias("flat_name"), nothing.alias("flat_aliases"), nothing.alias("flat_domain"), no_text.alias("flat_scope"))
     both = target.unionByName(rivals)
+    is_target = F.col("display_order") == 0
     objects = both.select(
-        "run_id", F.when(F.col("display_order") == 0, "target").otherwise(F.format_string("competitor-%02d", "display_order")).alias("object_id"), F.when(F.col("display_order") == 0, "target").otherwise("competitor").alias("role"),
-        "display_order", F.coalesce(text_at("o", "$.name"), text_at("o", "$.canonical_name")).alias("canonical_name"), "o",
+        "run_id", F.when(is_target, "target").otherwise(F.format_string("competitor-%02d", "display_order")).alias("object_id"), F.when(is_target, "target").otherwise("competitor").alias("role"),
+        "display_order", F.coalesce(F.nullif(strip(or_empty(F.col("flat_name"))), F.lit("")), _first("o", "name", "canonical_name", "brand_name")).alias("canonical_name"), F.coalesce("flat_scope", _first("o", "object_scope"), F.lit("brand")).alias("object_scope"),
+        _listed(F.coalesce("flat_aliases", _given("o", "aliases", "confirmed_aliases"))).alias("listed"), _listed(F.coalesce("flat_domain", _given("o", "official_domains", "official_domain", "domain", "brand_domain"))).alias("hosts"),
     )
     from ..functions.text import normalize_alias
     from ..functions.urls import normalize_host
 
-    listed = F.coalesce(F.try_variant_get(F.col("o"), "$.aliases", "array<string>"), F.array().cast("array<string>"))
-    aliases = objects.select("run_id", "object_id", F.posexplode(F.concat(F.array("canonical_name"), listed)).alias("pos", "alias")).withColumn("alias", strip(or_empty(F.col("alias")))).withColumn("alias_norm", normalize_alias(F.col("alias"))).where("alias_norm != ''")
+    aliases = objects.select("run_id", "object_id", F.posexplode(F.concat(F.array("canonical_name"), F.transform("listed", _alias_of))).alias("pos", "alias")).withColumn("alias", strip(or_empty(F.col("alias")))).withColumn("alias_norm", normalize_alias(F.col("alias"))).where("alias_norm != ''")
     first = Window.partitionBy("run_id", "object_id", "alias_norm").orderBy("pos")
     aliases = aliases.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    names = F.coalesce(F.try_variant_get(F.col("o"), "$.official_domains", "array<string>"), F.array(text_at("o", "$.domain")))
+    names = F.transform("hosts", lambda h: F.try_variant_get(h, "$", "string"))
     domains = objects.select("run_id", "object_id", "role", "display_order", F.posexplode(names).alias("domain_pos", "d")).select("run_id", "object_id", "role", "display_order", normalize_host(F.col("d")).alias("domain"), "domain_pos").where("domain is not null")
-    return objects.drop("o"), aliases, domains
+    return objects.drop("listed", "hosts"), aliases, domains
+
+
+def import_runs(raw: DataFrame) -> DataFrame:
+    """(run_id, topic, topics, market, language, platform, quota_total, quota_generic, quota_branded, sentiment_threshold, sample_policy) of run configurations.
+
+    Missing values have their defaults. `topics` counts a list of topics, null without one. Without any quotas
+    those of a standard run hold; a total that is missing is the sum of its types.
+    """
+    docs = parsed(raw)
+    folded = lambda default, *names: casefold(strip(F.coalesce(_first("doc", *names), F.lit(default))))
+    quotas = _given("doc", "quotas")
+    count = lambda *paths: F.coalesce(*[F.try_variant_get(quotas, f"$.{p}", "int") for p in paths], F.lit(0))
+    generic, branded = count("question_type.generic"), count("question_type.branded", "question_type.brand")
+    total = F.coalesce(F.nullif(count("total"), F.lit(0)), count("expected_total"))
+    return docs.select(
+        "run_id", or_empty(_first("doc", "topic")).alias("topic"), F.size(_array_at("doc", "$.topics")).alias("topics"), folded("US", "market", "target_market").alias("market"), folded("en", "language").alias("language"), folded("chatgpt", "platform").alias("platform"),
+        F.when(quotas.isNull(), fixed.QUOTA_TOTAL).when(total <= 0, generic + branded).otherwise(total).alias("quota_total"), F.when(quotas.isNull(), fixed.QUOTA_GENERIC).otherwise(generic).alias("quota_generic"), F.when(quotas.isNull(), fixed.QUOTA_BRANDED).otherwise(branded).alias("quota_branded"),
+        F.coalesce(F.try_variant_get(F.col("doc"), "$.sentiment_confidence_threshold", "double"), F.lit(fixed.THRESHOLD)).alias("sentiment_threshold"), F.coalesce(_first("doc", "sample_policy"), F.lit(fixed.SAMPLE_POLICY)).alias("sample_policy"),
+    ).withColumn("topics", F.when(F.col("topics") >= 0, F.col("topics")))
 
 
 SECTIONS = ("overview", "competitor", "citation", "brand_expression", "category_actions", "question_details")
