@@ -95,6 +95,9 @@ MIN_BATCH = 10
 MAX_PROMOTIONAL, MAX_CLUSTER, HIGH_CLUSTER, MIN_METADATA, MAX_OPENERS, HIGH_OPENERS, MAX_ONE_OPENER = 0.20, 0.50, 0.80, 0.80, 0.75, 0.90, 0.50
 COMMON_OPENERS = ("how", "what", "which")
 
+# How facts that are true or false are shown.
+YES, NO = "是", "否"
+
 # Report texts: words that readers must not see, and words that tell them what to do.
 BANNED = r"P[012]|p[012]|赋能|深度赋能|全面提升|优化升级|建议您|我们应该|严重落后|毫无建树|被动挨打"
 ACTION_WORDS = r"建议|应该|应当|需要|需|优先补齐|创建|新建|检查并完善|建设页面|强化内容"

@@ -152,5 +152,5 @@ def stable_id(prefix: str, *parts: Column) -> Column:
 def fact_display(fact: Column) -> Column:
     """Text of a fact variant: its `display` if it has one, else the value itself."""
     own = F.try_variant_get(fact, "$.display", "string")
-    flag = F.when(F.schema_of_variant(fact) == "BOOLEAN", F.when(F.try_variant_get(fact, "$", "boolean"), "true").otherwise("false"))
+    flag = F.when(F.schema_of_variant(fact) == "BOOLEAN", F.when(F.try_variant_get(fact, "$", "boolean"), fixed.YES).otherwise(fixed.NO))
     return F.coalesce(own, flag, F.try_variant_get(fact, "$", "string"), F.lit("—"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed
-from ..functions.text import ratio
+from ..functions.text import or_empty, ratio
+from .mentions import voice_check
 
 BUCKETS = ("priority_improve", "continue_optimize", "stable")
 
@@ -66,19 +67,35 @@ def action_states(metrics: DataFrame, best: DataFrame, counts: DataFrame, share:
     return row.select("run_id", F.explode(states).alias("x")).select("run_id", "x.*").where("state is not null")
 
 
-def publish_checks(coverage: DataFrame, quotas: DataFrame, counts: DataFrame, metrics: DataFrame, sentiment: DataFrame) -> DataFrame:
-    """(run_id, code, passed): a row for each check; a run may be published if all passed."""
-    voices = metrics.groupBy("run_id").agg((F.sum("share_of_voice").isNull() | (F.abs(F.sum("share_of_voice") - 1.0) < 1e-9)).alias("voices"))
-    row = coverage.join(quotas.select("run_id", "quota_total"), "run_id", "left").join(counts, "run_id", "left").join(voices, "run_id", "left").join(sentiment.select("run_id", "unresolved"), "run_id", "left")
+def publish_checks(runs: DataFrame, coverage: DataFrame, counts: DataFrame, metrics: DataFrame, sentiment: DataFrame, artefacts: DataFrame, inputs: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(run_id, code, passed, severity): a row for each check of each run; all block.
+
+    `runs(run_id, quota_total, config_hash, frozen_at, answers_hash, metrics_hash)`; `artefacts(run_id, artefact,
+    own_run_id)`: the run that each artefact names; `inputs(run_id, input, used, current)`: hashes that the metrics
+    were computed from, and those of the inputs now; `tasks(run_id, status)`. A run without rows there
+    passes the check. Each table is grouped by run before it is joined.
+    """
+    of = lambda rows, hit, name: rows.groupBy("run_id").agg(F.bool_and(hit).alias(name))
+    same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    row = runs.join(coverage, "run_id", "left").join(counts, "run_id", "left").join(voice_check(metrics).withColumnRenamed("passed", "voices"), "run_id", "left").join(sentiment.select("run_id", "unresolved"), "run_id", "left")
+    row = row.join(of(artefacts, same("own_run_id", "run_id"), "one_batch"), "run_id", "left").join(of(inputs, same("used", "current"), "same_inputs"), "run_id", "left").join(of(tasks, F.coalesce(F.col("status") != "pending", F.lit(False)), "resolved"), "run_id", "left")
     total = sum((F.coalesce(b, F.lit(0)) for b in BUCKETS), F.lit(0))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    held = lambda *names: sum(((or_empty(F.col(n)) != "").cast("int") for n in names), F.lit(0)) == len(names)
     checks = {
-        "QUESTION_TOTAL": F.col("designed") == F.col("quota_total"),
-        "VALID_ANSWER_PRESENT": F.col("valid") > 0,
-        "TARGET_SENTIMENT_COMPLETE": F.coalesce("unresolved", F.lit(0)) == 0,
-        "OPPORTUNITY_PARTITION": total == F.col("valid_generic"),
+        "CONFIG_FROZEN": held("config_hash", "frozen_at"),
+        "QUESTION_TOTAL": zero("designed") == F.col("quota_total"),
+        "VALID_ANSWER_PRESENT": zero("valid") > 0,
+        "BATCH_CONSISTENT": F.coalesce("one_batch", F.lit(True)),
+        "METRIC_INPUT_HASHES": F.coalesce("same_inputs", F.lit(True)),
+        "TARGET_SENTIMENT_COMPLETE": zero("unresolved") == 0,
+        "OPPORTUNITY_PARTITION": total == zero("valid_generic"),
         "VOICE_INVARIANT": F.coalesce("voices", F.lit(True)),
+        "TASKS_RESOLVED": F.coalesce("resolved", F.lit(True)),
+        "TRACEABILITY_PRESENT": held("answers_hash", "metrics_hash"),
     }
-    return row.select("run_id", F.explode(F.array(*[F.struct(F.lit(k).alias("code"), F.coalesce(v, F.lit(False)).alias("passed")) for k, v in checks.items()])).alias("x")).select("run_id", "x.*")
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("code"), F.coalesce(v, F.lit(False)).alias("passed")) for k, v in checks.items()]))
+    return row.select("run_id", each.alias("x")).select("run_id", "x.*", F.lit("blocking").alias("severity"))
 
 
 def publishable(checks: DataFrame) -> DataFrame:

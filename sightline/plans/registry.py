@@ -7,65 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text, urls
 from ..operators import bank, citations, grounding, mentions, results, sampling, sentiment
+from ..operators import imports as operators_imports
 from ..sources import ingest, tables
-from . import banks, imports, raw, reports  # noqa: F401 - they register their queries
+from . import banks, imports, outcomes, raw, reports  # noqa: F401 - they register their queries
+from .bound import ANSWERS as _ANSWERS
+from .bound import JUDGED as _JUDGED
+from .bound import METRICS as _METRICS
+from .bound import PAGES as _PAGES
+from .bound import classified as _classified
+from .bound import found as _found
+from .bound import judged as _judged
+from .bound import metrics as _metrics
 from .register import ORACLE, QUERIES, query  # noqa: F401
 
-# Shared SQL. W is any character that ends a word; a first position is the length of what stands before.
-_ANSWERS = """answers AS (
-  SELECT source AS run_id, doc_id AS answer_id, doc_id AS sequence, coalesce(text, '') AS t, CASE WHEN lang = 'en' THEN 'generic' ELSE 'branded' END AS question_type,
-         CASE doc_id % 3 WHEN 0 THEN 'decision' WHEN 1 THEN 'comparison' ELSE 'recommendation' END AS funnel_intent, coalesce(trim(text) <> '', false) AS valid FROM documents),
-objects(object_id, role, display_order, alias) AS (VALUES ('target', 'target', 0, 'attion'), ('competitor-01', 'competitor', 1, 'erble'), ('competitor-02', 'competitor', 2, 'ertion'), ('competitor-03', 'competitor', 3, 'orre')),
-runs AS (SELECT DISTINCT run_id FROM answers WHERE run_id IS NOT NULL),
-found AS (
-  SELECT *, row_number() OVER (PARTITION BY run_id, answer_id ORDER BY first_position, display_order) AS report_rank FROM (
-    SELECT run_id, answer_id, object_id, display_order, length(regexp_extract(t, '(?is)^((?:.*?[^\\p{L}\\p{N}_])??)(' || alias || ')(?:[^\\p{L}\\p{N}_]|$)', 1)) AS first_position
-    FROM answers, objects WHERE run_id IS NOT NULL AND regexp_matches(t, '(?i)(^|[^\\p{L}\\p{N}_])' || alias || '([^\\p{L}\\p{N}_]|$)')))"""
-
-_METRICS = """metrics AS (
-  SELECT r.run_id, o.object_id, o.role, o.display_order, coalesce(a.n, 0) AS answers, coalesce(m.n, 0) AS mentions, coalesce(m.s, 0) AS rank_sum,
-         CAST(sum(coalesce(m.n, 0)) OVER (PARTITION BY r.run_id) AS BIGINT) AS all_mentions
-  FROM runs r CROSS JOIN objects o
-  LEFT JOIN (SELECT run_id, count(*) AS n FROM answers WHERE question_type = 'generic' GROUP BY run_id) a ON a.run_id = r.run_id
-  LEFT JOIN (SELECT f.run_id, f.object_id, count(*) AS n, CAST(sum(report_rank) AS BIGINT) AS s FROM found f JOIN answers g ON g.run_id = f.run_id AND g.answer_id = f.answer_id WHERE g.question_type = 'generic' GROUP BY ALL) m ON m.run_id = r.run_id AND m.object_id = o.object_id)"""
-
-_PAGES = """raw AS (
-  SELECT page_id // 4 AS answer_id, 'run' || CAST(page_id // 40000 AS VARCHAR) AS run_id, page_id % 4 + 1 AS citation_no, url,
-         regexp_replace(rtrim(lower(regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1)), '.'), '^www\\.', '') AS host,
-         regexp_replace(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
-         list_sort(list_filter(str_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_'))) AS q FROM pages),
-classified AS (
-  SELECT *, lower(regexp_extract(url, '^([^:]*)', 1)) || '://' || host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical_url,
-         array_to_string(str_split(host, '.')[-2:], '.') AS registrable_domain,
-         CASE WHEN host = 'example.com' OR ends_with(host, '.example.com') THEN 'brand_official' WHEN host = 'example.net' OR ends_with(host, '.example.net') THEN 'competitor_official' ELSE 'other' END AS source_type FROM raw),
-firsts AS (SELECT * FROM classified QUALIFY row_number() OVER (PARTITION BY run_id, answer_id, canonical_url ORDER BY citation_no) = 1)"""
-
-_JUDGED = """judged AS (
-  SELECT doc_id AS answer_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS label, doc_id % 2 + 1 AS attempt,
-         CASE WHEN 0.5::DOUBLE + (doc_id % 50) / 100.0::DOUBLE >= 0.75 THEN 'accepted' WHEN doc_id % 2 + 1 < 2 THEN 'review' ELSE 'unresolved' END AS status FROM labels)"""
-
-
-def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = tables.answers(spark, sf_dir)
-    objects = tables.objects(rows)
-    return rows, objects, mentions.mentions(rows, mentions.alias_patterns(objects))
-
-
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, objects, found = _found(spark, sf_dir)
-    return mentions.object_metrics(rows, found, objects)
-
-
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cited = tables.citations(spark, sf_dir)
-    return citations.classify(citations.canonical(cited), tables.domains(cited))
-
-
-def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = tables.answers(spark, sf_dir).select("run_id", "answer_id")
-    return sentiment.routed(tables.sentiment_results(spark, sf_dir), 0.75).join(runs, "answer_id")
-
-
 @query(f"""WITH {_ANSWERS}, {_METRICS}
 SELECT run_id, object_id, answers, mentions, all_mentions, CASE WHEN answers > 0 THEN CAST(mentions AS DOUBLE) / answers END AS mention_rate,
        CASE WHEN answers > 0 THEN CAST((200 * mentions + answers) // (2 * answers) AS VARCHAR) || '%' ELSE '—' END AS mention_display,
@@ -82,11 +36,15 @@ def mention_ranks(spark, sf_dir):
     return _found(spark, sf_dir)[2].select("run_id", "answer_id", "object_id", F.col("first_position").cast("long").alias("first_position"), F.col("report_rank").cast("long").alias("report_rank"))
 
 
-@query()
+@query(rf"""WITH {_ANSWERS}, cut AS (SELECT run_id, answer_id, regexp_extract_all(t, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+') AS w FROM answers WHERE run_id IS NOT NULL),
+words AS (SELECT run_id, answer_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM cut),
+placed AS (SELECT *, sum(length(w)) OVER (PARTITION BY run_id, answer_id ORDER BY i) AS stop FROM words)
+SELECT run_id, answer_id, object_id, alias, w AS matched_text, CAST(stop - length(w) AS BIGINT) AS start, CAST(stop AS BIGINT) AS "end" FROM placed JOIN objects ON lower(w) = alias""")
 def mention_spans(spark, sf_dir):
     """Every span of every object, with code-point offsets."""
     rows = tables.answers(spark, sf_dir)
-    return mentions.mention_spans(rows, mentions.alias_patterns(tables.objects(rows))).select("run_id", "answer_id", "object_id", F.explode("spans").alias("s")).select("run_id", "answer_id", "object_id", "s.*")
+    found = mentions.mention_spans(rows, mentions.alias_patterns(tables.objects(rows))).select("run_id", "answer_id", "object_id", F.explode("spans").alias("s"))
+    return found.select("run_id", "answer_id", "object_id", "s.alias", "s.matched_text", F.col("s.start").cast("long").alias("start"), F.col("s.end").cast("long").alias("end"))
 
 
 @query(f"WITH {_ANSWERS} SELECT f.run_id, object_id, f.answer_id FROM found f JOIN answers a ON a.run_id = f.run_id AND a.answer_id = f.answer_id WHERE question_type = 'generic'")
@@ -219,59 +177,45 @@ def competitor_benchmarks(spark, sf_dir):
     return results.benchmarks(_metrics(spark, sf_dir)).withColumn("tied", F.array_join("tied", " "))
 
 
-@query()
-def action_states(spark, sf_dir):
-    """P8 on the runs of answers; citations of the same answers."""
-    rows, objects, found = _found(spark, sf_dir)
-    metrics = mentions.object_metrics(rows, found, objects)
-    cited = _classified(spark, sf_dir).drop("run_id").join(rows.select("run_id", "answer_id"), "answer_id")
-    pages = citations.top_official_pages(citations.first_of_page(cited))
-    return results.action_states(metrics, results.benchmarks(metrics), results.opportunity_counts(results.opportunities(rows, found)), citations.official_share(cited), pages, sentiment.target_sentiment(rows, found, _judged(spark, sf_dir)))
-
-
-@query()
-def publish_checks(spark, sf_dir):
-    """A27, A28."""
-    rows, objects, found = _found(spark, sf_dir)
-    metrics = mentions.object_metrics(rows, found, objects)
-    cover = sampling.coverage(rows)
-    return results.publish_checks(cover, cover.select("run_id", F.col("designed").alias("quota_total")), results.opportunity_counts(results.opportunities(rows, found)), metrics, sentiment.target_sentiment(rows, found, _judged(spark, sf_dir)))
-
-
 @query()
 def content_fingerprints(spark, sf_dir):
     """A29 over the answers of each run."""
     return results.fingerprints(tables.answers(spark, sf_dir), ["answer_id"], "run_id")
 
 
-@query("""WITH p AS (SELECT p_brand AS bank_id, p_type AS k FROM part), n AS (SELECT bank_id, k, count(*) AS n FROM p GROUP BY ALL)
-SELECT bank_id, CAST(sum(n) AS BIGINT) AS total, count(*) AS labels, count(*) FILTER (n = 1) AS singles, CAST(count(*) FILTER (n = 1) AS DOUBLE) / sum(n) AS single_ratio FROM n GROUP BY bank_id""")
+def _labelled(rows: DataFrame, **columns) -> DataFrame:
+    """Flags of questions as the bank's rules read them: the given columns, the others null or false."""
+    blank = {n: F.lit(None).cast("string") for n in ("question_id", "norm", "intent_key", "cluster", "scenario", "constraint", "audience_role", "opener")} | {n: F.lit(False) for n in ("current", "promotional", "low_confidence", "commercial")}
+    return rows.select("bank_id", "row_no", *[c.alias(n) for n, c in (blank | columns).items()])
+
+
+@query("""WITH p AS (SELECT p_brand AS bank_id, lower(p_type) AS k FROM part), n AS (SELECT bank_id, k, count(*) AS n FROM p GROUP BY ALL)
+SELECT bank_id, CAST(sum(n) AS BIGINT) AS total, count(*) FILTER (n = 1) AS single_cluster, CAST(count(*) FILTER (n = 1) AS DOUBLE) / sum(n) AS single_cluster_ratio FROM n GROUP BY bank_id""")
 def label_singletons(spark, sf_dir):
-    """A20, A21 on parts: a brand is a bank, a type a label."""
-    part = tables.read(spark, sf_dir, "part").select(F.col("p_brand").alias("bank_id"), F.col("p_type").alias("k"))
-    counts = part.groupBy("bank_id", "k").agg(F.count("*").alias("n")).groupBy("bank_id").agg(F.sum("n").alias("total"), F.count("*").alias("labels"), F.count_if(F.col("n") == 1).alias("singles"))
-    return counts.withColumn("single_ratio", text.ratio(F.col("singles"), F.col("total")))
+    """A21 on parts: a brand is a bank, a type a label."""
+    part = tables.read(spark, sf_dir, "part").select(F.col("p_brand").alias("bank_id"), F.col("p_partkey").alias("row_no"), "p_type")
+    return bank.style(_labelled(part, cluster=text.normalize_name(F.col("p_type")))).select("bank_id", "total", "single_cluster", "single_cluster_ratio")
 
 
-def _openers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents")
-    return docs.select(F.col("source").alias("bank_id"), F.col("doc_id").alias("row_no"), text.normalize_name(F.col("text")).alias("norm")).where("norm != ''")
+def _texts(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
+    docs = tables.read(spark, sf_dir, "documents").select(F.col("source").alias("bank_id"), F.col("doc_id").alias("row_no"), text.normalize_name(F.col("text")).alias("n"))
+    return _labelled(docs.where("n != ''"), **columns)
 
 
 @query(r"""WITH d AS (SELECT source AS bank_id, doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) AS norm FROM documents),
 o AS (SELECT bank_id, str_split(norm, ' ')[1] AS opener, count(*) AS n, min(doc_id) AS first FROM d WHERE norm <> '' GROUP BY ALL)
-SELECT bank_id, CAST(sum(n) AS BIGINT) AS total, arg_max(opener, (n, -first)) AS opener, max(n) AS opener_n FROM o GROUP BY bank_id""")
+SELECT bank_id, CAST(sum(n) AS BIGINT) AS total, arg_max(opener, (n, -first)) AS opener, max(n) AS opener_n, coalesce(CAST(sum(n) FILTER (opener IN ('how', 'what', 'which')) AS BIGINT), 0) AS common FROM o GROUP BY bank_id""")
 def dominant_openers(spark, sf_dir):
-    """A22, F10."""
-    per = _openers(spark, sf_dir).withColumn("opener", F.substring_index("norm", " ", 1)).groupBy("bank_id", "opener").agg(F.count("*").alias("n"), F.min("row_no").alias("first"))
-    return per.groupBy("bank_id").agg(F.sum("n").alias("total"), F.max_by("opener", F.struct("n", (-F.col("first")).alias("f"))).alias("opener"), F.max("n").alias("opener_n"))
+    """First words of whole texts as openers."""
+    rows = bank.style(_texts(spark, sf_dir, opener=F.substring_index("n", " ", 1)))
+    return rows.select("bank_id", "total", F.col("top_opener").alias("opener"), F.col("top_opener_n").alias("opener_n"), F.col("common_openers").alias("common"))
 
 
 @query(r"""WITH d AS (SELECT source AS bank_id, trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) AS norm FROM documents)
 SELECT bank_id, md5(norm) AS key, count(*) AS n FROM d WHERE norm <> '' GROUP BY bank_id, norm HAVING count(*) > 1""")
 def duplicate_questions(spark, sf_dir):
     """Normalised texts that occur more than once in a run."""
-    return _openers(spark, sf_dir).groupBy("bank_id", F.md5("norm").alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    return bank.duplicates(_texts(spark, sf_dir, norm=F.col("n"))).select("bank_id", F.md5("key").alias("key"), "n")
 
 
 @query(r"""WITH q AS (SELECT p_brand AS bank_id, str_split(p_type, ' ')[1] AS k, count(*) AS actual FROM part GROUP BY ALL), e AS (SELECT DISTINCT p_brand AS bank_id, k.k, CAST(5 AS BIGINT) AS expected FROM part, (SELECT DISTINCT str_split(p_type, ' ')[1] AS k FROM part) k)
@@ -291,12 +235,19 @@ def name_hits(spark, sf_dir):
     return docs.select("doc_id", text.contains_name(F.col("text"), F.lit("the that")).alias("has_name"), F.rlike(text.or_empty(F.col("text")), text.entity_pattern(F.lit("TheThat"))).alias("has_entity"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
-SELECT doc_id, regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(?:best|top)([^\p{L}\p{N}_]|$)') AS promotional, regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(?:most|review)([^\p{L}\p{N}_]|$)') AS low, regexp_matches(t, '[A-Za-z]') AS has_letter FROM d""")
+def _bounded(pattern: str) -> str:
+    """A pattern of alternatives between word boundaries, spelt with the characters around them for SQL."""
+    parts = pattern.removeprefix("(?i)").split(r"\b")
+    return "(?i)" + "".join(x + (("(^|[^\\p{L}\\p{N}_])", "([^\\p{L}\\p{N}_]|$)")[k % 2] if k < len(parts) - 1 else "") for k, x in enumerate(parts))
+
+
+@query(rf"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'which platform review is best' WHEN doc_id % 3 = 1 THEN 'most even review' ELSE '' END || ' ' || coalesce(text, '') AS t FROM documents)
+SELECT doc_id, regexp_matches(t, '{_bounded(fixed.PROMOTIONAL)}') AS promotional, regexp_matches(t, '{_bounded(fixed.LOW_CONFIDENCE)}') AND NOT regexp_matches(t, '{_bounded(fixed.PROMOTIONAL)}') AS low_confidence, regexp_matches(t, '[A-Za-z]') AS english FROM d""")
 def wording_flags(spark, sf_dir):
-    """P18, P29 over whole texts (words of the invented prose that match are few)."""
-    t = text.or_empty(F.col("text"))
-    return tables.read(spark, sf_dir, "documents").select("doc_id", t.rlike(r"(?i)\b(?:best|top)\b").alias("promotional"), t.rlike(fixed.LOW_CONFIDENCE).alias("low"), t.rlike("[A-Za-z]").alias("has_letter"))
+    """P18, P29 over whole texts, two in three of which begin with words that may promote."""
+    k = F.col("doc_id") % 3
+    t = F.concat_ws(" ", F.when(k == 0, "which platform review is best").when(k == 1, "most even review").otherwise(""), text.or_empty(F.col("text")))
+    return tables.read(spark, sf_dir, "documents").select("doc_id", *bank.wording(t), operators_imports.is_english(t).alias("english"))
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:

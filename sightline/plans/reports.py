@@ -130,22 +130,23 @@ def category_parity(spark, sf_dir):
 
 
 _TRIES = """tries AS (SELECT source AS run_id, l.doc_id AS answer_id, text, a AS attempt, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS label,
-  CASE WHEN l.doc_id % 7 = 0 THEN 0.0 WHEN toxic = 1 THEN -0.7 WHEN quality = 1 THEN 0.5 ELSE 0.0 END AS score, 0.5 + (l.doc_id % 50) / 100.0 + a / 1000.0 AS confidence, CASE WHEN l.doc_id % 5 > 0 THEN trim(coalesce(substr(text, 1, 20), ''), E' \\t\\n\\r') END AS quote
+  CASE WHEN l.doc_id % 7 = 0 THEN 0.0 WHEN toxic = 1 THEN -0.7 WHEN quality = 1 THEN 0.5 ELSE 0.0 END AS score, 0.5 + (l.doc_id % 50) / 100.0 + a / 1000.0 AS confidence, CASE WHEN l.doc_id % 5 > 0 THEN CASE WHEN l.doc_id % 4 = 3 THEN coalesce(text, '') || '!' WHEN l.doc_id % 4 = 2 THEN str_split(coalesce(text, ''), chr(10))[-1] ELSE coalesce(text, '') END END AS quote
   FROM labels l JOIN documents d ON d.doc_id = l.doc_id, range(1, 4) t(a) WHERE a <= l.doc_id % 3 + 1),
 last AS (SELECT *, 'E-' || CAST(answer_id AS VARCHAR) || '-01' AS evidence_id FROM tries WHERE attempt = answer_id % 3 + 1)"""
 
 
 def _tries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(answers, judgements of up to three attempts): a quote is the start of the text; every fifth judgement has none."""
+    """(answers, judgements of up to three attempts): a quote is the text, its last line, or words that it does not hold; every fifth judgement has none."""
     answers = tables.answers(spark, sf_dir)
     given = tables.sentiment_results(spark, sf_dir).join(answers.select("run_id", "answer_id", "answer_text"), "answer_id")
-    quote = F.array(F.substring(F.coalesce("answer_text", F.lit("")), 1, 20))
+    said, k = F.coalesce("answer_text", F.lit("")), F.col("answer_id") % 4
+    quote = F.array(F.when(k == 3, F.concat(said, F.lit("!"))).when(k == 2, F.substring_index(said, "\n", -1)).otherwise(said))
     tries = given.withColumn("attempt", F.explode(F.sequence(F.lit(1), (F.col("answer_id") % 3 + 1).cast("int"))))
     tries = tries.withColumn("score", F.when(F.col("answer_id") % 7 == 0, 0.0).otherwise(F.col("score"))).withColumn("confidence", F.col("confidence") + F.col("attempt") / 1000.0).withColumn("evidence", F.when(F.col("answer_id") % 5 > 0, quote).otherwise(F.array().cast("array<string>")))
     return answers, tries.drop("answer_text")
 
 
-@query(f"""WITH {_TRIES} SELECT run_id, answer_id, attempt, CASE WHEN confidence > 1 THEN 'RANGE' WHEN label <> CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END THEN 'LABEL_SCORE_MISMATCH' WHEN quote IS NULL THEN 'NO_EVIDENCE' WHEN quote = '' THEN 'EVIDENCE_NOT_IN_ANSWER' ELSE 'SOUND' END AS finding FROM tries""")
+@query(f"""WITH {_TRIES} SELECT run_id, answer_id, attempt, CASE WHEN confidence > 1 THEN 'RANGE' WHEN label <> CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END THEN 'LABEL_SCORE_MISMATCH' WHEN quote IS NULL THEN 'NO_EVIDENCE' WHEN trim(quote, E' \\t\\n\\r') = '' OR NOT contains(text, trim(quote, E' \\t\\n\\r')) THEN 'EVIDENCE_NOT_IN_ANSWER' ELSE 'SOUND' END AS finding FROM tries""")
 def judgement_issues(spark, sf_dir):
     """P12."""
     answers, tries = _tries(spark, sf_dir)
@@ -162,7 +163,7 @@ def _proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment.evidence(sentiment.routed(sentiment.latest(_tries(spark, sf_dir)[1]), 0.75))
 
 
-@query(f"WITH {_TRIES} SELECT last.run_id, evidence_id, answer_id, label, substr(coalesce(text, ''), 1, 20) AS quote FROM last WHERE confidence >= 0.75 AND quote IS NOT NULL")
+@query(f"WITH {_TRIES} SELECT last.run_id, evidence_id, answer_id, label, quote FROM last WHERE confidence >= 0.75 AND quote IS NOT NULL")
 def sentiment_evidence(spark, sf_dir):
     """S14, F16."""
     return _proof(spark, sf_dir)
