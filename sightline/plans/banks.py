@@ -134,7 +134,7 @@ def bank_tiers(spark, sf_dir):
 
 
 def _questioned(spark: SparkSession, sf_dir: str) -> bank.Bank:
-    """A bank for each brand in each thousand of parts, a question for each part: kind, names, wording, acronyms and labels by its size."""
+    """A bank for each brand in each two hundred parts, a question for each part: kind, names, wording, acronyms and labels by its size."""
     p = tables.read(spark, sf_dir, "part").withColumn("s", F.col("p_size"))
     s = F.col("s")
     say = F.when(s % 2 == 0, F.lit("Which pump is ")).otherwise(F.lit("Compare Orlune "))
@@ -150,12 +150,12 @@ def _questioned(spark: SparkSession, sf_dir: str) -> bank.Bank:
     terms = {"hvp": {"terms": ["pump"], "expanded_form": "high volume pump", "acronym": "HVP", "context_terms": ["homes"]}}
     config = _SOUND | {"expected_total": 18, "required_term_coverage": terms, "category_expression_set": {"core_terms": ["pump"], "placeholder_blacklist": [], "product_terms": []}}
     head, tail = json.dumps({"schema_version": fixed.CURRENT_VERSION, "config": config})[:-1] + ', "questions": [', "]}"
-    # A bank's questions are one document, as a bank is read: a thousand at most, however many parts there are.
-    lists = p.groupBy(F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 1000).cast("string")).alias("bank_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", question.alias("q")))), lambda x: x["q"]), ", ").alias("qs"))
+    # A bank's questions are one document, as a bank is read: two hundred at most, however many parts there are.
+    lists = p.groupBy(F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 200).cast("string")).alias("bank_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", question.alias("q")))), lambda x: x["q"]), ", ").alias("qs"))
     return bank.load(lists.select("bank_id", F.concat(F.lit(head), "qs", F.lit(tail)).alias("body")))
 
 
-_Q = """q AS (SELECT p_brand || '-' || CAST(p_partkey // 1000 AS VARCHAR) AS bank_id, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS k, p_size AS s, p_type AS t, p_size % 2 = 0 AS generic FROM part)"""
+_Q = """q AS (SELECT p_brand || '-' || CAST(p_partkey // 200 AS VARCHAR) AS bank_id, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS k, p_size AS s, p_type AS t, p_size % 2 = 0 AS generic FROM part)"""
 
 
 @query(f"""WITH {_Q}, n AS (SELECT bank_id, count(*) FILTER (NOT generic) AS compared, count(*) FILTER (s % 5 IN (1, 3)) AS mirth, count(*) FILTER (s % 5 = 3) AS dale, count(*) FILTER (NOT generic AND s % 5 = 1) AS solo, count(*) FILTER (NOT generic AND s % 5 = 3) AS multi FROM q GROUP BY bank_id)

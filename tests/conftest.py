@@ -9,11 +9,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark():
+    # Several partitions, adaptive plans and compiled code, as in use: ties and order by partition must not show in results.
     session = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "1").config("spark.default.parallelism", "1").config("spark.sql.adaptive.enabled", "false").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g")
-        # Tables of a few rows: compiling code and planning stages anew would take most of the time.
-        .config("spark.sql.codegen.wholeStage", "false").config("spark.sql.codegen.factoryMode", "NO_CODEGEN").getOrCreate()
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "3").config("spark.default.parallelism", "3")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     from sightline.session import ship

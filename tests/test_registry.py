@@ -5,7 +5,10 @@ import datetime
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from sightline.plans import registry
+from sightline.sources import tables
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("part", "documents", "pages", "labels", "conversations", "events", "supplier", "orders", "lineitem")
@@ -28,6 +31,13 @@ def database():
     return connection
 
 
+@pytest.fixture(autouse=True)
+def shuffled(monkeypatch):
+    """Inputs lie in random partitions and order."""
+    read = tables.read
+    monkeypatch.setattr(tables, "read", lambda *args: read(*args).repartition(3, F.rand(len(args[-1]))))
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_matches_sql(spark, database, name):
     got = registry.QUERIES[name](spark, SF)
