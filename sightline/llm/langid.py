@@ -26,6 +26,8 @@ DOCS_PER_LANGUAGE, DOCS = 400, 25_600
 SLICES_PER_DOC = 4
 #: Bytes that the last window of a slice must fill to be learnt from.
 LEAST_BYTES = 128
+#: Languages, at most, whose sizes are sent to all tasks.
+SENT = 10_000
 EPOCHS = 8
 #: Windows scored at once.
 SLICE = 512
@@ -206,8 +208,13 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hashed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("hash"), cuts.alias("cuts"))
     # A language's first hashes lie in the lowest part that holds four times as many as wanted, so no task ranks a whole language.
     known = hashed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("docs"))
-    share = F.greatest(F.lit(1), F.least(F.lit(per_language), (F.lit(bound) / F.greatest(F.lit(1), F.lit(known.count()))).cast("int")))
-    low = hashed.join(known, "lang").where(F.col("hash") / 2.0**64 + 0.5 <= 4.0 * share / F.col("docs") + F.when(F.col("docs") < 64, 1.0).otherwise(0.0))
+    found = known.limit(SENT + 1).collect()
+    # A row a language is sent to all tasks where they are few, so that no language is shuffled whole.
+    few = len(found) <= SENT
+    number = len(found) if few else known.count()
+    share = max(1, min(per_language, bound // max(1, number)))
+    sizes = F.broadcast(docs.sparkSession.createDataFrame(found, known.schema)) if few else known
+    low = hashed.join(sizes, "lang").where(F.col("hash") / 2.0**64 + 0.5 <= 4.0 * share / F.col("docs") + F.when(F.col("docs") < 64, 1.0).otherwise(0.0))
     distinct = low.groupBy("lang", "hash").agg(F.min("cuts").alias("cuts"))
     order = Window.partitionBy("lang").orderBy("hash", "cuts")
     chosen = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
