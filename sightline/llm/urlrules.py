@@ -39,17 +39,20 @@ class Rule(NamedTuple):
 
 
 class Pattern(NamedTuple):
-    """A verdict for URLs that no rule fits: `regex` is searched in host and path, which must hold `token`."""
+    """A verdict for URLs that no rule fits: `regex` is searched in host and path; any fitting URL holds all of `literals`."""
 
     verdict: str
-    token: str
+    literals: tuple[str, ...]
     regex: str
 
+    def tokens(self) -> list[str]:
+        return list(self.literals)
+
 
 #: Rules of the registered query.
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 #: Host labels of link farms, betting, pill, tracking and adult hosts; anything else is allowed.
-PATTERNS = tuple(Pattern("block", "." + label, rf"^(?:[^/]*\.)?{label}\.") for label in ("spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "adult-x"))
+PATTERNS = tuple(Pattern("block", ("." + label,), rf"^(?:[^/]*\.)?{label}\.") for label in ("spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "adult-x"))
 DEFAULT = "allow"
 
 
@@ -74,18 +77,18 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, patterns: Sequen
     small_batches(pages.sparkSession, 4096)
     host, path = host_and_path(F.col(url_col))
     parts = pages.select(id_col, host.alias("host"), path.alias("path"))
-    wanted = sorted({t for r in rules for t in r.tokens()})
+    wanted = sorted({t for r in (*rules, *patterns) for t in r.tokens()})
     # A URL counts once for each token; the result has one row for each token of the rules at most.
     held = F.array_distinct(F.concat(F.transform(F.split("host", r"\."), lambda x: F.concat(F.lit("."), x)), F.transform(F.split("path", "/"), lambda x: F.concat(F.lit("/"), x))))
     counted = parts.select(F.explode(held).alias("token")).where(F.col("token").isin(wanted)).groupBy("token").count() if wanted else None
     counts = {r["token"]: r["count"] for r in counted.collect()} if wanted else {}
+    rarest = lambda r: min(r.tokens(), key=lambda t: (counts.get(t, 0), t), default="")
     index: dict[str, list] = {}
     for k, rule in enumerate(rules):
-        rarest = min(rule.tokens(), key=lambda t: (counts.get(t, 0), t), default="")
-        index.setdefault(rarest, []).append((-len(rule.name), k, rule.name, rule.verdict, re.compile(rule.pattern)))
+        index.setdefault(rarest(rule), []).append((-len(rule.name), k, rule.name, rule.verdict, re.compile(rule.pattern)))
     extra: dict[str, list] = {}
     for k, p in enumerate(patterns):
-        extra.setdefault(p.token, []).append((k, p.verdict, re.compile(p.regex)))
+        extra.setdefault(rarest(p), []).append((k, p.verdict, re.compile(p.regex)))
 
     def judged(host: str, path: str) -> tuple[str | None, str]:
         tokens, where = _tokens(host, path), host + path
