@@ -1,10 +1,9 @@
-"""One answer for each question out of repeated samples."""
+"""One answer for each question out of repeated samples."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def representative(samples: DataFrame) -> DataFrame:
@@ -12,10 +11,11 @@ def representative(samples: DataFrame) -> DataFrame:
 
     Adds `repeated`: more than one was eligible. `samples(run_id, question_id, sample_id, repeat_index, eligible, ...)`.
     """
-    order = Window.partitionBy("run_id", "question_id").orderBy(F.col("eligible").desc(), "repeat_index", "sample_id")
-    first = samples.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
-    counts = samples.groupBy("run_id", "question_id").agg((F.count_if("eligible") > 1).alias("repeated"))
-    return first.join(counts, ["run_id", "question_id"])
+    key = F.struct((~F.coalesce("eligible", F.lit(False))).alias("off"), "repeat_index", "sample_id")
+    rest = [c for c in samples.columns if c not in ("run_id", "question_id")]
+    # A minimum is kept while rows are read, so a question of very many repeats is never sorted in one task.
+    first = samples.where("run_id is not null and question_id is not null").groupBy("run_id", "question_id").agg(F.min_by(F.struct(*rest), key).alias("_s"), (F.count_if("eligible") > 1).alias("repeated"))
+    return first.select("run_id", "question_id", "_s.*", "repeated")
 
 
 def answers(selected: DataFrame, questions: DataFrame) -> DataFrame:

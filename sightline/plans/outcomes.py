@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text, urls
 from ..operators import citations, mentions, results, sampling, sentiment
-from ..sources import tables
+from ..sources import ingest, tables
 from .bound import ANSWERS, JUDGED, METRICS, PAGES, classified, found, judged
-from .register import query
+from .raw import _crawls, _turns
+from .register import ORACLE, query
 
 _SENTIMENT = f"""{ANSWERS}, {JUDGED}, j AS (SELECT a.run_id, a.answer_id, label, status FROM answers a JOIN found f ON f.run_id = a.run_id AND f.answer_id = a.answer_id AND f.object_id = 'target' LEFT JOIN judged ON judged.answer_id = a.answer_id WHERE valid),
 felt AS (SELECT run_id, count(*) FILTER (status = 'accepted' AND label = 'positive') AS positive, count(*) FILTER (status = 'accepted' AND label = 'negative') AS negative, count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (coalesce(status <> 'accepted', true)) AS unresolved FROM j GROUP BY run_id)"""
@@ -144,3 +145,27 @@ def fact_displays(spark, sf_dir):
 def stable_ids(spark, sf_dir):
     """F16: ids that follow from what they stand for."""
     return tables.read(spark, sf_dir, "part").select("p_partkey", text.stable_id("Q-", F.col("p_name"), F.col("p_brand")).alias("id"))
+
+
+_SAMPLES = """s AS (SELECT 'run' || CAST(conv_id % 7 AS VARCHAR) AS run_id, conv_id AS question_id, turn, CAST(conv_id AS VARCHAR) || '-r' || CASE WHEN turn < 10 THEN '0' ELSE '' END || CAST(turn AS VARCHAR) AS sample_id, coalesce(role = 'assistant', false) AND coalesce(trim(text) <> '', false) AS eligible FROM conversations),
+picked AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY run_id, question_id ORDER BY eligible DESC, turn, sample_id) = 1),
+asked AS (SELECT DISTINCT run_id, question_id FROM s UNION ALL SELECT DISTINCT run_id, -1 - question_id FROM s WHERE question_id % 10 = 8)"""
+
+
+@query(f"WITH {_SAMPLES} SELECT asked.run_id, asked.question_id, coalesce(sample_id, 'none') AS sample_id, coalesce(eligible, false) AS valid FROM asked LEFT JOIN picked ON picked.run_id = asked.run_id AND picked.question_id = asked.question_id")
+def selected_answers(spark, sf_dir):
+    """One sample for each question, valid only if eligible; some questions have none."""
+    samples = tables.samples(spark, sf_dir)
+    asked = samples.select("run_id", "question_id").distinct()
+    silent = asked.where("question_id % 10 = 8").select("run_id", (-1 - F.col("question_id")).alias("question_id"))
+    found_ = sampling.answers(sampling.representative(samples), asked.unionByName(silent))
+    return found_.select("run_id", "question_id", F.coalesce("sample_id", F.lit("none")).alias("sample_id"), "valid")
+
+
+@query(f"""WITH e AS ({ORACLE["crawl_samples"]}), p AS (SELECT 'run' || CAST(conv_id % 7 AS VARCHAR) AS run_id, sum(CASE WHEN conv_id % 7 < 3 THEN 3 ELSE 1 END) AS n FROM conversations GROUP BY 1),
+c AS (SELECT run_id, count(*) AS n, count(*) FILTER (code = 'OK') AS valid, count(*) FILTER (code IN ('SOURCE_FAILED', 'MISSING_RESULT')) AS failed, count(*) FILTER (code = 'PENDING') AS pending FROM e GROUP BY run_id)
+SELECT c.run_id, greatest(c.n, CAST(p.n AS BIGINT)) AS planned, c.n - pending AS completed, valid, failed, c.n - valid - failed - pending AS invalid, pending FROM c JOIN p ON p.run_id = c.run_id""")
+def planned_counts(spark, sf_dir):
+    """Samples of imported crawls by status, against plans that are larger in some runs."""
+    plan = _turns(spark, sf_dir).select("run_id", F.explode(F.sequence(F.lit(1), F.when(F.col("conv_id") % 7 < 3, 3).otherwise(1))).alias("k"))
+    return sampling.crawl_counts(ingest.import_crawl(*_crawls(spark, sf_dir)), plan)

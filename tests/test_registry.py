@@ -61,7 +61,7 @@ def test_entry_without_the_subpackage(monkeypatch):
 
     def blocked(name, *args, **kwargs):
         if name == "corpus_pipeline" or name.startswith("sightline.llm"):
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
         return real(name, *args, **kwargs)
 
     monkeypatch.setattr(builtins, "__import__", blocked)
