@@ -53,7 +53,9 @@ class PrefixForest:
     def __init__(self, rows: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = 17):
         self.rows, self.bits, self.trees = rows, bits, trees
         self.planes = self._planes(rows.shape[1], trees, bits, seed)
-        strings = np.concatenate([self._strings(self.sides(rows[at : at + 4096]) > 0) for at in range(0, len(rows), 4096)]) if len(rows) else np.zeros((0, trees), dtype=np.int64)
+        strings = np.concatenate(
+            [self._strings(self.sides(rows[at : at + 4096]) > 0) for at in range(0, len(rows), 4096)]
+        ) if len(rows) else np.zeros((0, trees), dtype=np.int64)
         self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order.astype(np.int64), axis=0)
 
@@ -111,7 +113,9 @@ class PrefixForest:
         return np.flatnonzero(seen)
 
 
-def search(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def search(
+    ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = NEIGHBOURS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query id, id, distance) of up to k nearest candidates of each query, and how many rows were compared; `ids` ascend."""
     least = min(wanted(len(rows)), len(rows))
     sets = turns(starts(len(rows)))
@@ -166,7 +170,9 @@ def nearest(rows: DataFrame, every: int = 100, k: int = NEIGHBOURS, id_col: str
             if asks.all() or not asks.any():
                 continue
             of, found, far, _ = search(ids[~asks], vectors[~asks], ids[asks], vectors[asks], k)
-            yield pa.RecordBatch.from_arrays([pa.array(of.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(far)], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(far)], names=["query_id", "vec_id", "score"]
+            )
 
     near = index.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, "asks", "id", "vector").mapInArrow(run, "query_id long, vec_id long, score double")
     # An id that repeats with vectors of several lengths has been asked for once with each.

@@ -176,7 +176,9 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     counts = links.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("n").alias("others"))
     joined = connected(links.where("dst is not null").select("src", "dst")).select(F.col("node").alias("rep"), "component")
     groups = distinct.join(counts, "rep", "left").join(joined, "rep", "left")
-    groups = groups.select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    groups = groups.select(
+        "vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
+    )
     linked = unit.join(groups, "vector").select("id", "n_links", "component_id")
     alone = flagged.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
@@ -302,12 +304,16 @@ def dealt(distinct: DataFrame, cosine: float) -> DataFrame:
     part = F.pmod(F.xxhash64("rep"), F.when(F.col("visits"), F.greatest("visitors", F.lit(1))).otherwise(F.col("residents"))).cast("int")
     rows = rows.withColumn("part", part + F.when(F.col("visits"), F.col("residents")).otherwise(F.lit(0)))
     here = F.col("part")
-    to = lambda low, high, pair: F.when(low <= high, F.transform(F.sequence(low, high), pair)).otherwise(F.array().cast("array<struct<a: int, b: int, first: boolean>>"))
+    to = lambda low, high, pair: F.when(low <= high, F.transform(F.sequence(low, high), pair)).otherwise(
+        F.array().cast("array<struct<a: int, b: int, first: boolean>>")
+    )
     as_first = lambda k: F.struct(here.alias("a"), k.alias("b"), F.lit(True).alias("first"))
     as_second = lambda k: F.struct(k.alias("a"), here.alias("b"), F.lit(False).alias("first"))
     resident = F.concat(to(here, F.col("residents") + F.col("visitors") - 1, as_first), to(F.lit(0), here - 1, as_second))
     visitor = to(F.lit(0), F.col("residents") - 1, as_second)
-    return rows.select("cell", F.explode(F.when(F.col("visits"), visitor).otherwise(resident)).alias("x"), "rep", "copies", "vector").select("cell", "x.*", "rep", "copies", "vector")
+    return rows.select(
+        "cell", F.explode(F.when(F.col("visits"), visitor).otherwise(resident)).alias("x"), "rep", "copies", "vector"
+    ).select("cell", "x.*", "rep", "copies", "vector")
 
 
 def node_links(distinct: DataFrame, cosine: float) -> DataFrame:
@@ -330,7 +336,13 @@ def node_links(distinct: DataFrame, cosine: float) -> DataFrame:
                 i, j = reps[first][i], reps[~first][j]
             hit = counts > 0
             src, dst = _spanning(own, i, j)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own[hit], src])), pa.array([None] * int(hit.sum()) + dst.tolist(), pa.int64()), pa.array(np.concatenate([counts[hit], np.zeros(len(src), dtype=np.int64)]))], names=["src", "dst", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([own[hit], src])), pa.array([None] * int(hit.sum()) + dst.tolist(), pa.int64()),
+                    pa.array(np.concatenate([counts[hit], np.zeros(len(src), dtype=np.int64)]))
+                ],
+                names=["src", "dst", "n"]
+            )
 
     return dealt(distinct, cosine).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long, n long")
 

@@ -194,7 +194,9 @@ def held_out(id_col: str = "doc_id"):
     return text_remainder(id_col, 4) == 2
 
 
-def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS) -> list:
+def training_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS
+) -> list:
     """(lang, slices of text) of a bounded sample: of each language the same number of its distinct documents, in the order of a hash.
 
     Every language is learnt: all share the bound, up to `per_language` documents each and one at least. Held-out
@@ -227,7 +229,9 @@ def slices(cut: str) -> np.ndarray:
     return x if len(x) < 2 or len(cut.encode("utf-8", "replace")) % WINDOW >= LEAST_BYTES or not len(cut.encode("utf-8", "replace")) % WINDOW else x[:-1]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS) -> ByteNet:
+def train(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, bound: int = DOCS
+) -> ByteNet:
     """Fit on the bounded sample; without labelled text the network knows no language and answers `und`."""
     rows = training_rows(docs, id_col, text_col, lang_col, per_language, bound)
     languages = sorted({r["lang"] for r in rows})
@@ -255,6 +259,8 @@ def identify(docs: DataFrame, net: ByteNet, id_col: str = "doc_id", text_col: st
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         labels, scores = net.predict(batch.column(len(columns)).to_pylist())
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*columns, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[: len(columns)], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*columns, "lang_pred", "score"]
+        )
 
     return over_batches(narrow, narrow.columns, run, f"{schema}, lang_pred string, score double")

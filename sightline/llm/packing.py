@@ -103,7 +103,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                 crc.append(zlib.crc32(part))
                 total.append(n)
         take = pa.array(source, pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column(0).take(take), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), batch.column(2).take(take)], names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "place"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(take), *(pa.array(x, pa.int64()) for x in (start, length, crc, total)), batch.column(2).take(take)],
+            names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "place"]
+        )
 
     return over_batches(placed, placed.columns, run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, place long")
 
@@ -136,7 +139,10 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
     return bins, offsets
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text",
+    group_docs: int = GROUP_DOCS
+) -> DataFrame:
     """Each piece with its `sequence_id` and `offset` (gapless from 0 in a sequence).
 
     A null or empty text is the end id alone. Repeated rows are packed each. An empty table
@@ -158,7 +164,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         numbers = (rows.column("group").to_numpy().astype(np.int64) << 32) + bins
         return rows.select(columns).append_column("sequence_id", pa.array(numbers)).append_column("offset", pa.array(offsets))
 
-    packed = grouped.groupBy("group").applyInArrow(run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    packed = grouped.groupBy("group").applyInArrow(
+        run, f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    )
     # A full piece's number is that of its row in the written table: unique, and the same if a task runs anew.
-    full = cut.where(F.col("length") == capacity).select(*columns, (F.lit(FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = cut.where(F.col("length") == capacity).select(
+        *columns, (F.lit(FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    )
     return packed.unionByName(full)

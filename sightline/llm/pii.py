@@ -208,7 +208,10 @@ def _features(span: str, before: str) -> tuple[str, ...]:
     digits = "".join(_DIGIT.findall(span))
     n = len(digits)
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", span.lower()))
-    out = [f"digits {min(n, 20)}", f"shape {shape[:24]}", f"before {before}", f"first {shape[:1]}", f"dots {min(span.count('.'), 5)}", f"tokens {len(span.split())}"]
+    out = [
+        f"digits {min(n, 20)}", f"shape {shape[:24]}", f"before {before}", f"first {shape[:1]}", f"dots {min(span.count('.'), 5)}",
+        f"tokens {len(span.split())}"
+    ]
     if "@" in span:
         out.append("at" + (" in words" if re.fullmatch(r"[a-z0-9._%+-]*[a-z0-9] ?@ ?[a-z0-9-]+(\.[a-z0-9-]+)+", span.lower()) else ""))
     if 12 <= n <= 19 and re.fullmatch(r"[0-9][0-9 .-]+", span):
@@ -272,7 +275,9 @@ class SpanField:
             total[0] = -np.inf
         return total
 
-    def fit(self, samples: list[tuple[str, Tokens]] | list[tuple[str, Tokens, list[tuple[int, int, int]]]], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 3) -> SpanField:
+    def fit(
+        self, samples: list[tuple[str, Tokens]] | list[tuple[str, Tokens, list[tuple[int, int, int]]]], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 3
+    ) -> SpanField:
         """Stochastic gradient of the log-likelihood; expectations by forward and backward sums.
 
         A sample's entities are its third part, else its base matches.

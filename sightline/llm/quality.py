@@ -22,7 +22,10 @@ FIT_DOCS = 6000
 TREES, DEPTH = 40, 3
 THRESHOLD = 0.3
 #: Statistics of a whole text.
-STATISTICS = ("n_chars", "n_words", "mean_word", "upper", "digits", "symbols", "marks", "bars", "blanks", "distinct_words", "distinct_lines", "symbol_words", "repeated_pairs", "mean_line")
+STATISTICS = (
+    "n_chars", "n_words", "mean_word", "upper", "digits", "symbols", "marks", "bars", "blanks", "distinct_words", "distinct_lines", "symbol_words",
+    "repeated_pairs", "mean_line"
+)
 
 _KIND = np.full(256, 6, dtype=np.int64)  # other
 _KIND[[*range(97, 123), *range(128, 256)]] = 0
@@ -122,7 +125,9 @@ def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, cuts: list[np.ndarray], d
     return value
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES, depth: int = DEPTH, penalty: float = 2e-4, seed: int = 5, steps: int = 600) -> RuleEnsemble:
+def fit_rules(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES, depth: int = DEPTH, penalty: float = 2e-4, seed: int = 5, steps: int = 600
+) -> RuleEnsemble:
     """Rules from boosted trees on random halves, then lasso logistic weights by accelerated proximal steps."""
     weight = weight / weight.sum()
     prior = float(np.clip((weight * y).sum(), 1e-3, 1 - 1e-3))
@@ -179,7 +184,9 @@ def fit_rules(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TRE
 def sample_labels(labels: DataFrame, id_col: str, label_col: str, bound: int) -> DataFrame:
     """(id, label, share): at most `bound` learnable ids, half of them of each label as far as there are,
     in the order of a hash of the id; `share` is how many labelled rows one sampled row stands for."""
-    rows = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (text_remainder(id_col, 5) != 0)).select(id_col, F.col(label_col).cast("int").alias("label"))
+    rows = labels.where(
+        F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (text_remainder(id_col, 5) != 0)
+    ).select(id_col, F.col(label_col).cast("int").alias("label"))
     rows = rows.groupBy(id_col).agg(F.min("label").alias("label"))
     parts = []
     for value in (0, 1):
@@ -190,7 +197,9 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, bound: int) ->
     return parts[0].unionByName(parts[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bound: int = FIT_DOCS) -> RuleEnsemble:
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bound: int = FIT_DOCS
+) -> RuleEnsemble:
     """Fit on the whole texts of a bounded sample of labelled documents; only their statistics reach the driver.
 
     Labels other than 0 and 1, null ids and ids with crc32 divisible by 5 are not learnt from.
@@ -206,7 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit_rules(rows[[f"__{s}" for s in STATISTICS]].to_numpy(), rows["label"].to_numpy(), rows["share"].to_numpy())
 
 
-def score(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
     """(id, *keep, score, predicted) of every row, from the whole text alone; null texts score as empty ones."""
     scored = with_statistics(docs, id_col, text_col, keep).withColumn("score", model.column())
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop(*[f"__{s}" for s in STATISTICS])

@@ -77,7 +77,9 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_quality, op3_language, op4_neighbours, op5_sentencepiece, op6_toxicity, op7_pii, op8_embedding_dedup, op9_simhash, op10_url_rules)
+    f.__name__: f for f in (
+        op1_packing, op2_quality, op3_language, op4_neighbours, op5_sentencepiece, op6_toxicity, op7_pii, op8_embedding_dedup, op9_simhash, op10_url_rules
+    )
 }
 
 ORACLE: dict[str, str] = {
@@ -86,12 +88,14 @@ WITH rest AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1
 parts AS (
   SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'),
+  ('block', 'com', '/de/')),
 fit AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
 SELECT parts.page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN regexp_matches(host, '(^|\.)(spam-farm|free-bets|casino-win|cheap-pills|ads-track|adult-x)\.') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(verdict, CASE WHEN regexp_matches(host, '(^|\.)(spam-farm|free-bets|casino-win|cheap-pills|ads-track|adult-x)\.') THEN 'block'
+         ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fit ON parts.page_id = fit.page_id
 """,
 }

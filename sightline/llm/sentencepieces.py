@@ -97,6 +97,11 @@ def _over(docs: DataFrame, model_path: str, id_col: str, text_col: str, digests:
             rows.append((len(ids), sha(str(ids)[1:-1].replace(" ", "")), sha(table.decode(ids))) if digests else (ids, table.decode(ids)))
         kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
         columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, *(["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])])
-
-    return over_batches(docs, [id_col, text_col], run, f"{id_col} long, " + ("n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *columns], names=[id_col, *(["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
+        )
+
+    return over_batches(
+        docs, [id_col, text_col], run,
+        f"{id_col} long, " + ("n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
+    )

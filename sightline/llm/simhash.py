@@ -99,12 +99,16 @@ def near_links(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_RO
     # At most one row for each vector of population counts: bounded by the tiling, not by the data.
     sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("parts"))
     own = tiled.join(sizes, "tile").withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
-    near = own.drop("parts").withColumn("near", F.explode(F.array(*[F.lit(x).cast("long") for x in _offsets(words, radius)]) if radius else F.array(F.lit(0).cast("long"))))
+    near = own.drop("parts").withColumn(
+        "near", F.explode(F.array(*[F.lit(x).cast("long") for x in _offsets(words, radius)]) if radius else F.array(F.lit(0).cast("long")))
+    )
     near = near.withColumn("near", F.col("tile") + F.col("near")).join(sizes.withColumnRenamed("tile", "near"), "near")
     near = near.withColumn("near_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     here, there = F.struct("tile", "part"), F.struct(F.col("near").alias("tile"), F.col("near_part").alias("part"))
     low, high = F.least(here, there), F.greatest(here, there)
-    dealt = near.select(low["tile"].alias("a"), low["part"].alias("ap"), high["tile"].alias("b"), high["part"].alias("bp"), (here == low).alias("left"), "fingerprint")
+    dealt = near.select(
+        low["tile"].alias("a"), low["part"].alias("ap"), high["tile"].alias("b"), high["part"].alias("bp"), (here == low).alias("left"), "fingerprint"
+    )
     keys = ["a", "ap", "b", "bp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

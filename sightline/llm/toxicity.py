@@ -68,7 +68,10 @@ def grammar_machines() -> list[Machine]:
         negation[k]["negation"] = [(3, "w", None)]
     read = tuple(c for c in CLASSES if c != "negation") + tuple(h + " negated" for h in HITS)
     # What follows a reporting verb is said by someone else.
-    reported: Machine = {0: _passing(0, read) | {"reporter": [(1, "w", None)]}, 1: _passing(1, read) | {"reporter": [(1, "w", None)]} | {h: [(1, h + " reported", None)] for h in HITS}}
+    reported: Machine = {
+        0: _passing(0, read) | {"reporter": [(1, "w", None)]},
+        1: _passing(1, read) | {"reporter": [(1, "w", None)]} | {h: [(1, h + " reported", None)] for h in HITS}
+    }
     read = tuple(c for c in read if c != "reporter") + tuple(h + " reported" for h in HITS)
     # A hit is aimed at a target before it, or at one of the next two words: a path that foresees one must find it (states 2 and 3).
     target: Machine = {
@@ -134,7 +137,9 @@ class Grammar(NamedTuple):
         out = []
         for w in words:
             insult = w in self.words or w.startswith(self.stems)
-            out.append("insult" if insult else "threat" if w in THREATS else "target" if w in TARGETS else "negation" if w in NEGATIONS else "reporter" if w in REPORTERS else "w")
+            out.append(
+                "insult" if insult else "threat" if w in THREATS else "target" if w in TARGETS else "negation" if w in NEGATIONS else "reporter" if w in REPORTERS else "w"
+            )
         return out
 
     def log_odds(self) -> dict:
@@ -206,11 +211,19 @@ def learn_lexicon(texts: DataFrame, toxic: int, least: int = LEAST_GAIN) -> tupl
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [candidates(t) for t in batch.column(0).to_pylist()]
         take = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-        return pa.RecordBatch.from_arrays([pa.array([c for f in found for c in f], pa.string()), batch.column(1).take(take), batch.column(2).take(take)], names=["candidate", "label", "key"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([c for f in found for c in f], pa.string()), batch.column(1).take(take), batch.column(2).take(take)], names=["candidate", "label", "key"]
+        )
 
     held = over_batches(rows.withColumn("key", F.xxhash64("text")), ["text", "label", "key"], split, "candidate string, label int, key long")
-    wanted = held.groupBy("candidate").agg(F.sum("label").alias("n"), F.sum(1 - F.col("label")).alias("clean"), F.collect_list(F.when(F.col("label") == 1, F.col("key"))).alias("keys"))
-    good = {r["candidate"]: set(r["keys"]) for r in wanted.where((F.col("n") >= least) & (F.col("clean") <= 0.02 * F.col("n"))).select("candidate", "keys").collect()}
+    wanted = held.groupBy("candidate").agg(
+        F.sum("label").alias("n"), F.sum(1 - F.col("label")).alias("clean"), F.collect_list(F.when(F.col("label") == 1, F.col("key"))).alias("keys")
+    )
+    good = {
+        r["candidate"]: set(r["keys"]) for r in wanted.where(
+            (F.col("n") >= least) & (F.col("clean") <= 0.02 * F.col("n"))
+        ).select("candidate", "keys").collect()
+    }
     picked: list[str] = []
     while good:
         best = min(good, key=lambda c: (-len(good[c]), c))
@@ -240,7 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         best = [max(c, key=lambda k: (PRIOR[k], k), default="none") for c in found]
         return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(best, pa.string())], names=["label", "share", "reading"])
 
-    tally = over_batches(known, ["text", "label", "share"], read, "label int, share double, reading string").groupBy("reading").agg(F.sum("share").alias("n"), F.sum(F.col("share") * F.col("label")).alias("toxic")).collect()
+    tally = over_batches(
+        known, ["text", "label", "share"], read, "label int, share double, reading string"
+    ).groupBy("reading").agg(F.sum("share").alias("n"), F.sum(F.col("share") * F.col("label")).alias("toxic")).collect()
     seen = {r["reading"]: (r["n"], r["toxic"]) for r in tally}
     weights = {}
     for reading, chance in PRIOR.items():
@@ -249,7 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return grammar._replace(weights=weights)
 
 
-def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
     """(id, *keep, score, predicted, reading) of every row, from the whole text alone.
 
     `reading` is the heaviest reading of a clause, or `none`. Null and empty texts have none.
@@ -264,6 +281,12 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
         found = [grammar.readings(t or "", trigger, weights) for t in batch.column(len(columns)).to_pylist()]
         scores = [grammar.score(c) for c in found]
         best = [max(c, key=lambda k: (grammar.weights[k], k), default="none") for c in found]
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(best, pa.string())], names=[*columns, "score", "predicted", "reading"])
+        return pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[: len(columns)], pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
+                pa.array(best, pa.string())
+            ],
+            names=[*columns, "score", "predicted", "reading"]
+        )
 
     return over_batches(narrow, narrow.columns, run, f"{schema}, score double, predicted int, reading string")

@@ -50,9 +50,14 @@ class Pattern(NamedTuple):
 
 
 #: Rules of the registered query.
-RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
+RULES = (
+    Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/")
+)
 #: Host labels of link farms, betting, pill, tracking and adult hosts; anything else is allowed.
-PATTERNS = tuple(Pattern("block", ("." + label,), rf"^(?:[^/]*\.)?{label}\.") for label in ("spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "adult-x"))
+PATTERNS = tuple(
+    Pattern("block", ("." + label,), rf"^(?:[^/]*\.)?{label}\.") for label in ("spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "adult-x")
+)
 DEFAULT = "allow"
 
 
@@ -68,7 +73,10 @@ def _tokens(host: str, path: str) -> set[str]:
     return {"", *("." + x for x in host.split(".") if x), *("/" + x for x in path.split("/") if x)}
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, patterns: Sequence[Pattern] = PATTERNS, default: str = DEFAULT, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: Sequence[Rule] = RULES, patterns: Sequence[Pattern] = PATTERNS, default: str = DEFAULT, id_col: str = "page_id",
+    url_col: str = "url"
+) -> DataFrame:
     """(id, host, path, rule, verdict) of each row; of fitting rules the longest wins, then the first.
 
     Without a fitting rule, `rule` is null and the verdict is that of the first fitting pattern,
@@ -79,7 +87,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, patterns: Sequen
     parts = pages.select(id_col, host.alias("host"), path.alias("path"))
     wanted = sorted({t for r in (*rules, *patterns) for t in r.tokens()})
     # A URL counts once for each token; the result has one row for each token of the rules at most.
-    held = F.array_distinct(F.concat(F.transform(F.split("host", r"\."), lambda x: F.concat(F.lit("."), x)), F.transform(F.split("path", "/"), lambda x: F.concat(F.lit("/"), x))))
+    held = F.array_distinct(
+        F.concat(F.transform(F.split("host", r"\."), lambda x: F.concat(F.lit("."), x)), F.transform(F.split("path", "/"), lambda x: F.concat(F.lit("/"), x)))
+    )
     counted = parts.select(F.explode(held).alias("token")).where(F.col("token").isin(wanted)).groupBy("token").count() if wanted else None
     counts = {r["token"]: r["count"] for r in counted.collect()} if wanted else {}
     rarest = lambda r: min(r.tokens(), key=lambda t: (counts.get(t, 0), t), default="")
@@ -103,7 +113,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, patterns: Sequen
     def run(batches):
         for batch in batches:
             found = [judged(h, p) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())], names=[id_col, "host", "path", "rule", "verdict"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())],
+                names=[id_col, "host", "path", "rule", "verdict"]
+            )
 
     kind = dict(parts.dtypes)[id_col]
     return parts.mapInArrow(run, f"{id_col} {kind}, host string, path string, rule string, verdict string")

@@ -177,7 +177,10 @@ def vectors(spark):
     points[340:370] = points[5]
     points[370:380] = 3 * points[6]
     rows = [(k, p.tolist(), 0, "x") for k, p in enumerate(points)]
-    rows += [(500, None, 0, "x"), (600, [0.0] * 16, 0, "x"), (700, [float("nan")] * 16, 0, "x"), (800, [None] * 16, 0, "x"), (900, [], 0, "x"), (1000, [1.0, 2.0], 0, "x"), (None, points[0].tolist(), 0, "x"), (5, points[5].tolist(), 0, "x")]
+    rows += [
+        (500, None, 0, "x"), (600, [0.0] * 16, 0, "x"), (700, [float("nan")] * 16, 0, "x"), (800, [None] * 16, 0, "x"), (900, [], 0, "x"),
+        (1000, [1.0, 2.0], 0, "x"), (None, points[0].tolist(), 0, "x"), (5, points[5].tolist(), 0, "x")
+    ]
     return points.astype(np.float64), spark.createDataFrame(rows, VECTORS)
 
 
@@ -283,7 +286,10 @@ def test_base_spans():
 
 def sentences(n, seed):
     rng = random.Random(seed)
-    made = {0: lambda: f"u{rng.randrange(99)}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com", 1: lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), 3: lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"}
+    made = {
+        0: lambda: f"u{rng.randrange(99)}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com",
+        1: lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), 3: lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+    }
     for _ in range(n):
         kind = rng.choice([0, 1, 3, None])
         yield " ".join(["the tion", "hean", made[kind]() if kind is not None else f"version 2.{rng.randrange(9)}.", "of", "ansh"])
@@ -329,7 +335,10 @@ def test_span_field_finds_what_is_broken_up():
             base, found = pii.find_spans(twin, field)
             total += 1
             hit += not base and found == spans
-        for text in ("the @ of 12 and", f"tion {rng.randrange(10**6)} of {rng.randrange(10**5)} in", f"at {rng.randrange(24)} : {rng.randrange(60)} or 2.{rng.randrange(9)}.1"):
+        for text in (
+            "the @ of 12 and", f"tion {rng.randrange(10**6)} of {rng.randrange(10**5)} in",
+            f"at {rng.randrange(24)} : {rng.randrange(60)} or 2.{rng.randrange(9)}.1"
+        ):
             assert pii.find_spans(text, field) == ([], [])
     assert hit / total >= 0.95
 
@@ -355,7 +364,10 @@ def test_pii_rows(spark):
 
 
 def test_url_rules(spark):
-    urls = [None, "", "no scheme", "http://Example.ORG/es/x?a", "https://a.example.org/en/1", "https://a.example.org/en/2", "x://b.com/fr/", "x://b.com/de/1#f", "x://b.net/", "x://spam-farm.b.net/a", "x://www.spam-farm.example.org/q", "x://org", "x://com.evil/de/", "x://u@h.com:80/fr/1", "a://b://c.org/x"]
+    urls = [
+        None, "", "no scheme", "http://Example.ORG/es/x?a", "https://a.example.org/en/1", "https://a.example.org/en/2", "x://b.com/fr/", "x://b.com/de/1#f",
+        "x://b.net/", "x://spam-farm.b.net/a", "x://www.spam-farm.example.org/q", "x://org", "x://com.evil/de/", "x://u@h.com:80/fr/1", "a://b://c.org/x"
+    ]
     rows = {r["page_id"]: r for r in urlrules.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
     for k, url in enumerate(urls):
         rest = (url or "").split("://", 1)[1] if "://" in (url or "") else ""
@@ -426,7 +438,9 @@ def test_quality_rows(spark):
     bad = [f"TH%%% {a}### AN$$$ {b}&&& " * 3 for a in ("TREE", "SEA", "ROAD") for b in ("WIND", "SAND", "RAIN", "SNOW")]
     texts = [*good, *bad, *ODD]
     docs = documents(spark, texts, extra=True)
-    labels = spark.createDataFrame([(k, int(k < len(good)), 0) for k in range(len(good) + len(bad))] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame(
+        [(k, int(k < len(good)), 0) for k in range(len(good) + len(bad))] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int"
+    )
     rows = quality.score(docs, quality.train(docs, labels)).collect()
     assert len(rows) == len(texts) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
     none = quality.train(docs, labels.where("doc_id < 0"))
@@ -436,8 +450,10 @@ def test_quality_rows(spark):
 def test_grammar_composes():
     grammar = toxicity.Grammar(toxicity.INSULTS, ("lowei",), dict(toxicity.PRIOR))
     for clause, reading in [
-        ("you are an idiot", "insult at a target"), ("an idiot came", "insult"), ("it is not stupid", "insult negated"), ("he said the clown left", "insult reported"), ("i will kill you", "threat at a target"), ("they kill", "threat at a target"),
-        ("kill", "threat"), ("do not burn it", "threat negated"), ("das loweischaft war", "insult"), ("a tree", "none"), ("you are not an idiot", "insult negated"), ("not a clown, an idiot", "insult"),
+        ("you are an idiot", "insult at a target"), ("an idiot came", "insult"), ("it is not stupid", "insult negated"),
+        ("he said the clown left", "insult reported"), ("i will kill you", "threat at a target"), ("they kill", "threat at a target"),
+        ("kill", "threat"), ("do not burn it", "threat negated"), ("das loweischaft war", "insult"), ("a tree", "none"),
+        ("you are not an idiot", "insult negated"), ("not a clown, an idiot", "insult"),
     ]:
         assert grammar.reading(clause) == reading, clause
     counts = grammar.readings("A tree. You idiot! Not stupid; fine", grammar.trigger())
@@ -523,7 +539,12 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     def prose(seed):
         return " ".join(f"w{seed}x{k}" for k in range(40))
 
-    texts = [(None, prose(1)), (None, prose(2)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (5, prose(4)), (6, prose(4)), (None, prose(5)), (7, prose(5)), (8, prose(6)), (9, prose(6)), (9, prose(7)), (None, None), (None, "")]
+    texts = [
+        (None, prose(1)), (None, prose(2)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (5, prose(4)), (6, prose(4)), (None, prose(5)), (7, prose(5)),
+        (8, prose(6)), (9, prose(6)), (9, prose(7)), (None, None), (None, "")
+    ]
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(r["doc_id"], r["text"] or "") for r in corpus_pipeline.distinct_documents(spark, docs, "").collect()]
-    assert sorted(got, key=str) == sorted([(None, prose(1)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (7, prose(5)), (8, prose(6)), (9, prose(7)), (None, "")], key=str)
+    assert sorted(got, key=str) == sorted(
+        [(None, prose(1)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (7, prose(5)), (8, prose(6)), (9, prose(7)), (None, "")], key=str
+    )

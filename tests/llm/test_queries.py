@@ -51,7 +51,9 @@ def test_op1_packing(spark):
 def test_held_out_labels(spark, name, column, modulus, threshold, least):
     rows, labels = queries.QUERIES[name](spark, LARGER).collect(), labelled(spark, LARGER, column)
     assert {r["doc_id"] for r in rows} == set(texts(spark, LARGER)) and len({r["doc_id"] for r in rows}) == len(rows)
-    assert all(r["held_out"] == (remainder(r["doc_id"], modulus) == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= threshold) for r in rows)
+    assert all(
+        r["held_out"] == (remainder(r["doc_id"], modulus) == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= threshold) for r in rows
+    )
     held = [r["predicted"] == labels[r["doc_id"]] for r in rows if r["held_out"] and labels.get(r["doc_id"]) in (0, 1)]
     print(f"{name}: {sum(held)} of {len(held)} held-out labels")
     assert len(held) > 30 and sum(held) / len(held) >= least
@@ -113,7 +115,9 @@ def test_op8_embedding_dedup(spark):
     labels.add(*np.nonzero(near))
     rows = sorted(queries.op8_embedding_dedup(spark, LARGER).collect())
     low = ids[labels.label]
-    assert [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows] == [(int(i), int(n) - 1, int(c), bool(i == c)) for i, n, c in zip(ids, near.sum(axis=1), low)]
+    assert [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows] == [
+        (int(i), int(n) - 1, int(c), bool(i == c)) for i, n, c in zip(ids, near.sum(axis=1), low)
+    ]
 
 
 def test_op9_simhash(spark):
