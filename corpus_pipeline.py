@@ -35,7 +35,9 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     # The hash tells rows apart whatever their ids; rows that share it are copies in every column.
     hashed = _documents(docs).withColumn("row_hash", F.concat_ws(" ", F.md5("text"), F.xxhash64(*COLUMNS).cast("string")))
     found = simhash.near_groups(hashed, keep=["row_hash"])
-    kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash"))["row_hash"].alias("row_hash")).select("row_hash")
+    kept = found.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash"))["row_hash"].alias("row_hash")
+    ).select("row_hash")
     return _documents(hashed.join(kept, "row_hash", "left_semi").dropDuplicates(["row_hash"]))
 
 

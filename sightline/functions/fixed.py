@@ -30,7 +30,10 @@ KNOWN_HOSTS = {
 }
 
 # Public suffixes of two labels.
-DOUBLE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "com.cn", "net.cn", "org.cn", "gov.cn", "com.sg", "com.hk", "com.tw", "co.nz", "com.br", "com.mx", "co.in", "co.kr")
+DOUBLE_SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "com.cn", "net.cn", "org.cn", "gov.cn", "com.sg", "com.hk",
+    "com.tw", "co.nz", "com.br", "com.mx", "co.in", "co.kr"
+)
 
 # Query parameters that track visitors, besides those that begin with utm_.
 TRACKING_KEYS = ("gclid", "fbclid", "msclkid", "mc_cid", "mc_eid")
@@ -72,7 +75,10 @@ SAMPLE_POLICY = "first_valid_per_question"
 QUOTA_TOTAL, QUOTA_GENERIC, QUOTA_BRANDED, THRESHOLD = 50, 40, 10, 0.78
 
 # Question-bank rows: required fields, quality flags, stages.
-REQUIRED_FIELDS = ("question_id", "question_type", "funnel_intent", "decision_stage", "cluster", "audience_role", "scenario", "constraint", "evidence_need", "user_question", "zh_translation", "standalone_rewrite", "retrieval_rewrite", "evidence_query", "title_seed", "monitoring_prompt", "quality_checks")
+REQUIRED_FIELDS = (
+    "question_id", "question_type", "funnel_intent", "decision_stage", "cluster", "audience_role", "scenario", "constraint", "evidence_need", "user_question",
+    "zh_translation", "standalone_rewrite", "retrieval_rewrite", "evidence_query", "title_seed", "monitoring_prompt", "quality_checks"
+)
 CURRENT_FIELDS = ("topic_id", "intent_key")
 CURRENT_VERSION, LEGACY_VERSIONS = "overseas-geo-question-bank/v3", ("overseas-geo-question-bank/v2",)
 QUALITY_FLAGS = ("natural", "standalone", "answerable", "single_intent", "category_aligned", "neutral_premise", "monitoring_field_valid")

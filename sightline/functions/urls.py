@@ -44,7 +44,9 @@ def registrable_domain(host: Column) -> Column:
     """Last two labels, three after a suffix of two labels."""
     labels = F.split(host, r"\.")
     last = F.slice(labels, -2, 2)
-    return F.when(F.size(labels) <= 2, host).when(F.array_join(last, ".").isin(*fixed.DOUBLE_SUFFIXES), F.array_join(F.slice(labels, -3, 3), ".")).otherwise(F.array_join(last, "."))
+    return F.when(F.size(labels) <= 2, host).when(
+        F.array_join(last, ".").isin(*fixed.DOUBLE_SUFFIXES), F.array_join(F.slice(labels, -3, 3), ".")
+    ).otherwise(F.array_join(last, "."))
 
 
 def _decode(c: Column) -> Column:
@@ -75,7 +77,10 @@ def normalize_url(c: Column) -> Url:
 
     def pair(item: Column) -> Column:
         plain = F.replace(item, F.lit("+"), F.lit(" "))
-        return F.struct(_decode(F.substring_index(plain, "=", 1)).alias("k"), F.when(plain.contains("="), _decode(F.regexp_replace(plain, "^[^=]*=", ""))).otherwise("").alias("v"))
+        return F.struct(
+            _decode(F.substring_index(plain, "=", 1)).alias("k"),
+            F.when(plain.contains("="), _decode(F.regexp_replace(plain, "^[^=]*=", ""))).otherwise("").alias("v")
+        )
 
     def tracks(p: Column) -> Column:
         return F.startswith(F.lower(p["k"]), F.lit("utm_")) | F.lower(p["k"]).isin(*fixed.TRACKING_KEYS)
@@ -83,7 +88,10 @@ def normalize_url(c: Column) -> Url:
     pairs = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), pair)
     kept = F.array_sort(F.filter(pairs, lambda p: ~tracks(p)))
     spelt = F.array_join(F.transform(kept, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
-    url = F.concat(scheme, F.lit("://"), host, F.when(default, "").otherwise(F.concat(F.lit(":"), port)), path, F.when(spelt != "", F.concat(F.lit("?"), spelt)).otherwise(""))
+    url = F.concat(
+        scheme, F.lit("://"), host, F.when(default, "").otherwise(F.concat(F.lit(":"), port)), path,
+        F.when(spelt != "", F.concat(F.lit("?"), spelt)).otherwise("")
+    )
     good = (scheme != "") & host.isNotNull() & ~bad_port
     removed = F.array_sort(F.transform(F.filter(pairs, tracks), lambda p: p["k"]))
     return Url(F.when(good, url), F.when(good, host), F.when(good, removed))

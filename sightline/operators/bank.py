@@ -41,28 +41,68 @@ def _texts(v: str, path: str) -> Column:
 def load(raw: DataFrame) -> Bank:
     docs = raw.select("bank_id", F.try_parse_json("body").alias("doc"))
     config = docs.select(
-        "bank_id", _text("doc", "$.schema_version").alias("version"), strip(or_empty(_text("doc", "$.config.brand_name"))).alias("brand"), strip(or_empty(_text("doc", "$.config.category_label"))).alias("category_label"),
-        strip(or_empty(_text("doc", "$.config.brand_object_type"))).alias("object_type"), F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
-        F.size(F.coalesce(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>"), F.array().cast("array<variant>"))).alias("questions"), (F.col("version") == fixed.CURRENT_VERSION).alias("current"), "doc",
+        "bank_id", _text("doc", "$.schema_version").alias("version"), strip(or_empty(_text("doc", "$.config.brand_name"))).alias("brand"),
+        strip(or_empty(_text("doc", "$.config.category_label"))).alias("category_label"),
+        strip(or_empty(_text("doc", "$.config.brand_object_type"))).alias("object_type"),
+        F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
+        F.size(
+            F.coalesce(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>"), F.array().cast("array<variant>"))
+        ).alias("questions"), (F.col("version") == fixed.CURRENT_VERSION).alias("current"), "doc",
     )
-    rows = docs.select("bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("pos", "q")).select("bank_id", (F.col("pos") + 1).alias("row_no"), "q")
-    topics = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.topics", "array<variant>")).alias("t")).select("bank_id", normalize_name(_text("t", "$.topic_id")).alias("topic_id"), strip(or_empty(_text("t", "$.topic"))).alias("topic"))
-    formal = docs.select("bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.config.competitor_selection.formal_competitors", "array<variant>")).alias("pos", "c"))
+    rows = docs.select(
+        "bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("pos", "q")
+    ).select("bank_id", (F.col("pos") + 1).alias("row_no"), "q")
+    topics = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.topics", "array<variant>")).alias("t")).select(
+        "bank_id", normalize_name(_text("t", "$.topic_id")).alias("topic_id"), strip(or_empty(_text("t", "$.topic"))).alias("topic")
+    )
+    formal = docs.select(
+        "bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.config.competitor_selection.formal_competitors", "array<variant>")).alias("pos", "c")
+    )
     rivals = formal.select(
-        "bank_id", (F.col("pos") + 1).alias("place"), strip(or_empty(_text("c", "$.name"))).alias("name"), F.concat(F.array(strip(or_empty(_text("c", "$.name")))), _texts("c", "$.aliases")).alias("terms"),
-        strip(or_empty(_text("c", "$.comparability_tier"))).alias("tier"), _text("c", "$.comparison_policy.mode").alias("mode"), F.try_variant_get(F.col("c"), "$.comparison_policy.allowed_dimensions", "array<variant>").isNotNull().alias("has_dimensions"),
+        "bank_id", (F.col("pos") + 1).alias("place"), strip(or_empty(_text("c", "$.name"))).alias("name"), F.concat(
+            F.array(strip(or_empty(_text("c", "$.name")))), _texts("c", "$.aliases")
+        ).alias("terms"),
+        strip(or_empty(_text("c", "$.comparability_tier"))).alias("tier"), _text("c", "$.comparison_policy.mode").alias("mode"), F.try_variant_get(
+            F.col("c"), "$.comparison_policy.allowed_dimensions", "array<variant>"
+        ).isNotNull().alias("has_dimensions"),
     )
     one = lambda kind, c: F.transform(c, lambda n: F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("owner"), n.alias("name")))
-    plain = docs.select("bank_id", F.explode(F.concat(one("brand", F.array(_text("doc", "$.config.brand_name"))), one("product", F.array(_text("doc", "$.config.product_name"))), one("alias", _texts("doc", "$.config.aliases")), one("competitor", _texts("doc", "$.config.competitors")))).alias("x")).select("bank_id", "x.*")
+    plain = docs.select(
+        "bank_id",
+        F.explode(
+            F.concat(
+                one("brand", F.array(_text("doc", "$.config.brand_name"))), one("product", F.array(_text("doc", "$.config.product_name"))),
+                one("alias", _texts("doc", "$.config.aliases")), one("competitor", _texts("doc", "$.config.competitors"))
+            )
+        ).alias("x")
+    ).select("bank_id", "x.*")
     names = plain.unionByName(rivals.select("bank_id", F.lit("formal").alias("kind"), F.col("place").alias("owner"), F.explode("terms").alias("name")))
     names = names.withColumn("name", strip(or_empty(F.col("name")))).withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
-    kinds = {"core_terms": "$.config.category_expression_set.core_terms", "product_terms": "$.config.category_expression_set.product_terms", "placeholder_blacklist": "$.config.category_expression_set.placeholder_blacklist", "excluded": "$.config.excluded_categories"}
-    category = docs.select("bank_id", F.explode(F.concat(*[_kinded(k, p) for k, p in kinds.items()])).alias("x")).select("bank_id", "x.*").where("trim(term) != ''")
+    kinds = {
+        "core_terms": "$.config.category_expression_set.core_terms", "product_terms": "$.config.category_expression_set.product_terms",
+        "placeholder_blacklist": "$.config.category_expression_set.placeholder_blacklist", "excluded": "$.config.excluded_categories"
+    }
+    category = docs.select(
+        "bank_id", F.explode(F.concat(*[_kinded(k, p) for k, p in kinds.items()])).alias("x")
+    ).select("bank_id", "x.*").where("trim(term) != ''")
     specs = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.required_term_coverage", "map<string,variant>")).alias("concept", "s"))
     minimum = lambda n: F.coalesce(F.try_variant_get(F.col("s"), f"$.{n}", "int"), F.lit(0)).alias(n)
-    terms = specs.select("bank_id", "concept", _texts("s", "$.terms").alias("terms"), or_empty(_text("s", "$.expanded_form")).alias("expanded_form"), or_empty(_text("s", "$.acronym")).alias("acronym"), _texts("s", "$.context_terms").alias("context_terms"), *[minimum(n) for n in ("min_total", "min_generic", "min_branded", "min_expanded", "min_acronym")])
-    flat = [docs.select("bank_id", F.lit(d).alias("dimension"), F.explode(F.try_variant_get(F.col("doc"), f"$.config.quotas.{d}", "map<string,int>")).alias("key", "expected")) for d in ("question_type", "funnel_intent")]
-    cross = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.quotas.cross", "map<string,map<string,int>>")).alias("t", "m")).select("bank_id", "t", F.explode("m").alias("i", "expected")).select("bank_id", F.lit("cross").alias("dimension"), F.concat_ws("/", "t", "i").alias("key"), "expected")
+    terms = specs.select(
+        "bank_id", "concept", _texts("s", "$.terms").alias("terms"), or_empty(_text("s", "$.expanded_form")).alias("expanded_form"),
+        or_empty(_text("s", "$.acronym")).alias("acronym"), _texts("s", "$.context_terms").alias("context_terms"),
+        *[minimum(n) for n in ("min_total", "min_generic", "min_branded", "min_expanded", "min_acronym")]
+    )
+    flat = [
+        docs.select(
+            "bank_id", F.lit(d).alias("dimension"),
+            F.explode(F.try_variant_get(F.col("doc"), f"$.config.quotas.{d}", "map<string,int>")).alias("key", "expected")
+        ) for d in ("question_type", "funnel_intent")
+    ]
+    cross = docs.select(
+        "bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.quotas.cross", "map<string,map<string,int>>")).alias("t", "m")
+    ).select("bank_id", "t", F.explode("m").alias("i", "expected")).select(
+        "bank_id", F.lit("cross").alias("dimension"), F.concat_ws("/", "t", "i").alias("key"), "expected"
+    )
     return Bank(config, rows, topics, names, category, terms, flat[0].unionByName(flat[1]).unionByName(cross), rivals)
 
 
@@ -71,25 +111,38 @@ def _kinded(kind: str, path: str) -> Column:
 
 
 def _find(rows: DataFrame, code: str, question: Column | None = None, detail: Column | None = None) -> DataFrame:
-    return rows.select("bank_id", F.lit(code).alias("code"), (question if question is not None else F.lit(None)).cast("string").alias("question_id"), (detail if detail is not None else F.lit(None)).cast("string").alias("detail"))
+    return rows.select(
+        "bank_id", F.lit(code).alias("code"), (question if question is not None else F.lit(None)).cast("string").alias("question_id"),
+        (detail if detail is not None else F.lit(None)).cast("string").alias("detail")
+    )
 
 
 def completeness(bank: Bank) -> DataFrame:
     """Rows with their missing fields; `fatal` rows leave the pipeline."""
     keys = F.map_keys(F.try_variant_get(F.col("q"), "$", "map<string,variant>"))
-    needed = F.when(F.col("current"), F.array(*map(F.lit, fixed.REQUIRED_FIELDS + fixed.CURRENT_FIELDS))).otherwise(F.array(*map(F.lit, (*fixed.REQUIRED_FIELDS, "geo_intent"))))
+    needed = F.when(
+        F.col("current"), F.array(*map(F.lit, fixed.REQUIRED_FIELDS + fixed.CURRENT_FIELDS))
+    ).otherwise(F.array(*map(F.lit, (*fixed.REQUIRED_FIELDS, "geo_intent"))))
     missing = F.array_except(needed, F.coalesce(keys, F.array().cast("array<string>")))
-    rows = bank.rows.join(bank.config.select("bank_id", F.coalesce("current", F.lit(False)).alias("current"), "brand", "category_label", "object_type"), "bank_id")
+    rows = bank.rows.join(
+        bank.config.select("bank_id", F.coalesce("current", F.lit(False)).alias("current"), "brand", "category_label", "object_type"), "bank_id"
+    )
     return rows.withColumn("keys", keys).withColumn("missing", missing).withColumn("fatal", F.size(F.array_remove("missing", "zh_translation")) > 0)
 
 
-FIELDS = ("question_id", "question_type", "funnel_intent", "decision_stage", "cluster", "audience_role", "scenario", "constraint", "retrieval_rewrite", "evidence_query", "title_seed", "monitoring_prompt", "zh_translation", "topic_id", "intent_key")
+FIELDS = (
+    "question_id", "question_type", "funnel_intent", "decision_stage", "cluster", "audience_role", "scenario", "constraint", "retrieval_rewrite",
+    "evidence_query", "title_seed", "monitoring_prompt", "zh_translation", "topic_id", "intent_key"
+)
 
 
 def row_flags(bank: Bank) -> DataFrame:
     """Every complete row with its fields and a boolean or list for each row rule."""
     r = completeness(bank).where("not fatal")
-    r = r.select("bank_id", "row_no", "q", "keys", "missing", "current", "brand", "category_label", "object_type", *[_text("q", f"$.{f}").alias(f) for f in FIELDS], strip(or_empty(_text("q", "$.user_question"))).alias("text"))
+    r = r.select(
+        "bank_id", "row_no", "q", "keys", "missing", "current", "brand", "category_label", "object_type", *[_text("q", f"$.{f}").alias(f) for f in FIELDS],
+        strip(or_empty(_text("q", "$.user_question"))).alias("text")
+    )
     r = r.withColumn("norm", normalize_name(F.col("text"))).withColumn("topic_id", normalize_name(F.col("topic_id"))).withColumn("intent_key", normalize_name(F.col("intent_key")))
     for name in ("cluster", "scenario", "constraint", "decision_stage"):
         r = r.withColumn(name, normalize_name(F.col(name)))
@@ -105,14 +158,22 @@ def row_flags(bank: Bank) -> DataFrame:
     return r.select(
         "*",
         (F.startswith(normalize_template(text), F.lit("evaluate the ")) & now).alias("is_sentiment"),
-        (~F.array_contains("missing", "zh_translation") & ~F.coalesce((zh_type == "STRING") & F.col("zh_translation").rlike(fixed.CJK), F.lit(False))).alias("bad_translation"),
+        (
+            ~F.array_contains("missing", "zh_translation") & ~F.coalesce((zh_type == "STRING") & F.col("zh_translation").rlike(fixed.CJK), F.lit(False))
+        ).alias("bad_translation"),
         ((text != "") & ~text.rlike(fixed.CONVERSATIONAL) & ~(now & F.startswith(normalize_template(text), F.lit("evaluate the ")))).alias("not_natural"),
-        text.rlike(fixed.BARE_ACTION).alias("bare_action"), (now & text.rlike(fixed.NON_COMMERCIAL)).alias("non_commercial"), (text.rlike(fixed.AMBIGUOUS) & ~text.rlike(fixed.CLARIFIER)).alias("ambiguous"),
+        text.rlike(fixed.BARE_ACTION).alias("bare_action"), (now & text.rlike(fixed.NON_COMMERCIAL)).alias("non_commercial"),
+        (text.rlike(fixed.AMBIGUOUS) & ~text.rlike(fixed.CLARIFIER)).alias("ambiguous"),
         *wording(text),
-        (strip(or_empty(F.col("monitoring_prompt"))) != text).alias("prompt_differs"), F.filter(F.array(*[F.when(normalize_name(F.col(c)) == F.col("norm"), F.lit(c)) for c in ("retrieval_rewrite", "evidence_query", "title_seed")]), lambda x: x.isNotNull()).alias("repeats"),
+        (strip(or_empty(F.col("monitoring_prompt"))) != text).alias("prompt_differs"), F.filter(
+            F.array(*[F.when(normalize_name(F.col(c)) == F.col("norm"), F.lit(c)) for c in ("retrieval_rewrite", "evidence_query", "title_seed")]),
+            lambda x: x.isNotNull()
+        ).alias("repeats"),
         F.when(given.isNull(), wanted).otherwise(F.filter(wanted, lambda n: ~true(F.try_element_at(given, n)))).alias("failed_checks"),
         F.when(now, F.array_intersect(F.col("keys"), F.array(*map(F.lit, fixed.RETIRED_FIELDS)))).otherwise(F.array().cast("array<string>")).alias("retired"),
-        (now & ~F.coalesce(F.col("funnel_intent").isin("recommendation", "comparison", "decision"), F.lit(False))).alias("bad_intent"), (now & ~F.col("decision_stage").isin(*fixed.DECISION_STAGES)).alias("bad_stage"),
+        (
+            now & ~F.coalesce(F.col("funnel_intent").isin("recommendation", "comparison", "decision"), F.lit(False))
+        ).alias("bad_intent"), (now & ~F.col("decision_stage").isin(*fixed.DECISION_STAGES)).alias("bad_stage"),
         F.when(F.col("norm") != "", F.split("norm", " ")[0]).alias("opener"), true(F.try_element_at(given, F.lit("commercial_intent"))).alias("commercial"),
         F.coalesce(F.try_variant_get(F.col("q"), "$.boundary_question", "boolean"), F.lit(False)).alias("boundary"),
     )
@@ -130,7 +191,13 @@ def row_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     """Findings of single rows, among them names and terms that a question may not or must hold."""
     missing = completeness(bank).where("size(missing) > 0")
     out = _find(missing, "MISSING_FIELDS", _text("q", "$.question_id"), F.array_join("missing", ","))
-    rules = F.filter(F.array(*[F.when(F.col(r), F.lit(r.upper())) for r in ROW_RULES], F.when(F.col("text") == "", "EMPTY_QUESTION"), F.when(F.col("current") & (F.col("intent_key") == ""), "EMPTY_INTENT_KEY")), lambda x: x.isNotNull())
+    rules = F.filter(
+        F.array(
+            *[F.when(F.col(r), F.lit(r.upper())) for r in ROW_RULES], F.when(F.col("text") == "", "EMPTY_QUESTION"),
+            F.when(F.col("current") & (F.col("intent_key") == ""), "EMPTY_INTENT_KEY")
+        ),
+        lambda x: x.isNotNull()
+    )
     out = out.unionByName(flags.select("bank_id", F.explode(rules).alias("code"), "question_id", F.lit(None).cast("string").alias("detail")))
     for name, code in (("repeats", "REPEATS_FIELD"), ("failed_checks", "QUALITY_CHECKS"), ("retired", "RETIRED_FIELDS")):
         out = out.unionByName(_find(flags.where(F.size(name) > 0), code, F.col("question_id"), F.array_join(name, ",")))
@@ -142,8 +209,17 @@ def row_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 def _template_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     """Brand-sentiment questions: exact wording, branded, of intent decision."""
     rows = flags.where("is_sentiment").join(bank.topics, ["bank_id", "topic_id"], "left")
-    expected = F.concat(F.lit("Evaluate the "), F.col("category_label"), F.lit(" "), F.col("object_type"), F.lit(" "), F.col("brand"), F.lit(" on "), or_empty(F.col("topic")))
-    codes = F.filter(F.array(F.when(normalize_template(F.col("text")) != normalize_template(expected), "SENTIMENT_TEMPLATE"), F.when(~F.coalesce(F.col("question_type") == "branded", F.lit(False)), "SENTIMENT_TYPE"), F.when(~F.coalesce(F.col("funnel_intent") == "decision", F.lit(False)), "SENTIMENT_INTENT")), lambda x: x.isNotNull())
+    expected = F.concat(
+        F.lit("Evaluate the "), F.col("category_label"), F.lit(" "), F.col("object_type"), F.lit(" "), F.col("brand"), F.lit(" on "), or_empty(F.col("topic"))
+    )
+    codes = F.filter(
+        F.array(
+            F.when(normalize_template(F.col("text")) != normalize_template(expected), "SENTIMENT_TEMPLATE"),
+            F.when(~F.coalesce(F.col("question_type") == "branded", F.lit(False)), "SENTIMENT_TYPE"),
+            F.when(~F.coalesce(F.col("funnel_intent") == "decision", F.lit(False)), "SENTIMENT_INTENT")
+        ),
+        lambda x: x.isNotNull()
+    )
     return rows.select("bank_id", F.explode(codes).alias("code"), "question_id", F.lit(None).cast("string").alias("detail"))
 
 
@@ -155,16 +231,22 @@ def entity_hits(bank: Bank, flags: DataFrame) -> DataFrame:
 
 def _name_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     hits = entity_hits(bank, flags)
-    listed = lambda rows: rows.groupBy("bank_id", "row_no", "question_id").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
+    listed = lambda rows: rows.groupBy("bank_id", "row_no", "question_id").agg(
+        F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names")
+    )
     leaks = listed(hits.where("question_type = 'generic'"))
     rivals = listed(hits.where("is_sentiment and kind in ('competitor', 'formal')"))
     named = hits.where("kind = 'brand'").select("bank_id", "row_no")
     silent = flags.where("question_type = 'branded' and brand != ''").join(named, ["bank_id", "row_no"], "left_anti")
-    return _find(leaks, "ENTITY_LEAK", F.col("question_id"), F.col("names")).unionByName(_find(rivals, "SENTIMENT_COMPETITOR", F.col("question_id"), F.col("names"))).unionByName(_find(silent, "BRAND_MISSING", F.col("question_id")))
+    return _find(leaks, "ENTITY_LEAK", F.col("question_id"), F.col("names")).unionByName(
+        _find(rivals, "SENTIMENT_COMPETITOR", F.col("question_id"), F.col("names"))
+    ).unionByName(_find(silent, "BRAND_MISSING", F.col("question_id")))
 
 
 def _category_hits(bank: Bank, flags: DataFrame) -> DataFrame:
-    return flags.select("bank_id", "row_no", "question_id", "text", "boundary", "current").join(bank.category, "bank_id").where(contains_name(F.col("text"), F.col("term")))
+    return flags.select(
+        "bank_id", "row_no", "question_id", "text", "boundary", "current"
+    ).join(bank.category, "bank_id").where(contains_name(F.col("text"), F.col("term")))
 
 
 def visible(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -185,7 +267,9 @@ def _category_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 def _term_hits(bank: Bank, flags: DataFrame) -> DataFrame:
     joined = flags.select("bank_id", "row_no", "question_id", "question_type", "text").join(bank.terms, "bank_id")
     any_of = lambda c: F.exists(c, lambda t: contains_name(F.col("text"), t))
-    return joined.withColumn("hit", any_of("terms")).withColumn("has_expanded", contains_name(F.col("text"), F.col("expanded_form"))).withColumn("has_acronym", contains_name(F.col("text"), F.col("acronym"))).withColumn("has_context", any_of("context_terms"))
+    return joined.withColumn("hit", any_of("terms")).withColumn(
+        "has_expanded", contains_name(F.col("text"), F.col("expanded_form"))
+    ).withColumn("has_acronym", contains_name(F.col("text"), F.col("acronym"))).withColumn("has_context", any_of("context_terms"))
 
 
 def _acronym_findings(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -197,16 +281,35 @@ def _acronym_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 def term_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, concept, measure, actual, minimum) of each concept's five counts."""
     n = F.count_if
-    counts = _term_hits(bank, flags).groupBy("bank_id", "concept").agg(n("hit").alias("n_total"), n(F.col("hit") & (F.col("question_type") == "generic")).alias("n_generic"), n(F.col("hit") & (F.col("question_type") == "branded")).alias("n_branded"), n("has_expanded").alias("n_expanded"), n("has_acronym").alias("n_acronym"))
+    counts = _term_hits(bank, flags).groupBy("bank_id", "concept").agg(
+        n("hit").alias("n_total"), n(F.col("hit") & (F.col("question_type") == "generic")).alias("n_generic"),
+        n(F.col("hit") & (F.col("question_type") == "branded")).alias("n_branded"), n("has_expanded").alias("n_expanded"), n("has_acronym").alias("n_acronym")
+    )
     rows = bank.terms.join(counts, ["bank_id", "concept"], "left")
     measures = ("total", "generic", "branded", "expanded", "acronym")
-    return rows.select("bank_id", "concept", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.coalesce(f"n_{m}", F.lit(0)).alias("actual"), F.col(f"min_{m}").alias("minimum")) for m in measures])).alias("x")).select("bank_id", "concept", "x.*")
+    return rows.select(
+        "bank_id", "concept",
+        F.explode(
+            F.array(
+                *[F.struct(F.lit(m).alias("measure"), F.coalesce(f"n_{m}", F.lit(0)).alias("actual"), F.col(f"min_{m}").alias("minimum")) for m in measures]
+            )
+        ).alias("x")
+    ).select("bank_id", "concept", "x.*")
 
 
 def quota_differences(flags: DataFrame, quotas: DataFrame) -> DataFrame:
     """(bank_id, dimension, key, actual, expected) wherever counts and quotas differ, either way."""
     sets = flags.select("bank_id", "question_type", "funnel_intent").groupBy("bank_id", "question_type", "funnel_intent").agg(F.count("*").alias("n"))
-    each = sets.select("bank_id", "n", F.explode(F.array(F.struct(F.lit("question_type").alias("dimension"), F.col("question_type").alias("key")), F.struct(F.lit("funnel_intent").alias("dimension"), F.col("funnel_intent").alias("key")), F.struct(F.lit("cross").alias("dimension"), F.concat_ws("/", "question_type", "funnel_intent").alias("key")))).alias("x"))
+    each = sets.select(
+        "bank_id", "n",
+        F.explode(
+            F.array(
+                F.struct(F.lit("question_type").alias("dimension"), F.col("question_type").alias("key")),
+                F.struct(F.lit("funnel_intent").alias("dimension"), F.col("funnel_intent").alias("key")),
+                F.struct(F.lit("cross").alias("dimension"), F.concat_ws("/", "question_type", "funnel_intent").alias("key"))
+            )
+        ).alias("x")
+    )
     actual = each.groupBy("bank_id", F.col("x.dimension").alias("dimension"), F.col("x.key").alias("key")).agg(F.sum("n").alias("actual"))
     held = quotas.select("bank_id", "dimension").distinct()
     both = actual.join(held, ["bank_id", "dimension"], "left_semi").join(quotas, ["bank_id", "dimension", "key"], "full_outer").fillna(0, ["actual", "expected"])
@@ -215,7 +318,12 @@ def quota_differences(flags: DataFrame, quotas: DataFrame) -> DataFrame:
 
 def duplicates(flags: DataFrame) -> DataFrame:
     """(bank_id, what, key, n) of ids, questions and intent keys that occur more than once."""
-    keys = F.array(*[F.struct(F.lit(w).alias("what"), k.alias("key")) for w, k in (("question_id", F.col("question_id")), ("question", F.col("norm")), ("intent_key", F.when(F.col("current"), F.col("intent_key"))))])
+    keys = F.array(
+        *[
+            F.struct(F.lit(w).alias("what"), k.alias("key")) for w,
+            k in (("question_id", F.col("question_id")), ("question", F.col("norm")), ("intent_key", F.when(F.col("current"), F.col("intent_key"))))
+        ]
+    )
     rows = flags.select("bank_id", F.explode(keys).alias("x")).select("bank_id", "x.*").where("key is not null and key != ''")
     return rows.groupBy("bank_id", "what", "key").agg(F.count("*").alias("n")).where("n > 1")
 
@@ -237,7 +345,10 @@ def rival_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     hits = entity_hits(bank, flags).where("kind = 'formal'").select("bank_id", "row_no", "owner", "question_type", "funnel_intent").distinct()
     hits = hits.withColumn("named", F.count("*").over(Window.partitionBy("bank_id", "row_no")))
     compared = (F.col("question_type") == "branded") & (F.col("funnel_intent") == "comparison")
-    counts = hits.groupBy("bank_id", F.col("owner").alias("place")).agg(F.count("*").alias("all_questions"), F.count_if(compared & (F.col("named") == 1)).alias("solo"), F.count_if(compared & (F.col("named") > 1)).alias("multi"))
+    counts = hits.groupBy("bank_id", F.col("owner").alias("place")).agg(
+        F.count("*").alias("all_questions"), F.count_if(compared & (F.col("named") == 1)).alias("solo"),
+        F.count_if(compared & (F.col("named") > 1)).alias("multi")
+    )
     return bank.rivals.select("bank_id", "place", "name").join(counts, ["bank_id", "place"], "left").fillna(0, ["all_questions", "solo", "multi"])
 
 
@@ -247,12 +358,16 @@ def comparison_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     cover = rival_coverage(bank, flags)
     per = cover.groupBy("bank_id").agg(F.count("*").alias("rivals"), F.sum("solo").alias("solos")).join(compared, "bank_id").where("rivals = 3 and comparisons >= 3")
     lonely = cover.where("solo < 1").join(per.select("bank_id"), "bank_id", "left_semi")
-    return _find(lonely, "NO_SOLO_COMPARISON", None, F.col("name")).unionByName(_find(per.where("comparisons >= 5 and comparisons - solos < 2"), "FEW_OTHER_COMPARISONS"))
+    return _find(lonely, "NO_SOLO_COMPARISON", None, F.col("name")).unionByName(
+        _find(per.where("comparisons >= 5 and comparisons - solos < 2"), "FEW_OTHER_COMPARISONS")
+    )
 
 
 def audience_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, audience, generic_total, recommendation, comparison, decision, share) of each target audience."""
-    aims = bank.config.select("bank_id", F.explode(_texts("doc", "$.config.target_audiences")).alias("audience")).withColumn("key", normalize_name(F.col("audience")))
+    aims = bank.config.select(
+        "bank_id", F.explode(_texts("doc", "$.config.target_audiences")).alias("audience")
+    ).withColumn("key", normalize_name(F.col("audience")))
     generic = flags.where("question_type = 'generic'").withColumn("key", normalize_name(F.col("audience_role")))
     n = lambda i: F.count_if(F.col("funnel_intent") == i).alias(i)
     counts = generic.groupBy("bank_id", "key").agg(F.count("*").alias("generic_total"), n("recommendation"), n("comparison"), n("decision"))
@@ -265,15 +380,22 @@ def audience_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
 def style(flags: DataFrame) -> DataFrame:
     """A row for each bank: distinct labels, singletons, openers and promotional wording as counts and ratios."""
     dims = ("cluster", "scenario", "constraint", "audience_role", "opener")
-    labels = flags.select("bank_id", "row_no", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("label")) for d in dims])).alias("x")).select("bank_id", "row_no", "x.*").where("label is not null")
+    labels = flags.select(
+        "bank_id", "row_no", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("label")) for d in dims])).alias("x")
+    ).select("bank_id", "row_no", "x.*").where("label is not null")
     per = labels.groupBy("bank_id", "dim", "label").agg(F.count("*").alias("n"), F.min("row_no").alias("first"))
     of = lambda d: F.col("dim") == d
     spread = per.groupBy("bank_id").agg(
-        *[F.count_if(of(d)).alias(f"distinct_{d}") for d in ("audience_role", "scenario", "constraint")], *[F.count_if(of(d) & (F.col("n") == 1)).alias(f"single_{d}") for d in ("cluster", "scenario", "constraint")],
+        *[F.count_if(of(d)).alias(f"distinct_{d}") for d in ("audience_role", "scenario", "constraint")], *[
+            F.count_if(of(d) & (F.col("n") == 1)).alias(f"single_{d}") for d in ("cluster", "scenario", "constraint")
+        ],
         F.sum(F.when(of("opener") & F.col("label").isin(*fixed.COMMON_OPENERS), F.col("n")).otherwise(0)).alias("common_openers"),
         F.max_by(F.when(of("opener"), F.struct("label", "n")), F.when(of("opener"), F.struct(F.col("n"), -F.col("first")))).alias("top"),
     )
-    totals = flags.groupBy("bank_id").agg(F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence"), F.count_if("commercial").alias("commercial"))
+    totals = flags.groupBy("bank_id").agg(
+        F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence"),
+        F.count_if("commercial").alias("commercial")
+    )
     rows = totals.join(spread, "bank_id", "left").withColumn("top_opener", F.col("top.label")).withColumn("top_opener_n", F.coalesce("top.n", F.lit(0))).drop("top")
     for name in ("promotional", "low_confidence", "single_cluster", "single_scenario", "single_constraint", "common_openers", "top_opener_n"):
         rows = rows.withColumn(f"{name}_ratio", ratio(F.col(name), F.col("total")))
@@ -292,7 +414,9 @@ def style_warnings(styles: DataFrame) -> DataFrame:
         ("DOMINANT_OPENER", c("top_opener_n_ratio") > fixed.MAX_ONE_OPENER, F.lit(False)),
         ("LOW_CONFIDENCE", c("low_confidence_ratio") > fixed.MAX_PROMOTIONAL, F.lit(False)),
     )
-    each = F.array(*[F.when(hit, F.struct(F.lit(code).alias("code"), F.when(high, "high_risk").otherwise("warning").alias("severity"))) for code, hit, high in rules])
+    each = F.array(
+        *[F.when(hit, F.struct(F.lit(code).alias("code"), F.when(high, "high_risk").otherwise("warning").alias("severity"))) for code, hit, high in rules]
+    )
     return styles.where(c("total") >= fixed.MIN_BATCH).select("bank_id", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("bank_id", "x.*")
 
 
@@ -301,7 +425,12 @@ def distinct_findings(bank: Bank, styles: DataFrame) -> DataFrame:
     given = bank.config.select("bank_id", "expected_total", F.try_variant_get(F.col("doc"), "$.config.min_distinct_counts", "map<string,int>").alias("m"))
     rows = styles.join(given, "bank_id")
     least = lambda k, d: F.coalesce(F.try_element_at("m", F.lit(k)), F.when(F.coalesce("expected_total", F.lit(0)) >= 18, d).otherwise(0))
-    each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("actual"), least(k, d).alias("least")) for k, c, d in (("audience_roles", "distinct_audience_role", 3), ("scenarios", "distinct_scenario", 3), ("constraints", "distinct_constraint", 2))])
+    each = F.array(
+        *[
+            F.struct(F.lit(k).alias("k"), F.col(c).alias("actual"), least(k, d).alias("least")) for k, c,
+            d in (("audience_roles", "distinct_audience_role", 3), ("scenarios", "distinct_scenario", 3), ("constraints", "distinct_constraint", 2))
+        ]
+    )
     short = rows.select("bank_id", F.explode(each).alias("x")).where("x.actual < x.least")
     return _find(short, "FEW_DISTINCT", None, F.col("x.k"))
 
@@ -325,8 +454,12 @@ def findings(bank: Bank, flags: DataFrame | None = None) -> DataFrame:
     flags = row_flags(bank) if flags is None else flags
     styles = style(flags)
     out = config_findings(bank.config).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
-    out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(_find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id")))
-    types = bank.quotas.where("dimension = 'question_type'").unionByName(bank.quotas.where("dimension != 'question_type'").join(bank.config.where("not coalesce(current, false)").select("bank_id"), "bank_id", "left_semi"))
+    out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(
+        _find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id"))
+    )
+    types = bank.quotas.where("dimension = 'question_type'").unionByName(
+        bank.quotas.where("dimension != 'question_type'").join(bank.config.where("not coalesce(current, false)").select("bank_id"), "bank_id", "left_semi")
+    )
     out = out.unionByName(_find(quota_differences(flags, types), "QUOTA", None, F.concat_ws(":", "dimension", "key")))
     return out.unionByName(_find(term_coverage(bank, flags).where("actual < minimum"), "TERM_COVERAGE", None, F.concat_ws(":", "concept", "measure")))
 

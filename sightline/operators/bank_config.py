@@ -98,9 +98,15 @@ def _category(now: Column) -> Column:
     held = _at("doc", "$.config.category_expression_set")
     core, product = (_words(_at(held, f"$.{n}")) for n in ("core_terms", "product_terms"))
     label = F.col("category_label")
-    shapes = [_rules(("CATEGORY_FIELD", _given(_at(held, f"$.{n}")) & ~_is(_at(held, f"$.{n}"), "ARRAY")), detail=n) for n in ("core_terms", "product_terms", "placeholder_blacklist")]
+    shapes = [
+        _rules(
+            ("CATEGORY_FIELD", _given(_at(held, f"$.{n}")) & ~_is(_at(held, f"$.{n}"), "ARRAY")), detail=n
+        ) for n in ("core_terms", "product_terms", "placeholder_blacklist")
+    ]
     fits = F.exists(F.concat(core, product), lambda t: contains_name(label, t) | contains_name(t, label))
-    inner = F.when(_is(held, "OBJECT"), F.concat(*shapes, _rules(("CATEGORY_EMPTY", (F.size(core) == 0) & (F.size(product) == 0))))).otherwise(_rules(("CATEGORY_SHAPE", F.lit(True))))
+    inner = F.when(
+        _is(held, "OBJECT"), F.concat(*shapes, _rules(("CATEGORY_EMPTY", (F.size(core) == 0) & (F.size(product) == 0))))
+    ).otherwise(_rules(("CATEGORY_SHAPE", F.lit(True))))
     own = F.concat(inner, _rules(("NO_LABEL", label == ""), ("LABEL_MISMATCH", (label != "") & _given(held) & ~fits)))
     return F.when(now, own).otherwise(F.array().cast(FINDING))
 
@@ -108,7 +114,10 @@ def _category(now: Column) -> Column:
 def _audiences() -> Column:
     held = _at("doc", "$.config.target_audiences")
     keys = F.transform(_items(held), lambda a: normalize_name(_text(a, "$")))
-    one = lambda a, place: _rules(("AUDIENCE_EMPTY", F.element_at(keys, place.cast("int")) == ""), ("AUDIENCE_TWICE", (F.element_at(keys, place.cast("int")) != "") & _repeats(keys, place)), detail=place)
+    one = lambda a, place: _rules(
+        ("AUDIENCE_EMPTY", F.element_at(keys, place.cast("int")) == ""),
+        ("AUDIENCE_TWICE", (F.element_at(keys, place.cast("int")) != "") & _repeats(keys, place)), detail=place
+    )
     return F.concat(_rules(("AUDIENCES_SHAPE", held.isNotNull() & (F.schema_of_variant(held) != "VOID") & ~_is(held, "ARRAY"))), _each(_items(held), one))
 
 
@@ -139,7 +148,9 @@ def _rivals() -> Column:
     count = F.coalesce(F.try_variant_get(held, "$.selection_count", "int") == 3, F.lit(False))
     whole = _rules(("NOT_FROZEN", ~frozen), ("SELECTION_COUNT", ~count), ("RIVAL_COUNT", F.size(formal) != 3))
     absent = held.isNull() | (F.schema_of_variant(held) == "VOID")
-    return F.when(absent, F.array().cast(FINDING)).when(~_is(held, "OBJECT"), _rules(("SELECTION_SHAPE", F.lit(True)))).otherwise(F.concat(whole, _each(three, one)))
+    return F.when(absent, F.array().cast(FINDING)).when(
+        ~_is(held, "OBJECT"), _rules(("SELECTION_SHAPE", F.lit(True)))
+    ).otherwise(F.concat(whole, _each(three, one)))
 
 
 MINIMA = ("min_total", "min_generic", "min_branded", "min_expanded", "min_acronym")
@@ -148,7 +159,10 @@ MINIMA = ("min_total", "min_generic", "min_branded", "min_expanded", "min_acrony
 def _terms(assessed: Column) -> Column:
     """Terms to be covered, and how they were assessed; the required ones must be the same on both sides."""
     held = _at("doc", "$.config.required_term_coverage")
-    specs = F.coalesce(F.when(_is(held, "OBJECT"), F.map_entries(F.try_variant_get(held, "$", "map<string,variant>"))), F.array().cast("array<struct<key: string, value: variant>>"))
+    specs = F.coalesce(
+        F.when(_is(held, "OBJECT"), F.map_entries(F.try_variant_get(held, "$", "map<string,variant>"))),
+        F.array().cast("array<struct<key: string, value: variant>>")
+    )
     worded = lambda s: _is(s["value"], "OBJECT") & (F.size(_words(_at(s["value"], "$.terms"))) > 0)
 
     def minimum(v: Column, name: str) -> tuple[Column, Column]:
@@ -161,10 +175,18 @@ def _terms(assessed: Column) -> Column:
         v = s["value"]
         numbers = {n: minimum(v, n) for n in MINIMA}
         rows = F.concat(
-            _rules(("TERM_CONTEXT", _given(_at(v, "$.context_terms")) & ~_is(_at(v, "$.context_terms"), "ARRAY")), *[("TERM_MINIMUM", bad) for bad, _ in numbers.values()], detail=s["key"]),
-            _rules(("TERM_EXPANDED", (numbers["min_expanded"][1] > 0) & (_text(v, "$.expanded_form") == "")), ("TERM_ACRONYM", (numbers["min_acronym"][1] > 0) & (_text(v, "$.acronym") == "")), detail=s["key"]),
+            _rules(
+                ("TERM_CONTEXT", _given(_at(v, "$.context_terms")) & ~_is(_at(v, "$.context_terms"), "ARRAY")),
+                *[("TERM_MINIMUM", bad) for bad, _ in numbers.values()], detail=s["key"]
+            ),
+            _rules(
+                ("TERM_EXPANDED", (numbers["min_expanded"][1] > 0) & (_text(v, "$.expanded_form") == "")),
+                ("TERM_ACRONYM", (numbers["min_acronym"][1] > 0) & (_text(v, "$.acronym") == "")), detail=s["key"]
+            ),
         )
-        return F.when(~_is(v, "OBJECT"), _rules(("TERM_SHAPE", F.lit(True)), detail=s["key"])).when(~worded(s), _rules(("TERM_WITHOUT_WORDS", F.lit(True)), detail=s["key"])).otherwise(rows)
+        return F.when(~_is(v, "OBJECT"), _rules(("TERM_SHAPE", F.lit(True)), detail=s["key"])).when(
+            ~worded(s), _rules(("TERM_WITHOUT_WORDS", F.lit(True)), detail=s["key"])
+        ).otherwise(rows)
 
     judged = _at("doc", "$.config.professional_term_assessment")
     decisions = _items(_at(judged, "$.decisions"))
@@ -173,16 +195,25 @@ def _terms(assessed: Column) -> Column:
     def decision(d: Column, place: Column) -> Column:
         concept = _text(d, "$.concept")
         rows = _rules(
-            ("DECISION_OUTCOME", ~_text(d, "$.decision").isin("required", "excluded")), ("DECISION_SOURCE", ~_text(d, "$.source").isin("input_explicit", "category_core", "candidate")), ("DECISION_REASON", _text(d, "$.reason") == ""), detail=place,
+            ("DECISION_OUTCOME", ~_text(d, "$.decision").isin("required", "excluded")), (
+                "DECISION_SOURCE", ~_text(d, "$.source").isin("input_explicit", "category_core", "candidate")
+            ), ("DECISION_REASON", _text(d, "$.reason") == ""), detail=place,
         )
         off = (concept == "") | _repeats(concepts, place)
-        return F.when(~_is(d, "OBJECT"), _rules(("DECISION_SHAPE", F.lit(True)), detail=place)).when(off, _rules(("DECISION_CONCEPT", F.lit(True)), detail=place)).otherwise(rows)
+        return F.when(
+            ~_is(d, "OBJECT"), _rules(("DECISION_SHAPE", F.lit(True)), detail=place)
+        ).when(off, _rules(("DECISION_CONCEPT", F.lit(True)), detail=place)).otherwise(rows)
 
-    required = F.transform(F.filter(decisions, lambda d: _is(d, "OBJECT") & (_text(d, "$.decision") == "required") & (_text(d, "$.concept") != "")), lambda d: _text(d, "$.concept"))
+    required = F.transform(
+        F.filter(decisions, lambda d: _is(d, "OBJECT") & (_text(d, "$.decision") == "required") & (_text(d, "$.concept") != "")),
+        lambda d: _text(d, "$.concept")
+    )
     covered = F.transform(F.filter(specs, worded), lambda s: s["key"])
     differ = F.array_sort(F.array_distinct(required)) != F.array_sort(F.array_distinct(covered))
     whole = _rules(
-        ("NOT_COMPLETED", ~F.coalesce(F.try_variant_get(judged, "$.status", "string") == "completed", F.lit(False))), ("DECISIONS_SHAPE", ~_is(_at(judged, "$.decisions"), "ARRAY")),
+        (
+            "NOT_COMPLETED", ~F.coalesce(F.try_variant_get(judged, "$.status", "string") == "completed", F.lit(False))
+        ), ("DECISIONS_SHAPE", ~_is(_at(judged, "$.decisions"), "ARRAY")),
         ("NO_REASON_FOR_NONE", (F.size(decisions) == 0) & (_text(judged, "$.no_required_terms_reason") == "")), ("TERMS_DIFFER", differ),
     )
     assessment = F.when(_is(judged, "OBJECT"), F.concat(whole, _each(decisions, decision))).otherwise(_rules(("ASSESSMENT_SHAPE", F.lit(True))))

@@ -38,12 +38,15 @@ def classify(citations: DataFrame, domains: DataFrame) -> DataFrame:
     near = suffixes(F.col("host"))
     found = lambda table: F.filter(F.transform(near, lambda x: F.try_element_at(table, x)), lambda o: o.isNotNull())
     known = F.create_map(*[F.lit(x) for pair in fixed.KNOWN_HOSTS.items() for x in pair])
-    rows = citations.join(official_domains(domains), "run_id", "left").select(*citations.columns, F.array_min(found(F.col("official"))).alias("_o"), F.array_max(found(known)).alias("_known"))
+    rows = citations.join(official_domains(domains), "run_id", "left").select(
+        *citations.columns, F.array_min(found(F.col("official"))).alias("_o"), F.array_max(found(known)).alias("_known")
+    )
     own = F.when(F.col("_o.role") == "target", "brand_official").when(F.col("_o").isNotNull(), "competitor_official")
     rule = F.coalesce("_known", F.when(is_institution(F.col("host")), "institutional"))
     return rows.select(
         *citations.columns, F.col("_o.object_id").alias("matched_object"), F.coalesce(own, rule, F.lit("other")).alias("source_type"),
-        F.when(own.isNotNull(), "official_rule").when(rule.isNotNull(), "domain_rule").otherwise("default_other").alias("classification_source"), F.when(own.isNotNull(), 1.0).when(rule.isNotNull(), 0.95).alias("confidence"),
+        F.when(own.isNotNull(), "official_rule").when(rule.isNotNull(), "domain_rule").otherwise("default_other").alias("classification_source"),
+        F.when(own.isNotNull(), 1.0).when(rule.isNotNull(), 0.95).alias("confidence"),
     )
 
 
@@ -64,7 +67,9 @@ def type_distribution(pages: DataFrame) -> DataFrame:
     types = F.explode(F.array(*[F.lit(t) for t in fixed.SOURCE_TYPES])).alias("source_type")
     counts = pages.groupBy("run_id", "source_type").agg(F.count("*").alias("n"))
     totals = counts.groupBy("run_id").agg(F.sum("n").alias("total"))
-    return totals.select("run_id", "total", types).join(counts, ["run_id", "source_type"], "left").select("run_id", "source_type", F.coalesce("n", F.lit(0)).alias("n"), ratio(F.coalesce("n", F.lit(0)), F.col("total")).alias("share"))
+    return totals.select("run_id", "total", types).join(counts, ["run_id", "source_type"], "left").select(
+        "run_id", "source_type", F.coalesce("n", F.lit(0)).alias("n"), ratio(F.coalesce("n", F.lit(0)), F.col("total")).alias("share")
+    )
 
 
 def top_keys(pages: DataFrame, key: str, limit: int = 8) -> DataFrame:
@@ -90,11 +95,16 @@ def unknown_hosts(classified: DataFrame, examples: int = 3) -> DataFrame:
     """
     open_ = _unruled(classified)
     names = [c for c in ("canonical_url", "title", "summary") if c in classified.columns]
-    each = open_.select("run_id", "host", F.struct("answer_id", "citation_no").alias("at"), F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in names])).alias("x")).select("run_id", "host", "at", "x.*")
+    each = open_.select(
+        "run_id", "host", F.struct("answer_id", "citation_no").alias("at"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in names])).alias("x")
+    ).select("run_id", "host", "at", "x.*")
     seen = each.where("value is not null and value != ''").groupBy("run_id", "host", "name", "value").agg(F.min("at").alias("at"))
     order = Window.partitionBy("run_id", "host", "name").orderBy("at", "value")
     few = seen.withColumn("k", F.row_number().over(order)).where(F.col("k") <= examples)
-    lists = few.groupBy("run_id", "host").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("name") == c, F.struct("k", "value")))), lambda x: x["value"]).alias(c + "s") for c in names])
+    lists = few.groupBy("run_id", "host").agg(
+        *[F.transform(F.array_sort(F.collect_list(F.when(F.col("name") == c, F.struct("k", "value")))), lambda x: x["value"]).alias(c + "s") for c in names]
+    )
     hosts = open_.groupBy("run_id", "host").agg(F.count("*").alias("citations")).join(lists, ["run_id", "host"], "left")
     return numbered(hosts, "run_id", "host", "place").withColumn("item_id", F.format_string("S-%03d", "place")).drop("place")
 
@@ -107,7 +117,9 @@ def work_citations(classified: DataFrame, work: DataFrame) -> DataFrame:
 def apply_decisions(classified: DataFrame, work: DataFrame, decisions: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Judged types replace `default_other` ones; below the threshold the type stays `other`."""
     allowed = [t for t in fixed.SOURCE_TYPES if t not in ("brand_official", "competitor_official")]
-    good = decisions.where(F.col("source_type").isin(*allowed) & F.col("confidence").between(0, 1)).select("run_id", "item_id", F.col("source_type").alias("judged"), F.col("confidence").alias("judged_confidence"))
+    good = decisions.where(F.col("source_type").isin(*allowed) & F.col("confidence").between(0, 1)).select(
+        "run_id", "item_id", F.col("source_type").alias("judged"), F.col("confidence").alias("judged_confidence")
+    )
     by_host = work.select("run_id", "host", "item_id").join(good, ["run_id", "item_id"]).drop("item_id")
     joined = classified.join(by_host, ["run_id", "host"], "left")
     open_ = (F.col("classification_source") == "default_other") & F.col("canonical_url").isNotNull() & F.col("judged").isNotNull()
@@ -122,6 +134,10 @@ def apply_decisions(classified: DataFrame, work: DataFrame, decisions: DataFrame
 
 def decision_findings(work: DataFrame, decisions: DataFrame) -> DataFrame:
     """(run_id, item_id, code): items missing or unexpected, types and confidences not allowed."""
-    both = work.select("run_id", "item_id", F.lit(1).alias("w")).join(decisions.select("run_id", "item_id", "source_type", "confidence", F.lit(1).alias("d")), ["run_id", "item_id"], "full_outer")
-    code = F.when(F.col("d").isNull(), "MISSING").when(F.col("w").isNull(), "UNEXPECTED").when(~F.coalesce(F.col("source_type").isin(*fixed.SOURCE_TYPES) & ~F.col("source_type").isin("brand_official", "competitor_official"), F.lit(False)), "TYPE").when(~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "RANGE")
+    both = work.select("run_id", "item_id", F.lit(1).alias("w")).join(
+        decisions.select("run_id", "item_id", "source_type", "confidence", F.lit(1).alias("d")), ["run_id", "item_id"], "full_outer"
+    )
+    code = F.when(F.col("d").isNull(), "MISSING").when(F.col("w").isNull(), "UNEXPECTED").when(
+        ~F.coalesce(F.col("source_type").isin(*fixed.SOURCE_TYPES) & ~F.col("source_type").isin("brand_official", "competitor_official"), F.lit(False)), "TYPE"
+    ).when(~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "RANGE")
     return both.withColumn("code", code).where("code is not null").select("run_id", "item_id", "code")

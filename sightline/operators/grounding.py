@@ -16,7 +16,9 @@ from ..functions.text import fact_tokens, has_free_number, number_tokens, or_emp
 def _inside(node: Column) -> Column:
     """The (pointer, v) nodes directly under `node`; none under a scalar."""
     items = F.try_variant_get(node["v"], "$", "array<variant>")
-    members = F.transform(F.map_entries(F.try_variant_get(node["v"], "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    members = F.transform(
+        F.map_entries(F.try_variant_get(node["v"], "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))
+    )
     listed = F.transform(items, lambda x, k: F.struct(k.cast("string").alias("k"), x.alias("v")))
 
     def placed(e: Column) -> Column:
@@ -46,7 +48,10 @@ def flatten(sections: DataFrame) -> DataFrame:
     node = sections.select("run_id", "section", F.explode(nodes).alias("e")).select("run_id", "section", "e.*")
     node = node.withColumn("kind", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0))
     items = F.try_variant_get(F.col("v"), "$", "array<variant>")
-    return node.select("run_id", "section", "pointer", "kind", F.when(~F.col("kind").isin("OBJECT", "ARRAY"), F.try_variant_get(F.col("v"), "$", "string")).alias("value"), F.when(F.col("kind") == "ARRAY", F.size(items)).alias("size"))
+    return node.select(
+        "run_id", "section", "pointer", "kind", F.when(~F.col("kind").isin("OBJECT", "ARRAY"), F.try_variant_get(F.col("v"), "$", "string")).alias("value"),
+        F.when(F.col("kind") == "ARRAY", F.size(items)).alias("size")
+    )
 
 
 def dotted(pointer: Column) -> Column:
@@ -62,7 +67,9 @@ def _short(number: Column) -> Column:
     def trimmed(c: Column) -> Column:
         return F.when(F.contains(c, F.lit(".")), F.regexp_replace(c, r"\.?0+$", "")).otherwise(c)
 
-    wide = F.concat(trimmed(F.regexp_extract(digits, "^(.*)e", 1)), F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    wide = F.concat(
+        trimmed(F.regexp_extract(digits, "^(.*)e", 1)), F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
+    )
     return F.when(number == 0, "0").when((exponent < -4) | (exponent >= 6), wide).otherwise(trimmed(digits.cast("decimal(38,12)").cast("string")))
 
 
@@ -91,7 +98,9 @@ def ungrounded_numbers(statements: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def limits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fixed.TEXT_LIMITS), "module_id string, path string, field string, max_length int, may_be_empty boolean, fewest int, most int")
+    return spark.createDataFrame(
+        list(fixed.TEXT_LIMITS), "module_id string, path string, field string, max_length int, may_be_empty boolean, fewest int, most int"
+    )
 
 
 def text_findings(statements: DataFrame) -> DataFrame:
@@ -100,8 +109,11 @@ def text_findings(statements: DataFrame) -> DataFrame:
     rows = statements.join(rules, ["module_id", "path", "field"], "left")
     text = or_empty(F.col("text"))
     codes = F.array(
-        F.when(F.col("max_length").isNull(), "UNKNOWN_FIELD"), F.when(~F.col("may_be_empty") & (strip(text) == ""), "EMPTY"), F.when(F.length(text) > F.col("max_length"), "TOO_LONG"),
-        F.when(F.contains(text, F.lit("```")) | text.rlike(fixed.BANNED), "BANNED"), F.when((F.col("module_id") == "M05") & text.rlike(fixed.ACTION_WORDS), "ADVICE"),
+        F.when(F.col("max_length").isNull(), "UNKNOWN_FIELD"), F.when(~F.col("may_be_empty") & (strip(text) == ""), "EMPTY"),
+        F.when(F.length(text) > F.col("max_length"), "TOO_LONG"),
+        F.when(F.contains(text, F.lit("```")) | text.rlike(fixed.BANNED), "BANNED"), F.when(
+            (F.col("module_id") == "M05") & text.rlike(fixed.ACTION_WORDS), "ADVICE"
+        ),
     )
     return rows.select("run_id", "module_id", "path", "idx", "field", F.explode(F.filter(codes, lambda x: x.isNotNull())).alias("code"))
 
@@ -118,7 +130,9 @@ def shape_findings(statements: DataFrame) -> DataFrame:
 
 def parity_findings(statements: DataFrame, facts: DataFrame) -> DataFrame:
     """(run_id, path): category-action groups that have facts and no text, or text and no facts."""
-    groups = facts.where("section = 'category_actions' and kind = 'ARRAY'").select("run_id", F.regexp_replace("pointer", "^/", "").alias("path"), (F.col("size") > 0).alias("has_facts"))
+    groups = facts.where("section = 'category_actions' and kind = 'ARRAY'").select(
+        "run_id", F.regexp_replace("pointer", "^/", "").alias("path"), (F.col("size") > 0).alias("has_facts")
+    )
     texts = statements.where("module_id = 'M05'").select("run_id", "path", (strip(or_empty(F.col("text"))) != "").alias("has_text"))
     return texts.join(groups, ["run_id", "path"], "left").where(F.coalesce("has_facts", F.lit(False)) != F.col("has_text")).select("run_id", "path")
 
@@ -133,17 +147,25 @@ def pointer_findings(statements: DataFrame, refs: DataFrame) -> DataFrame:
 
     Empty category groups and an empty summary need none.
     """
-    asked = statements.where(~(F.col("module_id").isin("M05") | ((F.col("module_id") == "M06") & (F.col("path") == "summary"))) | (strip(or_empty(F.col("text"))) != "")).where("not (module_id = 'M06' and path = 'actions' and field = 'source_module')")
+    asked = statements.where(
+        ~(F.col("module_id").isin("M05") | ((F.col("module_id") == "M06") & (F.col("path") == "summary"))) | (strip(or_empty(F.col("text"))) != "")
+    ).where("not (module_id = 'M06' and path = 'actions' and field = 'source_module')")
     asked = asked.withColumn("pointer", pointer_of(asked)).select("run_id", "module_id", "pointer").distinct()
     given = refs.select("run_id", "module_id", "pointer").distinct()
-    return asked.join(given, ["run_id", "module_id", "pointer"], "left_anti").withColumn("code", F.lit("NO_REFERENCE")).unionByName(given.join(asked, ["run_id", "module_id", "pointer"], "left_anti").withColumn("code", F.lit("NO_STATEMENT")))
+    return asked.join(given, ["run_id", "module_id", "pointer"], "left_anti").withColumn("code", F.lit("NO_REFERENCE")).unionByName(
+        given.join(asked, ["run_id", "module_id", "pointer"], "left_anti").withColumn("code", F.lit("NO_STATEMENT"))
+    )
 
 
 def unresolved_references(refs: DataFrame, facts: DataFrame, statements: DataFrame, evidence: DataFrame, directions: DataFrame) -> DataFrame:
     """(run_id, module_id, pointer, ref) of references to nothing: `fact:`, `module:`, `evidence:` or `action:`."""
     each = refs.withColumn("kind", F.substring_index("ref", ":", 1)).withColumn("name", F.regexp_replace("ref", "^[^:]*:", ""))
-    fact = facts.select("run_id", F.concat("section", "pointer").alias("name")).unionByName(facts.where("pointer = ''").select("run_id", F.concat("section", F.lit("/")).alias("name")))
-    module = statements.select("run_id", F.concat("module_id", pointer_of(statements)).alias("name")).unionByName(statements.select("run_id", F.col("module_id").alias("name")))
+    fact = facts.select("run_id", F.concat("section", "pointer").alias("name")).unionByName(
+        facts.where("pointer = ''").select("run_id", F.concat("section", F.lit("/")).alias("name"))
+    )
+    module = statements.select(
+        "run_id", F.concat("module_id", pointer_of(statements)).alias("name")
+    ).unionByName(statements.select("run_id", F.col("module_id").alias("name")))
     known = (
         fact.withColumn("kind", F.lit("fact")).unionByName(module.withColumn("kind", F.lit("module")))
         .unionByName(evidence.select("run_id", F.col("evidence_id").alias("name")).withColumn("kind", F.lit("evidence")))
@@ -182,7 +204,9 @@ def direction_findings(directions: DataFrame) -> DataFrame:
     """(run_id, direction_id, code): blank fields, and runs with more than three directions."""
     blank = F.array_join(F.filter(F.array(*[F.when(strip(or_empty(F.col(f))) == "", F.lit(f)) for f in DIRECTION_FIELDS]), lambda x: x.isNotNull()), ",")
     empty = directions.withColumn("blank", blank).where("blank != ''").select("run_id", "direction_id", F.concat(F.lit("BLANK:"), "blank").alias("code"))
-    many = directions.groupBy("run_id").agg(F.count("*").alias("n")).where("n > 3").select("run_id", F.lit(None).cast("string").alias("direction_id"), F.lit("TOO_MANY").alias("code"))
+    many = directions.groupBy("run_id").agg(F.count("*").alias("n")).where("n > 3").select(
+        "run_id", F.lit(None).cast("string").alias("direction_id"), F.lit("TOO_MANY").alias("code")
+    )
     return empty.unionByName(many)
 
 
@@ -191,14 +215,23 @@ def upload_rows(statements: DataFrame) -> DataFrame:
 
     Overview conclusion, action summary and the final module are no part of it; empty groups keep their row.
     """
-    order = statements.sparkSession.createDataFrame([(*row[:8], k) for k, row in enumerate(fixed.UPLOAD_ORDER)], "block int, module_id string, path string, field string, module string, to_path string, to_field string, indexed boolean, in_block int")
+    order = statements.sparkSession.createDataFrame(
+        [(*row[:8], k) for k, row in enumerate(fixed.UPLOAD_ORDER)],
+        "block int, module_id string, path string, field string, module string, to_path string, to_field string, indexed boolean, in_block int"
+    )
     rows = statements.join(F.broadcast(order), ["module_id", "path", "field"])
     place = F.struct("block", F.coalesce("idx", F.lit(0)).alias("idx"), "in_block")
-    return rows.select("run_id", place.alias("place"), "module", F.col("to_path").alias("path"), F.when(F.col("indexed"), F.col("idx").cast("string")).otherwise("").alias("index"), F.col("to_field").alias("field"), or_empty(F.col("text")).alias("value"))
+    return rows.select(
+        "run_id", place.alias("place"), "module", F.col("to_path").alias("path"),
+        F.when(F.col("indexed"), F.col("idx").cast("string")).otherwise("").alias("index"), F.col("to_field").alias("field"),
+        or_empty(F.col("text")).alias("value")
+    )
 
 
 def write_upload_csv(rows: DataFrame, path: str) -> None:
     """One CSV folder for each run, with a byte order mark before the header and CRLF line ends."""
     bom = "﻿"
-    out = rows.repartition("run_id").sortWithinPartitions("run_id", "place").select("run_id", F.col("module").alias(f"{bom}module"), "path", "index", "field", "value")
+    out = rows.repartition("run_id").sortWithinPartitions("run_id", "place").select(
+        "run_id", F.col("module").alias(f"{bom}module"), "path", "index", "field", "value"
+    )
     out.write.partitionBy("run_id").csv(path, header=True, lineSep="\r\n", escape='"', emptyValue="", nullValue="", encoding="UTF-8")

@@ -19,7 +19,9 @@ def mention_spans(answers: DataFrame, patterns: DataFrame) -> DataFrame:
 
     Spans of different aliases may overlap and all stay; they are ordered by start, longest first.
     """
-    hit = answers.select("run_id", "answer_id", nfkc(or_empty(F.col("answer_text"))).alias("t")).join(patterns.select("run_id", "object_id", "alias", "pattern"), "run_id").where(F.rlike("t", F.col("pattern")))
+    hit = answers.select(
+        "run_id", "answer_id", nfkc(or_empty(F.col("answer_text"))).alias("t")
+    ).join(patterns.select("run_id", "object_id", "alias", "pattern"), "run_id").where(F.rlike("t", F.col("pattern")))
     each = hit.select("run_id", "answer_id", "object_id", F.explode(spans(F.col("t"), F.col("pattern"), F.col("alias"))).alias("s")).distinct()
     order = F.struct(F.col("s.start"), (-(F.col("s.end") - F.col("s.start"))).alias("len"), F.lower("s.alias").alias("a"), F.col("s"))
     return each.groupBy("run_id", "answer_id", "object_id").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["s"]).alias("spans"))
@@ -42,7 +44,10 @@ def mentions(answers: DataFrame, patterns: DataFrame) -> DataFrame:
     ranked within its row, so no answer is shuffled.
     """
     text = answers.select("run_id", "answer_id", nfkc(or_empty(F.col("answer_text"))).alias("t")).join(run_patterns(patterns), "run_id")
-    each = F.transform("objects", lambda o: F.struct(first_position(F.col("t"), o["pattern"]).alias("at"), o["display_order"].alias("display_order"), o["object_id"].alias("object_id")))
+    each = F.transform(
+        "objects",
+        lambda o: F.struct(first_position(F.col("t"), o["pattern"]).alias("at"), o["display_order"].alias("display_order"), o["object_id"].alias("object_id"))
+    )
     named = F.array_sort(F.filter(each, lambda x: x["at"].isNotNull()))
     found = text.select("run_id", "answer_id", F.posexplode(named).alias("pos", "x"))
     return found.select("run_id", "answer_id", "x.object_id", "x.display_order", F.col("x.at").alias("first_position"), (F.col("pos") + 1).alias("report_rank"))
@@ -55,7 +60,9 @@ def object_metrics(answers: DataFrame, found: DataFrame, objects: DataFrame) ->
     """
     generic = answers.where("question_type = 'generic'")
     totals = generic.groupBy("run_id").agg(F.count("*").alias("answers"))
-    counts = found.join(generic.select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi").groupBy("run_id", "object_id").agg(F.count("*").alias("mentions"), F.sum("report_rank").alias("rank_sum"))
+    counts = found.join(
+        generic.select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi"
+    ).groupBy("run_id", "object_id").agg(F.count("*").alias("mentions"), F.sum("report_rank").alias("rank_sum"))
     rows = objects.select("run_id", "object_id", "role", "display_order").join(totals, "run_id", "left").join(counts, ["run_id", "object_id"], "left").fillna(0, ["answers", "mentions", "rank_sum"])
     voices = F.sum("mentions").over(Window.partitionBy("run_id"))
     return rows.withColumn("all_mentions", voices).select(

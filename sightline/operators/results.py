@@ -40,9 +40,22 @@ def opportunity_top(rows: DataFrame, limit: int = 3) -> DataFrame:
 
 def benchmarks(metrics: DataFrame) -> DataFrame:
     """(run_id, metric, best_value, selected_competitor, tied): the best competitor in three metrics."""
-    rivals = metrics.where("role = 'competitor'").select("run_id", "object_id", "display_order", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"), F.lit(s).alias("sign")) for m, s in (("mention_rate", 1.0), ("share_of_voice", 1.0), ("average_rank", -1.0))])).alias("x")).select("run_id", "object_id", "display_order", "x.*").where("value is not null")
+    rivals = metrics.where("role = 'competitor'").select(
+        "run_id", "object_id", "display_order",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"), F.lit(s).alias("sign")) for m,
+                    s in (("mention_rate", 1.0), ("share_of_voice", 1.0), ("average_rank", -1.0))
+                ]
+            )
+        ).alias("x")
+    ).select("run_id", "object_id", "display_order", "x.*").where("value is not null")
     best = rivals.withColumn("best", F.max(F.col("value") * F.col("sign")).over(Window.partitionBy("run_id", "metric"))).where("value * sign = best")
-    return best.groupBy("run_id", "metric").agg(F.max("value").alias("best_value"), F.min_by("object_id", "display_order").alias("selected_competitor"), F.transform(F.array_sort(F.collect_list(F.struct("display_order", "object_id"))), lambda x: x["object_id"]).alias("tied"))
+    return best.groupBy("run_id", "metric").agg(
+        F.max("value").alias("best_value"), F.min_by("object_id", "display_order").alias("selected_competitor"),
+        F.transform(F.array_sort(F.collect_list(F.struct("display_order", "object_id"))), lambda x: x["object_id"]).alias("tied")
+    )
 
 
 def action_states(metrics: DataFrame, best: DataFrame, counts: DataFrame, share: DataFrame, official_pages: DataFrame, sentiment: DataFrame) -> DataFrame:
@@ -55,19 +68,32 @@ def action_states(metrics: DataFrame, best: DataFrame, counts: DataFrame, share:
     rivals = best.groupBy("run_id").agg(of("mention_rate").alias("best_rate"), of("average_rank").alias("best_rank"))
     target = metrics.where("role = 'target'").select("run_id", "answers", "mention_rate", "average_rank")
     pages = official_pages.groupBy("run_id").agg(F.count("*").alias("pages"))
-    row = target.join(rivals, "run_id", "left").join(counts.select("run_id", "priority_improve"), "run_id", "left").join(share.select("run_id", "citations", F.col("share").alias("official")), "run_id", "left").join(pages, "run_id", "left")
+    row = target.join(rivals, "run_id", "left").join(counts.select("run_id", "priority_improve"), "run_id", "left").join(
+        share.select("run_id", "citations", F.col("share").alias("official")), "run_id", "left"
+    ).join(pages, "run_id", "left")
     row = row.join(sentiment.select("run_id", "positive_share", "negative_share"), "run_id", "left")
     no = F.lit(False)
     absent = F.coalesce(F.col("best_rate") - F.col("mention_rate") >= 0.10, no) | F.coalesce(ratio(F.col("priority_improve"), F.col("answers")) >= 0.20, no)
     lag = F.coalesce(F.col("average_rank") - F.col("best_rank") >= 1.0, no)
     entry = F.when(F.col("answers") > 0, F.when(absent, "absent").when(lag, "position_lag").otherwise("no_significant_gap"))
-    cited = F.when(F.col("citations") > 0, F.when(F.col("official") < 0.10, "weak").when(F.coalesce("pages", F.lit(0)) <= 2, "insufficient_coverage").otherwise("stable"))
-    said = F.when(F.col("positive_share").isNotNull(), F.when(F.col("negative_share") >= 0.15, "risk").when(F.col("positive_share") < 0.50, "flat").otherwise("positive"))
-    states = F.array(*[F.struct(F.lit(n).alias("direction"), s.alias("state")) for n, s in (("brand_entry", entry), ("citation_evidence", cited), ("brand_expression", said))])
+    cited = F.when(
+        F.col("citations") > 0, F.when(F.col("official") < 0.10, "weak").when(F.coalesce("pages", F.lit(0)) <= 2, "insufficient_coverage").otherwise("stable")
+    )
+    said = F.when(
+        F.col("positive_share").isNotNull(), F.when(F.col("negative_share") >= 0.15, "risk").when(F.col("positive_share") < 0.50, "flat").otherwise("positive")
+    )
+    states = F.array(
+        *[
+            F.struct(F.lit(n).alias("direction"), s.alias("state")) for n,
+            s in (("brand_entry", entry), ("citation_evidence", cited), ("brand_expression", said))
+        ]
+    )
     return row.select("run_id", F.explode(states).alias("x")).select("run_id", "x.*").where("state is not null")
 
 
-def publish_checks(runs: DataFrame, coverage: DataFrame, counts: DataFrame, metrics: DataFrame, sentiment: DataFrame, artefacts: DataFrame, inputs: DataFrame, tasks: DataFrame) -> DataFrame:
+def publish_checks(
+    runs: DataFrame, coverage: DataFrame, counts: DataFrame, metrics: DataFrame, sentiment: DataFrame, artefacts: DataFrame, inputs: DataFrame, tasks: DataFrame
+) -> DataFrame:
     """(run_id, code, passed, severity): a row for each check of each run; all block.
 
     `runs(run_id, quota_total, config_hash, frozen_at, answers_hash, metrics_hash)`; `artefacts(run_id, artefact,
@@ -77,8 +103,14 @@ def publish_checks(runs: DataFrame, coverage: DataFrame, counts: DataFrame, metr
     """
     of = lambda rows, hit, name: rows.groupBy("run_id").agg(F.bool_and(hit).alias(name))
     same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
-    row = runs.join(coverage, "run_id", "left").join(counts, "run_id", "left").join(voice_check(metrics).withColumnRenamed("passed", "voices"), "run_id", "left").join(sentiment.select("run_id", "unresolved"), "run_id", "left")
-    row = row.join(of(artefacts, same("own_run_id", "run_id"), "one_batch"), "run_id", "left").join(of(inputs, same("used", "current"), "same_inputs"), "run_id", "left").join(of(tasks, F.coalesce(F.col("status") != "pending", F.lit(False)), "resolved"), "run_id", "left")
+    row = runs.join(coverage, "run_id", "left").join(counts, "run_id", "left").join(
+        voice_check(metrics).withColumnRenamed("passed", "voices"), "run_id", "left"
+    ).join(sentiment.select("run_id", "unresolved"), "run_id", "left")
+    row = row.join(
+        of(artefacts, same("own_run_id", "run_id"), "one_batch"), "run_id", "left"
+    ).join(of(inputs, same("used", "current"), "same_inputs"), "run_id", "left").join(
+        of(tasks, F.coalesce(F.col("status") != "pending", F.lit(False)), "resolved"), "run_id", "left"
+    )
     total = sum((F.coalesce(b, F.lit(0)) for b in BUCKETS), F.lit(0))
     zero = lambda c: F.coalesce(c, F.lit(0))
     held = lambda *names: sum(((or_empty(F.col(n)) != "").cast("int") for n in names), F.lit(0)) == len(names)
@@ -109,7 +141,9 @@ def batch_findings(parts: DataFrame) -> DataFrame:
 
 def metric_differences(computed: DataFrame, supplied: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Rows of (run_id, metric, computed, supplied) that differ or that one side lacks."""
-    both = computed.select("run_id", "metric", F.col("value").alias("computed")).join(supplied.select("run_id", "metric", F.col("value").alias("supplied")), ["run_id", "metric"], "full_outer")
+    both = computed.select("run_id", "metric", F.col("value").alias("computed")).join(
+        supplied.select("run_id", "metric", F.col("value").alias("supplied")), ["run_id", "metric"], "full_outer"
+    )
     return both.where(F.col("computed").isNull() | F.col("supplied").isNull() | (F.abs(F.col("computed") - F.col("supplied")) > tolerance))
 
 
@@ -121,7 +155,9 @@ def fingerprints(rows: DataFrame, keys: list[str], group: str) -> DataFrame:
     names = sorted(rows.columns)
     row = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
     part = lambda k: F.sum(F.conv(F.substring("_h", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-    return rows.withColumn("_h", row).groupBy(group).agg(F.count("*").alias("rows"), F.sha2(F.concat_ws("|", *[part(k) for k in range(4)], F.lit(",".join(keys))), 256).alias("fingerprint"))
+    return rows.withColumn("_h", row).groupBy(group).agg(
+        F.count("*").alias("rows"), F.sha2(F.concat_ws("|", *[part(k) for k in range(4)], F.lit(",".join(keys))), 256).alias("fingerprint")
+    )
 
 
 def details(answers: DataFrame, found: DataFrame, classified: DataFrame) -> DataFrame:
@@ -130,5 +166,7 @@ def details(answers: DataFrame, found: DataFrame, classified: DataFrame) -> Data
     Objects of an answer are bounded by the run's objects, citations by its answer's text.
     """
     objects = found.groupBy("run_id", "answer_id").agg(F.array_sort(F.collect_list(F.struct("report_rank", "object_id", "first_position"))).alias("objects"))
-    cited = classified.groupBy("run_id", "answer_id").agg(F.array_sort(F.collect_list(F.struct("citation_no", "canonical_url", "source_type"))).alias("citations"))
+    cited = classified.groupBy("run_id", "answer_id").agg(
+        F.array_sort(F.collect_list(F.struct("citation_no", "canonical_url", "source_type"))).alias("citations")
+    )
     return answers.join(objects, ["run_id", "answer_id"], "left").join(cited, ["run_id", "answer_id"], "left")

@@ -55,7 +55,9 @@ def routed(results: DataFrame, threshold: float) -> DataFrame:
 
 def work_findings(work: DataFrame, results: DataFrame) -> DataFrame:
     """(run_id, answer_id, code) of answers asked for and not judged, or judged and not asked for."""
-    both = work.select("run_id", "answer_id", F.lit(1).alias("w")).join(results.select("run_id", "answer_id", F.lit(1).alias("r")).distinct(), ["run_id", "answer_id"], "full_outer")
+    both = work.select("run_id", "answer_id", F.lit(1).alias("w")).join(
+        results.select("run_id", "answer_id", F.lit(1).alias("r")).distinct(), ["run_id", "answer_id"], "full_outer"
+    )
     return both.where("w is null or r is null").select("run_id", "answer_id", F.when(F.col("w").isNull(), "UNEXPECTED").otherwise("MISSING").alias("code"))
 
 
@@ -64,25 +66,37 @@ def target_sentiment(answers: DataFrame, found: DataFrame, results: DataFrame) -
 
     The positive ratio leaves neutral ones out; the distribution has all three.
     """
-    named = answers.where("valid").select("run_id", "answer_id").join(found.where("object_id = 'target'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi")
+    named = answers.where("valid").select("run_id", "answer_id").join(
+        found.where("object_id = 'target'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi"
+    )
     judged = named.join(results.select("run_id", "answer_id", "label", "status"), ["run_id", "answer_id"], "left")
     n = lambda x: F.count_if((F.col("status") == "accepted") & (F.col("label") == x))
-    counts = judged.groupBy("run_id").agg(n("positive").alias("positive"), n("neutral").alias("neutral"), n("negative").alias("negative"), F.count_if(F.coalesce(F.col("status") != "accepted", F.lit(True))).alias("unresolved"))
+    counts = judged.groupBy("run_id").agg(
+        n("positive").alias("positive"), n("neutral").alias("neutral"), n("negative").alias("negative"),
+        F.count_if(F.coalesce(F.col("status") != "accepted", F.lit(True))).alias("unresolved")
+    )
     all_ = F.col("positive") + F.col("neutral") + F.col("negative")
     sided = F.col("positive") + F.col("negative")
-    return counts.select("run_id", "positive", "neutral", "negative", "unresolved", ratio(F.col("positive"), sided).alias("positive_ratio"), percent(F.col("positive"), sided).alias("positive_display"), *[ratio(F.col(x), all_).alias(f"{x}_share") for x in ("positive", "neutral", "negative")])
+    return counts.select(
+        "run_id", "positive", "neutral", "negative", "unresolved", ratio(F.col("positive"), sided).alias("positive_ratio"),
+        percent(F.col("positive"), sided).alias("positive_display"), *[ratio(F.col(x), all_).alias(f"{x}_share") for x in ("positive", "neutral", "negative")]
+    )
 
 
 def unresolved_answers(answers: DataFrame, found: DataFrame, results: DataFrame) -> DataFrame:
     """(run_id, answer_id) of valid answers that name the target without an accepted judgement."""
-    named = answers.where("valid").select("run_id", "answer_id").join(found.where("object_id = 'target'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi")
+    named = answers.where("valid").select("run_id", "answer_id").join(
+        found.where("object_id = 'target'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_semi"
+    )
     return named.join(results.where("status = 'accepted'").select("run_id", "answer_id"), ["run_id", "answer_id"], "left_anti")
 
 
 def evidence(results: DataFrame) -> DataFrame:
     """`E-{answer}-{nn}` rows of the quotes of accepted judgements."""
     rows = results.where("status = 'accepted'").select("run_id", "answer_id", "label", F.posexplode("evidence").alias("pos", "quote"))
-    return rows.select("run_id", F.format_string("E-%s-%02d", F.col("answer_id").cast("string"), F.col("pos") + 1).alias("evidence_id"), "answer_id", "label", "quote")
+    return rows.select(
+        "run_id", F.format_string("E-%s-%02d", F.col("answer_id").cast("string"), F.col("pos") + 1).alias("evidence_id"), "answer_id", "label", "quote"
+    )
 
 
 def theme_findings(themes: DataFrame, proof: DataFrame) -> DataFrame:
@@ -99,4 +113,6 @@ def theme_findings(themes: DataFrame, proof: DataFrame) -> DataFrame:
 def theme_support(themes: DataFrame, proof: DataFrame) -> DataFrame:
     """(run_id, theme_id, support): distinct answers behind a theme."""
     each = themes.select("run_id", "theme_id", F.explode("evidence_ids").alias("evidence_id"))
-    return each.join(proof.select("run_id", "evidence_id", "answer_id"), ["run_id", "evidence_id"]).groupBy("run_id", "theme_id").agg(F.countDistinct("answer_id").alias("support"))
+    return each.join(
+        proof.select("run_id", "evidence_id", "answer_id"), ["run_id", "evidence_id"]
+    ).groupBy("run_id", "theme_id").agg(F.countDistinct("answer_id").alias("support"))

@@ -60,7 +60,9 @@ def with_status(samples: DataFrame) -> DataFrame:
         .when(F.col("result_failed"), "SOURCE_FAILED")
         .otherwise(bad)
     )
-    status = F.when(F.col("error_code").isNull(), "success").when(F.col("error_code") == "PENDING", "pending").when(F.col("error_code").isin("SOURCE_FAILED", "MISSING_RESULT"), "failed").otherwise("invalid")
+    status = F.when(F.col("error_code").isNull(), "success").when(F.col("error_code") == "PENDING", "pending").when(
+        F.col("error_code").isin("SOURCE_FAILED", "MISSING_RESULT"), "failed"
+    ).otherwise("invalid")
     return samples.withColumn("error_code", code).withColumn("status", status).withColumn("analysis_eligible", F.col("error_code").isNull())
 
 
@@ -98,7 +100,9 @@ def collection_results(docs: DataFrame) -> DataFrame:
         "run_id", "sample_pos", either("sample_id").alias("sample_id"), either("question_id").alias("question_id"), either("question").alias("question_text"),
         F.lit(None).cast("int").alias("question_index"), F.coalesce(either("repeat_index").try_cast("int"), F.lit(1)).alias("repeat_index"),
         F.lower(or_empty(either("status"))).alias("raw_status"), (~failed).alias("ok"), F.lit(True).alias("has_result"), failed.alias("result_failed"),
-        or_empty(F.coalesce(text_at("s", "$.answer.text"), text_at("s", "$.answer"))).alias("answer_text"), F.try_variant_get(F.col("s"), "$.references", "variant").alias("references"), "source_shape",
+        or_empty(
+            F.coalesce(text_at("s", "$.answer.text"), text_at("s", "$.answer"))
+        ).alias("answer_text"), F.try_variant_get(F.col("s"), "$.references", "variant").alias("references"), "source_shape",
     )
 
 
@@ -110,9 +114,14 @@ def import_crawl(raw: DataFrame, questions: DataFrame) -> DataFrame:
     """
     docs = parsed(raw)
     samples = with_status(batch_samples(docs).unionByName(collection_results(docs)))
-    asked = questions.select("run_id", F.col("question_id").alias("known_id"), casefold(F.col("question_id")).alias("id_key"), normalize_text(F.col("question_text")).alias("text_key"))
+    asked = questions.select(
+        "run_id", F.col("question_id").alias("known_id"), casefold(F.col("question_id")).alias("id_key"),
+        normalize_text(F.col("question_text")).alias("text_key")
+    )
     by_id = asked.select("run_id", "id_key", F.col("known_id").alias("by_id"), F.col("text_key").alias("known_text"))
-    by_text = asked.where("text_key != ''").groupBy("run_id", "text_key").agg(F.min("known_id").alias("by_text"), F.count("*").alias("n")).where("n = 1").drop("n")
+    by_text = asked.where("text_key != ''").groupBy("run_id", "text_key").agg(
+        F.min("known_id").alias("by_text"), F.count("*").alias("n")
+    ).where("n = 1").drop("n")
     keyed = samples.withColumn("id_key", casefold(F.col("question_id"))).withColumn("text_key", normalize_text(F.col("question_text")))
     matched = keyed.join(by_id, ["run_id", "id_key"], "left").join(by_text, ["run_id", "text_key"], "left")
     found = matched.select(
@@ -124,10 +133,17 @@ def import_crawl(raw: DataFrame, questions: DataFrame) -> DataFrame:
 
 def _missing(docs: DataFrame, samples: DataFrame, questions: DataFrame) -> DataFrame:
     """Pending rows: planned samples that did not come (J3), and questions without any sample or plan."""
-    plan = docs.select("run_id", F.explode(_array_at("doc", "$.plan")).alias("p")).select("run_id", text_at("p", "$.sample_id").alias("sample_id"), text_at("p", "$.question_id").alias("question_match"), F.coalesce(_int_at("p", "$.repeat_index"), F.lit(1)).alias("repeat_index"))
+    plan = docs.select("run_id", F.explode(_array_at("doc", "$.plan")).alias("p")).select(
+        "run_id", text_at("p", "$.sample_id").alias("sample_id"), text_at("p", "$.question_id").alias("question_match"),
+        F.coalesce(_int_at("p", "$.repeat_index"), F.lit(1)).alias("repeat_index")
+    )
     late = plan.join(samples.select("run_id", "sample_id"), ["run_id", "sample_id"], "left_anti")
-    seen = samples.select("run_id", casefold(F.col("question_match")).alias("key")).unionByName(late.select("run_id", casefold(F.col("question_match")).alias("key")))
-    silent = questions.withColumn("key", casefold(F.col("question_id"))).join(seen, ["run_id", "key"], "left_anti").select("run_id", F.concat("question_id", F.lit("-r01")).alias("sample_id"), F.col("question_id").alias("question_match"), F.lit(1).alias("repeat_index"))
+    seen = samples.select("run_id", casefold(F.col("question_match")).alias("key")).unionByName(
+        late.select("run_id", casefold(F.col("question_match")).alias("key"))
+    )
+    silent = questions.withColumn("key", casefold(F.col("question_id"))).join(seen, ["run_id", "key"], "left_anti").select(
+        "run_id", F.concat("question_id", F.lit("-r01")).alias("sample_id"), F.col("question_id").alias("question_match"), F.lit(1).alias("repeat_index")
+    )
     return late.unionByName(silent).withColumn("status", F.lit("pending")).withColumn("error_code", F.lit("PENDING")).withColumn("analysis_eligible", F.lit(False))
 
 
@@ -144,19 +160,27 @@ def reference_citations(samples: DataFrame) -> DataFrame:
     items = samples.where("analysis_eligible").select("run_id", "sample_id", F.posexplode(_array_at("references", "$.items")).alias("pos", "item"))
     items = items.where(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
     url = F.coalesce(*[F.nullif(strip(or_empty(text_at("item", f"$.{k}"))), F.lit("")) for k in ("url", "link", "href")])
-    return items.select("run_id", "sample_id", F.lit("platform").alias("citation_source"), (F.col("pos") + 1).alias("source_order"), url.alias("raw_url"), F.coalesce(text_at("item", "$.source"), text_at("item", "$.name")).alias("source_name"), text_at("item", "$.domain").alias("domain_hint"), text_at("item", "$.title").alias("title"), text_at("item", "$.date").alias("date"), text_at("item", "$.summary").alias("summary"))
+    return items.select(
+        "run_id", "sample_id", F.lit("platform").alias("citation_source"), (F.col("pos") + 1).alias("source_order"), url.alias("raw_url"),
+        F.coalesce(text_at("item", "$.source"), text_at("item", "$.name")).alias("source_name"), text_at("item", "$.domain").alias("domain_hint"),
+        text_at("item", "$.title").alias("title"), text_at("item", "$.date").alias("date"), text_at("item", "$.summary").alias("summary")
+    )
 
 
 def reference_findings(samples: DataFrame) -> DataFrame:
     """(run_id, code, sample_id) of malformed reference lists, for ineligible samples too."""
     kind = F.schema_of_variant(F.try_variant_get(F.col("references"), "$.items", "variant"))
     listed = samples.where("references is not null")
-    no_list = listed.where(~F.coalesce(F.startswith(kind, F.lit("ARRAY")), F.lit(False))).select("run_id", F.lit("INVALID_REFERENCE_ITEMS").alias("code"), "sample_id")
+    no_list = listed.where(~F.coalesce(F.startswith(kind, F.lit("ARRAY")), F.lit(False))).select(
+        "run_id", F.lit("INVALID_REFERENCE_ITEMS").alias("code"), "sample_id"
+    )
     items = listed.select("run_id", "sample_id", F.explode(_array_at("references", "$.items")).alias("item"))
     odd = items.where(~F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))).select("run_id", F.lit("INVALID_REFERENCE_ITEM").alias("code"), "sample_id")
     declared = F.try_variant_get(F.col("references"), "$.count", "int")
     is_int = F.schema_of_variant(F.try_variant_get(F.col("references"), "$.count", "variant")) == "BIGINT"
-    off = listed.where(is_int & (declared != F.size(_array_at("references", "$.items")))).select("run_id", F.lit("REFERENCE_COUNT_MISMATCH").alias("code"), "sample_id")
+    off = listed.where(is_int & (declared != F.size(_array_at("references", "$.items")))).select(
+        "run_id", F.lit("REFERENCE_COUNT_MISMATCH").alias("code"), "sample_id"
+    )
     return no_list.unionByName(odd).unionByName(off)
 
 
@@ -170,7 +194,9 @@ def body_citations(samples: DataFrame, platform: DataFrame) -> DataFrame:
     listed = platform.groupBy("run_id", "sample_id").agg(F.max("source_order").alias("last"))
     urls = samples.where("analysis_eligible").select("run_id", "sample_id", F.posexplode(body_urls(F.col("answer_text"))).alias("pos", "raw_url"))
     fresh = urls.join(platform.select("run_id", "sample_id", "raw_url"), ["run_id", "sample_id", "raw_url"], "left_anti")
-    return fresh.join(listed, ["run_id", "sample_id"], "left").select("run_id", "sample_id", F.lit("body").alias("citation_source"), (F.coalesce("last", F.lit(0)) + F.col("pos") + 1).alias("source_order"), "raw_url")
+    return fresh.join(listed, ["run_id", "sample_id"], "left").select(
+        "run_id", "sample_id", F.lit("body").alias("citation_source"), (F.coalesce("last", F.lit(0)) + F.col("pos") + 1).alias("source_order"), "raw_url"
+    )
 
 
 def citations(samples: DataFrame) -> DataFrame:
@@ -205,9 +231,14 @@ def import_questions(raw: DataFrame) -> DataFrame:
     return q.select(
         "run_id", "place", F.coalesce(_first("q", "question_id", "id"), F.format_string("q%02d", "place")).alias("question_id"),
         F.coalesce(number("generation_sequence"), number("index"), F.col("place")).alias("sequence"),
-        _first("q", "monitoring_prompt", "user_question", "question_text", "question", "standalone_rewrite").alias("question_text"), _first("q", "question_zh").alias("question_zh"),
-        type_.alias("claimed_type"), intent.alias("claimed_intent"), label(type_, fixed.TYPE_LABELS).alias("question_type"), label(intent, fixed.INTENT_LABELS).alias("funnel_intent"),
-        F.coalesce(intent.isin(*fixed.LEGACY_INTENTS), F.lit(False)).alias("migrated"), F.coalesce(F.startswith(F.schema_of_variant("q"), F.lit("OBJECT")), F.lit(False)).alias("is_object"),
+        _first(
+            "q", "monitoring_prompt", "user_question", "question_text", "question", "standalone_rewrite"
+        ).alias("question_text"), _first("q", "question_zh").alias("question_zh"),
+        type_.alias("claimed_type"), intent.alias("claimed_intent"), label(type_, fixed.TYPE_LABELS).alias("question_type"),
+        label(intent, fixed.INTENT_LABELS).alias("funnel_intent"),
+        F.coalesce(intent.isin(*fixed.LEGACY_INTENTS), F.lit(False)).alias("migrated"), F.coalesce(
+            F.startswith(F.schema_of_variant("q"), F.lit("OBJECT")), F.lit(False)
+        ).alias("is_object"),
     )
 
 
@@ -243,28 +274,44 @@ def import_objects(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     brand = _given("doc", "brand")
     named = F.when(F.schema_of_variant(brand) == "STRING", F.try_variant_get(brand, "$", "string"))
     target = docs.select(
-        "run_id", F.lit(0).alias("display_order"), F.coalesce(brand, F.when(_first("doc", "brand_name", "customer_name").isNotNull(), F.try_parse_json(F.lit("{}")))).alias("o"), F.when(brand.isNull(), _first("doc", "brand_name", "customer_name")).otherwise(named).alias("flat_name"),
-        F.when(brand.isNull(), _given("doc", "brand_aliases", "aliases")).alias("flat_aliases"), F.when(brand.isNull(), _given("doc", "brand_domain", "official_domain")).alias("flat_domain"), F.when(brand.isNull(), _first("doc", "object_scope")).alias("flat_scope"),
+        "run_id", F.lit(0).alias("display_order"), F.coalesce(
+            brand, F.when(_first("doc", "brand_name", "customer_name").isNotNull(), F.try_parse_json(F.lit("{}")))
+        ).alias("o"), F.when(brand.isNull(), _first("doc", "brand_name", "customer_name")).otherwise(named).alias("flat_name"),
+        F.when(brand.isNull(), _given("doc", "brand_aliases", "aliases")).alias("flat_aliases"), F.when(
+            brand.isNull(), _given("doc", "brand_domain", "official_domain")
+        ).alias("flat_domain"), F.when(brand.isNull(), _first("doc", "object_scope")).alias("flat_scope"),
     )
     rivals = docs.select("run_id", F.posexplode(_listed(_given("doc", "competitors", "comps_list"))).alias("pos", "o"))
     nothing = F.lit(None).cast("variant")
     plain = F.when(F.schema_of_variant("o") == "STRING", F.try_variant_get(F.col("o"), "$", "string"))
-    rivals = rivals.select("run_id", (F.col("pos") + 1).alias("display_order"), "o", plain.alias("flat_name"), nothing.alias("flat_aliases"), nothing.alias("flat_domain"), no_text.alias("flat_scope"))
+    rivals = rivals.select(
+        "run_id", (F.col("pos") + 1).alias("display_order"), "o", plain.alias("flat_name"), nothing.alias("flat_aliases"), nothing.alias("flat_domain"),
+        no_text.alias("flat_scope")
+    )
     both = target.unionByName(rivals)
     is_target = F.col("display_order") == 0
     objects = both.select(
-        "run_id", F.when(is_target, "target").otherwise(F.format_string("competitor-%02d", "display_order")).alias("object_id"), F.when(is_target, "target").otherwise("competitor").alias("role"),
-        "display_order", F.coalesce(F.nullif(strip(or_empty(F.col("flat_name"))), F.lit("")), _first("o", "name", "canonical_name", "brand_name")).alias("canonical_name"), F.coalesce("flat_scope", _first("o", "object_scope"), F.lit("brand")).alias("object_scope"),
-        _listed(F.coalesce("flat_aliases", _given("o", "aliases", "confirmed_aliases"))).alias("listed"), _listed(F.coalesce("flat_domain", _given("o", "official_domains", "official_domain", "domain", "brand_domain"))).alias("hosts"),
+        "run_id", F.when(is_target, "target").otherwise(F.format_string("competitor-%02d", "display_order")).alias("object_id"),
+        F.when(is_target, "target").otherwise("competitor").alias("role"),
+        "display_order", F.coalesce(
+            F.nullif(strip(or_empty(F.col("flat_name"))), F.lit("")), _first("o", "name", "canonical_name", "brand_name")
+        ).alias("canonical_name"), F.coalesce("flat_scope", _first("o", "object_scope"), F.lit("brand")).alias("object_scope"),
+        _listed(F.coalesce("flat_aliases", _given("o", "aliases", "confirmed_aliases"))).alias("listed"), _listed(
+            F.coalesce("flat_domain", _given("o", "official_domains", "official_domain", "domain", "brand_domain"))
+        ).alias("hosts"),
     )
     from ..functions.text import normalize_alias
     from ..functions.urls import normalize_host
 
-    aliases = objects.select("run_id", "object_id", F.posexplode(F.concat(F.array("canonical_name"), F.transform("listed", _alias_of))).alias("pos", "alias")).withColumn("alias", strip(or_empty(F.col("alias")))).withColumn("alias_norm", normalize_alias(F.col("alias"))).where("alias_norm != ''")
+    aliases = objects.select(
+        "run_id", "object_id", F.posexplode(F.concat(F.array("canonical_name"), F.transform("listed", _alias_of))).alias("pos", "alias")
+    ).withColumn("alias", strip(or_empty(F.col("alias")))).withColumn("alias_norm", normalize_alias(F.col("alias"))).where("alias_norm != ''")
     first = Window.partitionBy("run_id", "object_id", "alias_norm").orderBy("pos")
     aliases = aliases.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     names = F.transform("hosts", lambda h: F.try_variant_get(h, "$", "string"))
-    domains = objects.select("run_id", "object_id", "role", "display_order", F.posexplode(names).alias("domain_pos", "d")).select("run_id", "object_id", "role", "display_order", normalize_host(F.col("d")).alias("domain"), "domain_pos").where("domain is not null")
+    domains = objects.select("run_id", "object_id", "role", "display_order", F.posexplode(names).alias("domain_pos", "d")).select(
+        "run_id", "object_id", "role", "display_order", normalize_host(F.col("d")).alias("domain"), "domain_pos"
+    ).where("domain is not null")
     return objects.drop("listed", "hosts"), aliases, domains
 
 
@@ -281,9 +328,14 @@ def import_runs(raw: DataFrame) -> DataFrame:
     generic, branded = count("question_type.generic"), count("question_type.branded", "question_type.brand")
     total = F.coalesce(F.nullif(count("total"), F.lit(0)), count("expected_total"))
     return docs.select(
-        "run_id", or_empty(_first("doc", "topic")).alias("topic"), F.size(_array_at("doc", "$.topics")).alias("topics"), folded("US", "market", "target_market").alias("market"), folded("en", "language").alias("language"), folded("chatgpt", "platform").alias("platform"),
-        F.when(quotas.isNull(), fixed.QUOTA_TOTAL).when(total <= 0, generic + branded).otherwise(total).alias("quota_total"), F.when(quotas.isNull(), fixed.QUOTA_GENERIC).otherwise(generic).alias("quota_generic"), F.when(quotas.isNull(), fixed.QUOTA_BRANDED).otherwise(branded).alias("quota_branded"),
-        F.coalesce(F.try_variant_get(F.col("doc"), "$.sentiment_confidence_threshold", "double"), F.lit(fixed.THRESHOLD)).alias("sentiment_threshold"), F.coalesce(_first("doc", "sample_policy"), F.lit(fixed.SAMPLE_POLICY)).alias("sample_policy"),
+        "run_id", or_empty(_first("doc", "topic")).alias("topic"), F.size(_array_at("doc", "$.topics")).alias("topics"),
+        folded("US", "market", "target_market").alias("market"), folded("en", "language").alias("language"), folded("chatgpt", "platform").alias("platform"),
+        F.when(quotas.isNull(), fixed.QUOTA_TOTAL).when(total <= 0, generic + branded).otherwise(total).alias("quota_total"),
+        F.when(quotas.isNull(), fixed.QUOTA_GENERIC).otherwise(generic).alias("quota_generic"),
+        F.when(quotas.isNull(), fixed.QUOTA_BRANDED).otherwise(branded).alias("quota_branded"),
+        F.coalesce(
+            F.try_variant_get(F.col("doc"), "$.sentiment_confidence_threshold", "double"), F.lit(fixed.THRESHOLD)
+        ).alias("sentiment_threshold"), F.coalesce(_first("doc", "sample_policy"), F.lit(fixed.SAMPLE_POLICY)).alias("sample_policy"),
     ).withColumn("topics", F.when(F.col("topics") >= 0, F.col("topics")))
 
 
@@ -293,6 +345,11 @@ SECTIONS = ("overview", "competitor", "citation", "brand_expression", "category_
 def payload_sections(raw: DataFrame) -> DataFrame:
     """(run_id, section, body variant): sections as JSON or as a string that holds JSON."""
     docs = parsed(raw)
-    rows = docs.select("run_id", F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.try_variant_get(F.col("doc"), f"$.{s}", "variant").alias("body")) for s in SECTIONS])).alias("x")).select("run_id", "x.*")
+    rows = docs.select(
+        "run_id",
+        F.explode(
+            F.array(*[F.struct(F.lit(s).alias("section"), F.try_variant_get(F.col("doc"), f"$.{s}", "variant").alias("body")) for s in SECTIONS])
+        ).alias("x")
+    ).select("run_id", "x.*")
     inner = F.when(F.schema_of_variant("body") == "STRING", F.try_parse_json(F.try_variant_get(F.col("body"), "$", "string"))).otherwise(F.col("body"))
     return rows.withColumn("body", inner).where("body is not null")

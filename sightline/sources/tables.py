@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..session import ship
 
 #: Objects of every run: (object_id, role, display_order, alias).
-OBJECTS = (("target", "target", 0, "attion"), ("competitor-01", "competitor", 1, "erble"), ("competitor-02", "competitor", 2, "ertion"), ("competitor-03", "competitor", 3, "orre"))
+OBJECTS = (
+    ("target", "target", 0, "attion"), ("competitor-01", "competitor", 1, "erble"), ("competitor-02", "competitor", 2, "ertion"),
+    ("competitor-03", "competitor", 3, "orre")
+)
 #: Official domains of every run: (object_id, role, display_order, domain, domain_pos).
 DOMAINS = (("target", "target", 0, "example.com", 0), ("competitor-01", "competitor", 1, "example.net", 0))
 
@@ -24,7 +27,8 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     intent = F.when(F.col("doc_id") % 3 == 0, "decision").when(F.col("doc_id") % 3 == 1, "comparison").otherwise("recommendation")
     return docs.select(
         F.col("source").alias("run_id"), F.col("doc_id").alias("answer_id"), F.col("doc_id").alias("sequence"), F.col("text").alias("answer_text"),
-        F.when(F.col("lang") == "en", "generic").otherwise("branded").alias("question_type"), intent.alias("funnel_intent"), F.coalesce(F.trim("text") != "", F.lit(False)).alias("valid"),
+        F.when(F.col("lang") == "en", "generic").otherwise("branded").alias("question_type"), intent.alias("funnel_intent"),
+        F.coalesce(F.trim("text") != "", F.lit(False)).alias("valid"),
     )
 
 
@@ -52,8 +56,10 @@ def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     answer = F.floor(F.col("page_id") / 4)
     return pages.select(
-        F.concat(F.lit("run"), F.floor(answer / 10_000).cast("string")).alias("run_id"), answer.alias("answer_id"), (F.col("page_id") % 4 + 1).cast("int").alias("citation_no"),
-        F.format_string("C-%d-%03d", answer, F.col("page_id") % 4 + 1).alias("citation_id"), F.col("url").alias("raw_url"), F.lit(None).cast("string").alias("domain_hint"),
+        F.concat(F.lit("run"), F.floor(answer / 10_000).cast("string")).alias("run_id"), answer.alias("answer_id"),
+        (F.col("page_id") % 4 + 1).cast("int").alias("citation_no"),
+        F.format_string("C-%d-%03d", answer, F.col("page_id") % 4 + 1).alias("citation_id"), F.col("url").alias("raw_url"),
+        F.lit(None).cast("string").alias("domain_hint"),
     )
 
 
@@ -62,8 +68,11 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations")
     said = F.coalesce(F.trim("text") != "", F.lit(False))
     return turns.select(
-        F.concat(F.lit("run"), (F.col("conv_id") % 7).cast("string")).alias("run_id"), F.col("conv_id").alias("question_id"), F.format_string("%d-r%02d", "conv_id", "turn").alias("sample_id"), F.col("turn").alias("repeat_index"),
-        (F.coalesce(F.col("role") == "assistant", F.lit(False)) & said).alias("eligible"), F.when(~said, "invalid").when(F.col("role") == "assistant", "success").otherwise("failed").alias("status"), F.col("text").alias("answer_text"),
+        F.concat(F.lit("run"), (F.col("conv_id") % 7).cast("string")).alias("run_id"), F.col("conv_id").alias("question_id"),
+        F.format_string("%d-r%02d", "conv_id", "turn").alias("sample_id"), F.col("turn").alias("repeat_index"),
+        (
+            F.coalesce(F.col("role") == "assistant", F.lit(False)) & said
+        ).alias("eligible"), F.when(~said, "invalid").when(F.col("role") == "assistant", "success").otherwise("failed").alias("status"), F.col("text").alias("answer_text"),
     )
 
 
@@ -71,4 +80,8 @@ def sentiment_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels as judgements: toxic is negative, good quality positive."""
     labels = read(spark, sf_dir, "labels")
     label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
-    return labels.select(F.col("doc_id").alias("answer_id"), label.alias("label"), F.when(label == "negative", -0.7).when(label == "positive", 0.5).otherwise(0.0).alias("score"), (0.5 + (F.col("doc_id") % 50) / 100.0).alias("confidence"), (F.col("doc_id") % 2 + 1).cast("int").alias("attempt"))
+    return labels.select(
+        F.col("doc_id").alias("answer_id"), label.alias("label"),
+        F.when(label == "negative", -0.7).when(label == "positive", 0.5).otherwise(0.0).alias("score"),
+        (0.5 + (F.col("doc_id") % 50) / 100.0).alias("confidence"), (F.col("doc_id") % 2 + 1).cast("int").alias("attempt")
+    )

@@ -19,7 +19,9 @@ def test_normalised_text(spark):
 
 
 def test_spans_are_code_points(spark):
-    found = lambda t, a: [(s["matched_text"], s["start"], s["end"]) for s in one(spark, text.spans(F.col("t"), text.alias_pattern(F.col("a")), F.col("a")), t=t, a=a)]
+    found = lambda t, a: [
+        (s["matched_text"], s["start"], s["end"]) for s in one(spark, text.spans(F.col("t"), text.alias_pattern(F.col("a")), F.col("a")), t=t, a=a)
+    ]
     assert found("Some snowdrops by Drops.", "Drops") == [("Drops", 18, 23)]
     assert found("🙂 zeno-AI, Zeno.ai ZENOAI", "Zeno AI") == [("zeno-AI", 2, 9), ("Zeno.ai", 11, 18), ("ZENOAI", 19, 25)]
     assert found("C++ and c++", "C++") == [("C++", 0, 3), ("c++", 8, 11)]
