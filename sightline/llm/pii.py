@@ -46,7 +46,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HOT = re.compile(r"(?<!\S)\S*[0-9@]\S*")
 _TOKEN = re.compile(r"\S+")
 _HOT_TOKEN = re.compile("[0-9@]")
-_EDGE_LEFT, _EDGE_RIGHT = "([{<\"'", ".,;:!?)]}>\"'"
+_EDGE_LEFT, _EDGE_RIGHT = "([{<\"'$#%&*|~^=", ".,;:!?)]}>\"'$#%&*|~^=_"
 
 
 def luhn(digits: str) -> bool:
@@ -186,7 +186,7 @@ def windows(text: str) -> Iterator[Tokens]:
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
-    """The span without brackets, quotes and stops at its edges."""
+    """The span without brackets, quotes, stops and signs at its edges."""
     while start < end and text[start] in _EDGE_LEFT and not (text[start] == "(" and _DIGIT.match(text, start + 1)):
         start += 1
     while end > start and text[end - 1] in _EDGE_RIGHT:
@@ -229,6 +229,10 @@ def _features(span: str, before: str) -> tuple[str, ...]:
 _kept_features = lru_cache(maxsize=100_000)(_features)
 
 
+#: What a span must be to be of a kind at all, as a feature: label -> feature.
+NEEDED = {1: "at in words", 2: "octets True", 3: "luhn True", 4: "plus True"}
+
+
 class SpanField:
     """Weights by (feature, label); label 0 is no entity, then KINDS."""
 
@@ -269,8 +273,9 @@ class SpanField:
             w = self.weights.get(f)
             if w is not None:
                 total = total + w
-        if not entity:
-            total[1:] = -np.inf
+        for label, needed in NEEDED.items():
+            if not entity or needed not in found:
+                total[label] = -np.inf
         if not single:
             total[0] = -np.inf
         return total

@@ -318,6 +318,10 @@ def test_span_field_finds_what_a_pattern_swallowed():
         assert pii.swallows(text) and pii.base_spans(text) == []
         assert pii.find_spans(text, field)[1] == [(at, 3, at + len(phone)), (at + len(phone) + 1, 2, at + len(phone) + 17)]
         assert pii.find_spans(pii.unsound(f"the {number} and"), field)[1] == []
+    # A phone in six groups is an entity of six tokens; whatever is found is sound for its kind.
+    assert pii.find_spans("call +33 6 12 34 56 78 4000 0000 0000 0002 now", field)[1] == [(5, 3, 22), (23, 2, 42)]
+    for text in ("tion 4000 0000 0000 0003 1 of", "the 999.1.2.3 and 1.2.3", "call +33 6 12 now", "a@b of"):
+        assert pii.find_spans(text, field)[1] == []
 
 
 def test_span_field_finds_what_is_broken_up():
