@@ -283,3 +283,41 @@ def bank_visibility(spark, sf_dir):
     return flags.groupBy("bank_id").agg(F.count("*").alias("total")).join(shown, "bank_id", "left").select(
         "bank_id", "total", F.coalesce("visible", F.lit(0)).alias("visible")
     )
+
+
+#: Questions that break one gate each: (text, other fields, code); the first breaks none.
+_GATES: tuple[tuple[str, dict, str], ...] = (
+    ("Compare pumps", {}, ""),
+    ("What is a pump", {}, "NON_COMMERCIAL"),
+    ("Compare brand tracking pumps", {}, "AMBIGUOUS"),
+    ("Compare brand monitoring pumps for LLMs", {}, ""),
+    ("Compare pumps", {"decision_stage": "odd"}, "BAD_STAGE"),
+    ("Compare pumps", {"funnel_intent": "awareness"}, "BAD_INTENT"),
+    ("Compare pumps", {"geo_intent": "x"}, "RETIRED_FIELDS"),
+    ("Compare pumps", {"monitoring_prompt": "Compare other pumps"}, "PROMPT_DIFFERS"),
+    ("Compare pumps", {"intent_key": " - "}, "EMPTY_INTENT_KEY"),
+    (" ", {}, "EMPTY_QUESTION"),
+    ("Buy pumps", {}, "BARE_ACTION"),
+    ("Pumps for homes", {}, "NOT_NATURAL"),
+)
+
+
+def _gate_bank(text: str, fields: dict) -> str:
+    """A bank of one question, as JSON."""
+    base = {n: "x" for n in (*fixed.REQUIRED_FIELDS, *fixed.CURRENT_FIELDS)} | {
+        "question_type": "generic", "funnel_intent": "comparison", "decision_stage": "review", "user_question": text, "monitoring_prompt": text,
+        "zh_translation": "问题", "topic_id": "t1", "quality_checks": dict.fromkeys(fixed.QUALITY_FLAGS + fixed.CURRENT_FLAGS, True),
+    }
+    return json.dumps({"schema_version": fixed.CURRENT_VERSION, "config": _SOUND, "questions": [base | fields]})
+
+
+@query(f"""WITH b AS (SELECT CAST(p_partkey AS VARCHAR) AS bank_id, p_partkey % {len(_GATES)} AS k FROM part),
+w(k, code) AS (VALUES {", ".join(f"({k}, '{code}')" for k, (_, _, code) in enumerate(_GATES) if code)}, (10, 'NOT_NATURAL'))
+SELECT bank_id, code FROM b JOIN w ON w.k = b.k""")
+def bank_gate_issues(spark, sf_dir):
+    """One broken gate for each bank."""
+    k = F.col("p_partkey") % len(_GATES)
+    body = F.element_at(F.array(*[F.lit(_gate_bank(t, f)) for t, f, _ in _GATES]), (k + 1).cast("int"))
+    b = bank.load(tables.read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bank_id"), body.alias("body")))
+    wanted = {code for _, _, code in _GATES}
+    return bank.row_findings(b, bank.row_flags(b)).where(F.col("code").isin(*wanted)).select("bank_id", "code")

@@ -226,3 +226,47 @@ def planned_counts(spark, sf_dir):
     """Samples of imported crawls by status, against plans that are larger in some runs."""
     plan = _turns(spark, sf_dir).select("run_id", F.explode(F.sequence(F.lit(1), F.when(F.col("conv_id") % 7 < 3, 3).otherwise(1))).alias("k"))
     return sampling.crawl_counts(ingest.import_crawl(*_crawls(spark, sf_dir)), plan)
+
+
+#: What a text begins with, by the turn, and what it is then found to be; a text that is only the beginning counts whole.
+_SIGNED = (("", None), ("I'm sorry, but ", "REFUSAL"), ("Unable to comply: ", "REFUSAL"), ("Please log in to your account. ", "LOGIN_REQUIRED"), ("Bad gateway. ", "ERROR_PAGE"))
+
+
+@query(f"""WITH v(k, head, code) AS (VALUES {", ".join(f"({k}, '{head.replace(chr(39), chr(39) * 2)}', {'NULL' if code is None else repr(code)})" for k, (head, code) in enumerate(_SIGNED))})
+SELECT conv_id, turn, coalesce(v.code, CASE WHEN k = 0 AND conv_id % 3 = 0 THEN 'PLACEHOLDER' WHEN coalesce(trim(text, E' \\t\\n\\r'), '') = '' THEN 'EMPTY_ANSWER' END) AS code
+FROM conversations JOIN v ON k = turn % {len(_SIGNED)}""")
+def signature_validity(spark, sf_dir):
+    """Refusals, placeholders, logins and error pages before the texts of turns."""
+    k = F.col("turn") % len(_SIGNED)
+    head = F.element_at(F.array(*[F.lit(h) for h, _ in _SIGNED]), (k + 1).cast("int"))
+    said = F.when((k == 0) & (F.col("conv_id") % 3 == 0), F.lit(" Loading... ")).otherwise(F.concat(head, text.or_empty(F.col("text"))))
+    return tables.read(spark, sf_dir, "conversations").select("conv_id", "turn", ingest.validity(said).alias("code"))
+
+
+@query("""SELECT 'run' || CAST(conv_id % 7 AS VARCHAR) AS run_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS sample_id FROM conversations WHERE turn % 3 = 0""")
+def text_mismatches(spark, sf_dir):
+    """Samples whose question text is not that of the question they name."""
+    turns = _turns(spark, sf_dir)
+    asked = F.when(F.col("turn") % 3 == 0, F.lit("Another question")).otherwise(F.concat(F.lit(" QUESTION\t"), "q"))
+    sample = F.struct(
+        F.concat_ws("-", "q", F.col("turn").cast("string")).alias("sample_id"), F.col("q").alias("question_id"), asked.alias("question"),
+        F.lit("success").alias("status"), F.lit(True).alias("ok"), F.struct(F.struct(F.lit("x").alias("text")).alias("answer")).alias("result"),
+    )
+    crawls = turns.select("run_id", F.to_json(F.struct(F.array(sample).alias("samples"))).alias("body"))
+    known = turns.select("run_id", F.col("q").alias("question_id"), F.concat(F.lit("Question "), "q").alias("question_text")).distinct()
+    return ingest.crawl_findings(ingest.import_crawl(crawls, known)).where("code = 'QUESTION_TEXT_MISMATCH'").select("run_id", "sample_id")
+
+
+@query("""WITH k AS (SELECT page_id, page_id % 4 AS k FROM pages)
+SELECT CAST(page_id AS VARCHAR) AS sample_id, c.code FROM k, (VALUES (1, 'INVALID_REFERENCE_ITEMS'), (2, 'INVALID_REFERENCE_ITEM'), (2, 'REFERENCE_COUNT_MISMATCH'), (3, 'REFERENCE_COUNT_MISMATCH')) c(k, code) WHERE c.k = k.k""")
+def reference_issue_kinds(spark, sf_dir):
+    """Lists that are none, elements that are no objects, and counts that do not agree."""
+    pages = tables.read(spark, sf_dir, "pages")
+    item = F.to_json(F.struct(F.coalesce("url", F.lit("")).alias("url")))
+    k = F.col("page_id") % 4
+    lists = F.when(k == 0, F.concat(F.lit('{"count": 1, "items": ['), item, F.lit("]}"))).when(k == 1, F.lit('{"items": {}}'))
+    lists = lists.when(k == 2, F.concat(F.lit('{"count": 1, "items": ["x", '), item, F.lit("]}"))).otherwise(F.concat(F.lit('{"count": 3, "items": ['), item, F.lit("]}")))
+    samples = pages.select(
+        F.lit("r").alias("run_id"), F.col("page_id").cast("string").alias("sample_id"), F.lit(True).alias("analysis_eligible"), F.try_parse_json(lists).alias("references")
+    )
+    return ingest.reference_findings(samples).select("sample_id", "code")
