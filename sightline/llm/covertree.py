@@ -5,12 +5,13 @@ pivots are the trees' first level, refined where cells are larger than a node. A
 visits those others that neither the plane between the pivots nor the covering radius rules out. For each
 pair of nodes a task builds two trees of nested levels with halving radii and walks both at once: node
 pairs beyond the radius are pruned, pairs wholly within it are counted at once, and what is left is
-compared exactly in double precision.
+compared exactly: pair by pair, or by matrix products where nodes prune little.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,37 +30,65 @@ PIVOTS, LEAST_CELLS = 2048, 16
 #: How often pivots are refined.
 ROUNDS = 4
 #: Distinct vectors of one node; larger cells get more pivots, and parts by a hash where all pivots are given out.
-NODE_ROWS = 8192
+NODE_ROWS = 32_768
 #: Allowance for rounding in bounds; never in the decision itself.
 SLACK = 1e-6
+#: Members that show whether a level joins any, and the share of them that must have another within its radius.
+PROBES, LEAST_MERGED = 128, 0.1
+#: Pairs whose vectors are gathered at once, child pairs of one step, cells of one matrix product.
+GATHERED, PAIRS, DENSE = 1 << 14, 1 << 18, 1 << 22
+#: How many pairs of a matrix product cost as much as one pair gathered by itself.
+GATHER_COST = 12
+
+
+class Level(NamedTuple):
+    """Nodes of a tree: rows of their centres, covering radii, number of points below; node k holds `below[starts[k]:starts[k + 1]]`."""
+
+    centres: np.ndarray
+    radii: np.ndarray
+    sizes: np.ndarray
+    starts: np.ndarray
+    below: np.ndarray
+
+    def children(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in `nodes`, child) of each child."""
+        count = self.starts[nodes + 1] - self.starts[nodes]
+        owner = np.repeat(np.arange(len(nodes)), count)
+        return owner, self.below[np.arange(len(owner)) + np.repeat(self.starts[nodes] - np.cumsum(count) + count, count)]
 
 
 class CoverTree:
     """Levels of centres over unit vectors: a point belongs to the nearest centre within the level's radius."""
 
     def __init__(self, points: np.ndarray, levels: tuple[float, ...] = LEVELS):
-        self.points = points
-        #: For each level: rows of its centres, each centre's covering radius, the rows or centres below it.
-        self.levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
-        members = np.arange(len(points))  # finest level first: its centres are the points of the next
+        self.points, self.single = points, points.astype(np.float32)
+        self.levels: list[Level] = []
+        members, sizes = np.arange(len(points)), np.ones(len(points), dtype=np.int64)  # finest level first: its centres are the points of the next
         for radius in reversed(levels):
-            centre_of = self._net(members, radius)
+            centre_of = self._net(members, radius) if self._merges(members, radius) else members
             centres, place = np.unique(centre_of, return_inverse=True)
-            order = np.argsort(place, kind="stable")
-            below = np.split(order, np.cumsum(np.bincount(place, minlength=len(centres)))[:-1])
             spread = np.linalg.norm(points[members] - points[centre_of], axis=1)
             if self.levels:
-                spread = spread + self.levels[-1][1]
-            radii = np.zeros(len(centres))
+                spread = spread + self.levels[-1].radii
+            radii, held = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
             np.maximum.at(radii, place, spread)
-            self.levels.append((centres, radii, below))
-            members = centres
+            np.add.at(held, place, sizes)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(centres)))])
+            self.levels.append(Level(centres, radii, held, starts, np.argsort(place, kind="stable")))
+            members, sizes = centres, held
         self.levels.reverse()
 
+    def _merges(self, members: np.ndarray, radius: float) -> bool:
+        """Whether a level of this radius would join members, by PROBES of them; if not, each stays its own centre, which bounds nothing less."""
+        if len(members) <= PROBES:
+            return True
+        dots = self.single[members[:: -(-len(members) // PROBES)]] @ self.single[members].T
+        return float(np.mean((2 - 2 * dots <= radius * radius).sum(axis=1) > 1)) >= LEAST_MERGED
+
     def _net(self, members: np.ndarray, radius: float) -> np.ndarray:
         """A centre for each member: greedy, so that centres are more than `radius` apart."""
         # Single precision will do: whatever centre is taken, covering radii are measured in double.
-        points, out = self.points[members].astype(np.float32), np.full(len(members), -1)
+        points, out = self.single[members], np.full(len(members), -1)
         centres: list[int] = []
         for at in range(0, len(members), 512):
             block = points[at : at + 512]
@@ -82,81 +111,123 @@ class CoverTree:
             out[at : at + len(block)] = members[near]
         return out
 
-    def rows(self, level: int, node: int) -> np.ndarray:
-        """All points below a node."""
-        if level == len(self.levels):
-            return np.array([node])
-        below = self.levels[level][2][node]
-        return below if level == len(self.levels) - 1 else np.concatenate([self.rows(level + 1, k) for k in below])
+    def rows(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in `nodes`, row) of all points below nodes of a level."""
+        owner = np.arange(len(nodes))
+        for at in self.levels[level:]:
+            up, nodes = at.children(nodes)
+            owner = owner[up]
+        return owner, nodes
+
+
+class Traversal:
+    """Walks two trees at once; `na` and `nb` count the links of each point by the other's weight, `labels` joins rows of a, then of b."""
+
+    def __init__(self, a: CoverTree, b: CoverTree, cosine: float, weights: tuple[np.ndarray, np.ndarray]):
+        self.a, self.b, self.cosine, (self.wa, self.wb) = a, b, cosine, weights
+        self.radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+        #: Most that a product of unit vectors in single precision is off.
+        self.band = 1.2e-7 * (a.points.shape[1] + 4)
+        self.na, self.nb = np.zeros(len(a.points), dtype=np.int64), np.zeros(len(b.points), dtype=np.int64)
+        self.shift = 0 if a is b else len(a.points)
+        self.labels = Labels(self.shift + len(b.points))
+
+    def run(self) -> None:
+        """The first level is every centre with every other: by blocks of a matrix product, pruned at once."""
+        (ca, ra, *_), (cb, rb, *_) = self.a.levels[0], self.b.levels[0]
+        right = self.b.single[cb].T
+        for at in range(0, len(ca), 128):
+            dots = self.a.single[ca[at : at + 128]] @ right
+            # By the largest radii first, which is one bound for the whole block.
+            i, j = np.divmod(np.flatnonzero(dots >= self._least(float(ra[at : at + 128].max() + rb.max()))), len(cb))
+            near = dots[i, j] >= self._least(ra[i + at] + rb[j])
+            i, j = i[near], j[near]
+            self._walk(0, i + at, j)
+
+    def _least(self, reach: np.ndarray | float) -> np.ndarray | float:
+        """The product, in single precision, below which centres with covering radii of this sum hold no links."""
+        return 1 - (reach + self.radius + SLACK) ** 2 / 2 - 2 * self.band
+
+    def _dots(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Products of rows i of a with rows j of b, in double precision."""
+        return np.concatenate(
+            [np.einsum("ij,ij->i", self.a.points[i[k : k + GATHERED]], self.b.points[j[k : k + GATHERED]]) for k in range(0, len(i), GATHERED)] or [np.zeros(0)]
+        )
+
+    def _link(self, i: np.ndarray, j: np.ndarray) -> None:
+        np.add.at(self.na, i, self.wb[j])
+        np.add.at(self.nb, j, self.wa[i])
+        self.labels.add(i, j + self.shift)
+
+    def _whole(self, level: int, x: np.ndarray, y: np.ndarray) -> None:
+        """All rows below nodes x link with all below nodes y."""
+        (of_i, i), (of_j, j) = self.a.rows(level, x), self.b.rows(level, y)
+        other = np.bincount(of_j, self.wb[j], len(x)).astype(np.int64), np.bincount(of_i, self.wa[i], len(x)).astype(np.int64)
+        np.add.at(self.na, i, other[0][of_i])
+        np.add.at(self.nb, j, other[1][of_j])
+        first_i, first_j = i[np.searchsorted(of_i, np.arange(len(x)))], j[np.searchsorted(of_j, np.arange(len(x)))]
+        self.labels.add(np.concatenate([i, first_i[of_j]]), np.concatenate([first_j[of_i], j]) + self.shift)
+
+    def _walk(self, level: int, x: np.ndarray, y: np.ndarray) -> None:
+        """Node pairs (x, y) of one level that may hold links; below the last level nodes are rows."""
+        if level == len(self.a.levels):
+            hit = self._dots(x, y) >= self.cosine
+            self._link(x[hit], y[hit])
+            return
+        a, b = self.a.levels[level], self.b.levels[level]
+        gap = np.sqrt(np.maximum(2 - 2 * self._dots(a.centres[x], b.centres[y]), 0))
+        reach = a.radii[x] + b.radii[y]
+        inside = gap + reach <= self.radius - SLACK
+        for k in range(0, int(inside.sum()), 4096):
+            self._whole(level, x[inside][k : k + 4096], y[inside][k : k + 4096])
+        near = ~inside & (gap <= reach + self.radius + SLACK)
+        x, y = x[near], y[near]
+        if not len(x):
+            return
+        count = np.diff(a.starts)[x] * np.diff(b.starts)[y]
+        every = int(a.sizes[np.unique(x)].sum()) * int(b.sizes[np.unique(y)].sum())
+        if int(count.sum()) * GATHER_COST >= every:
+            self._all(level, x, y)
+            return
+        # Pieces of about PAIRS child pairs, or a single node pair.
+        piece = (np.cumsum(count) - count) // PAIRS
+        for cut in np.split(np.arange(len(x)), np.flatnonzero(np.diff(piece)) + 1):
+            u, v = x[cut], y[cut]
+            wide = np.diff(b.starts)[v]
+            owner = np.repeat(np.arange(len(cut)), count[cut])
+            k = np.arange(len(owner)) - np.repeat(np.cumsum(count[cut]) - count[cut], count[cut])
+            self._walk(level + 1, a.below[a.starts[u][owner] + k // wide[owner]], b.below[b.starts[v][owner] + k % wide[owner]])
+
+    def _all(self, level: int, x: np.ndarray, y: np.ndarray) -> None:
+        """Compare all rows below node pairs that prune little, by matrix products; products near the bound are taken anew in double precision."""
+        xs, ys = np.unique(x), np.unique(y)
+        asked = np.zeros((len(xs), len(ys)), dtype=bool)
+        asked[np.searchsorted(xs, x), np.searchsorted(ys, y)] = True
+        (of_i, rows_i), (of_j, rows_j) = self.a.rows(level, xs), self.b.rows(level, ys)
+        right, step = self.b.single[rows_j].T, max(1, DENSE // len(rows_j))
+        for at in range(0, len(rows_i), step):
+            dots = self.a.single[rows_i[at : at + step]] @ right
+            i, j = np.nonzero(dots >= self.cosine - self.band)
+            sure = dots[i, j] >= self.cosine + self.band
+            i = i + at
+            keep = asked[of_i[i], of_j[j]]
+            i, j, sure = rows_i[i[keep]], rows_j[j[keep]], sure[keep]
+            sure[~sure] = self._dots(i[~sure], j[~sure]) >= self.cosine
+            self._link(i[sure], j[sure])
 
 
 def dual_traverse(a: CoverTree, b: CoverTree, cosine: float, weights: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(links of each point of a, of b, component links as rows of a, rows of b).
+    """(links of each point of a, of b, two ends of few links that span the components: rows of a, then those of b).
 
     A link counts the weight of the other point. With a is b, each point's own weight is left out.
     """
-    radius = np.sqrt(max(0.0, 2 - 2 * cosine))
-    same, (wa, wb) = a is b, weights
-    na, nb = np.zeros(len(a.points), dtype=np.int64), np.zeros(len(b.points), dtype=np.int64)
-    left, right = [], []
-
-    def whole(i: np.ndarray, j: np.ndarray) -> None:
-        """All of rows i of a link with all of rows j of b."""
-        na[i] += wb[j].sum()
-        nb[j] += wa[i].sum()
-        left.append(np.concatenate([i, np.full(len(j), i[0])]))
-        right.append(np.concatenate([np.full(len(i), j[0]), j]))
-
-    def walk(level: int, pi: np.ndarray, pj: np.ndarray) -> None:
-        """Node pairs (pi, pj) of one level that may hold links."""
-        if level == len(a.levels):
-            for at in range(0, len(pi), 1 << 16):
-                i, j = pi[at : at + (1 << 16)], pj[at : at + (1 << 16)]
-                hit = np.einsum("ij,ij->i", a.points[i], b.points[j]) >= cosine
-                i, j = i[hit], j[hit]
-                np.add.at(na, i, wb[j])
-                np.add.at(nb, j, wa[i])
-                left.append(i)
-                right.append(j)
-            return
-        ra, rb = a.levels[level][1], b.levels[level][1]
-        ca, cb = a.levels[level][0], b.levels[level][0]
-        gap = np.linalg.norm(a.points[ca[pi]] - b.points[cb[pj]], axis=1)
-        inside = gap + ra[pi] + rb[pj] <= radius - SLACK
-        for x, y in zip(pi[inside].tolist(), pj[inside].tolist()):
-            whole(a.rows(level, x), b.rows(level, y))
-        near = ~inside & (gap <= ra[pi] + rb[pj] + radius + SLACK)
-        expand(level, pi[near], pj[near])
-
-    def expand(level: int, pi: np.ndarray, pj: np.ndarray) -> None:
-        below_a, below_b = a.levels[level][2], b.levels[level][2]
-        held_i, held_j, size = [], [], 0
-        for x, y in zip(pi.tolist(), pj.tolist()):
-            i, j = below_a[x], below_b[y]
-            held_i.append(np.repeat(i, len(j)))
-            held_j.append(np.tile(j, len(i)))
-            size += len(i) * len(j)
-            if size > 1 << 20:
-                walk(level + 1, np.concatenate(held_i), np.concatenate(held_j))
-                held_i, held_j, size = [], [], 0
-        if held_i:
-            walk(level + 1, np.concatenate(held_i), np.concatenate(held_j))
-
-    # The first level is every centre with every other: by blocks of a matrix product, pruned at once.
-    (ca, ra, _), (cb, rb, _) = a.levels[0], b.levels[0]
-    # In single precision for speed, with room for its rounding; walk() measures the survivors anew.
-    pa_, pb_ = a.points[ca].astype(np.float32), b.points[cb].astype(np.float32)
-    for at in range(0, len(ca), 256):
-        dots = pa_[at : at + 256] @ pb_.T
-        far = ra[at : at + 256, None] + rb[None, :] + radius + 1e-3
-        i, j = np.nonzero(2 - 2 * dots <= far * far)
-        walk(0, i + at, j)
-    i, j = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
-    if same:  # every point met itself, and every pair came twice, once for each side
-        own = np.einsum("ij,ij->i", a.points, a.points) >= cosine
-        na = na - np.where(own, wa, 0)
-        return na, np.zeros(0, dtype=np.int64), i, j
-    return na, nb, i, j
+    found = Traversal(a, b, cosine, weights)
+    found.run()
+    low, high = found.labels.links()
+    if a is b:  # every point met itself, and every pair came twice, once for each side
+        own = found._dots(np.arange(len(a.points)), np.arange(len(a.points))) >= cosine
+        return found.na - np.where(own, weights[0], 0), np.zeros(0, dtype=np.int64), low, high
+    return found.na, found.nb, low, high
 
 
 def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -325,17 +396,16 @@ def node_links(distinct: DataFrame, cosine: float) -> DataFrame:
             first, reps, copies, points = first.to_numpy(zero_copy_only=False), reps.to_numpy(), copies.to_numpy(), matrix(vectors)
             if a[0] == b[0]:
                 tree = CoverTree(points)
-                counts, _, i, j = dual_traverse(tree, tree, cosine, (copies, copies))
-                own, i, j = reps, reps[i], reps[j]
+                counts, _, low, high = dual_traverse(tree, tree, cosine, (copies, copies))
+                own = reps
             elif first.all() or not first.any():
                 continue
             else:
                 x, y = CoverTree(points[first]), CoverTree(points[~first])
-                na, nb, i, j = dual_traverse(x, y, cosine, (copies[first], copies[~first]))
+                na, nb, low, high = dual_traverse(x, y, cosine, (copies[first], copies[~first]))
                 own, counts = np.concatenate([reps[first], reps[~first]]), np.concatenate([na, nb])
-                i, j = reps[first][i], reps[~first][j]
             hit = counts > 0
-            src, dst = _spanning(own, i, j)
+            src, dst = own[low], own[high]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([own[hit], src])), pa.array([None] * int(hit.sum()) + dst.tolist(), pa.int64()),
@@ -346,11 +416,3 @@ def node_links(distinct: DataFrame, cosine: float) -> DataFrame:
 
     return dealt(distinct, cosine).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long, n long")
 
-
-def _spanning(ids: np.ndarray, src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Few links that join the same components as src and dst, all among `ids`."""
-    order = np.sort(ids)
-    labels = Labels(len(order))
-    labels.add(np.searchsorted(order, src), np.searchsorted(order, dst))
-    low, high = labels.links()
-    return order[low], order[high]
