@@ -23,7 +23,7 @@ from .vectors import matrix, usable
 
 TREES, BITS = 32, 32
 #: Rows of a shard and queries of a block, at most on average; smaller tables make SHARDS shards of at least LEAST_ROWS rows.
-SHARD_ROWS, BLOCK_QUERIES, SHARDS, LEAST_ROWS = 100_000, 10_000, 12, 16_000
+SHARD_ROWS, BLOCK_QUERIES, SHARDS, LEAST_ROWS = 200_000, 10_000, 12, 16_000
 NEIGHBOURS = 10
 
 
@@ -53,11 +53,14 @@ class PrefixForest:
     def __init__(self, rows: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = 17):
         self.rows, self.bits, self.trees = rows, bits, trees
         self.planes = self._planes(rows.shape[1], trees, bits, seed)
-        strings = np.concatenate(
-            [self._strings(self.sides(rows[at : at + 4096]) > 0) for at in range(0, len(rows), 4096)]
-        ) if len(rows) else np.zeros((0, trees), dtype=np.int64)
-        self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(strings, self.order.astype(np.int64), axis=0)
+        #: The trees' sorted arrays one after another, the tree's number above each string, and the rows that have them.
+        self.sorted, self.order = np.empty((trees, len(rows)), dtype=np.int64), np.empty((trees, len(rows)), dtype=np.int32)
+        for at in range(0, len(rows), 4096):
+            self.sorted[:, at : at + 4096] = self._strings(self.sides(rows[at : at + 4096]) > 0).T
+        for tree, (strings, order) in enumerate(zip(self.sorted, self.order)):
+            order[:] = np.argsort(strings, kind="stable")
+            strings[:] = strings[order] + (tree << bits)
+        self.sorted, self.order = self.sorted.ravel(), self.order.ravel()
 
     @staticmethod
     def _planes(size: int, trees: int, bits: int, seed: int) -> np.ndarray:
@@ -93,23 +96,16 @@ class PrefixForest:
 
     def candidates(self, query: np.ndarray, least: int, depth: int, sets: list[tuple[int, ...]]) -> np.ndarray:
         """Rows in the stretches of one query, in order: ascend from the full strings until at least `least` rows are held."""
-        strings = self.probes(query, depth, sets)
+        strings = self.probes(query, depth, sets) + (np.arange(self.trees, dtype=np.int64) << self.bits)[:, None]
         for length in range(min(self.bits, depth + 2), -1, -1):
             cut = self.bits - length
-            begin = np.unique((strings >> cut) + (np.arange(self.trees, dtype=np.int64) << 40)[:, None])
-            tree, begin = begin >> 40, (begin & ((1 << 40) - 1)) << cut
-            low, high = np.zeros(len(begin), dtype=np.int64), np.zeros(len(begin), dtype=np.int64)
-            edges = np.searchsorted(tree, np.arange(self.trees + 1))
-            for t in range(self.trees):
-                own = slice(edges[t], edges[t + 1])
-                low[own] = np.searchsorted(self.sorted[:, t], begin[own], side="left")
-                high[own] = np.searchsorted(self.sorted[:, t], begin[own] + (1 << cut), side="left")
+            prefix = np.unique(strings >> cut)
+            low, high = np.searchsorted(self.sorted, prefix << cut), np.searchsorted(self.sorted, (prefix + 1) << cut)
             if (high - low).sum() >= least:
                 break
         seen = np.zeros(len(self.rows), dtype=bool)
         size = high - low
-        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
-        seen[self.order[at, np.repeat(tree, size)]] = True
+        seen[self.order[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]] = True
         return np.flatnonzero(seen)
 
 
