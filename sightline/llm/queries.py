@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, covertree, langid, packing, pii, quality, sentencepieces, simhash, toxicity, urlrules
+from . import ann, covertree, langid, merkle, packing, pii, quality, sentencepieces, simhash, toxicity, urlrules
 from .common import table, text_remainder
 
 
@@ -76,9 +76,24 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    # A null id is never drawn.
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lowered).otherwise(F.col("text"))
+    found = merkle.verified(
+        merkle.manifest(
+            table(spark, sf_dir, "documents"), columns, "doc_id", "source", changed=[F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), tampered]
+        )
+    )
+    spelt = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return found.select("doc_id", *spelt, F.lower(F.hex("proof")).alias("proof_sha256"), F.lower(F.hex("folded_root")).alias("folded_root"), "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_packing, op2_quality, op3_language, op4_neighbours, op5_sentencepiece, op6_toxicity, op7_pii, op8_embedding_dedup, op9_simhash, op10_url_rules
+        op1_packing, op2_quality, op3_language, op4_neighbours, op5_sentencepiece, op6_toxicity, op7_pii, op8_embedding_dedup, op9_simhash, op10_url_rules,
+        op13_merkle
     )
 }
 
@@ -97,5 +112,60 @@ SELECT parts.page_id, host, path, rule,
        coalesce(verdict, CASE WHEN regexp_matches(host, '(^|\.)(spam-farm|free-bets|casino-win|cheap-pills|ads-track|adult-x)\.') THEN 'block'
          ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fit ON parts.page_id = fit.page_id
+""",
+    "op13_merkle": r"""
+WITH RECURSIVE crc(doc_id, crc) AS (
+  SELECT doc_id, 4294967295 - list_reduce(
+    list_transform(range(8 * length(doc_id::VARCHAR)), lambda k: CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), 4294967295)
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+coded AS (
+  SELECT documents.doc_id, source, text,
+    concat_ws('', CASE WHEN documents.doc_id IS NULL THEN '-' ELSE strlen(documents.doc_id::VARCHAR) || ':' || documents.doc_id END,
+      CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END, CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+      CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END) AS start,
+    coalesce(crc % 5 = 0, false) AS drawn
+  FROM documents LEFT JOIN crc ON documents.doc_id = crc.doc_id),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM (
+    SELECT doc_id, source, sha256(start || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+      sha256(start || CASE WHEN text IS NULL THEN '-' WHEN drawn
+        THEN strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        ELSE strlen(text) || ':' || text END) AS used FROM coded)),
+low(source, lvl, idx, h, n) AS (
+  SELECT source, 0, idx, leaf, n FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM low WHERE n > 1 GROUP BY source, lvl, idx // 16, n),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+high(lvl, idx, h, n) AS (
+  SELECT 100, idx, subroot, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM high WHERE n > 1 GROUP BY lvl, idx // 16, n),
+steps AS (
+  SELECT a.source, 0 AS tree, a.lvl, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM low a JOIN low b ON a.source IS NOT DISTINCT FROM b.source AND a.lvl = b.lvl AND a.idx // 16 = b.idx // 16 WHERE a.n > 1
+  GROUP BY a.source, a.lvl, a.idx
+  UNION ALL
+  SELECT NULL, 1, a.lvl, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), ''),
+    coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '')
+  FROM high a JOIN high b ON a.lvl = b.lvl AND a.idx // 16 = b.idx // 16 WHERE a.n > 1 GROUP BY a.lvl, a.idx),
+paths AS (
+  SELECT d.source, d.idx, string_agg(l || r, '' ORDER BY lvl) AS proof, list({'l': l, 'r': r} ORDER BY lvl) AS path
+  FROM (
+    SELECT d.source, d.idx, s.lvl, s.l, s.r FROM leaves d JOIN steps s ON tree = 0 AND d.source IS NOT DISTINCT FROM s.source
+      AND s.idx = d.idx // (16 ** s.lvl)::BIGINT
+    UNION ALL
+    SELECT d.source, d.idx, s.lvl, s.l, s.r FROM leaves d JOIN subroots ON d.source IS NOT DISTINCT FROM subroots.source
+      JOIN steps s ON tree = 1 AND s.idx = subroots.idx // (16 ** (s.lvl - 100))::BIGINT) d
+  GROUP BY d.source, d.idx),
+done AS (
+  SELECT doc_id, leaf, subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_transform(coalesce(path, []), lambda s: {'l': s.l, 'r': s.r}), lambda a, s: {'l': '', 'r': sha256(s.l || a.r || s.r)}, {'l': '', 'r': used}).r AS folded_root
+  FROM leaves JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source
+    LEFT JOIN paths ON leaves.source IS NOT DISTINCT FROM paths.source AND leaves.idx = paths.idx)
+SELECT *, folded_root = root AS verified FROM done
 """,
 }
