@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, covertree, langid, merkle, packing, pii, quality, sentencepieces, simhash, toxicity, urlrules
+from . import ann, covertree, langid, merkle, packing, pii, quality, sentencepieces, simhash, toxicity, urlrules, warc, whitening
 from .common import table, text_remainder
 
 
@@ -76,6 +76,14 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "source", "lang", "n_chars", "text")
     # A null id is never drawn.
@@ -93,7 +101,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_quality, op3_language, op4_neighbours, op5_sentencepiece, op6_toxicity, op7_pii, op8_embedding_dedup, op9_simhash, op10_url_rules,
-        op13_merkle
+        op11_warc, op12_whitening, op13_merkle
     )
 }
 
@@ -112,6 +120,18 @@ SELECT parts.page_id, host, path, rule,
        coalesce(verdict, CASE WHEN regexp_matches(host, '(^|\.)(spam-farm|free-bets|casino-win|cheap-pills|ads-track|adult-x)\.') THEN 'block'
          ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fit ON parts.page_id = fit.page_id
+""",
+    "op11_warc": """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS leader FROM pages)
+SELECT page_id, payload_bytes,
+       list_reduce(list_transform(range(32), lambda k:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, (k // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - k % 4 * 5)::INT) & 31) + 1)::BIGINT, 1)),
+         lambda a, b: a || b) AS payload_digest,
+       CASE WHEN page_id < leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < leader THEN leader END AS refers_to
+FROM digests
 """,
     "op13_merkle": r"""
 WITH RECURSIVE crc(doc_id, crc) AS (
