@@ -86,6 +86,9 @@ CURRENT_FLAGS = ("topic_aligned", "category_visible", "commercial_intent")
 DECISION_STAGES = ("shortlist", "evaluation", "purchase", "implementation", "review")
 RETIRED_FIELDS = ("geo_intent", "intent_angle")
 
+# Least counts of different labels that banks of so many questions need, unless they name their own.
+MIN_DISTINCT, DISTINCT_FROM = {"audience_roles": 3, "scenarios": 3, "constraints": 2}, 18
+
 # Wording gates (Java spelling).
 CONVERSATIONAL = r"(?i)^(how|what|which|who|where|when|why|is|are|am|do|does|did|can|could|should|would|will|has|have|recommend|compare|explain|show me|tell me|help me|please recommend|please compare|give me|give us|list|suggest|find|i need|i am looking for|i['’]m looking for|any recommendations)\b"
 BARE_ACTION = r"(?i)^(buy|purchase|order|gift|subscribe(?:\s+to)?|sign\s+up(?:\s+for)?|request|book|get)\b|^give\b(?=.*\b(?:subscription|gift|access|licen[cs]e|account)\b)"
@@ -107,7 +110,8 @@ YES, NO = "是", "否"
 # Report texts: words that readers must not see, and words that tell them what to do.
 BANNED = r"P[012]|p[012]|赋能|深度赋能|全面提升|优化升级|建议您|我们应该|严重落后|毫无建树|被动挨打"
 ACTION_WORDS = r"建议|应该|应当|需要|需|优先补齐|创建|新建|检查并完善|建设页面|强化内容"
-NUMBER = r"(?<![A-Za-z0-9_])-?\d+(?:\.\d+)?%?"
+# Digits of any script count.
+NUMBER = r"(?<![A-Za-z0-9_])-?\p{Nd}+(?:\.\p{Nd}+)?%?"
 FACT_TOKEN = r"\{\{fact:([^}]+)\}\}"
 BODY_URL = r"(?i)https?://[^\s)\]>\"']+"
 

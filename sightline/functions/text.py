@@ -141,8 +141,8 @@ def fact_tokens(c: Column) -> Column:
 
 
 def has_free_number(c: Column) -> Column:
-    """Whether a digit stands outside fact tokens."""
-    return F.regexp_replace(c, fixed.FACT_TOKEN, "").rlike(r"\d")
+    """Whether a digit of any script stands outside fact tokens."""
+    return F.regexp_replace(c, fixed.FACT_TOKEN, "").rlike(r"\p{Nd}")
 
 
 def stable_id(prefix: str, *parts: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed
 from ..functions.text import contains_name, entity_pattern, normalize_name, normalize_template, or_empty, ratio, strip
-from .bank_config import config_findings
+from .bank_config import config_findings, given
 
 
 class Bank(NamedTuple):
@@ -26,8 +26,9 @@ class Bank(NamedTuple):
     names: DataFrame  # bank_id, kind, owner, name, pattern: brand, product, alias, competitor, formal
     category: DataFrame  # bank_id, kind, term: core_terms, product_terms, placeholder_blacklist, excluded
     terms: DataFrame  # bank_id, concept, terms, expanded_form, acronym, context_terms, min_*
-    quotas: DataFrame  # bank_id, dimension, key, expected
+    quotas: DataFrame  # bank_id, dimension, key, expected: question_type, funnel_intent, cross.<type>
     rivals: DataFrame  # bank_id, place, name, terms, tier, mode, has_dimensions
+    shapeless: DataFrame  # bank_id of documents whose questions are no list
 
 
 def _text(v: str, path: str) -> Column:
@@ -39,75 +40,152 @@ def _texts(v: str, path: str) -> Column:
 
 
 def load(raw: DataFrame) -> Bank:
+    """Tables of the banks whose questions are a list; the others are `shapeless`.
+
+    The version is the document's, else its configuration's. Topics without an id, and later ones of the same id,
+    are left out; so are competitors of a selection that has not exactly three, terms without words, and minima
+    that are no whole numbers from zero on. `quotas` has the dimensions that are compared: question types (the
+    default ones without quotas), and intents and intents of each type named for banks of older versions; a
+    compared dimension without any quota has one row without a key.
+    """
     docs = raw.select("bank_id", F.try_parse_json("body").alias("doc"))
+    listed = F.try_variant_get(F.col("doc"), "$.questions", "array<variant>").isNotNull()
+    shapeless = docs.where(~listed).select("bank_id")
+    version = strip(F.coalesce(F.nullif(_text("doc", "$.schema_version"), F.lit("")), _text("doc", "$.config.schema_version"), F.lit("")))
+    docs = docs.where(listed).withColumn("version", version).withColumn("current", F.col("version") == fixed.CURRENT_VERSION)
     config = docs.select(
-        "bank_id", _text("doc", "$.schema_version").alias("version"), strip(or_empty(_text("doc", "$.config.brand_name"))).alias("brand"),
+        "bank_id", "version", strip(or_empty(_text("doc", "$.config.brand_name"))).alias("brand"),
         strip(or_empty(_text("doc", "$.config.category_label"))).alias("category_label"),
         strip(or_empty(_text("doc", "$.config.brand_object_type"))).alias("object_type"),
         F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
-        F.size(
-            F.coalesce(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>"), F.array().cast("array<variant>"))
-        ).alias("questions"), (F.col("version") == fixed.CURRENT_VERSION).alias("current"), "doc",
+        F.size(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("questions"), "current", "doc",
     )
     rows = docs.select(
         "bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("pos", "q")
     ).select("bank_id", (F.col("pos") + 1).alias("row_no"), "q")
-    topics = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.topics", "array<variant>")).alias("t")).select(
-        "bank_id", normalize_name(_text("t", "$.topic_id")).alias("topic_id"), strip(or_empty(_text("t", "$.topic"))).alias("topic")
-    )
-    formal = docs.select(
-        "bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.config.competitor_selection.formal_competitors", "array<variant>")).alias("pos", "c")
-    )
-    rivals = formal.select(
-        "bank_id", (F.col("pos") + 1).alias("place"), strip(or_empty(_text("c", "$.name"))).alias("name"), F.concat(
-            F.array(strip(or_empty(_text("c", "$.name")))), _texts("c", "$.aliases")
-        ).alias("terms"),
-        strip(or_empty(_text("c", "$.comparability_tier"))).alias("tier"), _text("c", "$.comparison_policy.mode").alias("mode"), F.try_variant_get(
-            F.col("c"), "$.comparison_policy.allowed_dimensions", "array<variant>"
-        ).isNotNull().alias("has_dimensions"),
-    )
-    one = lambda kind, c: F.transform(c, lambda n: F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("owner"), n.alias("name")))
-    plain = docs.select(
-        "bank_id",
-        F.explode(
-            F.concat(
-                one("brand", F.array(_text("doc", "$.config.brand_name"))), one("product", F.array(_text("doc", "$.config.product_name"))),
-                one("alias", _texts("doc", "$.config.aliases")), one("competitor", _texts("doc", "$.config.competitors"))
-            )
-        ).alias("x")
-    ).select("bank_id", "x.*")
-    names = plain.unionByName(rivals.select("bank_id", F.lit("formal").alias("kind"), F.col("place").alias("owner"), F.explode("terms").alias("name")))
-    names = names.withColumn("name", strip(or_empty(F.col("name")))).withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
-    kinds = {
-        "core_terms": "$.config.category_expression_set.core_terms", "product_terms": "$.config.category_expression_set.product_terms",
-        "placeholder_blacklist": "$.config.category_expression_set.placeholder_blacklist", "excluded": "$.config.excluded_categories"
-    }
-    category = docs.select(
-        "bank_id", F.explode(F.concat(*[_kinded(k, p) for k, p in kinds.items()])).alias("x")
-    ).select("bank_id", "x.*").where("trim(term) != ''")
-    specs = docs.select("bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.required_term_coverage", "map<string,variant>")).alias("concept", "s"))
-    minimum = lambda n: F.coalesce(F.try_variant_get(F.col("s"), f"$.{n}", "int"), F.lit(0)).alias(n)
-    terms = specs.select(
-        "bank_id", "concept", _texts("s", "$.terms").alias("terms"), or_empty(_text("s", "$.expanded_form")).alias("expanded_form"),
-        or_empty(_text("s", "$.acronym")).alias("acronym"), _texts("s", "$.context_terms").alias("context_terms"),
-        *[minimum(n) for n in ("min_total", "min_generic", "min_branded", "min_expanded", "min_acronym")]
+    topics = docs.where("current").select("bank_id", F.explode(_topics()).alias("t")).select("bank_id", "t.*")
+    rivals = docs.select("bank_id", F.explode(_formal()).alias("c")).select("bank_id", "c.*")
+    names = docs.select("bank_id", F.explode(_names()).alias("x")).select("bank_id", "x.*").withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
+    category = docs.select("bank_id", F.explode(_category()).alias("x")).select("bank_id", "x.*")
+    terms = docs.select("bank_id", F.explode(_term_specs()).alias("s")).select("bank_id", "s.*")
+    quotas = docs.select("bank_id", F.explode(_quotas(F.col("current"))).alias("x")).select("bank_id", "x.*")
+    return Bank(config, rows, topics, names, category, terms, quotas, rivals, shapeless)
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
+
+
+def _list(path: str) -> Column:
+    return F.coalesce(F.try_variant_get(F.col("doc"), path, "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _field(v: Column, path: str) -> Column:
+    return strip(or_empty(F.try_variant_get(v, path, "string")))
+
+
+def _strings(v: Column, path: str) -> Column:
+    """Elements of a list as stripped text, blanks left out; nothing for what is no list."""
+    held = F.coalesce(F.try_variant_get(v, path, "array<string>"), F.array().cast("array<string>"))
+    return F.filter(F.transform(held, lambda t: strip(or_empty(t))), lambda t: t != "")
+
+
+def _topics() -> Column:
+    """(topic_id, topic) of a document, each id once."""
+    found = F.transform(
+        F.filter(_list("$.config.topics"), _is_object),
+        lambda t: F.struct(normalize_name(F.try_variant_get(t, "$.topic_id", "string")).alias("topic_id"), _field(t, "$.topic").alias("topic"))
     )
-    flat = [
-        docs.select(
-            "bank_id", F.lit(d).alias("dimension"),
-            F.explode(F.try_variant_get(F.col("doc"), f"$.config.quotas.{d}", "map<string,int>")).alias("key", "expected")
-        ) for d in ("question_type", "funnel_intent")
-    ]
-    cross = docs.select(
-        "bank_id", F.explode(F.try_variant_get(F.col("doc"), "$.config.quotas.cross", "map<string,map<string,int>>")).alias("t", "m")
-    ).select("bank_id", "t", F.explode("m").alias("i", "expected")).select(
-        "bank_id", F.lit("cross").alias("dimension"), F.concat_ws("/", "t", "i").alias("key"), "expected"
+    keys = F.transform(found, lambda t: t["topic_id"])
+    return F.filter(found, lambda t, k: (t["topic_id"] != "") & (F.array_position(keys, t["topic_id"]) == k + 1))
+
+
+def _formal() -> Column:
+    """(place, name, terms, tier, mode, has_dimensions) of the competitors of a selection of three."""
+    held = _list("$.config.competitor_selection.formal_competitors")
+
+    def one(c: Column, k: Column) -> Column:
+        name = _field(c, "$.name")
+        return F.struct(
+            (k + 1).alias("place"), F.when(name != "", name).otherwise(F.concat(F.lit("formal_competitor_"), (k + 1).cast("string"))).alias("name"),
+            F.concat(F.filter(F.array(name), lambda n: n != ""), _strings(c, "$.aliases")).alias("terms"), _field(c, "$.comparability_tier").alias("tier"),
+            F.try_variant_get(c, "$.comparison_policy.mode", "string").alias("mode"),
+            F.try_variant_get(c, "$.comparison_policy.allowed_dimensions", "array<variant>").isNotNull().alias("has_dimensions"), _is_object(c).alias("whole")
+        )
+
+    each = F.filter(F.transform(held, one), lambda c: c["whole"])
+    plain = F.transform(each, lambda c: F.struct(*[c[n].alias(n) for n in ("place", "name", "terms", "tier", "mode", "has_dimensions")]))
+    return F.when(F.size(held) == 3, plain).otherwise(F.slice(plain, 1, 0))
+
+
+def _names() -> Column:
+    """(kind, owner, name) of all names that a document configures."""
+    doc = F.col("doc")
+
+    def one(kind: str, names: Column, owner: Column | None = None) -> Column:
+        place = F.lit(None).cast("int") if owner is None else owner
+        return F.transform(names, lambda n: F.struct(F.lit(kind).alias("kind"), place.alias("owner"), n.alias("name")))
+
+    own = F.filter(F.array(_field(doc, "$.config.brand_name")), lambda n: n != "")
+    product = F.filter(F.array(_field(doc, "$.config.product_name")), lambda n: n != "")
+    formal = F.flatten(F.transform(_formal(), lambda c: one("formal", c["terms"], c["place"])))
+    return F.concat(
+        one("brand", own), one("product", product), one("alias", _strings(doc, "$.config.aliases")), one("competitor", _strings(doc, "$.config.competitors")), formal
     )
-    return Bank(config, rows, topics, names, category, terms, flat[0].unionByName(flat[1]).unionByName(cross), rivals)
 
 
-def _kinded(kind: str, path: str) -> Column:
-    return F.transform(_texts("doc", path), lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
+KINDS = {
+    "core_terms": "$.config.category_expression_set.core_terms", "product_terms": "$.config.category_expression_set.product_terms",
+    "placeholder_blacklist": "$.config.category_expression_set.placeholder_blacklist", "excluded": "$.config.excluded_categories"
+}
+
+
+def _category() -> Column:
+    """(kind, term) of a document's category expressions and excluded categories."""
+    one = lambda kind: lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"))
+    return F.concat(*[F.transform(_strings(F.col("doc"), path), one(kind)) for kind, path in KINDS.items()])
+
+
+MINIMA = ("min_total", "min_generic", "min_branded", "min_expanded", "min_acronym")
+
+
+def _term_specs() -> Column:
+    """(concept, terms, expanded_form, acronym, context_terms, minima) of a document's required terms."""
+    held = F.map_entries(F.try_variant_get(F.col("doc"), "$.config.required_term_coverage", "map<string,variant>"))
+
+    def minimum(v: Column, name: str) -> Column:
+        number = F.try_variant_get(v, f"$.{name}", "int")
+        whole = (F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")) == "BIGINT") & (number > 0)
+        return F.when(whole, number).otherwise(0).alias(name)
+
+    def one(s: Column) -> Column:
+        v = s["value"]
+        return F.struct(
+            s["key"].alias("concept"), _strings(v, "$.terms").alias("terms"), _field(v, "$.expanded_form").alias("expanded_form"),
+            _field(v, "$.acronym").alias("acronym"), _strings(v, "$.context_terms").alias("context_terms"), *[minimum(v, n) for n in MINIMA]
+        )
+
+    return F.filter(F.transform(held, one), lambda s: F.size(s["terms"]) > 0)
+
+
+def _quotas(current: Column) -> Column:
+    """(dimension, key, expected) of a document, with a row without a key where a compared dimension has no quota."""
+    held = F.try_variant_get(F.col("doc"), "$.config.quotas", "variant")
+    none = F.array().cast("array<struct<dimension: string, key: string, expected: int>>")
+
+    def entries(dimension: Column, counts: Column) -> Column:
+        rows = F.transform(F.map_entries(counts), lambda e: F.struct(dimension.alias("dimension"), e["key"].alias("key"), e["value"].alias("expected")))
+        empty = F.array(F.struct(dimension.alias("dimension"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("expected")))
+        return F.coalesce(F.when(F.size(rows) > 0, rows), empty)
+
+    def flat(name: str, default: Column | None = None) -> Column:
+        own = F.try_variant_get(held, f"$.{name}", "map<string,int>")
+        return entries(F.lit(name), own if default is None else F.when(given(held), own).otherwise(default))
+
+    default = F.create_map(F.lit("generic"), F.lit(fixed.QUOTA_GENERIC), F.lit("branded"), F.lit(fixed.QUOTA_BRANDED))
+    cross = F.map_entries(F.try_variant_get(held, "$.cross", "map<string,map<string,int>>"))
+    each = F.coalesce(F.flatten(F.transform(cross, lambda e: entries(F.concat(F.lit("cross."), e["key"]), e["value"]))), none)
+    return F.concat(flat("question_type", default), F.when(current, none).otherwise(F.concat(flat("funnel_intent"), each)))
 
 
 def _find(rows: DataFrame, code: str, question: Column | None = None, detail: Column | None = None) -> DataFrame:
@@ -136,6 +214,11 @@ FIELDS = (
 )
 
 
+def _true(v: Column) -> Column:
+    """Strictly true: text that spells true is not."""
+    return F.coalesce((F.schema_of_variant(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"), F.lit(False))
+
+
 def row_flags(bank: Bank) -> DataFrame:
     """Every complete row with its fields and a boolean or list for each row rule."""
     r = completeness(bank).where("not fatal")
@@ -149,11 +232,7 @@ def row_flags(bank: Bank) -> DataFrame:
     text, now = F.col("text"), F.col("current")
     flags = F.array(*map(F.lit, fixed.QUALITY_FLAGS + fixed.CURRENT_FLAGS))
     wanted = F.when(now, flags).otherwise(F.slice(flags, 1, len(fixed.QUALITY_FLAGS)))
-    given = F.try_variant_get(F.col("q"), "$.quality_checks", "map<string,variant>")
-
-    def true(v: Column) -> Column:
-        return F.coalesce((F.schema_of_variant(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"), F.lit(False))
-
+    checks = F.try_variant_get(F.col("q"), "$.quality_checks", "map<string,variant>")
     zh_type = F.schema_of_variant(F.try_variant_get(F.col("q"), "$.zh_translation", "variant"))
     return r.select(
         "*",
@@ -169,13 +248,13 @@ def row_flags(bank: Bank) -> DataFrame:
             F.array(*[F.when(normalize_name(F.col(c)) == F.col("norm"), F.lit(c)) for c in ("retrieval_rewrite", "evidence_query", "title_seed")]),
             lambda x: x.isNotNull()
         ).alias("repeats"),
-        F.when(given.isNull(), wanted).otherwise(F.filter(wanted, lambda n: ~true(F.try_element_at(given, n)))).alias("failed_checks"),
+        F.when(checks.isNull(), wanted).otherwise(F.filter(wanted, lambda n: ~_true(F.try_element_at(checks, n)))).alias("failed_checks"),
         F.when(now, F.array_intersect(F.col("keys"), F.array(*map(F.lit, fixed.RETIRED_FIELDS)))).otherwise(F.array().cast("array<string>")).alias("retired"),
         (
             now & ~F.coalesce(F.col("funnel_intent").isin("recommendation", "comparison", "decision"), F.lit(False))
         ).alias("bad_intent"), (now & ~F.col("decision_stage").isin(*fixed.DECISION_STAGES)).alias("bad_stage"),
-        F.when(F.col("norm") != "", F.split("norm", " ")[0]).alias("opener"), true(F.try_element_at(given, F.lit("commercial_intent"))).alias("commercial"),
-        F.coalesce(F.try_variant_get(F.col("q"), "$.boundary_question", "boolean"), F.lit(False)).alias("boundary"),
+        F.when(F.col("norm") != "", F.split("norm", " ")[0]).alias("opener"),
+        F.coalesce(given(F.try_variant_get(F.col("q"), "$.boundary_question", "variant")), F.lit(False)).alias("boundary"),
     )
 
 
@@ -298,18 +377,21 @@ def term_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
 
 
 def quota_differences(flags: DataFrame, quotas: DataFrame) -> DataFrame:
-    """(bank_id, dimension, key, actual, expected) wherever counts and quotas differ, either way."""
+    """(bank_id, dimension, key, actual, expected) wherever counts and quotas differ, either way.
+
+    Compared are the dimensions that `quotas` has for the bank: question_type, funnel_intent, cross.<type>.
+    """
     sets = flags.select("bank_id", "question_type", "funnel_intent").groupBy("bank_id", "question_type", "funnel_intent").agg(F.count("*").alias("n"))
+    of = lambda dimension, key: F.struct(dimension.alias("dimension"), key.alias("key"))
     each = sets.select(
-        "bank_id", "n",
-        F.explode(
+        "bank_id", "n", F.explode(
             F.array(
-                F.struct(F.lit("question_type").alias("dimension"), F.col("question_type").alias("key")),
-                F.struct(F.lit("funnel_intent").alias("dimension"), F.col("funnel_intent").alias("key")),
-                F.struct(F.lit("cross").alias("dimension"), F.concat_ws("/", "question_type", "funnel_intent").alias("key"))
+                of(F.lit("question_type"), F.col("question_type")), of(F.lit("funnel_intent"), F.col("funnel_intent")),
+                # Of other types no intents are counted.
+                of(F.when(F.col("question_type").isin("generic", "branded"), F.concat(F.lit("cross."), "question_type")), F.col("funnel_intent"))
             )
         ).alias("x")
-    )
+    )
     actual = each.groupBy("bank_id", F.col("x.dimension").alias("dimension"), F.col("x.key").alias("key")).agg(F.sum("n").alias("actual"))
     held = quotas.select("bank_id", "dimension").distinct()
     both = actual.join(held, ["bank_id", "dimension"], "left_semi").join(quotas, ["bank_id", "dimension", "key"], "full_outer").fillna(0, ["actual", "expected"])
@@ -335,7 +417,7 @@ def duplicate_members(flags: DataFrame) -> DataFrame:
 
 
 def topic_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
-    """(bank_id, topic_id, n): topics without exactly one brand-sentiment question."""
+    """(bank_id, topic_id, n): topics of current banks without exactly one brand-sentiment question."""
     counts = flags.where("is_sentiment").groupBy("bank_id", "topic_id").agg(F.count("*").alias("n"))
     return bank.topics.select("bank_id", "topic_id").join(counts, ["bank_id", "topic_id"], "left").fillna(0, ["n"]).where("n != 1")
 
@@ -378,7 +460,7 @@ def audience_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
 
 
 def style(flags: DataFrame) -> DataFrame:
-    """A row for each bank: distinct labels, singletons, openers and promotional wording as counts and ratios."""
+    """A row for each bank: distinct labels, singletons, openers and promotional wording as counts and ratios."""
     dims = ("cluster", "scenario", "constraint", "audience_role", "opener")
     labels = flags.select(
         "bank_id", "row_no", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("label")) for d in dims])).alias("x")
@@ -393,8 +475,7 @@ def style(flags: DataFrame) -> DataFrame:
         F.max_by(F.when(of("opener"), F.struct("label", "n")), F.when(of("opener"), F.struct(F.col("n"), -F.col("first")))).alias("top"),
     )
     totals = flags.groupBy("bank_id").agg(
-        F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence"),
-        F.count_if("commercial").alias("commercial")
+        F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence")
     )
     rows = totals.join(spread, "bank_id", "left").withColumn("top_opener", F.col("top.label")).withColumn("top_opener_n", F.coalesce("top.n", F.lit(0))).drop("top")
     for name in ("promotional", "low_confidence", "single_cluster", "single_scenario", "single_constraint", "common_openers", "top_opener_n"):
@@ -420,19 +501,35 @@ def style_warnings(styles: DataFrame) -> DataFrame:
     return styles.where(c("total") >= fixed.MIN_BATCH).select("bank_id", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("bank_id", "x.*")
 
 
-def distinct_findings(bank: Bank, styles: DataFrame) -> DataFrame:
-    """(bank_id, code, ...) of dimensions with too few labels; default minima hold from 18 questions on."""
-    given = bank.config.select("bank_id", "expected_total", F.try_variant_get(F.col("doc"), "$.config.min_distinct_counts", "map<string,int>").alias("m"))
-    rows = styles.join(given, "bank_id")
-    least = lambda k, d: F.coalesce(F.try_element_at("m", F.lit(k)), F.when(F.coalesce("expected_total", F.lit(0)) >= 18, d).otherwise(0))
-    each = F.array(
-        *[
-            F.struct(F.lit(k).alias("k"), F.col(c).alias("actual"), least(k, d).alias("least")) for k, c,
-            d in (("audience_roles", "distinct_audience_role", 3), ("scenarios", "distinct_scenario", 3), ("constraints", "distinct_constraint", 2))
-        ]
+def review_counts(bank: Bank, flags: DataFrame) -> DataFrame:
+    """(bank_id, visible, commercial): complete questions that show their category, and questions, incomplete ones too, that were reviewed as commercial."""
+    shown = visible(bank, flags).groupBy("bank_id").agg(F.count("*").alias("visible"))
+    reviewed = bank.rows.groupBy("bank_id").agg(
+        F.count_if(_true(F.try_variant_get(F.col("q"), "$.quality_checks.commercial_intent", "variant"))).alias("commercial")
     )
-    short = rows.select("bank_id", F.explode(each).alias("x")).where("x.actual < x.least")
-    return _find(short, "FEW_DISTINCT", None, F.col("x.k"))
+    both = bank.config.select("bank_id").join(shown, "bank_id", "left").join(reviewed, "bank_id", "left")
+    return both.fillna(0, ["visible", "commercial"])
+
+
+def _least(current: Column) -> Column:
+    """Minima of different labels as a map: those given, else the default ones of banks that are large enough."""
+    held = F.try_variant_get(F.col("doc"), "$.config.min_distinct_counts", "variant")
+    absent = held.isNull() | (F.schema_of_variant(held) == "VOID")
+    default = F.create_map(*[F.lit(x) for pair in fixed.MIN_DISTINCT.items() for x in pair])
+    own = F.coalesce(F.try_variant_get(held, "$", "map<string,int>"), F.map_filter(default, lambda k, v: F.lit(False)))
+    large = F.coalesce("expected_total", F.lit(fixed.QUOTA_TOTAL)) >= fixed.DISTINCT_FROM
+    default = F.map_filter(default, lambda k, v: large)
+    return F.when(absent, default).otherwise(F.map_filter(own, lambda k, v: ~(current & (k == "geo_intents"))))
+
+
+def distinct_findings(bank: Bank, styles: DataFrame) -> DataFrame:
+    """(bank_id, code, ...) of dimensions with too few labels; banks without a complete row have none.
+
+    A minimum for anything but roles, scenarios and constraints is never met, unless it is zero.
+    """
+    rows = bank.config.join(styles, "bank_id", "left").select("bank_id", "distinct_audience_role", "distinct_scenario", "distinct_constraint", F.explode(_least(F.col("current"))).alias("k", "least"))
+    actual = F.when(F.col("k") == "audience_roles", F.col("distinct_audience_role")).when(F.col("k") == "scenarios", F.col("distinct_scenario")).when(F.col("k") == "constraints", F.col("distinct_constraint"))
+    return _find(rows.where(F.coalesce(actual, F.lit(0)) < F.col("least")), "FEW_DISTINCT", None, F.col("k"))
 
 
 def intent_findings(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -444,23 +541,32 @@ def intent_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 
 def rival_tiers(bank: Bank) -> DataFrame:
     """(bank_id, tier, n): formal competitors by known tier, of selections of three."""
-    counts = bank.rivals.groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
-    whole = counts.withColumn("_all", F.sum("n").over(Window.partitionBy("bank_id")))
-    return whole.where(F.col("tier").isin("direct", "adjacent", "fallback") & (F.col("_all") == 3)).drop("_all")
+    return bank.rivals.where(F.col("tier").isin("direct", "adjacent", "fallback")).groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
+
+
+def warnings(bank: Bank, styles: DataFrame) -> DataFrame:
+    """(bank_id, code, severity) of what is no fault: missing variety, old versions, no excluded categories."""
+    version = F.col("version")
+    codes = F.filter(
+        F.array(
+            F.when(version == "", "LEGACY_WITHOUT_VERSION"), F.when(version.isin(*fixed.LEGACY_VERSIONS), "LEGACY_VERSION"),
+            F.when(F.size(_strings(F.col("doc"), KINDS["excluded"])) == 0, "NO_EXCLUDED_CATEGORIES")
+        ),
+        lambda c: c.isNotNull()
+    )
+    return style_warnings(styles).unionByName(bank.config.select("bank_id", F.explode(codes).alias("code"), F.lit("warning").alias("severity")))
 
 
 def findings(bank: Bank, flags: DataFrame | None = None) -> DataFrame:
     """All findings of all banks (U3). Every rule reads `flags`: hand over those of `row_flags`, kept, to compute them once."""
     flags = row_flags(bank) if flags is None else flags
     styles = style(flags)
-    out = config_findings(bank.config).unionByName(row_findings(bank, flags)).unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
+    out = _find(bank.shapeless, "QUESTIONS_SHAPE").unionByName(config_findings(bank.config)).unionByName(row_findings(bank, flags))
+    out = out.unionByName(comparison_findings(bank, flags)).unionByName(intent_findings(bank, flags)).unionByName(distinct_findings(bank, styles))
     out = out.unionByName(_find(duplicates(flags), "DUPLICATE", None, F.concat_ws(":", "what", "key"))).unionByName(
         _find(topic_coverage(bank, flags), "TOPIC_SENTIMENT", None, F.col("topic_id"))
     )
-    types = bank.quotas.where("dimension = 'question_type'").unionByName(
-        bank.quotas.where("dimension != 'question_type'").join(bank.config.where("not coalesce(current, false)").select("bank_id"), "bank_id", "left_semi")
-    )
-    out = out.unionByName(_find(quota_differences(flags, types), "QUOTA", None, F.concat_ws(":", "dimension", "key")))
+    out = out.unionByName(_find(quota_differences(flags, bank.quotas), "QUOTA", None, F.concat_ws(":", "dimension", "key")))
     return out.unionByName(_find(term_coverage(bank, flags).where("actual < minimum"), "TERM_COVERAGE", None, F.concat_ws(":", "concept", "measure")))
 
 

@@ -28,9 +28,9 @@ def _is(v: Column, kind: str) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit(kind)), F.lit(False))
 
 
-def _given(v: Column) -> Column:
+def given(v: Column) -> Column:
     """Whether a value is there and holds anything."""
-    return v.isNotNull() & ~F.to_json(v).isin('""', "[]", "{}", "null", "false", "0")
+    return v.isNotNull() & ~F.to_json(v).isin('""', "[]", "{}", "null", "false", "0", "0.0")
 
 
 def _items(v: Column) -> Column:
@@ -67,7 +67,7 @@ def _general(now: Column, branded: Column) -> Column:
             ("RETIRED_AWARENESS", now & _at("doc", "$.config.quotas.funnel_intent.awareness").isNotNull()),
             ("RETIRED_GEO_COUNTS", now & _at("doc", "$.config.min_geo_intent_counts").isNotNull()),
             ("RETIRED_GEO_DISTINCT", now & _at("doc", "$.config.min_distinct_counts.geo_intents").isNotNull()),
-            ("ALIASES_SHAPE", _given(_at("doc", "$.config.aliases")) & ~_is(_at("doc", "$.config.aliases"), "ARRAY")),
+            ("ALIASES_SHAPE", given(_at("doc", "$.config.aliases")) & ~_is(_at("doc", "$.config.aliases"), "ARRAY")),
             ("NO_BRAND", now & (F.col("brand") == "")),
             ("OBJECT_TYPE", now & ~F.lower("object_type").isin("company", "product")),
             ("COUNT", F.coalesce("expected_total", F.lit(fixed.QUOTA_TOTAL)) != F.col("questions")),
@@ -100,14 +100,14 @@ def _category(now: Column) -> Column:
     label = F.col("category_label")
     shapes = [
         _rules(
-            ("CATEGORY_FIELD", _given(_at(held, f"$.{n}")) & ~_is(_at(held, f"$.{n}"), "ARRAY")), detail=n
+            ("CATEGORY_FIELD", given(_at(held, f"$.{n}")) & ~_is(_at(held, f"$.{n}"), "ARRAY")), detail=n
         ) for n in ("core_terms", "product_terms", "placeholder_blacklist")
     ]
     fits = F.exists(F.concat(core, product), lambda t: contains_name(label, t) | contains_name(t, label))
     inner = F.when(
         _is(held, "OBJECT"), F.concat(*shapes, _rules(("CATEGORY_EMPTY", (F.size(core) == 0) & (F.size(product) == 0))))
     ).otherwise(_rules(("CATEGORY_SHAPE", F.lit(True))))
-    own = F.concat(inner, _rules(("NO_LABEL", label == ""), ("LABEL_MISMATCH", (label != "") & _given(held) & ~fits)))
+    own = F.concat(inner, _rules(("NO_LABEL", label == ""), ("LABEL_MISMATCH", (label != "") & given(held) & ~fits)))
     return F.when(now, own).otherwise(F.array().cast(FINDING))
 
 
@@ -135,7 +135,7 @@ def _rivals() -> Column:
         rows = _rules(
             ("RIVAL_NAME", _text(c, "$.name") == ""),
             ("RIVAL_TWICE", (_text(c, "$.name") != "") & _repeats(keys, place)),
-            ("RIVAL_ALIASES", _given(_at(c, "$.aliases")) & ~_is(_at(c, "$.aliases"), "ARRAY")),
+            ("RIVAL_ALIASES", given(_at(c, "$.aliases")) & ~_is(_at(c, "$.aliases"), "ARRAY")),
             ("RIVAL_TIER", ~known),
             ("RIVAL_POLICY", ~_is(policy, "OBJECT")),
             ("RIVAL_DIMENSIONS", _is(policy, "OBJECT") & ~_is(_at(policy, "$.allowed_dimensions"), "ARRAY")),
@@ -176,7 +176,7 @@ def _terms(assessed: Column) -> Column:
         numbers = {n: minimum(v, n) for n in MINIMA}
         rows = F.concat(
             _rules(
-                ("TERM_CONTEXT", _given(_at(v, "$.context_terms")) & ~_is(_at(v, "$.context_terms"), "ARRAY")),
+                ("TERM_CONTEXT", given(_at(v, "$.context_terms")) & ~_is(_at(v, "$.context_terms"), "ARRAY")),
                 *[("TERM_MINIMUM", bad) for bad, _ in numbers.values()], detail=s["key"]
             ),
             _rules(
@@ -204,9 +204,10 @@ def _terms(assessed: Column) -> Column:
             ~_is(d, "OBJECT"), _rules(("DECISION_SHAPE", F.lit(True)), detail=place)
         ).when(off, _rules(("DECISION_CONCEPT", F.lit(True)), detail=place)).otherwise(rows)
 
+    # Only the first decision on a concept counts.
+    firsts = F.filter(decisions, lambda d, k: _is(d, "OBJECT") & ~F.coalesce(_repeats(concepts, k + 1), F.lit(False)))
     required = F.transform(
-        F.filter(decisions, lambda d: _is(d, "OBJECT") & (_text(d, "$.decision") == "required") & (_text(d, "$.concept") != "")),
-        lambda d: _text(d, "$.concept")
+        F.filter(firsts, lambda d: (_text(d, "$.decision") == "required") & (_text(d, "$.concept") != "")), lambda d: _text(d, "$.concept")
     )
     covered = F.transform(F.filter(specs, worded), lambda s: s["key"])
     differ = F.array_sort(F.array_distinct(required)) != F.array_sort(F.array_distinct(covered))
@@ -218,7 +219,7 @@ def _terms(assessed: Column) -> Column:
     )
     assessment = F.when(_is(judged, "OBJECT"), F.concat(whole, _each(decisions, decision))).otherwise(_rules(("ASSESSMENT_SHAPE", F.lit(True))))
     return F.concat(
-        _rules(("NO_TERM_COVERAGE", assessed & held.isNull()), ("TERMS_SHAPE", _given(held) & ~_is(held, "OBJECT"))),
+        _rules(("NO_TERM_COVERAGE", assessed & held.isNull()), ("TERMS_SHAPE", given(held) & ~_is(held, "OBJECT"))),
         _each(specs, one),
         F.when(assessed, assessment).otherwise(F.array().cast(FINDING)),
     )
@@ -229,6 +230,6 @@ def config_findings(config: DataFrame) -> DataFrame:
     now = F.coalesce("current", F.lit(False))
     assessed = F.coalesce(F.col("version").isin(fixed.CURRENT_VERSION, *fixed.LEGACY_VERSIONS), F.lit(False))
     quotas = _at("doc", "$.config.quotas")
-    branded = F.when(_given(quotas), F.coalesce(F.try_variant_get(quotas, "$.question_type.branded", "int"), F.lit(0))).otherwise(F.lit(fixed.QUOTA_BRANDED))
+    branded = F.when(given(quotas), F.coalesce(F.try_variant_get(quotas, "$.question_type.branded", "int"), F.lit(0))).otherwise(F.lit(fixed.QUOTA_BRANDED))
     found = config.select("bank_id", F.explode(F.concat(_general(now, branded), _rivals(), _terms(assessed))).alias("x"))
     return found.select("bank_id", "x.code", F.lit(None).cast("string").alias("question_id"), F.nullif("x.detail", F.lit("")).alias("detail"))

@@ -174,6 +174,10 @@ def bank_tiers(spark, sf_dir):
 
 
 def _questioned(spark: SparkSession, sf_dir: str) -> bank.Bank:
+    return bank.load(_documents(spark, sf_dir))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bank for each brand in each two hundred parts, a question for each part: kind, names, wording, acronyms and labels by its size."""
     p = tables.read(spark, sf_dir, "part").withColumn("s", F.col("p_size"))
     s = F.col("s")
@@ -201,7 +205,7 @@ def _questioned(spark: SparkSession, sf_dir: str) -> bank.Bank:
     lists = p.groupBy(F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 200).cast("string")).alias("bank_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", question.alias("q")))), lambda x: x["q"]), ", ").alias("qs")
     )
-    return bank.load(lists.select("bank_id", F.concat(F.lit(head), "qs", F.lit(tail)).alias("body")))
+    return lists.select("bank_id", F.concat(F.lit(head), "qs", F.lit(tail)).alias("body"))
 
 
 _Q = """q AS (SELECT p_brand || '-' || CAST(p_partkey // 200 AS VARCHAR) AS bank_id, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS k, p_size AS s,

@@ -257,16 +257,25 @@ def text_mismatches(spark, sf_dir):
     return ingest.crawl_findings(ingest.import_crawl(crawls, known)).where("code = 'QUESTION_TEXT_MISMATCH'").select("run_id", "sample_id")
 
 
-@query("""WITH k AS (SELECT page_id, page_id % 4 AS k FROM pages)
-SELECT CAST(page_id AS VARCHAR) AS sample_id, c.code FROM k, (VALUES (1, 'INVALID_REFERENCE_ITEMS'), (2, 'INVALID_REFERENCE_ITEM'), (2, 'REFERENCE_COUNT_MISMATCH'), (3, 'REFERENCE_COUNT_MISMATCH')) c(k, code) WHERE c.k = k.k""")
+#: Reference blocks and what is found in them; {} stands for an object with the page's url.
+_BLOCKS = (
+    ('{"count": 1, "items": [{}]}', ()), ('{"items": {}}', ()), ('{"count": 1, "items": ["x", {}]}', ("INVALID_REFERENCE_ITEM", "REFERENCE_COUNT_MISMATCH")),
+    ('{"count": 3, "items": [{}]}', ("REFERENCE_COUNT_MISMATCH",)), ('{"count": 1}', ("REFERENCE_COUNT_MISMATCH",)), ('{"count": 0, "items": null}', ()),
+    ('{"items": {"a": {}}}', ("INVALID_REFERENCE_ITEMS",)), ('{"count": 1, "items": "none"}', ("INVALID_REFERENCE_ITEMS", "REFERENCE_COUNT_MISMATCH")),
+    ('{"count": "1", "items": ""}', ()), ('{"count": true, "items": [{}, 1, []]}', ("INVALID_REFERENCE_ITEM", "INVALID_REFERENCE_ITEM", "REFERENCE_COUNT_MISMATCH")),
+    ("{}", ()), ('{"count": 0, "items": 5}', ("INVALID_REFERENCE_ITEMS",)),
+)
+
+
+@query(f"""SELECT CAST(page_id AS VARCHAR) AS sample_id, c.code FROM pages, (VALUES
+  {", ".join(f"({k}, '{code}')" for k, (_, found) in enumerate(_BLOCKS) for code in found)}) c(k, code) WHERE c.k = page_id % {len(_BLOCKS)}""")
 def reference_issue_kinds(spark, sf_dir):
-    """Lists that are none, elements that are no objects, and counts that do not agree."""
+    """Lists that are none, absent or empty, elements that are no objects, and counts that do not agree."""
     pages = tables.read(spark, sf_dir, "pages")
     item = F.to_json(F.struct(F.coalesce("url", F.lit("")).alias("url")))
-    k = F.col("page_id") % 4
-    lists = F.when(k == 0, F.concat(F.lit('{"count": 1, "items": ['), item, F.lit("]}"))).when(k == 1, F.lit('{"items": {}}'))
-    lists = lists.when(k == 2, F.concat(F.lit('{"count": 1, "items": ["x", '), item, F.lit("]}"))).otherwise(F.concat(F.lit('{"count": 3, "items": ['), item, F.lit("]}")))
+    own = F.element_at(F.array(*[F.lit(b if b == "{}" or b == '{"items": {}}' else b.replace("{}", "\x01")) for b, _ in _BLOCKS]), (F.col("page_id") % len(_BLOCKS) + 1).cast("int"))
     samples = pages.select(
-        F.lit("r").alias("run_id"), F.col("page_id").cast("string").alias("sample_id"), F.lit(True).alias("analysis_eligible"), F.try_parse_json(lists).alias("references")
+        F.lit("r").alias("run_id"), F.col("page_id").cast("string").alias("sample_id"), F.lit(True).alias("analysis_eligible"),
+        F.try_parse_json(F.replace(own, F.lit("\x01"), item)).alias("references")
     )
     return ingest.reference_findings(samples).select("sample_id", "code")

@@ -36,8 +36,8 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
-def _crawls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A batch document for each turn, odd ones with a plan and without a question id; questions of nine conversations in ten, and silent ones."""
+def _samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A sample for each turn, odd ones with a plan and without a question id; questions of nine conversations in ten, and silent ones."""
     turns = _turns(spark, sf_dir)
     odd = F.col("turn") % 2 == 1
     result = F.when(F.col("r") == "assistant", F.struct(F.lit(True).alias("ok"), F.struct(F.coalesce("text", F.lit("")).alias("text")).alias("answer")))
@@ -54,12 +54,18 @@ def _crawls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             )
         )
     )
-    raw = turns.select("run_id", _json(samples=F.array(sample), plan=plan).alias("body"))
+    samples = turns.select("run_id", "conv_id", sample.alias("sample"), plan.alias("plan"))
     known = turns.where("conv_id % 10 != 9").select(
         "run_id", F.col("q").alias("question_id"), F.concat(F.lit("Question "), "q").alias("question_text")
     ).distinct()
     silent = turns.where("conv_id % 10 = 8").select("run_id", F.concat(F.lit("s"), "q").alias("question_id"), F.lit("").alias("question_text")).distinct()
-    return raw, known.unionByName(silent)
+    return samples, known.unionByName(silent)
+
+
+def _crawls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A batch document for each turn, and the questions."""
+    samples, asked = _samples(spark, sf_dir)
+    return samples.select("run_id", _json(samples=F.array("sample"), plan=F.col("plan")).alias("body")), asked
 
 
 @query(f"""WITH {_TURNS}, late AS (SELECT run_id, q, conv_id, turn + 1 AS turn, q || '-r' || CASE WHEN turn + 1 < 10 THEN '0'
@@ -103,29 +109,32 @@ def collection_samples(spark, sf_dir):
 
 
 def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sample for each page: its reference list names the url under one of two keys, or is no list; its answer holds two links."""
+    """A sample for each page: its reference list names the url under one of three keys, is none or absent; its answer holds three links, one twice."""
     pages = tables.read(spark, sf_dir, "pages").withColumn("u", F.coalesce("url", F.lit("")))
-    k = F.col("page_id") % 3
-    items = F.when(
-        k < 2, F.to_json(F.array(F.struct(F.when(k == 0, F.col("u")).alias("url"), F.when(k == 1, F.col("u")).alias("link"))))
-    ).otherwise(F.lit('"none"'))
-    answer = F.concat(F.lit("see "), "u", F.lit(" and http://b.example/"), F.col("page_id").cast("string"), F.lit("."))
+    k = F.col("page_id") % 5
+    named = lambda key: F.to_json(F.struct(F.col("u").alias(key)))
+    block = (
+        F.when(k == 0, F.concat(F.lit('{"count": 1, "items": ['), named("url"), F.lit("]}"))).when(k == 1, F.concat(F.lit('{"items": ['), named("link"), F.lit("]}")))
+        .when(k == 2, F.lit('{"count": 1, "items": "none"}')).when(k == 3, F.concat(F.lit('{"count": 2, "items": ["x", '), named("href"), F.lit("]}")))
+        .otherwise(F.lit('{"count": 1}'))
+    )
+    own = F.concat(F.lit("http://b.example/"), F.col("page_id").cast("string"))
     return pages.select(
-        F.lit("r").alias("run_id"), F.col("page_id").cast("string").alias("sample_id"), F.lit(True).alias("analysis_eligible"), answer.alias("answer_text"),
-        F.try_parse_json(F.concat(F.lit('{"count": 1, "items": '), items, F.lit("}"))).alias("references")
+        F.lit("r").alias("run_id"), F.col("page_id").cast("string").alias("sample_id"), F.lit(True).alias("analysis_eligible"),
+        F.concat(F.lit("see "), own, F.lit("; "), "u", F.lit(" and "), own, F.lit(".")).alias("answer_text"), F.try_parse_json(block).alias("references")
     )
 
 
-@query(r"""WITH p AS (SELECT page_id, coalesce(url, '') AS u,
-  regexp_extract_all('see ' || coalesce(url, '') || ' and http://b.example/' || CAST(page_id AS VARCHAR) || '.', '(?i)https?://[^\s)\]>"'']+') AS found
-  FROM pages),
-b AS (SELECT page_id, u, unnest(found) AS x, generate_subscripts(found, 1) AS pos FROM p),
-c AS (SELECT page_id, 'platform' AS citation_source, 1 AS source_order, nullif(trim(u), '') AS raw_url FROM p WHERE page_id % 3 < 2
-UNION ALL SELECT page_id, 'body', CASE WHEN page_id % 3 < 2 THEN 1 ELSE 0 END + pos, regexp_replace(x, '[.,;:]+$', '') FROM b
-  WHERE NOT (page_id % 3 < 2 AND regexp_replace(x, '[.,;:]+$', '') = u))
-SELECT CAST(page_id AS VARCHAR) AS sample_id, citation_source, CAST(source_order AS BIGINT) AS source_order,
-  raw_url, 'C-' || CAST(page_id AS VARCHAR) || '-' || lpad(CAST(row_number() OVER (PARTITION BY page_id ORDER BY citation_source DESC,
-  source_order) AS VARCHAR), 3, '0') AS citation_id FROM c""")
+@query(r"""WITH p AS (SELECT page_id, page_id % 5 AS k, coalesce(url, '') AS u, CASE WHEN page_id % 5 IN (0, 1, 3) THEN 1 ELSE 0 END AS kept,
+  'http://b.example/' || CAST(page_id AS VARCHAR) AS own FROM pages),
+f AS (SELECT *, regexp_extract_all('see ' || own || '; ' || u || ' and ' || own || '.', '(?i)https?://[^\s)\]>"'']+') AS found FROM p),
+b AS (SELECT page_id, k, u, kept, regexp_replace(unnest(found), '[.,;:]+$', '') AS x, generate_subscripts(found, 1) AS pos FROM f),
+c AS (SELECT page_id, 'platform' AS citation_source, CASE k WHEN 3 THEN 2 ELSE 1 END AS source_order, nullif(trim(u), '') AS raw_url, 1 AS no FROM p
+  WHERE kept = 1
+UNION ALL SELECT page_id, 'body_link', kept + n, x, kept + n FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM b
+  WHERE kept = 0 OR x <> trim(u)))
+SELECT CAST(page_id AS VARCHAR) AS sample_id, citation_source, CAST(source_order AS BIGINT) AS source_order, raw_url,
+  'C-' || CAST(page_id AS VARCHAR) || '-' || lpad(CAST(no AS VARCHAR), 3, '0') AS citation_id FROM c""")
 def imported_citations(spark, sf_dir):
     """S7, S8, J8, U2, W4."""
     return ingest.citations(_cited(spark, sf_dir)).select(
@@ -133,7 +142,8 @@ def imported_citations(spark, sf_dir):
     )
 
 
-@query("SELECT 'INVALID_REFERENCE_ITEMS' AS code, CAST(page_id AS VARCHAR) AS sample_id FROM pages WHERE page_id % 3 = 2")
+@query("""SELECT c.code, CAST(page_id AS VARCHAR) AS sample_id FROM pages, (VALUES (2, 'INVALID_REFERENCE_ITEMS'), (2, 'REFERENCE_COUNT_MISMATCH'),
+  (3, 'INVALID_REFERENCE_ITEM'), (4, 'REFERENCE_COUNT_MISMATCH')) c(k, code) WHERE page_id % 5 = c.k""")
 def reference_issues(spark, sf_dir):
     """S7."""
     return ingest.reference_findings(_cited(spark, sf_dir)).select("code", "sample_id")
@@ -302,13 +312,13 @@ def bank_audiences(spark, sf_dir):
 
 
 @query(f"""WITH {_PARTS}, o AS (SELECT bank_id, regexp_extract(lower(text), '^[a-z]+') AS opener, count(*) AS n, min(k) AS first FROM q GROUP BY ALL)
-SELECT c.bank_id, total, single_cluster, common_openers, top_opener, CAST(total AS DOUBLE) / total AS commercial_ratio
+SELECT c.bank_id, total, single_cluster, common_openers, top_opener, CAST(4 AS BIGINT) AS commercial
   FROM (SELECT bank_id, count(*) AS total, CASE WHEN any_value(s) % 2 = 0 THEN count(*) ELSE 0 END AS single_cluster FROM q GROUP BY bank_id) c
 JOIN (SELECT bank_id, coalesce(sum(n) FILTER (opener IN ('how', 'what', 'which')), 0)::BIGINT AS common_openers, arg_max(opener, (n, -first)) AS top_opener
   FROM o GROUP BY bank_id) p ON p.bank_id = c.bank_id""")
 def bank_style(spark, sf_dir):
-    """A20-A23, A26."""
-    rows = bank.style(bank.row_flags(_bank(spark, sf_dir)))
-    return rows.select(
-        "bank_id", "total", "single_cluster", "common_openers", "top_opener", (F.col("commercial").cast("double") / F.col("total")).alias("commercial_ratio")
-    )
+    """A bank's four questions are all reviewed as commercial, the incomplete one too."""
+    b = _bank(spark, sf_dir)
+    flags = bank.row_flags(b)
+    rows = bank.style(flags).join(bank.review_counts(b, flags), "bank_id")
+    return rows.select("bank_id", "total", "single_cluster", "common_openers", "top_opener", "commercial")

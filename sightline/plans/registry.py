@@ -9,7 +9,7 @@ from ..functions import fixed, text, urls
 from ..operators import bank, citations, grounding, mentions, results, sampling, sentiment
 from ..operators import imports as operators_imports
 from ..sources import ingest, tables
-from . import banks, imports, outcomes, raw, reports  # noqa: F401 - they register their queries
+from . import banks, files, imports, outcomes, raw, reports  # noqa: F401 - they register their queries
 from .bound import ANSWERS as _ANSWERS
 from .bound import JUDGED as _JUDGED
 from .bound import METRICS as _METRICS

@@ -15,8 +15,12 @@ from ..functions.text import casefold, normalize_text, or_empty, strip
 
 
 def parsed(raw: DataFrame) -> DataFrame:
-    """(run_id, doc variant); unparsable bodies have a null document."""
-    return raw.select("run_id", F.try_parse_json("body").alias("doc"))
+    """(run_id, doc variant, offset); unparsable bodies have a null document.
+
+    `offset` is that of `raw` or 0: the place in its list of the first element that a document holds.
+    """
+    offset = F.col("offset") if "offset" in raw.columns else F.lit(0)
+    return raw.select("run_id", F.try_parse_json("body").alias("doc"), offset.cast("int").alias("offset"))
 
 
 def text_at(v: str | Column, path: str) -> Column:
@@ -69,7 +73,7 @@ def with_status(samples: DataFrame) -> DataFrame:
 def batch_samples(docs: DataFrame) -> DataFrame:
     """Samples of batch documents: one row for each element of `samples`."""
     rows = docs.where(F.startswith(F.schema_of_variant(F.variant_get("doc", "$.samples", "variant")), F.lit("ARRAY")))
-    s = rows.select("run_id", F.posexplode(_array_at("doc", "$.samples")).alias("sample_pos", "s"))
+    s = rows.select("run_id", "offset", F.posexplode(_array_at("doc", "$.samples")).alias("pos", "s")).withColumn("sample_pos", F.col("pos") + F.col("offset"))
     result = F.try_variant_get(F.col("s"), "$.result", "variant")
     has = F.coalesce(F.startswith(F.schema_of_variant(result), F.lit("OBJECT")), F.lit(False))
     sample = text_at("s", "$.sample_id")
@@ -90,7 +94,7 @@ def collection_results(docs: DataFrame) -> DataFrame:
     rows = docs.where(~F.coalesce(F.startswith(F.schema_of_variant(F.try_variant_get(F.col("doc"), "$.samples", "variant")), F.lit("ARRAY")), F.lit(False)))
     items = F.when(F.startswith(shape, F.lit("ARRAY")), _array_at("doc", "$")).otherwise(F.coalesce(_array_at("doc", "$.results"), F.array("doc")))
     name = F.when(F.startswith(shape, F.lit("ARRAY")), "list").when(_array_at("doc", "$.results").isNotNull(), "results").otherwise("object")
-    r = rows.select("run_id", name.alias("source_shape"), F.posexplode(items).alias("sample_pos", "s"))
+    r = rows.select("run_id", "offset", name.alias("source_shape"), F.posexplode(items).alias("pos", "s")).withColumn("sample_pos", F.col("pos") + F.col("offset"))
 
     def either(path: str) -> Column:
         return F.coalesce(text_at("s", f"$.manifest.{path}"), text_at("s", f"$.{path}"))
@@ -155,33 +159,37 @@ def crawl_findings(samples: DataFrame) -> DataFrame:
     return one(known.where("question_match is null"), "UNKNOWN_QUESTION").unionByName(one(known.where("text_differs"), "QUESTION_TEXT_MISMATCH")).unionByName(one(twice, "DUPLICATE_SAMPLE"))
 
 
-def reference_citations(samples: DataFrame) -> DataFrame:
-    """Citations of `references.items` objects; other elements are skipped, their places kept."""
-    items = samples.where("analysis_eligible").select("run_id", "sample_id", F.posexplode(_array_at("references", "$.items")).alias("pos", "item"))
-    items = items.where(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
-    url = F.coalesce(*[F.nullif(strip(or_empty(text_at("item", f"$.{k}"))), F.lit("")) for k in ("url", "link", "href")])
-    return items.select(
-        "run_id", "sample_id", F.lit("platform").alias("citation_source"), (F.col("pos") + 1).alias("source_order"), url.alias("raw_url"),
-        F.coalesce(text_at("item", "$.source"), text_at("item", "$.name")).alias("source_name"), text_at("item", "$.domain").alias("domain_hint"),
-        text_at("item", "$.title").alias("title"), text_at("item", "$.date").alias("date"), text_at("item", "$.summary").alias("summary")
-    )
+def _references(v: Column) -> tuple[Column, Column]:
+    """(elements, malformed) of a reference block: items that hold nothing are an empty list, others that are no list are malformed."""
+    items = F.try_variant_get(v, "$.items", "variant")
+    listed = F.coalesce(F.startswith(F.schema_of_variant(items), F.lit("ARRAY")), F.lit(False))
+    nothing = F.array().cast("array<variant>")
+    return F.when(listed, F.try_variant_get(v, "$.items", "array<variant>")).otherwise(nothing), F.coalesce(_holds(items) & ~listed, F.lit(False))
+
+
+def _holds(v: Column) -> Column:
+    """Whether a value is there and is no empty text, list or object, false or zero."""
+    return v.isNotNull() & ~F.to_json(v).isin('""', "[]", "{}", "null", "false", "0", "0.0")
 
 
 def reference_findings(samples: DataFrame) -> DataFrame:
-    """(run_id, code, sample_id) of malformed reference lists, for ineligible samples too."""
-    kind = F.schema_of_variant(F.try_variant_get(F.col("references"), "$.items", "variant"))
-    listed = samples.where("references is not null")
-    no_list = listed.where(~F.coalesce(F.startswith(kind, F.lit("ARRAY")), F.lit(False))).select(
-        "run_id", F.lit("INVALID_REFERENCE_ITEMS").alias("code"), "sample_id"
-    )
-    items = listed.select("run_id", "sample_id", F.explode(_array_at("references", "$.items")).alias("item"))
-    odd = items.where(~F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))).select("run_id", F.lit("INVALID_REFERENCE_ITEM").alias("code"), "sample_id")
-    declared = F.try_variant_get(F.col("references"), "$.count", "int")
-    is_int = F.schema_of_variant(F.try_variant_get(F.col("references"), "$.count", "variant")) == "BIGINT"
-    off = listed.where(is_int & (declared != F.size(_array_at("references", "$.items")))).select(
-        "run_id", F.lit("REFERENCE_COUNT_MISMATCH").alias("code"), "sample_id"
+    """(run_id, code, sample_id) of malformed reference lists, for ineligible samples too.
+
+    A declared count is compared with the elements of the list, of which there are none where it is malformed or absent.
+    """
+    items, malformed = _references(F.col("references"))
+    count = F.try_variant_get(F.col("references"), "$.count", "variant")
+    # A count of true or false is one or zero.
+    number = F.when(F.schema_of_variant(count) == "BIGINT", F.try_variant_get(count, "$", "long")).when(
+        F.schema_of_variant(count) == "BOOLEAN", F.try_variant_get(count, "$", "boolean").cast("long")
     )
-    return no_list.unionByName(odd).unionByName(off)
+    odd = F.filter(items, lambda i: ~F.startswith(F.schema_of_variant(i), F.lit("OBJECT")))
+    codes = F.concat(
+        F.filter(
+            F.array(F.when(malformed, "INVALID_REFERENCE_ITEMS"), F.when(number != F.size(items), "REFERENCE_COUNT_MISMATCH")), lambda c: c.isNotNull()
+        ), F.transform(odd, lambda i: F.lit("INVALID_REFERENCE_ITEM"))
+    )
+    return samples.where("references is not null").select("run_id", F.explode(codes).alias("code"), "sample_id")
 
 
 def body_urls(text: Column) -> Column:
@@ -189,22 +197,34 @@ def body_urls(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(or_empty(text), F.lit(fixed.BODY_URL), F.lit(0)), lambda u: F.regexp_replace(u, "[.,;:]+$", ""))
 
 
-def body_citations(samples: DataFrame, platform: DataFrame) -> DataFrame:
-    """Citations of URLs in answers that the platform does not list, compared as raw text."""
-    listed = platform.groupBy("run_id", "sample_id").agg(F.max("source_order").alias("last"))
-    urls = samples.where("analysis_eligible").select("run_id", "sample_id", F.posexplode(body_urls(F.col("answer_text"))).alias("pos", "raw_url"))
-    fresh = urls.join(platform.select("run_id", "sample_id", "raw_url"), ["run_id", "sample_id", "raw_url"], "left_anti")
-    return fresh.join(listed, ["run_id", "sample_id"], "left").select(
-        "run_id", "sample_id", F.lit("body").alias("citation_source"), (F.coalesce("last", F.lit(0)) + F.col("pos") + 1).alias("source_order"), "raw_url"
-    )
-
-
 def citations(samples: DataFrame) -> DataFrame:
-    """Platform and body citations, numbered in each sample as `C-{sample}-{nnn}`."""
-    platform = reference_citations(samples)
-    both = platform.unionByName(body_citations(samples, platform), allowMissingColumns=True)
-    order = Window.partitionBy("run_id", "sample_id").orderBy(F.col("citation_source").desc(), "source_order")
-    return both.withColumn("citation_no", F.row_number().over(order)).withColumn("citation_id", F.format_string("C-%s-%03d", "sample_id", "citation_no"))
+    """Citations of eligible samples: objects of `references.items`, then URLs in the answer that those do not name.
+
+    Other elements are skipped, their places in `source_order` kept; a link's is the number of citations kept
+    before it plus one. Numbered in each sample as `C-{sample}-{nnn}`. Both lists lie in the sample's row, so
+    nothing is joined or shuffled.
+    """
+    items, _ = _references(F.col("references"))
+    text = lambda i, *names: F.coalesce(*[F.nullif(text_at(i, f"$.{n}"), F.lit("")) for n in names])
+
+    def entry(source: str, order: Column, url: Column, item: Column | None) -> Column:
+        own = lambda *names: F.lit(None).cast("string") if item is None else text(item, *names)
+        return F.struct(
+            F.lit(source).alias("citation_source"), order.cast("int").alias("source_order"), url.alias("raw_url"), own("source", "name").alias("source_name"),
+            own("domain").alias("domain_hint"), own("title").alias("title"), own("date").alias("date"), own("summary").alias("summary")
+        )
+
+    url_of = lambda i: F.nullif(strip(or_empty(text(i, "url", "link", "href"))), F.lit(""))
+    placed = F.filter(F.transform(items, lambda i, k: F.struct(i.alias("item"), k.alias("k"))), lambda x: F.startswith(F.schema_of_variant(x["item"]), F.lit("OBJECT")))
+    platform = F.transform(placed, lambda x: entry("platform", x["k"] + 1, url_of(x["item"]), x["item"]))
+    rows = samples.where("analysis_eligible").select("run_id", "sample_id", "answer_text", platform.alias("platform"))
+    known = F.coalesce(F.transform("platform", lambda p: p["raw_url"]), F.array().cast("array<string>"))
+    fresh = F.filter(body_urls(F.col("answer_text")), lambda u: ~F.coalesce(F.array_contains(F.filter(known, lambda k: k.isNotNull()), u), F.lit(False)))
+    links = F.transform(fresh, lambda u, k: entry("body_link", F.size("platform") + k + 1, u, None))
+    both = rows.select("run_id", "sample_id", F.posexplode(F.concat("platform", links)).alias("pos", "c"))
+    return both.select(
+        "run_id", "sample_id", "c.*", (F.col("pos") + 1).alias("citation_no"), F.format_string("C-%s-%03d", "sample_id", F.col("pos") + 1).alias("citation_id")
+    )
 
 
 def _first(v: str, *names: str) -> Column:
@@ -220,7 +240,7 @@ def import_questions(raw: DataFrame) -> DataFrame:
     """
     docs = parsed(raw)
     items = F.coalesce(_array_at("doc", "$.questions"), _array_at("doc", "$"))
-    q = docs.select("run_id", F.posexplode(items).alias("pos", "q")).withColumn("place", F.col("pos") + 1)
+    q = docs.select("run_id", "offset", F.posexplode(items).alias("pos", "q")).withColumn("place", F.col("pos") + F.col("offset") + 1)
 
     def label(value: Column, labels: dict) -> Column:
         keys = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
