@@ -94,84 +94,89 @@ class PrefixForest:
                     change[:, k] |= place[:, r]
         return own[:, None] ^ change
 
-    def candidates(self, query: np.ndarray, least: int, depth: int, sets: list[tuple[int, ...]]) -> np.ndarray:
-        """Rows in the stretches of one query, in order: ascend from the full strings until at least `least` rows are held."""
+    def candidates(self, query: np.ndarray, least: int, distinct: int, depth: int, sets: list[tuple[int, ...]]) -> np.ndarray:
+        """Rows in the stretches of one query, in order: ascend from the full strings until `least` rows are held with repeats, and `distinct` ones."""
         strings = self.probes(query, depth, sets) + (np.arange(self.trees, dtype=np.int64) << self.bits)[:, None]
+        seen = np.zeros(len(self.rows), dtype=bool)
         for length in range(min(self.bits, depth + 2), -1, -1):
             cut = self.bits - length
             prefix = np.unique(strings >> cut)
             low, high = np.searchsorted(self.sorted, prefix << cut), np.searchsorted(self.sorted, (prefix + 1) << cut)
-            if (high - low).sum() >= least:
+            size = high - low
+            if size.sum() < least and length:
+                continue
+            seen[self.order[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]] = True
+            if np.count_nonzero(seen) >= distinct:
                 break
-        seen = np.zeros(len(self.rows), dtype=bool)
-        size = high - low
-        seen[self.order[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]] = True
         return np.flatnonzero(seen)
 
 
 def search(
-    ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = NEIGHBOURS
+    keys: np.ndarray, rows: np.ndarray, query_keys: np.ndarray, queries: np.ndarray, k: int = NEIGHBOURS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query id, id, distance) of up to k nearest candidates of each query, and how many rows were compared; `ids` ascend."""
+    """(query's place, row's place, distance) of up to k nearest candidates of each query, and how many rows were compared.
+
+    A row whose key is the query's is the query itself. Of equal distances the earlier row comes first.
+    """
     least = min(wanted(len(rows)), len(rows))
+    distinct = min(len(rows), 4 * k + 1)
     sets = turns(starts(len(rows)))
     # The depth at which evenly filled arrays hold the wanted rows.
     depth = int(np.clip(np.ceil(np.log2(max(1.0, TREES * len(sets) * len(rows) / max(1, least)))), 1, BITS))
     forest = PrefixForest(rows)
     of, found, far, compared = [], [], [], 0
     for q in range(len(queries)):
-        near = forest.candidates(queries[q], least, depth, sets)
-        if len(near) <= 4 * k:  # repeats filled the stretches: compare the whole shard
-            near = np.arange(len(rows))
+        near = forest.candidates(queries[q], least, distinct, depth, sets)
         compared += len(near)
-        near = near[ids[near] != query_ids[q]]
+        near = near[keys[near] != query_keys[q]]
         gap = rows[near] - queries[q]
         distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-        if len(near) > k:  # all that tie with the k-th stay until ids decide
+        if len(near) > k:  # all that tie with the k-th stay until their places decide
             keep = distance <= np.partition(distance, k - 1)[k - 1]
             near, distance = near[keep], distance[keep]
         best = np.argsort(distance, kind="stable")[:k]
-        of.append(np.full(len(best), query_ids[q]))
-        found.append(ids[near[best]])
+        of.append(np.full(len(best), q))
+        found.append(near[best])
         far.append(distance[best])
-    return (*(np.concatenate(x) if x else np.zeros(0) for x in (of, found, far)), compared)
+    return (*(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (of, found, far)), compared)
 
 
 def nearest(rows: DataFrame, every: int = 100, k: int = NEIGHBOURS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, id, score) for each id divisible by `every`: its k nearest of all other rows found.
+    """(query_id, rank, id, score) for each row whose id is divisible by `every`: its k nearest of all other rows found.
 
     score is the Euclidean distance in double precision; ties go to the smaller id. Only vectors of
-    the query's own length are compared. Unusable vectors take no part. An id stands for one point: of
-    rows of one length that repeat an id the one with the least vector is taken, as query and as candidate.
+    the query's own length are compared. Unusable vectors take no part. Rows are points whatever their
+    ids: those that repeat an id, with the same vector or another, are each other's candidates, and
+    each that asks has its own ranks.
     """
     small_batches(rows.sparkSession, 4096)
-    good = usable(rows, id_col, vector_col).withColumn("size", F.size("vector"))
+    # A row's place in the table tells it from others of its id. It is computed where rows are read, so both uses agree.
+    good = usable(rows, id_col, vector_col).withColumn("size", F.size("vector")).withColumn("key", F.monotonically_increasing_id())
     asked = good.where(F.col("id") % every == 0)
     total = good.agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
     shards = max(-(-total["n"] // SHARD_ROWS), min(SHARDS, -(-total["n"] // LEAST_ROWS)), 1)
     blocks = max(1, -(-total["q"] // BLOCK_QUERIES))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")
+    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).cast("int")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = good.select("size", shard.alias("shard"), numbers(blocks).alias("block"), F.lit(False).alias("asks"), "id", "vector")
-    queries = asked.select("size", numbers(shards).alias("shard"), block.alias("block"), F.lit(True).alias("asks"), "id", "vector")
-    keys = ["size", "shard", "block"]
+    index = good.select("size", shard.alias("shard"), numbers(blocks).alias("block"), F.lit(False).alias("asks"), "id", "key", "vector")
+    queries = asked.select("size", numbers(shards).alias("shard"), block.alias("block"), F.lit(True).alias("asks"), "id", "key", "vector")
+    groups = ["size", "shard", "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, asks, ids, vectors in sorted_runs(batches, 3):
-            asks, ids, vectors = asks.to_numpy(zero_copy_only=False), ids.to_numpy(), matrix(vectors)
-            first = np.ones(len(ids), dtype=bool)  # rows lie in order of (asks, id, vector): one of each id stays
-            first[1:] = (ids[1:] != ids[:-1]) | (asks[1:] != asks[:-1])
-            asks, ids, vectors = asks[first], ids[first], vectors[first]
+        for _, _, _, asks, ids, keys, vectors in sorted_runs(batches, 3):
+            # Rows lie in order of (asks, id, key).
+            asks, ids, keys, vectors = asks.to_numpy(zero_copy_only=False), ids.to_numpy(), keys.to_numpy(), matrix(vectors)
             if asks.all() or not asks.any():
                 continue
-            of, found, far, _ = search(ids[~asks], vectors[~asks], ids[asks], vectors[asks], k)
+            of, found, far, _ = search(keys[~asks], vectors[~asks], keys[asks], vectors[asks], k)
+            columns = [keys[asks][of], ids[asks][of], keys[~asks][found], ids[~asks][found]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(of.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(far)], names=["query_id", "vec_id", "score"]
+                [*(pa.array(c.astype(np.int64)) for c in columns), pa.array(far)], names=["query_key", "query_id", "key", "vec_id", "score"]
             )
 
-    near = index.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, "asks", "id", "vector").mapInArrow(run, "query_id long, vec_id long, score double")
-    # An id that repeats with vectors of several lengths has been asked for once with each.
-    near = near.repartition("query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    near = index.unionByName(queries).repartition(*groups).sortWithinPartitions(*groups, "asks", "id", "key").mapInArrow(
+        run, "query_key long, query_id long, key long, vec_id long, score double"
+    )
+    order = Window.partitionBy("query_key").orderBy("score", "vec_id", "key")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")

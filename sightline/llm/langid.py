@@ -208,7 +208,8 @@ def training_rows(
     step = F.greatest(F.lit(1), F.floor(size / SLICES_PER_DOC)).cast("int")
     cuts = F.transform(F.sequence(F.lit(0), F.lit(SLICES_PER_DOC - 1)), lambda k: F.substring(F.col(text_col), (k * step + 1).cast("int"), F.lit(WINDOW)))
     hashed = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("hash"), cuts.alias("cuts"))
-    # A language's first hashes lie in the lowest part that holds four times as many as wanted, so no task ranks a whole language.
+    # A language's first hashes lie in the lowest part that holds as many as wanted and more, so no task ranks a whole
+    # language. Eight times the spread and 32 rows are added: that too few lie there has a chance below 1e-14.
     known = hashed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("docs"))
     found = known.limit(SENT + 1).collect()
     # A row a language is sent to all tasks where they are few, so that no language is shuffled whole.
@@ -216,7 +217,7 @@ def training_rows(
     number = len(found) if few else known.count()
     share = max(1, min(per_language, bound // max(1, number)))
     sizes = F.broadcast(docs.sparkSession.createDataFrame(found, known.schema)) if few else known
-    low = hashed.join(sizes, "lang").where(F.col("hash") / 2.0**64 + 0.5 <= 4.0 * share / F.col("docs") + F.when(F.col("docs") < 64, 1.0).otherwise(0.0))
+    low = hashed.join(sizes, "lang").where(F.col("hash") / 2.0**64 + 0.5 <= 1.1 * (share + 8 * share**0.5 + 32) / F.col("docs"))
     distinct = low.groupBy("lang", "hash").agg(F.min("cuts").alias("cuts"))
     order = Window.partitionBy("lang").orderBy("hash", "cuts")
     chosen = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)

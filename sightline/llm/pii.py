@@ -209,7 +209,7 @@ def _features(span: str, before: str) -> tuple[str, ...]:
     n = len(digits)
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[0-9]+", "0", span.lower()))
     out = [
-        f"digits {min(n, 20)}", f"shape {shape[:24]}", f"before {before}", f"first {shape[:1]}", f"dots {min(span.count('.'), 5)}",
+        f"digits {min(n, 20)}", f"shape {shape}", f"before {before}", f"first {shape[:1]}", f"dots {min(span.count('.'), 5)}",
         f"tokens {len(span.split())}"
     ]
     if "@" in span:
@@ -254,7 +254,7 @@ class SpanField:
         opens = [h or (k + 1 < len(tokens) and text[tokens[k + 1][0]] == "@") for k, h in enumerate(hot)]
         closes = [h or (k > 0 and text[tokens[k - 1][1] - 1] == "@") for k, h in enumerate(hot)]
         for i in range(len(tokens)):
-            before = re.sub("[^a-z]", "", text[slice(*tokens[i - 1])].lower())[:6] if i else ""
+            before = re.sub("[^a-z]", "", text[slice(*tokens[i - 1])].lower()) if i else ""
             digits = 0
             for j in range(i + 1, min(len(tokens), i + SEGMENT) + 1):
                 if j > i + 1 and (not opens[i] or (j > i + 3 and not hot[i])):

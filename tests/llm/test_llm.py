@@ -202,15 +202,20 @@ def test_nearest(spark):
 
 
 def test_nearest_of_repeated_rows(spark):
-    """Each neighbour once, whatever rows repeat; all candidates where there are few."""
+    """Rows are points whatever their ids: every other row is a candidate, and each row that asks has its own ranks."""
+    given = [(0, [0.0, 0.0, 1.0]), (5, [-9.0, 9.0, 9.0]), (5, [0.0, 0.0, 1.1]), (7, [0.0, 0.0, 2.0]), (7, [0.0, 0.0, 2.0]), (20, [0.0, 0.0, 1.1]), (20, [0.0, 0.0, 1.1]), (20, [5.0, 0.0, 0.0])]
+    table = spark.createDataFrame(given, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in ann.nearest(table, every=20).collect())
+    want = []
+    for q, (key, point) in enumerate(given):
+        if key % 20 == 0:
+            far = sorted((float(np.linalg.norm(np.subtract(v, point))), i) for j, (i, v) in enumerate(given) if j != q)
+            want += [(key, k + 1, i, round(d, 9)) for k, (d, i) in enumerate(far)]
+    assert got == sorted(want)
     points, table = vectors(spark)
-    twice = table.where("vec_id < 400").unionByName(table.where("vec_id in (0, 49, 20)")).repartition(5)
-    rows = ann.nearest(twice, every=20).collect()
-    for q in range(0, 400, 20):
-        own = [r["vec_id"] for r in rows if r["query_id"] == q]
-        assert len(own) == len(set(own)) == 10 and q not in own
-    few = ann.nearest(twice.where("vec_id < 6"), every=3).collect()
-    assert sorted((r["query_id"], r["vec_id"]) for r in few) == [(q, v) for q in (0, 3) for v in range(6) if v != q]
+    hot = table.where("vec_id < 400").unionByName(table.where("vec_id = 49").withColumn("vec_id", F.explode(F.expr("array_repeat(49L, 90)"))))
+    rows = ann.nearest(hot, every=20).collect()
+    assert all(sum(r["query_id"] == q for r in rows) == 10 for q in range(0, 400, 20))
 
 
 def test_forest_compares_a_falling_share():
@@ -224,13 +229,20 @@ def test_forest_compares_a_falling_share():
         gaps = 2 - 2 * points[asked] @ points.T
         gaps[np.arange(len(asked)), asked] = 9
         best = np.argsort(gaps, axis=1)[:, :10]
-        hits = sum(len(set(found[of == q].tolist()) & set(b.tolist())) for q, b in zip(asked, best))
+        hits = sum(len(set(found[of == k].tolist()) & set(b.tolist())) for k, b in enumerate(best))
         shares.append(compared / len(asked) / n)
         print(f"{n} rows: recall {hits / best.size:.3f}, compared {shares[-1]:.3f}")
         assert hits / best.size >= 0.9
     assert shares[1] < 0.6 * shares[0]
 
 
+def test_extreme_vectors_link(spark):
+    """Any finite double: squares that would be lost or overflow."""
+    given = [[1e-200, 0.0], [1.0, 0.0], [1e200, 1e180], [0.0, 5e-324], [0.0, 1e308], [-1e308, 0.0], [3e-320, -1e-330]]
+    rows = covertree.near_duplicates(spark.createDataFrame(list(enumerate(given)), "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows} == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (3, 0)}
+
+
 @pytest.mark.parametrize("node_rows", [8192, 50])
 def test_cover_tree(spark, monkeypatch, node_rows):
     monkeypatch.setattr(covertree, "NODE_ROWS", node_rows)
@@ -552,3 +564,16 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert sorted(got, key=str) == sorted(
         [(None, prose(1)), (None, prose(2)), (5, prose(3)), (5, prose(4)), (7, prose(5)), (8, prose(6)), (9, prose(7)), (None, "")], key=str
     )
+
+
+def test_every_language_is_learnt(spark):
+    """Of 300 languages with a hundred documents each every one is in the sample, at one document of each and at more."""
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.concat(F.lit("l"), (F.col("id") % 300).cast("string")).alias("lang")
+    )
+    for share in (1, 7, 200):
+        rows = langid.training_rows(docs, per_language=share)
+        per = {}
+        for r in rows:
+            per[r["lang"]] = per.get(r["lang"], 0) + 1
+        assert len(per) == 300 and (set(per.values()) == {share} if share < 50 else min(per.values()) > 50)
