@@ -10,7 +10,9 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed
 from ..functions.text import or_empty, ratio
+from ..session import written
 from .mentions import voice_check
+from .numbering import ordered_digests
 
 BUCKETS = ("priority_improve", "continue_optimize", "stable")
 
@@ -139,25 +141,55 @@ def batch_findings(parts: DataFrame) -> DataFrame:
     return parts.groupBy("group_id").agg(F.countDistinct("run_id").alias("runs"), F.count("*").alias("artefacts")).where("runs > 1")
 
 
+#: Ranges that a level of digests parts the keys into, and levels of them.
+DIGEST_RANGES, DIGEST_LEVELS, FEW = 4096, 2, 16
+
+
+def differing_rows(computed: DataFrame, supplied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in ranges of hashed keys whose digests differ.
+
+    A range's digest is its count and the sum of its rows' hashes, summed up before the shuffle, so the first level
+    shuffles at most DIGEST_RANGES rows a task. The next looks only into ranges that differ, and is taken only where
+    those are at most one in FEW; so the numbers of ranges that are broadcast are bounded by DIGEST_RANGES ** 2 / FEW.
+    """
+    numbered = lambda rows: rows.withColumn("_key", F.xxhash64("run_id", "metric"))
+    sides = [numbered(computed.select("run_id", "metric", "value")), numbered(supplied.select("run_id", "metric", "value"))]
+    size = 1
+    for _ in range(DIGEST_LEVELS):
+        size *= DIGEST_RANGES
+        digests = []
+        for k, side in enumerate(sides):
+            # Nothing equals a value that is absent or not finite, so those differ from each other.
+            odd = F.col("value").isNull() | F.isnan("value") | (F.abs("value") == float("inf"))
+            row = F.xxhash64("_key", "run_id", "metric", F.col("value").cast("double"), F.when(odd, k).otherwise(-1)).cast("decimal(20,0)")
+            digests.append(side.groupBy(F.pmod("_key", F.lit(size)).alias("range")).agg(F.count("*").alias(f"n{k}"), F.sum(row).alias(f"h{k}")))
+        off = digests[0].join(digests[1], "range", "full_outer").where("NOT (n0 <=> n1 AND h0 <=> h1)").select("range")
+        off = written(off, "ranges")
+        sides = [side.join(F.broadcast(off), F.pmod("_key", F.lit(size)) == F.col("range"), "left_semi") for side in sides]
+        if off.count() * FEW > DIGEST_RANGES:
+            break
+    return sides[0].drop("_key"), sides[1].drop("_key")
+
+
 def metric_differences(computed: DataFrame, supplied: DataFrame, tolerance: float = 1e-9) -> DataFrame:
-    """Rows of (run_id, metric, computed, supplied) that differ or that one side lacks."""
-    both = computed.select("run_id", "metric", F.col("value").alias("computed")).join(
-        supplied.select("run_id", "metric", F.col("value").alias("supplied")), ["run_id", "metric"], "full_outer"
+    """Rows of (run_id, metric, computed, supplied) that differ or that one side lacks (J20); a side has each key once.
+
+    Only rows of ranges whose digests differ are joined. Values that are null or not finite on both sides differ.
+    """
+    ours, theirs = differing_rows(computed, supplied)
+    both = ours.select("run_id", "metric", F.col("value").alias("computed")).join(
+        theirs.select("run_id", "metric", F.col("value").alias("supplied")), ["run_id", "metric"], "full_outer"
     )
     return both.where(F.col("computed").isNull() | F.col("supplied").isNull() | (F.abs(F.col("computed") - F.col("supplied")) > tolerance))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], group: str) -> DataFrame:
-    """(group, rows, fingerprint) of a table's content, whatever its partitions or order.
+#: Hashes under one of the next level.
+FANOUT = 32
 
-    Each row is hashed; sums of the hash's halves are kept, so no group is ever gathered.
-    """
-    names = sorted(rows.columns)
-    row = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
-    part = lambda k: F.sum(F.conv(F.substring("_h", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-    return rows.withColumn("_h", row).groupBy(group).agg(
-        F.count("*").alias("rows"), F.sha2(F.concat_ws("|", *[part(k) for k in range(4)], F.lit(",".join(keys))), 256).alias("fingerprint")
-    )
+
+def fingerprints(rows: DataFrame, keys: list[str], group: str) -> DataFrame:
+    """(group, rows, fingerprint) of a table's content in the order of keys, whatever its partitions."""
+    return ordered_digests(rows, group, keys, FANOUT).withColumnRenamed("digest", "fingerprint")
 
 
 def details(answers: DataFrame, found: DataFrame, classified: DataFrame) -> DataFrame:

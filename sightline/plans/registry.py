@@ -224,9 +224,23 @@ def competitor_benchmarks(spark, sf_dir):
     return results.benchmarks(_metrics(spark, sf_dir)).withColumn("tied", F.array_join("tied", " "))
 
 
-@query()
+_COLUMNS = {
+    "answer_id": "doc_id", "answer_text": "text", "funnel_intent": "['decision', 'comparison', 'recommendation'][doc_id % 3 + 1]",
+    "question_type": "CASE WHEN lang = 'en' THEN 'generic' ELSE 'branded' END", "run_id": "source", "sequence": "doc_id",
+    "valid": r"coalesce(trim(text, ' ') <> '', false)"
+}
+_ENCODED = ", ".join(f"'{n}=', coalesce(strlen(CAST(({c}) AS VARCHAR)) || ':' || CAST(({c}) AS VARCHAR), '-')" for n, c in _COLUMNS.items())
+
+
+@query(f"""WITH RECURSIVE h AS (SELECT source AS run_id, doc_id, sha256(concat({_ENCODED})) AS h FROM documents),
+p AS (SELECT run_id, h, row_number() OVER (PARTITION BY run_id ORDER BY doc_id NULLS FIRST, h) - 1 AS place, count(*) OVER (PARTITION BY run_id) AS n FROM h),
+t(run_id, rows, place, h, n) AS (
+  SELECT run_id, n, place // 32, sha256(string_agg(h, '' ORDER BY place)), (n + 31) // 32 FROM p GROUP BY run_id, n, place // 32
+  UNION ALL
+  SELECT run_id, rows, place // 32, sha256(string_agg(h, '' ORDER BY place)), (n + 31) // 32 FROM t WHERE n > 1 GROUP BY run_id, rows, place // 32, n)
+SELECT run_id, rows, h AS fingerprint FROM t WHERE n = 1""")
 def content_fingerprints(spark, sf_dir):
-    """A29 over the answers of each run."""
+    """A29 over the answers of each run, in the order of their ids."""
     return results.fingerprints(tables.answers(spark, sf_dir), ["answer_id"], "run_id")
 
 

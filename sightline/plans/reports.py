@@ -283,6 +283,20 @@ def metric_differences(spark, sf_dir):
     return results.metric_differences(computed, supplied)
 
 
+@query("""WITH c AS (SELECT l_orderkey AS k, CAST(sum(l_linenumber) AS DOUBLE) AS v FROM lineitem GROUP BY l_orderkey),
+s AS (SELECT k, CASE WHEN k % 997 = 1 THEN v + 1 WHEN k % 997 = 2 THEN v + 1e-12 ELSE v END AS v FROM c WHERE k % 1009 <> 3
+  UNION ALL SELECT -k, v FROM c WHERE k % 1013 = 4)
+SELECT coalesce(c.k, s.k) AS run_id, 'places' AS metric, c.v AS computed, s.v AS supplied FROM c FULL JOIN s ON c.k = s.k
+  WHERE c.v IS NULL OR s.v IS NULL OR abs(c.v - s.v) > 1e-9""")
+def metric_reconciliation(spark, sf_dir):
+    """Two sides that agree nearly everywhere; some supplied values are off, by much or by rounding, some lacking, some unknown."""
+    sums = _lines(spark, sf_dir).groupBy("run_id").agg(F.sum("l_linenumber").cast("double").alias("value")).withColumn("metric", F.lit("places"))
+    k = F.col("run_id")
+    moved = F.when(k % 997 == 1, F.col("value") + 1).when(k % 997 == 2, F.col("value") + 1e-12).otherwise(F.col("value"))
+    supplied = sums.where("run_id % 1009 != 3").withColumn("value", moved).unionByName(sums.where("run_id % 1013 = 4").withColumn("run_id", -k))
+    return results.metric_differences(sums, supplied)
+
+
 @query("""SELECT l_orderkey AS group_id, count(DISTINCT l_suppkey) AS runs, count(*) AS artefacts FROM lineitem
   GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) > 1""")
 def batch_issues(spark, sf_dir):
