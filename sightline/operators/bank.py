@@ -197,14 +197,17 @@ def _find(rows: DataFrame, code: str, question: Column | None = None, detail: Co
 
 def completeness(bank: Bank) -> DataFrame:
     """Rows with their missing fields; `fatal` rows leave the pipeline."""
+    known = bank.config.select("bank_id", F.coalesce("current", F.lit(False)).alias("current"), "brand", "category_label", "object_type")
+    return with_missing(bank.rows.join(known, "bank_id"))
+
+
+def with_missing(rows: DataFrame) -> DataFrame:
+    """Add `keys`, `missing` and `fatal` to rows with `q` and `current`."""
     keys = F.map_keys(F.try_variant_get(F.col("q"), "$", "map<string,variant>"))
     needed = F.when(
         F.col("current"), F.array(*map(F.lit, fixed.REQUIRED_FIELDS + fixed.CURRENT_FIELDS))
     ).otherwise(F.array(*map(F.lit, (*fixed.REQUIRED_FIELDS, "geo_intent"))))
     missing = F.array_except(needed, F.coalesce(keys, F.array().cast("array<string>")))
-    rows = bank.rows.join(
-        bank.config.select("bank_id", F.coalesce("current", F.lit(False)).alias("current"), "brand", "category_label", "object_type"), "bank_id"
-    )
     return rows.withColumn("keys", keys).withColumn("missing", missing).withColumn("fatal", F.size(F.array_remove("missing", "zh_translation")) > 0)
 
 
@@ -220,12 +223,13 @@ def _true(v: Column) -> Column:
 
 
 def row_flags(bank: Bank) -> DataFrame:
-    """Every complete row with its fields and a boolean or list for each row rule."""
-    r = completeness(bank).where("not fatal")
-    r = r.select(
-        "bank_id", "row_no", "q", "keys", "missing", "current", "brand", "category_label", "object_type", *[_text("q", f"$.{f}").alias(f) for f in FIELDS],
-        strip(or_empty(_text("q", "$.user_question"))).alias("text")
-    )
+    """Every complete row with its fields and a boolean or list for each row rule."""
+    return with_flags(completeness(bank).where("not fatal").drop("fatal"))
+
+
+def with_flags(rows: DataFrame) -> DataFrame:
+    """Add the fields of questions and the rules' flags to rows of `with_missing`."""
+    r = rows.select("*", *[_text("q", f"$.{f}").alias(f) for f in FIELDS], strip(or_empty(_text("q", "$.user_question"))).alias("text"))
     r = r.withColumn("norm", normalize_name(F.col("text"))).withColumn("topic_id", normalize_name(F.col("topic_id"))).withColumn("intent_key", normalize_name(F.col("intent_key")))
     for name in ("cluster", "scenario", "constraint", "decision_stage"):
         r = r.withColumn(name, normalize_name(F.col(name)))
@@ -288,9 +292,7 @@ def row_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 def _template_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     """Brand-sentiment questions: exact wording, branded, of intent decision."""
     rows = flags.where("is_sentiment").join(bank.topics, ["bank_id", "topic_id"], "left")
-    expected = F.concat(
-        F.lit("Evaluate the "), F.col("category_label"), F.lit(" "), F.col("object_type"), F.lit(" "), F.col("brand"), F.lit(" on "), or_empty(F.col("topic"))
-    )
+    expected = _expected_sentiment(F.col("topic"))
     codes = F.filter(
         F.array(
             F.when(normalize_template(F.col("text")) != normalize_template(expected), "SENTIMENT_TEMPLATE"),
@@ -478,27 +480,34 @@ def style(flags: DataFrame) -> DataFrame:
         F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence")
     )
     rows = totals.join(spread, "bank_id", "left").withColumn("top_opener", F.col("top.label")).withColumn("top_opener_n", F.coalesce("top.n", F.lit(0))).drop("top")
-    for name in ("promotional", "low_confidence", "single_cluster", "single_scenario", "single_constraint", "common_openers", "top_opener_n"):
+    for name in STYLES:
         rows = rows.withColumn(f"{name}_ratio", ratio(F.col(name), F.col("total")))
     return rows
 
 
-def style_warnings(styles: DataFrame) -> DataFrame:
-    """(bank_id, code, severity) of batches of ten or more rows that lack variety."""
-    c = F.col
+def style_codes(ratios: dict[str, Column], total: Column) -> Column:
+    """(code, severity) of a batch that lacks variety, by its ratios; batches of less than ten rows have none."""
     rules = (
-        ("PROMOTIONAL", c("promotional_ratio") > fixed.MAX_PROMOTIONAL, F.lit(False)),
-        ("SINGLE_CLUSTERS", c("single_cluster_ratio") > fixed.MAX_CLUSTER, c("single_cluster_ratio") > fixed.HIGH_CLUSTER),
-        ("SINGLE_SCENARIOS", c("single_scenario_ratio") >= fixed.MIN_METADATA, F.lit(False)),
-        ("SINGLE_CONSTRAINTS", c("single_constraint_ratio") >= fixed.MIN_METADATA, F.lit(False)),
-        ("COMMON_OPENERS", c("common_openers_ratio") > fixed.MAX_OPENERS, c("common_openers_ratio") > fixed.HIGH_OPENERS),
-        ("DOMINANT_OPENER", c("top_opener_n_ratio") > fixed.MAX_ONE_OPENER, F.lit(False)),
-        ("LOW_CONFIDENCE", c("low_confidence_ratio") > fixed.MAX_PROMOTIONAL, F.lit(False)),
-    )
-    each = F.array(
-        *[F.when(hit, F.struct(F.lit(code).alias("code"), F.when(high, "high_risk").otherwise("warning").alias("severity"))) for code, hit, high in rules]
+        ("PROMOTIONAL", ratios["promotional"] > fixed.MAX_PROMOTIONAL, F.lit(False)),
+        ("SINGLE_CLUSTERS", ratios["single_cluster"] > fixed.MAX_CLUSTER, ratios["single_cluster"] > fixed.HIGH_CLUSTER),
+        ("SINGLE_SCENARIOS", ratios["single_scenario"] >= fixed.MIN_METADATA, F.lit(False)),
+        ("SINGLE_CONSTRAINTS", ratios["single_constraint"] >= fixed.MIN_METADATA, F.lit(False)),
+        ("COMMON_OPENERS", ratios["common_openers"] > fixed.MAX_OPENERS, ratios["common_openers"] > fixed.HIGH_OPENERS),
+        ("DOMINANT_OPENER", ratios["top_opener_n"] > fixed.MAX_ONE_OPENER, F.lit(False)),
+        ("LOW_CONFIDENCE", ratios["low_confidence"] > fixed.MAX_PROMOTIONAL, F.lit(False)),
     )
-    return styles.where(c("total") >= fixed.MIN_BATCH).select("bank_id", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("bank_id", "x.*")
+    hits = [F.when((total >= fixed.MIN_BATCH) & hit, F.struct(F.lit(code).alias("code"), F.when(high, "high_risk").otherwise("warning").alias("severity"))) for code, hit, high in rules]
+    return F.filter(F.array(*hits), lambda x: x.isNotNull())
+
+
+#: Counts of a batch that become ratios.
+STYLES = ("promotional", "low_confidence", "single_cluster", "single_scenario", "single_constraint", "common_openers", "top_opener_n")
+
+
+def style_warnings(styles: DataFrame) -> DataFrame:
+    """(bank_id, code, severity) of batches that lack variety."""
+    codes = style_codes({n: F.col(f"{n}_ratio") for n in STYLES}, F.col("total"))
+    return styles.select("bank_id", F.explode(codes).alias("x")).select("bank_id", "x.*")
 
 
 def review_counts(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -544,16 +553,26 @@ def rival_tiers(bank: Bank) -> DataFrame:
     return bank.rivals.where(F.col("tier").isin("direct", "adjacent", "fallback")).groupBy("bank_id", "tier").agg(F.count("*").alias("n"))
 
 
-def warnings(bank: Bank, styles: DataFrame) -> DataFrame:
-    """(bank_id, code, severity) of what is no fault: missing variety, old versions, no excluded categories."""
+def _expected_sentiment(topic: Column) -> Column:
+    """The wording of a brand-sentiment question."""
+    return F.concat(F.lit("Evaluate the "), F.col("category_label"), F.lit(" "), F.col("object_type"), F.lit(" "), F.col("brand"), F.lit(" on "), or_empty(topic))
+
+
+def _config_warnings() -> Column:
+    """Codes of what a configuration should have and may do without."""
     version = F.col("version")
-    codes = F.filter(
+    return F.filter(
         F.array(
             F.when(version == "", "LEGACY_WITHOUT_VERSION"), F.when(version.isin(*fixed.LEGACY_VERSIONS), "LEGACY_VERSION"),
             F.when(F.size(_strings(F.col("doc"), KINDS["excluded"])) == 0, "NO_EXCLUDED_CATEGORIES")
         ),
         lambda c: c.isNotNull()
     )
+
+
+def warnings(bank: Bank, styles: DataFrame) -> DataFrame:
+    """(bank_id, code, severity) of what is no fault: missing variety, old versions, no excluded categories."""
+    codes = _config_warnings()
     return style_warnings(styles).unionByName(bank.config.select("bank_id", F.explode(codes).alias("code"), F.lit("warning").alias("severity")))
 
 

@@ -225,11 +225,16 @@ def _terms(assessed: Column) -> Column:
     )
 
 
-def config_findings(config: DataFrame) -> DataFrame:
-    """Findings of the configurations in `bank.load(...).config`: general rules and topics (P33), competitors (P31), terms."""
+def config_codes() -> Column:
+    """Findings (code, detail) of a configuration as a column of `bank.load(...).config`: general rules and topics (P33), competitors (P31), terms."""
     now = F.coalesce("current", F.lit(False))
     assessed = F.coalesce(F.col("version").isin(fixed.CURRENT_VERSION, *fixed.LEGACY_VERSIONS), F.lit(False))
     quotas = _at("doc", "$.config.quotas")
     branded = F.when(given(quotas), F.coalesce(F.try_variant_get(quotas, "$.question_type.branded", "int"), F.lit(0))).otherwise(F.lit(fixed.QUOTA_BRANDED))
-    found = config.select("bank_id", F.explode(F.concat(_general(now, branded), _rivals(), _terms(assessed))).alias("x"))
+    return F.concat(_general(now, branded), _rivals(), _terms(assessed))
+
+
+def config_findings(config: DataFrame) -> DataFrame:
+    """Findings of the configurations in `bank.load(...).config`."""
+    found = config.select("bank_id", F.explode(config_codes()).alias("x"))
     return found.select("bank_id", "x.code", F.lit(None).cast("string").alias("question_id"), F.nullif("x.detail", F.lit("")).alias("detail"))

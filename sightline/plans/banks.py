@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..operators import bank, bank_config
+from ..operators import bank, bank_config, bank_findings
 from ..sources import tables
 from .register import query
 
@@ -325,3 +325,21 @@ def bank_gate_issues(spark, sf_dir):
     b = bank.load(tables.read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bank_id"), body.alias("body")))
     wanted = {code for _, _, code in _GATES}
     return bank.row_findings(b, bank.row_flags(b)).where(F.col("code").isin(*wanted)).select("bank_id", "code")
+
+
+@query(f"""WITH {_Q}, n AS (SELECT bank_id, count(*) AS total, count(*) FILTER (s % 7 = 0) AS promotional, count(*) FILTER (s % 7 = 1) AS low,
+  count(*) FILTER (generic) AS which FROM q GROUP BY bank_id),
+l AS (SELECT bank_id, count(*) FILTER (n = 1) AS single FROM (SELECT bank_id, trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) AS t, count(*) AS n
+  FROM q GROUP BY ALL) GROUP BY bank_id),
+c AS (SELECT bank_id, count(*) FILTER (n = 1) AS single FROM (SELECT bank_id, s % 4 AS t, count(*) AS n FROM q GROUP BY ALL) GROUP BY bank_id),
+w AS (SELECT n.bank_id, code, severity FROM n JOIN l ON l.bank_id = n.bank_id JOIN c ON c.bank_id = n.bank_id, (VALUES ('PROMOTIONAL'), ('LOW_CONFIDENCE'),
+    ('SINGLE_CONSTRAINTS'), ('SINGLE_SCENARIOS'), ('COMMON_OPENERS'), ('DOMINANT_OPENER')) v(code),
+  LATERAL (SELECT CASE WHEN code = 'COMMON_OPENERS' AND which > 0.9 * total THEN 'high_risk' ELSE 'warning' END AS severity)
+  WHERE total >= 10 AND CASE code WHEN 'PROMOTIONAL' THEN promotional / total > 0.2 WHEN 'LOW_CONFIDENCE' THEN low / total > 0.2
+    WHEN 'SINGLE_CONSTRAINTS' THEN l.single / total >= 0.8 WHEN 'SINGLE_SCENARIOS' THEN c.single / total >= 0.8
+    WHEN 'COMMON_OPENERS' THEN which / total > 0.75 ELSE greatest(which, total - which) / total > 0.5 END)
+SELECT bank_id, code, severity FROM w UNION ALL SELECT bank_id, 'NO_EXCLUDED_CATEGORIES', 'warning' FROM n""")
+def bank_warnings(spark, sf_dir):
+    """Batches that lack variety, and configurations without excluded categories."""
+    found = bank_findings.all_findings(_documents(spark, sf_dir)).where("severity != 'error'")
+    return found.select("bank_id", "code", "severity")

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import bank
+from ..operators import bank, bank_findings
 from ..sources import ingest, tables
-from .register import query
+from .register import ORACLE, query
 
 _TURNS = """turns AS (SELECT *, 'run' || CAST(conv_id % 7 AS VARCHAR) AS run_id, CAST(conv_id AS VARCHAR) AS q, CAST(conv_id AS VARCHAR) || '-r' || CASE
   WHEN turn < 10 THEN '0' ELSE '' END || CAST(turn AS VARCHAR) AS sample_id, coalesce(role, '') AS r FROM conversations),
@@ -194,6 +194,10 @@ def alias_conflicts(spark, sf_dir):
 
 
 def _bank(spark: SparkSession, sf_dir: str) -> bank.Bank:
+    return bank.load(_bank_documents(spark, sf_dir))
+
+
+def _bank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bank of four questions for each part: what is wrong with them follows from its size and type."""
     p = tables.read(spark, sf_dir, "part").withColumn("brand", F.replace("p_brand", F.lit("#"), F.lit(" ")))
     size = F.col("p_size")
@@ -235,11 +239,9 @@ def _bank(spark: SparkSession, sf_dir: str) -> bank.Bank:
         ).alias("category_expression_set"), F.array(F.lit("ring")).alias("excluded_categories"),
         F.create_map(kind, F.struct(F.array(kind).alias("terms"), F.lit(2).alias("min_total"), F.lit(1).alias("min_generic"))).alias("required_term_coverage"),
     )
-    return bank.load(
-        p.select(
-            F.col("p_partkey").cast("string").alias("bank_id"),
-            _json(schema_version=F.lit("overseas-geo-question-bank/v3"), config=config, questions=F.array(*questions)).alias("body")
-        )
+    return p.select(
+        F.col("p_partkey").cast("string").alias("bank_id"),
+        _json(schema_version=F.lit("overseas-geo-question-bank/v3"), config=config, questions=F.array(*questions)).alias("body")
     )
 
 
@@ -322,3 +324,15 @@ def bank_style(spark, sf_dir):
     flags = bank.row_flags(b)
     rows = bank.style(flags).join(bank.review_counts(b, flags), "bank_id")
     return rows.select("bank_id", "total", "single_cluster", "common_openers", "top_opener", "commercial")
+
+
+@query(f"""SELECT bank_id, code, question_id FROM ({ORACLE["bank_row_issues"]})
+UNION ALL SELECT bank_id, 'QUOTA', NULL FROM ({ORACLE["bank_quotas"]})
+UNION ALL SELECT bank_id, 'DUPLICATE', NULL FROM ({ORACLE["bank_duplicates"]})
+UNION ALL SELECT bank_id, 'TOPIC_SENTIMENT', NULL FROM ({ORACLE["bank_topics"]})
+UNION ALL SELECT bank_id, 'TERM_COVERAGE', NULL FROM ({ORACLE["bank_terms"]}) WHERE actual < minimum
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'COUNT', NULL FROM part WHERE p_size % 2 = 1
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'ASSESSMENT_SHAPE', NULL FROM part""")
+def bank_findings_of_all_rules(spark, sf_dir):
+    """Every finding of a bank, of its configuration, rows and batch, in one pass."""
+    return bank_findings.all_findings(_bank_documents(spark, sf_dir)).select("bank_id", "code", "question_id")
