@@ -145,8 +145,10 @@ def has_free_number(c: Column) -> Column:
     return F.regexp_replace(c, fixed.FACT_TOKEN, "").rlike(r"\p{Nd}")
 
 
-def stable_id(prefix: str, *parts: Column) -> Column:
-    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 12))
+def stable_id(prefix: str, **fields: Column) -> Column:
+    """`prefix-` and 16 hex digits of the fields' hash, as a JSON object with its names in order and without blanks (F16)."""
+    value = F.to_json(F.struct(*[fields[n].alias(n) for n in sorted(fields)]), {"ignoreNullFields": "false"})
+    return F.concat(F.lit(f"{prefix}-"), F.substring(F.sha2(value, 256), 1, 16))
 
 
 def fact_display(fact: Column) -> Column:

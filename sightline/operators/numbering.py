@@ -8,32 +8,15 @@ from pyspark.sql.window import Window
 
 from ..session import written
 
-#: Ranges that a group is cut into, about.
-RANGES = 64
 
+def numbered(rows: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """Add `name`: 1, 2, ... by `order` within `group`; null groups and orders are left out, rows that tie are numbered as they come."""
+    known = rows.where(F.col(group).isNotNull() & F.col(order).isNotNull())
+    return placed(known, group, [order], "_place", "_rows").withColumn(name, F.col("_place") + 1).drop("_place", "_rows")
 
-def numbered(rows: DataFrame, group: str, order: str, name: str, ranges: int = RANGES) -> DataFrame:
-    """Add `name`: 1, 2, ... by `order` within `group`; null groups and orders are left out.
 
-    A group is cut at some of its own values, about `ranges` of them whatever its size, chosen by hash.
-    Ranges are numbered each on its own, from the count of the ranges before. Rows that tie in `order`
-    share a range and are numbered as they come.
-    """
-    rows = rows.where(F.col(group).isNotNull() & F.col(order).isNotNull())
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_n"))
-    some = rows.select(group, order).join(sizes, group).where(F.pmod(F.xxhash64(order), F.greatest(F.lit(1), F.floor(F.col("_n") / ranges))) == 0)
-    cuts = some.groupBy(group).agg(F.array_sort(F.collect_set(order)).alias("_cuts"))
-    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(order))), F.lit(0))
-    dealt = rows.join(cuts, group, "left").withColumn("_part", part).drop("_cuts")
-    # One row for each range: few for each group.
-    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy(group, "_part").agg(F.count("*").alias("_in")).withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0))).drop("_in")
-    own = F.row_number().over(Window.partitionBy(group, "_part").orderBy(order))
-    return dealt.withColumn("_own", own).join(before, [group, "_part"]).withColumn(name, F.col("_own") + F.col("_before")).drop("_part", "_own", "_before")
-
-
-def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Add `place`, counted from 0 by `order` within `group`, and `group_rows`. Nulls are values, and come first; columns `_part`, `_at` may not be in use.
+def placed(rows: DataFrame, group: str, order: list[str], name: str = "place", total: str = "group_rows") -> DataFrame:
+    """Add `name`, the place from 0 by `order` within `group`, and `total`, the group's rows. Nulls are values, and come first.
 
     Rows are sorted once over ranges of (group, order), as many as shuffles have partitions, and kept as a table. A
     place is that in the range, less the group's first there, plus the group's rows in earlier ranges.
@@ -45,10 +28,10 @@ def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
         F.col(group).alias("_group"), F.col("_part").alias("_of"), (F.coalesce(F.sum("_here").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_here").over(Window.partitionBy(group)).alias("group_rows")
+        F.sum("_here").over(Window.partitionBy(group)).alias(total)
     )
     found = spread.join(parts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_of")))
-    return found.withColumn("place", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_of", "_group", "_shift")
+    return found.withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_of", "_group", "_shift")
 
 
 def encoded(name: str) -> Column:

@@ -103,14 +103,17 @@ def question_order(spark, sf_dir):
     )
 
 
-@query(f"""WITH {_turns_sql()}, late AS (SELECT run_id, q, turn + 1 AS turn, q || '-r' || CASE WHEN turn + 1 < 10 THEN '0'
+@query(f"""WITH {_turns_sql()}, late AS (SELECT run_id, q, conv_id, turn + 1 AS turn, q || '-r' || CASE WHEN turn + 1 < 10 THEN '0'
   ELSE '' END || CAST(turn + 1 AS VARCHAR) AS sample_id FROM turns WHERE turn % 2 = 1),
-every AS (SELECT run_id, sample_id, turn AS r FROM turns UNION ALL SELECT run_id, sample_id, turn FROM late WHERE NOT EXISTS (SELECT 1 FROM turns t
-  WHERE t.run_id = late.run_id AND t.sample_id = late.sample_id)
-UNION ALL SELECT DISTINCT run_id, 's' || q || '-r01', 1 FROM turns WHERE conv_id % 10 = 8)
-SELECT run_id, sample_id, row_number() OVER (PARTITION BY run_id ORDER BY r, sample_id) AS order_no FROM every""")
+asked_in AS (SELECT conv_id, CASE WHEN conv_id % 10 <> 9 THEN conv_id % 5 END AS sequence FROM (SELECT DISTINCT conv_id FROM turns)),
+every AS (SELECT run_id, sample_id, greatest(turn, 1) AS r, coalesce(nullif(CASE WHEN turn % 4 = 0 THEN t.conv_id % 3 END, 0), sequence, 0) AS i FROM turns t
+  JOIN asked_in a ON a.conv_id = t.conv_id
+UNION ALL SELECT run_id, sample_id, turn, coalesce(sequence, 0) FROM late JOIN asked_in a ON a.conv_id = late.conv_id WHERE NOT EXISTS (SELECT 1
+  FROM turns t WHERE t.run_id = late.run_id AND t.sample_id = late.sample_id)
+UNION ALL SELECT DISTINCT run_id, 's' || q || '-r01', 1, conv_id % 5 FROM turns WHERE conv_id % 10 = 8)
+SELECT run_id, sample_id, row_number() OVER (PARTITION BY run_id ORDER BY i, r, sample_id) AS order_no FROM every""")
 def sample_order(spark, sf_dir):
-    """L3: samples by question index (none is given here), repeat index and id."""
+    """L3: samples by question index, their own or else their question's place, then repeat index and id."""
     return imports.ordered_samples(ingest.import_crawl(*_crawls(spark, sf_dir))).select("run_id", "sample_id", F.col("order_no").cast("long").alias("order_no"))
 
 

@@ -192,10 +192,10 @@ def fact_displays(spark, sf_dir):
     return tables.read(spark, sf_dir, "part").select("p_partkey", text.fact_display(F.parse_json(body)).alias("shown"))
 
 
-@query("SELECT p_partkey, 'Q-' || substr(sha256(p_name || '|' || p_brand), 1, 12) AS id FROM part")
+@query("""SELECT p_partkey, 'Q-' || substr(sha256('{"brand":"' || p_brand || '","name":"' || p_name || '","size":' || CAST(p_size AS VARCHAR) || '}'), 1, 16) AS id FROM part""")
 def stable_ids(spark, sf_dir):
     """F16: ids that follow from what they stand for."""
-    return tables.read(spark, sf_dir, "part").select("p_partkey", text.stable_id("Q-", F.col("p_name"), F.col("p_brand")).alias("id"))
+    return tables.read(spark, sf_dir, "part").select("p_partkey", text.stable_id("Q", name=F.col("p_name"), brand=F.col("p_brand"), size=F.col("p_size")).alias("id"))
 
 
 _SAMPLES = """s AS (SELECT 'run' || CAST(conv_id % 7 AS VARCHAR) AS run_id, conv_id AS question_id, turn, CAST(conv_id AS VARCHAR) || '-r' || CASE

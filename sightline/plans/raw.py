@@ -42,7 +42,7 @@ def _samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     odd = F.col("turn") % 2 == 1
     result = F.when(F.col("r") == "assistant", F.struct(F.lit(True).alias("ok"), F.struct(F.coalesce("text", F.lit("")).alias("text")).alias("answer")))
     sample = F.struct(
-        "sample_id", F.when(~odd, F.col("q")).alias("question_id"), F.col("turn").alias("repeat_index"), F.lit("success").alias("status"),
+        "sample_id", F.when(~odd, F.col("q")).alias("question_id"), F.when(F.col("turn") % 4 == 0, F.col("conv_id") % 3).alias("question_index"), F.col("turn").alias("repeat_index"), F.lit("success").alias("status"),
         (F.col("r") != "system").alias("ok"), result.alias("result")
     )
     plan = F.when(
@@ -55,10 +55,11 @@ def _samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         )
     )
     samples = turns.select("run_id", "conv_id", sample.alias("sample"), plan.alias("plan"))
+    sequence = (F.col("conv_id") % 5).alias("sequence")
     known = turns.where("conv_id % 10 != 9").select(
-        "run_id", F.col("q").alias("question_id"), F.concat(F.lit("Question "), "q").alias("question_text")
+        "run_id", F.col("q").alias("question_id"), F.concat(F.lit("Question "), "q").alias("question_text"), sequence
     ).distinct()
-    silent = turns.where("conv_id % 10 = 8").select("run_id", F.concat(F.lit("s"), "q").alias("question_id"), F.lit("").alias("question_text")).distinct()
+    silent = turns.where("conv_id % 10 = 8").select("run_id", F.concat(F.lit("s"), "q").alias("question_id"), F.lit("").alias("question_text"), sequence).distinct()
     return samples, known.unionByName(silent)
 
 

@@ -103,13 +103,15 @@ def pointer_issues(spark, sf_dir):
 
 
 @query("""SELECT l_orderkey AS run_id, l_linenumber AS line, CASE l_returnflag WHEN 'A' THEN 'fact:order/' || CASE WHEN l_quantity < 25 THEN 'status'
-  ELSE 'state' END WHEN 'N' THEN 'module:M03/items/' || CAST(l_linenumber % 3 AS VARCHAR) ELSE 'evidence:E-' || CAST(l_suppkey AS VARCHAR) END AS ref
+  ELSE 'state' END WHEN 'N' THEN 'module:M03/items/' || CAST(l_linenumber % 3 AS VARCHAR) ELSE CASE l_suppkey % 3 WHEN 0 THEN 'action:R'
+  WHEN 1 THEN 'action:A' ELSE 'evidence:E-' || CAST(l_suppkey AS VARCHAR) END END AS ref
   FROM lineitem l
 WHERE CASE l_returnflag WHEN 'A' THEN l_quantity >= 25 OR NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) WHEN 'N' THEN NOT EXISTS (SELECT 1
-  FROM lineitem m WHERE m.l_orderkey = l.l_orderkey AND m.l_linenumber = l.l_linenumber % 3) ELSE NOT EXISTS (SELECT 1 FROM lineitem m
-  WHERE m.l_orderkey = l.l_orderkey AND m.l_suppkey = l.l_suppkey AND m.l_linestatus = 'O') END""")
+  FROM lineitem m WHERE m.l_orderkey = l.l_orderkey AND m.l_linenumber = l.l_linenumber % 3) ELSE l_suppkey % 3 > 0 AND NOT EXISTS (SELECT 1
+  FROM lineitem m WHERE m.l_orderkey = l.l_orderkey AND m.l_returnflag = 'A' AND l.l_suppkey % 3 = 1) AND NOT EXISTS (SELECT 1 FROM lineitem m
+  WHERE m.l_orderkey = l.l_orderkey AND m.l_suppkey = l.l_suppkey AND m.l_linestatus = 'O' AND l.l_suppkey % 3 = 2) END""")
 def unresolved_references(spark, sf_dir):
-    """References to facts of the order, to other lines and to evidence of open lines."""
+    """References to facts of the order, to other lines, to evidence of open lines and to actions, a return flag each."""
     lines = _lines(spark, sf_dir)
     orders = tables.read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("run_id"), F.lit("order").alias("section"),
@@ -120,7 +122,7 @@ def unresolved_references(spark, sf_dir):
         F.col("l_returnflag") == "A", F.when(F.col("l_quantity") < 25, "fact:order/status").otherwise("fact:order/state")
     ).when(
         F.col("l_returnflag") == "N", F.concat(F.lit("module:M03/items/"), (F.col("idx") % 3).cast("string"))
-    ).otherwise(F.concat(F.lit("evidence:"), evidence))
+    ).when(F.col("l_suppkey") % 3 == 0, "action:R").when(F.col("l_suppkey") % 3 == 1, "action:A").otherwise(F.concat(F.lit("evidence:"), evidence))
     refs = lines.select("run_id", "module_id", F.col("idx").alias("pointer"), ref.alias("ref"))
     directions = lines.select("run_id", F.col("l_returnflag").alias("direction_id"))
     found = grounding.unresolved_references(refs, grounding.flatten(orders), lines, lines.where("l_linestatus = 'O'").select("run_id", evidence), directions)

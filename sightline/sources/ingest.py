@@ -80,7 +80,7 @@ def batch_samples(docs: DataFrame) -> DataFrame:
     question = F.coalesce(text_at("s", "$.question_id"), F.nullif(F.regexp_extract(or_empty(sample), r"^(.+)-r\d+$", 1), F.lit("")))
     return s.select(
         "run_id", "sample_pos", sample.alias("sample_id"), question.alias("question_id"), text_at("s", "$.question").alias("question_text"),
-        _int_at("s", "$.question_index").alias("question_index"), F.coalesce(_int_at("s", "$.repeat_index"), F.lit(1)).alias("repeat_index"),
+        _int_at("s", "$.question_index").alias("question_index"), F.coalesce(F.nullif(_int_at("s", "$.repeat_index"), F.lit(0)), F.lit(1)).alias("repeat_index"),
         F.lower(or_empty(text_at("s", "$.status"))).alias("raw_status"), _is_true(F.try_variant_get(F.col("s"), "$.ok", "variant")).alias("ok"),
         has.alias("has_result"), (has & _is_false(F.try_variant_get(result, "$.ok", "variant"))).alias("result_failed"),
         F.when(has, or_empty(F.coalesce(text_at("s", "$.result.answer.text"), text_at("s", "$.result.answer")))).alias("answer_text"),
@@ -113,23 +113,27 @@ def collection_results(docs: DataFrame) -> DataFrame:
 def import_crawl(raw: DataFrame, questions: DataFrame) -> DataFrame:
     """All samples of both shapes with status, matched to questions, and pending rows for what is missing.
 
-    `questions(run_id, question_id, question_text)`. A sample matches by case-folded id, else by
-    normalised text where exactly one question has it; `question_match` is null for neither.
+    `questions(run_id, question_id, question_text[, sequence])`. A sample matches by case-folded id, else by
+    normalised text where exactly one question has it; `question_match` is null for neither. A sample without a
+    question index, or with zero, has the sequence of its question.
     """
     docs = parsed(raw)
     samples = with_status(batch_samples(docs).unionByName(collection_results(docs)))
+    sequence = F.col("sequence").cast("int") if "sequence" in questions.columns else F.lit(None).cast("int")
+    questions = questions.withColumn("sequence", sequence)
     asked = questions.select(
-        "run_id", F.col("question_id").alias("known_id"), casefold(F.col("question_id")).alias("id_key"),
+        "run_id", "sequence", F.col("question_id").alias("known_id"), casefold(F.col("question_id")).alias("id_key"),
         normalize_text(F.col("question_text")).alias("text_key")
     )
-    by_id = asked.select("run_id", "id_key", F.col("known_id").alias("by_id"), F.col("text_key").alias("known_text"))
+    by_id = asked.select("run_id", "id_key", F.col("known_id").alias("by_id"), F.col("text_key").alias("known_text"), F.col("sequence").alias("id_sequence"))
     by_text = asked.where("text_key != ''").groupBy("run_id", "text_key").agg(
-        F.min("known_id").alias("by_text"), F.count("*").alias("n")
+        F.min("known_id").alias("by_text"), F.count("*").alias("n"), F.min("sequence").alias("text_sequence")
     ).where("n = 1").drop("n")
     keyed = samples.withColumn("id_key", casefold(F.col("question_id"))).withColumn("text_key", normalize_text(F.col("question_text")))
     matched = keyed.join(by_id, ["run_id", "id_key"], "left").join(by_text, ["run_id", "text_key"], "left")
     found = matched.select(
-        *[c for c in samples.columns if c != "references"], "references", F.coalesce("by_id", "by_text").alias("question_match"),
+        *[c for c in samples.columns if c not in ("references", "question_index")], "references", F.coalesce("by_id", "by_text").alias("question_match"),
+        F.coalesce(F.nullif("question_index", F.lit(0)), "id_sequence", "text_sequence").alias("question_index"),
         (F.col("by_id").isNotNull() & (F.col("text_key") != "") & (F.col("text_key") != F.col("known_text"))).alias("text_differs"),
     )
     return found.unionByName(_missing(docs, found, questions), allowMissingColumns=True)
@@ -139,14 +143,19 @@ def _missing(docs: DataFrame, samples: DataFrame, questions: DataFrame) -> DataF
     """Pending rows: planned samples that did not come (J3), and questions without any sample or plan."""
     plan = docs.select("run_id", F.explode(_array_at("doc", "$.plan")).alias("p")).select(
         "run_id", text_at("p", "$.sample_id").alias("sample_id"), text_at("p", "$.question_id").alias("question_match"),
-        F.coalesce(_int_at("p", "$.repeat_index"), F.lit(1)).alias("repeat_index")
+        F.coalesce(F.nullif(_int_at("p", "$.repeat_index"), F.lit(0)), F.lit(1)).alias("repeat_index"),
+        F.nullif(_int_at("p", "$.question_index"), F.lit(0)).alias("question_index")
     )
+    keyed = questions.select("run_id", casefold(F.col("question_id")).alias("key"), "sequence")
+    plan = plan.withColumn("key", casefold(F.col("question_match"))).join(keyed, ["run_id", "key"], "left")
+    plan = plan.withColumn("question_index", F.coalesce("question_index", "sequence")).drop("key", "sequence")
     late = plan.join(samples.select("run_id", "sample_id"), ["run_id", "sample_id"], "left_anti")
     seen = samples.select("run_id", casefold(F.col("question_match")).alias("key")).unionByName(
         late.select("run_id", casefold(F.col("question_match")).alias("key"))
     )
     silent = questions.withColumn("key", casefold(F.col("question_id"))).join(seen, ["run_id", "key"], "left_anti").select(
-        "run_id", F.concat("question_id", F.lit("-r01")).alias("sample_id"), F.col("question_id").alias("question_match"), F.lit(1).alias("repeat_index")
+        "run_id", F.concat("question_id", F.lit("-r01")).alias("sample_id"), F.col("question_id").alias("question_match"), F.lit(1).alias("repeat_index"),
+        F.col("sequence").alias("question_index")
     )
     return late.unionByName(silent).withColumn("status", F.lit("pending")).withColumn("error_code", F.lit("PENDING")).withColumn("analysis_eligible", F.lit(False))
 
