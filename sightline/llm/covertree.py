@@ -239,11 +239,15 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     spark = rows.sparkSession
     small_batches(spark, 4096)
     flagged = with_flag(rows, id_col, vector_col)
-    # Repeated to an array, a scale is computed once a vector, not once a component. The largest component becomes
-    # one first, so that no square is lost or overflows.
-    scaled = lambda scale: F.zip_with("vector", F.array_repeat(scale, F.size("vector")), lambda x, n: x.cast("double") / n)
-    largest = flagged.where("usable").select("id", scaled(F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))).alias("vector"))
-    unit = largest.select("id", scaled(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).alias("vector"))
+    # Repeated to an array, a norm is computed once a vector, not once a component. Where squares are lost or overflow,
+    # the largest component becomes one first.
+    over = lambda v, scale: F.zip_with(v, F.array_repeat(scale, F.size(v)), lambda x, n: x.cast("double") / n)
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    rows = flagged.where("usable").select("id", "vector", norm("vector").alias("norm"))
+    largest = over("vector", F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double")))))
+    plain = F.col("norm").between(1e-140, 1e140)
+    rows = rows.select("id", "norm", plain.alias("plain"), F.when(plain, F.col("vector").cast("array<double>")).otherwise(largest).alias("vector"))
+    unit = rows.select("id", over("vector", F.when(F.col("plain"), F.col("norm")).otherwise(norm("vector"))).alias("vector"))
     distinct = checkpoint(unit.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     links = checkpoint(node_links(distinct, cosine))
     counts = links.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("n").alias("others"))

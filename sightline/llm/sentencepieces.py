@@ -2,7 +2,8 @@
 
 No piece of the model crosses from a letter to a following whitespace marker, so a text splits
 before each run of markers into chunks that segment independently. A worker segments each
-distinct chunk once, keeps its ids in a table, and joins them back by position.
+distinct chunk once, keeps its ids, their spelling and what they decode to in a table, and joins them
+back by position.
 """
 
 from __future__ import annotations
@@ -37,31 +38,51 @@ class ChunkTable:
         #: Whether chunks segment as they do within a text.
         self.apart = not any(re.search(f"[^{MARK}]{MARK}|\n.", p) for p in crossing)
         self.limit = limit
-        self.known: dict[str, bytes] = {}
+        #: Of each chunk its ids as bytes, the same as decimals with a comma after each, and what they decode to within a text.
+        self.known: dict[str, tuple[bytes, bytes, bytes]] = {}
 
     def _learn(self, chunks: list[str]) -> None:
         skip = len(self.lead)
-        for chunk, ids in zip(chunks, self.model.encode(["\n" + c for c in chunks], num_threads=1)):
-            if ids[:skip] != self.lead:
+        encoded = self.model.encode(["\n" + c for c in chunks], num_threads=1)
+        # Behind a line feed nothing is taken for the start of a text.
+        for chunk, ids, decoded in zip(chunks, encoded, self.model.decode(encoded)):
+            if ids[:skip] != self.lead or decoded[:1] != "\n":
                 raise ValueError("the model merges a line feed with what follows")
-            self.known[chunk] = array("i", ids[skip:]).tobytes()
+            self.known[chunk] = (array("i", ids[skip:]).tobytes(), b"".join(b"%d," % k for k in ids[skip:]), decoded[1:].encode("utf-8", "surrogatepass"))
 
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if not self.apart:
-            return self.model.encode(text)
+    def _found(self, text: str) -> list[tuple[bytes, bytes, bytes]]:
+        """The table's entries of a text's chunks."""
         chunks, known = _CHUNK.findall(self.model.normalize(text)), self.known
         try:
-            found = b"".join([known[c] for c in chunks])
+            return [known[c] for c in chunks]
         except KeyError:
             if len(known) > self.limit:
                 known.clear()
             self._learn(list(set(chunks).difference(known)))
-            found = b"".join([known[c] for c in chunks])
+            found = [known[c] for c in chunks]
             for long in [c for c in set(chunks) if len(c) > CHUNK_LENGTH]:
                 del known[long]  # so that the table is bounded in bytes too
-        return array("i", found).tolist()
+            return found
+
+    def encode(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if not self.apart:
+            return self.model.encode(text)
+        return array("i", b"".join([f[0] for f in self._found(text)])).tolist()
+
+    def spelt(self, text: str) -> tuple[int, bytes, bytes]:
+        """(number of ids, the ids as decimals with commas between, what they decode to) of a text, all from the table."""
+        if not text or not self.apart:
+            ids = self.encode(text)
+            return len(ids), ",".join(map(str, ids)).encode(), self.model.decode(ids).encode("utf-8", "surrogatepass")
+        found = self._found(text)
+        if not found:
+            return 0, b"", b""
+        ids = b"".join([f[1] for f in found])
+        # The library drops the marker that it puts before a text, so the first chunk decodes as it would alone.
+        first = self.model.decode(array("i", found[0][0]).tolist()).encode("utf-8", "surrogatepass")
+        return ids.count(b","), ids[:-1], first + b"".join([f[2] for f in found[1:]])
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
@@ -86,15 +107,17 @@ def encode_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
 def _over(docs: DataFrame, model_path: str, id_col: str, text_col: str, digests: bool) -> DataFrame:
     small_batches(docs.sparkSession)
 
-    def sha(text: str) -> str:
-        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    def digested(number: int, ids: bytes, decoded: bytes) -> tuple[int, str, str]:
+        return number, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+    def whole(table: ChunkTable, text: str) -> tuple[list[int], str]:
+        ids = table.encode(text)
+        return ids, table.decode(ids)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         table = chunk_table(model_path)
-        rows = []
-        for text in batch.column(1).to_pylist():
-            ids = table.encode(text or "")
-            rows.append((len(ids), sha(str(ids)[1:-1].replace(" ", "")), sha(table.decode(ids))) if digests else (ids, table.decode(ids)))
+        texts = (text or "" for text in batch.column(1).to_pylist())
+        rows = [digested(*table.spelt(text)) if digests else whole(table, text) for text in texts]
         kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
         columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(

@@ -90,7 +90,9 @@ def test_packing_of_repeated_rows_and_null_ids(spark):
 def test_chunk_table_is_the_library():
     table, rng = sentencepieces.ChunkTable(PIECES), random.Random(4)
     for text in [*[t or "" for t in ODD], *("".join(rng.choices(" \n\t▁abcé<s>./\x00　🙂ﬁe the", k=rng.randint(0, 14))) for _ in range(3000))]:
-        assert table.encode(text) == table.model.encode(text)
+        ids = table.model.encode(text)
+        assert table.encode(text) == ids
+        assert table.spelt(text) == (len(ids), ",".join(map(str, ids)).encode(), table.model.decode(ids).encode())
     assert table.apart
     small, whole = sentencepieces.ChunkTable(PIECES, limit=3), sentencepieces.ChunkTable(PIECES)
     whole.apart = False  # as of a model whose pieces cross markers
