@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from functools import lru_cache
 
 import pyarrow as pa
@@ -20,10 +19,16 @@ from .common import over_batches, small_batches
 
 #: Distinct chunks that a worker remembers before it starts its table anew, and characters of one that it does.
 CHUNKS, CHUNK_LENGTH = 400_000, 64
+#: Chunks that are segmented at once.
+BLOCK = 1000
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+def _numbers(spelt: bytes) -> list[int]:
+    return list(map(int, spelt.split(b",")[:-1]))
+
+
 class ChunkTable:
     """Ids of whole texts from a table of segmented chunks; texts are encoded whole where a model's pieces do not keep to chunks."""
 
@@ -31,26 +36,45 @@ class ChunkTable:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        crossing = (self.model.id_to_piece(k) for k in range(self.model.get_piece_size()))
+        pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         # The library puts one marker before any text. A line feed before the chunk takes it up:
         # it is a byte piece of its own that merges with nothing.
         self.lead = self.model.encode("\n")
         #: Whether chunks segment as they do within a text.
-        self.apart = not any(re.search(f"[^{MARK}]{MARK}|\n.", p) for p in crossing)
+        self.apart = not any(re.search(f"[^{MARK}]{MARK}|\n.", p) for p in pieces)
+        #: Whether line feeds keep many chunks apart in one text.
+        self.feeds = bool(self.lead) and not any("\n" in p for p in pieces)
         self.limit = limit
-        #: Of each chunk its ids as bytes, the same as decimals with a comma after each, and what they decode to within a text.
-        self.known: dict[str, tuple[bytes, bytes, bytes]] = {}
+        #: Of each chunk its ids as decimals with a comma after each, and what they decode to within a text.
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        skip = len(self.lead)
-        encoded = self.model.encode(["\n" + c for c in chunks], num_threads=1)
-        # Behind a line feed nothing is taken for the start of a text.
-        for chunk, ids, decoded in zip(chunks, encoded, self.model.decode(encoded)):
-            if ids[:skip] != self.lead or decoded[:1] != "\n":
-                raise ValueError("the model merges a line feed with what follows")
-            self.known[chunk] = (array("i", ids[skip:]).tobytes(), b"".join(b"%d," % k for k in ids[skip:]), decoded[1:].encode("utf-8", "surrogatepass"))
-
-    def _found(self, text: str) -> list[tuple[bytes, bytes, bytes]]:
+        plain = [c for c in chunks if "\n" not in c] if self.feeds else []
+        for at in range(0, len(plain), BLOCK):
+            self._learn_block(plain[at : at + BLOCK])
+        for chunk in set(chunks).difference(plain):
+            self._learn_block([chunk])
+
+    def _learn_block(self, chunks: list[str]) -> None:
+        """Segment chunks in one text, a line feed before each; behind it nothing is taken for the start of a text."""
+        ids = self.model.encode("\n" + "\n".join(chunks))
+        decoded = self.model.decode(ids)
+        if ids[: len(self.lead)] != self.lead or decoded[:1] != "\n":
+            raise ValueError("the model merges a line feed with what follows")
+        if len(chunks) == 1:
+            spelt, texts = [",".join(map(str, ids[len(self.lead) :]))], [decoded[1:]]
+        else:
+            spelt = ("," + ",".join(map(str, ids)) + ",").split(f",{self.lead[-1]},")[1:]
+            spelt[-1] = spelt[-1][:-1]
+            texts = decoded[1:].split("\n")
+        if not len(spelt) == len(texts) == len(chunks):
+            for chunk in chunks:
+                self._learn_block([chunk])
+            return
+        for chunk, own, text in zip(chunks, spelt, texts):
+            self.known[chunk] = (own.encode() + b"," if own else b"", text.encode("utf-8", "surrogatepass"))
+
+    def _found(self, text: str) -> list[tuple[bytes, bytes]]:
         """The table's entries of a text's chunks."""
         chunks, known = _CHUNK.findall(self.model.normalize(text)), self.known
         try:
@@ -69,7 +93,7 @@ class ChunkTable:
             return []
         if not self.apart:
             return self.model.encode(text)
-        return array("i", b"".join([f[0] for f in self._found(text)])).tolist()
+        return _numbers(b"".join([f[0] for f in self._found(text)]))
 
     def spelt(self, text: str) -> tuple[int, bytes, bytes]:
         """(number of ids, the ids as decimals with commas between, what they decode to) of a text, all from the table."""
@@ -79,10 +103,10 @@ class ChunkTable:
         found = self._found(text)
         if not found:
             return 0, b"", b""
-        ids = b"".join([f[1] for f in found])
+        ids = b"".join([f[0] for f in found])
         # The library drops the marker that it puts before a text, so the first chunk decodes as it would alone.
-        first = self.model.decode(array("i", found[0][0]).tolist()).encode("utf-8", "surrogatepass")
-        return ids.count(b","), ids[:-1], first + b"".join([f[2] for f in found[1:]])
+        first = self.model.decode(_numbers(found[0][0])).encode("utf-8", "surrogatepass")
+        return ids.count(b","), ids[:-1], first + b"".join([f[1] for f in found[1:]])
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
