@@ -23,8 +23,8 @@ from .components import connected
 from .vectors import matrix, with_flag
 
 COSINE = 0.95
-#: Radii of the nested levels below a node.
-LEVELS = (0.5, 0.25, 0.125)
+#: Radii of the nested levels below a node, which is the level of radius 2: no two unit vectors are farther apart.
+LEVELS = (1.0, 0.5, 0.25, 0.125)
 #: Pivots of the first level, at most; so many cells there are even of few vectors, to give every core some.
 PIVOTS, LEAST_CELLS = 2048, 16
 #: How often pivots are refined.
@@ -131,6 +131,8 @@ class Traversal:
         self.na, self.nb = np.zeros(len(a.points), dtype=np.int64), np.zeros(len(b.points), dtype=np.int64)
         self.shift = 0 if a is b else len(a.points)
         self.labels = Labels(self.shift + len(b.points))
+        #: Node pairs that were looked at, and those of them that covering radii ruled out.
+        self.met = self.pruned = 0
 
     def run(self) -> None:
         """The first level is every centre with every other: by blocks of a matrix product, pruned at once."""
@@ -142,6 +144,8 @@ class Traversal:
             i, j = np.divmod(np.flatnonzero(dots >= self._least(float(ra[at : at + 128].max() + rb.max()))), len(cb))
             near = dots[i, j] >= self._least(ra[i + at] + rb[j])
             i, j = i[near], j[near]
+            self.met += dots.size
+            self.pruned += dots.size - len(i)
             self._walk(0, i + at, j)
 
     def _least(self, reach: np.ndarray | float) -> np.ndarray | float:
@@ -181,6 +185,8 @@ class Traversal:
         for k in range(0, int(inside.sum()), 4096):
             self._whole(level, x[inside][k : k + 4096], y[inside][k : k + 4096])
         near = ~inside & (gap <= reach + self.radius + SLACK)
+        self.met += len(near) if level else 0  # the first level's are counted where they are formed
+        self.pruned += int((~inside & ~near).sum())
         x, y = x[near], y[near]
         if not len(x):
             return

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sightline.llm import ann, covertree, langid, packing, pii, quality, sentencepieces, simhash, toxicity, urlrules
+from sightline.llm import ann, covertree, langid, packing, pii, quality, queries, sentencepieces, simhash, toxicity, urlrules
 from sightline.llm.common import Labels
 from sightline.llm.components import connected
 
@@ -245,6 +245,46 @@ def test_extreme_vectors_link(spark):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows} == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (3, 0)}
 
 
+def test_levels_fall_and_prune():
+    """On clustered vectors levels shrink from the coarsest up and radii rule out most node pairs; without structure they can rule out none."""
+    rng = np.random.default_rng(21)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    coarse = unit(rng.normal(size=(12, 32)))
+    fine = unit(np.repeat(coarse, 20, axis=0) + 0.06 * rng.normal(size=(240, 32)))
+    points = unit(np.repeat(fine, 10, axis=0) + 0.01 * rng.normal(size=(2400, 32)))
+    tree = covertree.CoverTree(points)
+    sizes = [len(level.centres) for level in tree.levels]
+    assert sizes == sorted(sizes) and sizes[0] <= 24 and sizes[-1] < len(points) / 2
+    for level, finer in zip(tree.levels, tree.levels[1:]):
+        assert set(level.centres) <= set(finer.centres)
+    walked = covertree.Traversal(tree, tree, 0.95, (np.ones(2400, dtype=np.int64),) * 2)
+    walked.run()
+    near = points @ points.T >= 0.95
+    assert (walked.na == near.sum(axis=1)).all() and near.sum() > 5 * 2400
+    flat = covertree.CoverTree(unit(rng.normal(size=(2400, 64))))
+    level = covertree.Traversal(flat, flat, 0.95, (np.ones(2400, dtype=np.int64),) * 2)
+    level.run()
+    print(f"clustered: levels {sizes}, {walked.pruned} of {walked.met} node pairs pruned; without structure: levels {[len(x.centres) for x in flat.levels]}")
+    assert walked.pruned > 0.5 * walked.met and walked.met < 2400 * 2400 / 10
+
+
+def test_op8_query_finds_links(spark, tmp_path):
+    """The registered query over a table that holds links: clusters of copies, chains and near vectors."""
+    rng = np.random.default_rng(22)
+    centres = rng.normal(size=(60, 24))
+    points = (np.repeat(centres, 12, axis=0) + rng.choice([0.0, 0.05, 0.2], size=(720, 1)) * rng.normal(size=(720, 24))).astype(np.float32)
+    rows = [(int(k), p.tolist(), 0) for k, p in zip(rng.permutation(720), points)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4).write.parquet(f"{tmp_path}/embeddings.parquet")
+    ids, unit = np.array([r[0] for r in rows]), points.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    order = np.argsort(ids)
+    ids, near, labels = ids[order], (unit @ unit.T >= 0.95)[order][:, order], Labels(720)
+    labels.add(*np.nonzero(near))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in queries.op8_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert got == {int(i): (int(n) - 1, int(ids[c]), bool(i == ids[c])) for i, n, c in zip(ids, near.sum(axis=1), labels.label)}
+    assert sum(n > 0 for n, _, _ in got.values()) > 300
+
+
 @pytest.mark.parametrize("node_rows", [8192, 50])
 def test_cover_tree(spark, monkeypatch, node_rows):
     monkeypatch.setattr(covertree, "NODE_ROWS", node_rows)
