@@ -35,6 +35,8 @@ NODE_ROWS = 32_768
 SLACK = 1e-6
 #: Members that show whether a level joins any, and the share of them that must have another within its radius.
 PROBES, LEAST_MERGED = 128, 0.1
+#: Radii above this are wide, and what a wide level's centres must hold to be of use.
+WIDE, CLUSTER = 0.5, 8
 #: Pairs whose vectors are gathered at once, child pairs of one step, cells of one matrix product.
 GATHERED, PAIRS, DENSE = 1 << 14, 1 << 18, 1 << 22
 #: How many pairs of a matrix product cost as much as one pair gathered by itself.
@@ -79,11 +81,16 @@ class CoverTree:
         self.levels.reverse()
 
     def _merges(self, members: np.ndarray, radius: float) -> bool:
-        """Whether a level of this radius would join members, by PROBES of them; if not, each stays its own centre, which bounds nothing less."""
+        """Whether a level of this radius would join members, by PROBES of them; if not, each stays its own centre, which bounds nothing less.
+
+        Nodes of a wide level rule others out only where they are narrower than they may be, as in clusters: it
+        must hold CLUSTER members to a centre.
+        """
         if len(members) <= PROBES:
             return True
         dots = self.single[members[:: -(-len(members) // PROBES)]] @ self.single[members].T
-        return float(np.mean((2 - 2 * dots <= radius * radius).sum(axis=1) > 1)) >= LEAST_MERGED
+        near = (2 - 2 * dots <= radius * radius).sum(axis=1)
+        return float(np.mean(near > 1)) >= LEAST_MERGED if radius <= WIDE else float(np.median(near)) >= CLUSTER
 
     def _net(self, members: np.ndarray, radius: float) -> np.ndarray:
         """A centre for each member: greedy, so that centres are more than `radius` apart."""
