@@ -267,7 +267,7 @@ UNION ALL SELECT bank_id, question_id, 'PLACEHOLDER', text LIKE '% anvil%' FROM
   SELECT bank_id, question_id, 'CATEGORY_HIDDEN', text NOT LIKE '%' || n || '%' FROM q)
 SELECT bank_id, question_id, code FROM f WHERE hit""")
 def bank_row_issues(spark, sf_dir):
-    """S13, P15-P25, P29, J16, J19, F8, F9, U5."""
+    """S13, P15-P24, J16, J19, F8, F9, U5."""
     b = _bank(spark, sf_dir)
     return bank.row_findings(b, bank.row_flags(b)).select("bank_id", "question_id", "code")
 
@@ -286,7 +286,7 @@ def bank_terms(spark, sf_dir):
 @query(f"""WITH {_PARTS} SELECT bank_id, 'question_type' AS dimension, question_type AS key, count(*) AS actual, CASE question_type WHEN 'generic' THEN 2
   ELSE 1 END AS expected FROM q GROUP BY bank_id, question_type HAVING count(*) <> CASE question_type WHEN 'generic' THEN 2 ELSE 1 END""")
 def bank_quotas(spark, sf_dir):
-    """A17, J17, A12."""
+    """A17, J17."""
     b = _bank(spark, sf_dir)
     return bank.quota_differences(bank.row_flags(b), b.quotas).select("bank_id", "dimension", "key", "actual", "expected")
 
