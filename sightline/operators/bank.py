@@ -21,7 +21,7 @@ class Bank(NamedTuple):
     """Tables of the banks; lists of configurations are exploded, one row an entry."""
 
     config: DataFrame  # bank_id, version, brand, category_label, object_type, expected_total, questions, current, doc
-    rows: DataFrame  # bank_id, row_no, q
+    rows: DataFrame  # bank_id, row_no, q, fields
     topics: DataFrame  # bank_id, topic_id, topic
     names: DataFrame  # bank_id, kind, owner, name, pattern: brand, product, alias, competitor, formal
     category: DataFrame  # bank_id, kind, term: core_terms, product_terms, placeholder_blacklist, excluded
@@ -60,9 +60,7 @@ def load(raw: DataFrame) -> Bank:
         F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
         F.size(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("questions"), "current", "doc",
     )
-    rows = docs.select(
-        "bank_id", F.posexplode(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("pos", "q")
-    ).select("bank_id", (F.col("pos") + 1).alias("row_no"), "q")
+    rows = docs.select("bank_id", F.posexplode(asked("doc")).alias("pos", "x")).select("bank_id", (F.col("pos") + 1).alias("row_no"), "x.q", "x.fields")
     topics = docs.where("current").select("bank_id", F.explode(_topics()).alias("t")).select("bank_id", "t.*")
     rivals = docs.select("bank_id", F.explode(_formal()).alias("c")).select("bank_id", "c.*")
     names = docs.select("bank_id", F.explode(_names()).alias("x")).select("bank_id", "x.*").withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
@@ -72,6 +70,13 @@ def load(raw: DataFrame) -> Bank:
     return Bank(config, rows, topics, names, category, terms, quotas, rivals, shapeless)
 
 
+def asked(doc: str) -> Column:
+    """The questions of a document as (q, fields): the value itself, and its fields as text, null for what is no object."""
+    return F.arrays_zip(
+        F.try_variant_get(F.col(doc), "$.questions", "array<variant>").alias("q"), F.try_variant_get(F.col(doc), "$.questions", "array<map<string,string>>").alias("fields")
+    )
+
+
 def _is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
 
@@ -202,8 +207,8 @@ def completeness(bank: Bank) -> DataFrame:
 
 
 def with_missing(rows: DataFrame) -> DataFrame:
-    """Add `keys`, `missing` and `fatal` to rows with `q` and `current`."""
-    keys = F.map_keys(F.try_variant_get(F.col("q"), "$", "map<string,variant>"))
+    """Add `keys`, `missing` and `fatal` to rows with `fields` and `current`."""
+    keys = F.map_keys("fields")
     needed = F.when(
         F.col("current"), F.array(*map(F.lit, fixed.REQUIRED_FIELDS + fixed.CURRENT_FIELDS))
     ).otherwise(F.array(*map(F.lit, (*fixed.REQUIRED_FIELDS, "geo_intent"))))
@@ -229,14 +234,16 @@ def row_flags(bank: Bank) -> DataFrame:
 
 def with_flags(rows: DataFrame) -> DataFrame:
     """Add the fields of questions and the rules' flags to rows of `with_missing`."""
-    r = rows.select("*", *[_text("q", f"$.{f}").alias(f) for f in FIELDS], strip(or_empty(_text("q", "$.user_question"))).alias("text"))
+    field = lambda f: F.try_element_at("fields", F.lit(f))
+    r = rows.select("*", *[field(f).alias(f) for f in FIELDS], strip(or_empty(field("user_question"))).alias("text"))
     r = r.withColumn("norm", normalize_name(F.col("text"))).withColumn("topic_id", normalize_name(F.col("topic_id"))).withColumn("intent_key", normalize_name(F.col("intent_key")))
     for name in ("cluster", "scenario", "constraint", "decision_stage"):
         r = r.withColumn(name, normalize_name(F.col(name)))
     text, now = F.col("text"), F.col("current")
     flags = F.array(*map(F.lit, fixed.QUALITY_FLAGS + fixed.CURRENT_FLAGS))
     wanted = F.when(now, flags).otherwise(F.slice(flags, 1, len(fixed.QUALITY_FLAGS)))
-    checks = F.try_variant_get(F.col("q"), "$.quality_checks", "map<string,variant>")
+    # Read once: within a function of each flag, the whole map would be read anew for each.
+    passed = F.map_keys(F.map_filter(F.try_variant_get(F.col("q"), "$.quality_checks", "map<string,variant>"), lambda k, v: _true(v)))
     zh_type = F.schema_of_variant(F.try_variant_get(F.col("q"), "$.zh_translation", "variant"))
     return r.select(
         "*",
@@ -252,7 +259,7 @@ def with_flags(rows: DataFrame) -> DataFrame:
             F.array(*[F.when(normalize_name(F.col(c)) == F.col("norm"), F.lit(c)) for c in ("retrieval_rewrite", "evidence_query", "title_seed")]),
             lambda x: x.isNotNull()
         ).alias("repeats"),
-        F.when(checks.isNull(), wanted).otherwise(F.filter(wanted, lambda n: ~_true(F.try_element_at(checks, n)))).alias("failed_checks"),
+        F.coalesce(F.array_except(wanted, passed), wanted).alias("failed_checks"),
         F.when(now, F.array_intersect(F.col("keys"), F.array(*map(F.lit, fixed.RETIRED_FIELDS)))).otherwise(F.array().cast("array<string>")).alias("retired"),
         (
             now & ~F.coalesce(F.col("funnel_intent").isin("recommendation", "comparison", "decision"), F.lit(False))
@@ -273,7 +280,7 @@ ROW_RULES = ("bad_translation", "not_natural", "bare_action", "non_commercial",
 def row_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     """Findings of single rows, among them names and terms that a question may not or must hold."""
     missing = completeness(bank).where("size(missing) > 0")
-    out = _find(missing, "MISSING_FIELDS", _text("q", "$.question_id"), F.array_join("missing", ","))
+    out = _find(missing, "MISSING_FIELDS", F.try_element_at("fields", F.lit("question_id")), F.array_join("missing", ","))
     rules = F.filter(
         F.array(
             *[F.when(F.col(r), F.lit(r.upper())) for r in ROW_RULES], F.when(F.col("text") == "", "EMPTY_QUESTION"),

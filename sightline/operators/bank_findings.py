@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import contains_name, entity_pattern, normalize_template, or_empty, ratio, strip
+from ..functions.text import entity_pattern, normalize_name, normalize_template, or_empty, ratio, strip
 from . import bank
 from .bank_config import config_codes
 
@@ -40,7 +40,7 @@ def _packed(raw: DataFrame) -> DataFrame:
     docs = raw.select("bank_id", F.try_parse_json("body").alias("doc"))
     at = lambda path: F.try_variant_get(F.col("doc"), path, "string")
     version = strip(F.coalesce(F.nullif(at("$.schema_version"), F.lit("")), at("$.config.schema_version"), F.lit("")))
-    asked = F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")
+    asked = bank.asked("doc")
     docs = docs.select(
         "bank_id", "doc", version.alias("version"), (version == fixed.CURRENT_VERSION).alias("current"), asked.alias("asked"), F.size(asked).alias("questions"),
         strip(or_empty(at("$.config.brand_name"))).alias("brand"), strip(or_empty(at("$.config.category_label"))).alias("category_label"),
@@ -64,12 +64,12 @@ def _row_findings() -> Column:
         F.lit(code).alias("code"), F.col("question_id").alias("question_id"), (_null() if detail is None else detail.cast("string")).alias("detail")
     )
     one = lambda hit, code, detail=None: F.when(F.coalesce(hit, F.lit(False)), of(code, detail))
-    named = F.filter("names", lambda n: F.rlike(text, n["pattern"]))
+    named = F.col("named")
     spelt = lambda hits: F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda n: n["name"]))), ",")
     rivals = F.filter(named, lambda n: n["kind"].isin("competitor", "formal"))
-    hits = F.filter("category", lambda c: contains_name(text, c["term"]))
+    hits = F.col("hits")
     shown = F.exists(hits, lambda c: c["kind"].isin("core_terms", "product_terms"))
-    topic = F.transform(F.filter("topics", lambda t: t["topic_id"] == F.col("topic_id")), lambda t: t["topic"])
+    topic = F.col("topic")
     differs = normalize_template(text) != normalize_template(bank._expected_sentiment(F.try_element_at(topic, F.lit(1))))
     sentiment, generic, branded = F.col("is_sentiment"), F.col("question_type") == "generic", F.col("question_type") == "branded"
     single = [
@@ -96,7 +96,7 @@ def _row_labels() -> Column:
     """The labels by which a complete question is counted."""
     now = F.col("current")
     compared = (F.col("question_type") == "branded") & (F.col("funnel_intent") == "comparison")
-    places = F.array_distinct(F.transform(F.filter("names", lambda n: (n["kind"] == "formal") & F.rlike("text", n["pattern"])), lambda n: n["owner"]))
+    places = F.array_distinct(F.transform(F.filter("named", lambda n: n["kind"] == "formal"), lambda n: n["owner"]))
     plain = [
         _entry("total"), _entry("question_type", F.col("question_type")), _entry("funnel_intent", F.col("funnel_intent")),
         F.when(F.col("question_type").isin("generic", "branded"), _entry(F.concat(F.lit("cross."), "question_type"), F.col("funnel_intent"))),
@@ -175,6 +175,35 @@ def _batch_styles() -> Column:
     return F.concat(bank.style_codes({n: ratio(c, total) for n, c in counts.items()}, total), own)
 
 
+def _questions(docs: DataFrame, *more: str | Column) -> DataFrame:
+    """A row for each question of `_packed` with its flags and the names, terms and topics found in it, one without a place for a bank without questions."""
+    rows = docs.select(
+        "bank_id", "current", "brand", "category_label", "object_type", "topics", "names", "category", "terms", *more, F.posexplode_outer("asked").alias("pos", "x")
+    ).select("*", "x.*").drop("x").withColumn("row_no", F.col("pos") + 1)
+    rows = bank.with_flags(bank.with_missing(rows))
+    text = F.concat(F.lit(" "), "norm", F.lit(" "))
+    shows = lambda name: (normalize_name(name) != "") & F.contains(text, F.concat(F.lit(" "), normalize_name(name), F.lit(" ")))
+    any_of = lambda c: F.exists(c, shows)
+    specs = F.transform(
+        "terms", lambda s: F.struct(
+            s["concept"].alias("concept"), s["acronym"].alias("spelt"), any_of(s["terms"]).alias("hit"), shows(s["expanded_form"]).alias("expanded"),
+            shows(s["acronym"]).alias("acronym"), any_of(s["context_terms"]).alias("context")
+        )
+    )
+    topic = F.transform(F.filter("topics", lambda t: t["topic_id"] == F.col("topic_id")), lambda t: t["topic"])
+    return rows.withColumns({
+        "whole": F.col("pos").isNotNull() & ~F.col("fatal"), "spec_hits": specs, "named": F.filter("names", lambda n: F.rlike("text", n["pattern"])),
+        "hits": F.filter("category", lambda c: shows(c["term"])), "topic": topic
+    })
+
+
+def row_findings(raw: DataFrame) -> DataFrame:
+    """(bank_id, code, question_id, detail) of the questions of `raw(bank_id, body)`, each by itself: nothing is joined or shuffled."""
+    rows = _questions(_packed(raw))
+    found = rows.select("bank_id", F.explode(_if(F.col("pos").isNotNull(), _row_findings())).alias("x"))
+    return found.select("bank_id", F.substring("x.dim", 2, 99).alias("code"), F.col("x.label").alias("question_id"), "x.detail")
+
+
 def all_findings(raw: DataFrame) -> DataFrame:
     """(bank_id, severity, code, question_id, detail) of the banks of `raw(bank_id, body)`; severity is error, warning or high_risk.
 
@@ -183,18 +212,7 @@ def all_findings(raw: DataFrame) -> DataFrame:
     """
     docs = _packed(raw)
     pack = F.struct("current", "listed", "topics", "rivals", "terms", "quotas", "least", "config_codes", "warnings")
-    rows = docs.select(
-        "bank_id", "current", "brand", "category_label", "object_type", "topics", "names", "category", "terms", pack.alias("pack"), F.posexplode_outer("asked").alias("pos", "q")
-    ).withColumn("row_no", F.col("pos") + 1)
-    rows = bank.with_flags(bank.with_missing(rows))
-    contains = lambda c: F.exists(c, lambda t: contains_name(F.col("text"), t))
-    specs = F.transform(
-        "terms", lambda s: F.struct(
-            s["concept"].alias("concept"), s["acronym"].alias("spelt"), contains(s["terms"]).alias("hit"), contains_name(F.col("text"), s["expanded_form"]).alias("expanded"),
-            contains_name(F.col("text"), s["acronym"]).alias("acronym"), contains(s["context_terms"]).alias("context")
-        )
-    )
-    rows = rows.withColumn("whole", F.col("pos").isNotNull() & ~F.col("fatal")).withColumn("spec_hits", specs)
+    rows = _questions(docs, pack.alias("pack"))
     # The first question of a bank, or the row of one without, brings its lists along.
     first = F.coalesce(F.col("pos") == 0, F.lit(True))
     entries = F.concat(_if(first, F.array(_entry("?"))), _if(F.col("pos").isNotNull(), _row_findings()), _row_labels())

@@ -258,8 +258,7 @@ def bank_wording(spark, sf_dir):
 @query(f"WITH {_Q} SELECT bank_id, id AS question_id, 'HVP' AS detail FROM q WHERE s % 3 = 0")
 def bank_acronyms(spark, sf_dir):
     """P25: acronyms without expansion or context."""
-    b = _questioned(spark, sf_dir)
-    return bank.row_findings(b, bank.row_flags(b)).where("code = 'BARE_ACRONYM'").select("bank_id", "question_id", "detail")
+    return bank_findings.row_findings(_documents(spark, sf_dir)).where("code = 'BARE_ACRONYM'").select("bank_id", "question_id", "detail")
 
 
 @query(f"""WITH {_Q} SELECT bank_id, 'key ' || CAST(k // 2 AS VARCHAR) AS intent_key, id AS question_id FROM q
@@ -322,9 +321,9 @@ def bank_gate_issues(spark, sf_dir):
     """One broken gate for each bank."""
     k = F.col("p_partkey") % len(_GATES)
     body = F.element_at(F.array(*[F.lit(_gate_bank(t, f)) for t, f, _ in _GATES]), (k + 1).cast("int"))
-    b = bank.load(tables.read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("bank_id"), body.alias("body")))
+    raw = tables.spread(tables.read(spark, sf_dir, "part"), "p_partkey").select(F.col("p_partkey").cast("string").alias("bank_id"), body.alias("body"))
     wanted = {code for _, _, code in _GATES}
-    return bank.row_findings(b, bank.row_flags(b)).where(F.col("code").isin(*wanted)).select("bank_id", "code")
+    return bank_findings.row_findings(raw).where(F.col("code").isin(*wanted)).select("bank_id", "code")
 
 
 @query(f"""WITH {_Q}, n AS (SELECT bank_id, count(*) AS total, count(*) FILTER (s % 7 = 0) AS promotional, count(*) FILTER (s % 7 = 1) AS low,

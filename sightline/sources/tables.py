@@ -21,6 +21,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by key over all cores: a small file is read by one task, which would then do all that follows for it."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), key)
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as answers: the source is the run, English ones are generic, ids set the intent."""
     docs = read(spark, sf_dir, "documents")
