@@ -21,7 +21,7 @@ class Bank(NamedTuple):
     """Tables of the banks; lists of configurations are exploded, one row an entry."""
 
     config: DataFrame  # bank_id, version, brand, category_label, object_type, expected_total, questions, current, doc
-    rows: DataFrame  # bank_id, row_no, q, fields
+    rows: DataFrame  # bank_id, row_no, q, fields, and of the bank: current, brand, category_label, object_type, specs
     topics: DataFrame  # bank_id, topic_id, topic
     names: DataFrame  # bank_id, kind, owner, name, pattern: brand, product, alias, competitor, formal
     category: DataFrame  # bank_id, kind, term: core_terms, product_terms, placeholder_blacklist, excluded
@@ -60,7 +60,7 @@ def load(raw: DataFrame) -> Bank:
         F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
         F.size(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("questions"), "current", "doc",
     )
-    rows = docs.select("bank_id", F.posexplode(asked("doc")).alias("pos", "x")).select("bank_id", (F.col("pos") + 1).alias("row_no"), "x.q", "x.fields")
+    rows = carried(config, "doc").select("*", F.posexplode(asked("doc")).alias("pos", "x")).select("*", (F.col("pos") + 1).alias("row_no"), "x.q", "x.fields").drop("doc", "pos", "x")
     topics = docs.where("current").select("bank_id", F.explode(_topics()).alias("t")).select("bank_id", "t.*")
     rivals = docs.select("bank_id", F.explode(_formal()).alias("c")).select("bank_id", "c.*")
     names = docs.select("bank_id", F.explode(_names()).alias("x")).select("bank_id", "x.*").withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
@@ -70,6 +70,11 @@ def load(raw: DataFrame) -> Bank:
     return Bank(config, rows, topics, names, category, terms, quotas, rivals, shapeless)
 
 
+def carried(config: DataFrame, *more: str) -> DataFrame:
+    """What a question's rules need of its bank: it comes with the question, so that no large row is joined to it."""
+    return config.select("bank_id", "current", "brand", "category_label", "object_type", _term_specs().alias("specs"), *more)
+
+
 def asked(doc: str) -> Column:
     """The questions of a document as (q, fields): the value itself, and its fields as text, null for what is no object."""
     return F.arrays_zip(
@@ -202,8 +207,7 @@ def _find(rows: DataFrame, code: str, question: Column | None = None, detail: Co
 
 def completeness(bank: Bank) -> DataFrame:
     """Rows with their missing fields; `fatal` rows leave the pipeline."""
-    known = bank.config.select("bank_id", F.coalesce("current", F.lit(False)).alias("current"), "brand", "category_label", "object_type")
-    return with_missing(bank.rows.join(known, "bank_id"))
+    return with_missing(bank.rows)
 
 
 def with_missing(rows: DataFrame) -> DataFrame:

@@ -330,5 +330,5 @@ def read_banks(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, n
     loaded = bank.load(shell)
     counts = asked.groupBy("bank_id").agg(F.count("*").cast("int").alias("questions"))
     config = loaded.config.drop("questions").join(counts, "bank_id", "left").fillna(0, ["questions"])
-    rows = asked.withColumn("fields", F.try_variant_get("q", "$", "map<string,string>")).join(loaded.config.select("bank_id"), "bank_id", "left_semi")
+    rows = asked.withColumn("fields", F.try_variant_get("q", "$", "map<string,string>")).join(bank.carried(loaded.config), "bank_id")
     return loaded._replace(rows=rows, config=config), errors

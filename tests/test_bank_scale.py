@@ -19,6 +19,7 @@ def _plan(df) -> str:
     "name, reads, joins",
     [
         ("bank_row_issues", 1, 0),
+        ("bank_duplicates", 1, 0),
     ],
 )
 def test_readings(spark, name, reads, joins):
