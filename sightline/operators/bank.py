@@ -297,7 +297,7 @@ def row_findings(bank: Bank, flags: DataFrame) -> DataFrame:
         out = out.unionByName(_find(flags.where(F.size(name) > 0), code, F.col("question_id"), F.array_join(name, ",")))
     off = flags.where("current").join(bank.topics, ["bank_id", "topic_id"], "left_anti")
     out = out.unionByName(_find(off, "UNKNOWN_TOPIC", F.col("question_id"), F.col("topic_id")))
-    return out.unionByName(_template_findings(bank, flags)).unionByName(_name_findings(bank, flags)).unionByName(_category_findings(bank, flags)).unionByName(_acronym_findings(bank, flags))
+    return out.unionByName(_template_findings(bank, flags)).unionByName(_name_findings(bank, flags)).unionByName(_category_findings(bank, flags)).unionByName(_acronym_findings(flags))
 
 
 def _template_findings(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -356,24 +356,24 @@ def _category_findings(bank: Bank, flags: DataFrame) -> DataFrame:
     )
 
 
-def _term_hits(bank: Bank, flags: DataFrame) -> DataFrame:
-    joined = flags.select("bank_id", "row_no", "question_id", "question_type", "text").join(bank.terms, "bank_id")
+def _term_hits(flags: DataFrame) -> DataFrame:
+    joined = flags.select("bank_id", "row_no", "question_id", "question_type", "text", F.explode("specs").alias("s")).select("*", "s.*").drop("s")
     any_of = lambda c: F.exists(c, lambda t: contains_name(F.col("text"), t))
     return joined.withColumn("hit", any_of("terms")).withColumn(
         "has_expanded", contains_name(F.col("text"), F.col("expanded_form"))
     ).withColumn("has_acronym", contains_name(F.col("text"), F.col("acronym"))).withColumn("has_context", any_of("context_terms"))
 
 
-def _acronym_findings(bank: Bank, flags: DataFrame) -> DataFrame:
+def _acronym_findings(flags: DataFrame) -> DataFrame:
     """Acronyms without expansion or context (P25)."""
-    bare = _term_hits(bank, flags).where("has_acronym and not has_expanded and not has_context")
+    bare = _term_hits(flags).where("has_acronym and not has_expanded and not has_context")
     return _find(bare, "BARE_ACRONYM", F.col("question_id"), F.col("acronym"))
 
 
 def term_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, concept, measure, actual, minimum) of each concept's five counts."""
     n = F.count_if
-    counts = _term_hits(bank, flags).groupBy("bank_id", "concept").agg(
+    counts = _term_hits(flags).groupBy("bank_id", "concept").agg(
         n("hit").alias("n_total"), n(F.col("hit") & (F.col("question_type") == "generic")).alias("n_generic"),
         n(F.col("hit") & (F.col("question_type") == "branded")).alias("n_branded"), n("has_expanded").alias("n_expanded"), n("has_acronym").alias("n_acronym")
     )

@@ -20,6 +20,7 @@ def _plan(df) -> str:
     [
         ("bank_row_issues", 1, 0),
         ("bank_duplicates", 1, 0),
+        ("bank_terms", 2, 1),
     ],
 )
 def test_readings(spark, name, reads, joins):
