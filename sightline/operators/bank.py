@@ -406,8 +406,12 @@ def quota_differences(flags: DataFrame, quotas: DataFrame) -> DataFrame:
         ).alias("x")
     )
     actual = each.groupBy("bank_id", F.col("x.dimension").alias("dimension"), F.col("x.key").alias("key")).agg(F.sum("n").alias("actual"))
-    held = quotas.select("bank_id", "dimension").distinct()
-    both = actual.join(held, ["bank_id", "dimension"], "left_semi").join(quotas, ["bank_id", "dimension", "key"], "full_outer").fillna(0, ["actual", "expected"])
+    # Counts and quotas are brought together by one grouping, so that neither side is read twice; a quota that is given twice is compared twice.
+    both = actual.withColumn("expected", F.lit(None).cast("int")).unionByName(quotas.select("bank_id", "dimension", "key", F.lit(None).cast("long").alias("actual"), "expected"))
+    keyed = both.groupBy("bank_id", "dimension", "key").agg(F.coalesce(F.sum("actual"), F.lit(0)).alias("actual"), F.collect_list("expected").alias("quotas"))
+    compared = F.max(F.size("quotas")).over(Window.partitionBy("bank_id", "dimension")) > 0
+    known = keyed.withColumn("compared", compared).where("compared and dimension is not null")
+    both = known.select("bank_id", "dimension", "key", "actual", F.explode(F.when(F.size("quotas") > 0, F.col("quotas")).otherwise(F.array(F.lit(0)))).alias("expected"))
     return both.where("actual != expected")
 
 

@@ -21,6 +21,7 @@ def _plan(df) -> str:
         ("bank_row_issues", 1, 0),
         ("bank_duplicates", 1, 0),
         ("bank_terms", 2, 1),
+        ("bank_quotas", 2, 0),
     ],
 )
 def test_readings(spark, name, reads, joins):
@@ -43,3 +44,13 @@ def test_rows_by_themselves(spark):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(joined.select("bank_id", "code", "question_id", "detail").collect(), key=key) == sorted(single.collect(), key=key)
     assert single.where("code = 'QUALITY_CHECKS'").count() == 6
+
+
+def test_quotas_of_unknown_types(spark):
+    """Questions without a type are over quota; a dimension without quotas is compared with zero, one that is not named is left out."""
+    flags = spark.createDataFrame([("b", None, "decision"), ("b", "generic", "decision"), ("c", "generic", None)], "bank_id string, question_type string, funnel_intent string")
+    quotas = spark.createDataFrame(
+        [("b", "question_type", "generic", 1), ("b", "question_type", "branded", 2), ("b", "funnel_intent", None, 0)], "bank_id string, dimension string, key string, expected int"
+    )
+    got = bank.quota_differences(flags, quotas).select("bank_id", "dimension", "key", "actual", "expected").collect()
+    assert {tuple(r) for r in got} == {("b", "question_type", None, 1, 0), ("b", "question_type", "branded", 0, 2), ("b", "funnel_intent", "decision", 2, 0)} and len(got) == 3
