@@ -469,10 +469,12 @@ def audience_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     ).withColumn("key", normalize_name(F.col("audience")))
     generic = flags.where("question_type = 'generic'").withColumn("key", normalize_name(F.col("audience_role")))
     n = lambda i: F.count_if(F.col("funnel_intent") == i).alias(i)
-    counts = generic.groupBy("bank_id", "key").agg(F.count("*").alias("generic_total"), n("recommendation"), n("comparison"), n("decision"))
-    totals = generic.groupBy("bank_id").agg(F.count("*").alias("all"))
     names = ["generic_total", "recommendation", "comparison", "decision"]
-    joined = aims.join(counts, ["bank_id", "key"], "left").join(totals, "bank_id", "left").fillna(0, [*names, "all"])
+    counts = generic.groupBy("bank_id", "key").agg(F.count("*").alias("generic_total"), n("recommendation"), n("comparison"), n("decision"))
+    # A bank's labels as one map beside their total: the questions are read once for both.
+    banks = counts.groupBy("bank_id").agg(F.map_from_entries(F.collect_list(F.struct("key", F.struct(*names)))).alias("counts"), F.sum("generic_total").alias("all"))
+    joined = aims.join(banks, "bank_id", "left").withColumn("of", F.try_element_at("counts", F.col("key")))
+    joined = joined.select("bank_id", "audience", *[F.col(f"of.{x}").alias(x) for x in names], "all").fillna(0, [*names, "all"])
     return joined.select("bank_id", "audience", *names, ratio(F.col("generic_total"), F.col("all")).alias("share"))
 
 

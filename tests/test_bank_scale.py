@@ -22,6 +22,7 @@ def _plan(df) -> str:
         ("bank_duplicates", 1, 0),
         ("bank_terms", 2, 1),
         ("bank_quotas", 2, 0),
+        ("bank_audiences", 2, 1),
     ],
 )
 def test_readings(spark, name, reads, joins):
