@@ -120,7 +120,7 @@ def _spelt(field: str):
 
 
 def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = tables.read(spark, sf_dir, "part").select(
+    part = tables.spread(tables.read(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_partkey").cast("string").alias("bank_id"), (F.col("p_partkey") % len(_FAULTS)).alias("fault"),
         (F.floor(F.col("p_partkey") / len(_FAULTS)) % 3).alias("age")
     )

@@ -23,6 +23,7 @@ def _plan(df) -> str:
         ("bank_terms", 2, 1),
         ("bank_quotas", 2, 0),
         ("bank_audiences", 2, 1),
+        ("bank_config_issues", 1, 0),
     ],
 )
 def test_readings(spark, name, reads, joins):
