@@ -481,22 +481,23 @@ def audience_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
 def style(flags: DataFrame) -> DataFrame:
     """A row for each bank: distinct labels, singletons, openers and promotional wording as counts and ratios."""
     dims = ("cluster", "scenario", "constraint", "audience_role", "opener")
+    # Totals are labels too, so that questions are read and grouped once.
+    totals = {"total": F.lit(True), "promotional": F.col("promotional"), "low_confidence": F.col("low_confidence")}
+    each = {d: F.col(d) for d in dims} | {d: F.when(hit, "") for d, hit in totals.items()}
     labels = flags.select(
-        "bank_id", "row_no", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("label")) for d in dims])).alias("x")
+        "bank_id", "row_no", F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), label.alias("label")) for d, label in each.items()])).alias("x")
     ).select("bank_id", "row_no", "x.*").where("label is not null")
     per = labels.groupBy("bank_id", "dim", "label").agg(F.count("*").alias("n"), F.min("row_no").alias("first"))
     of = lambda d: F.col("dim") == d
-    spread = per.groupBy("bank_id").agg(
+    rows = per.groupBy("bank_id").agg(
+        *[F.sum(F.when(of(d), F.col("n")).otherwise(0)).alias(d) for d in totals],
         *[F.count_if(of(d)).alias(f"distinct_{d}") for d in ("audience_role", "scenario", "constraint")], *[
             F.count_if(of(d) & (F.col("n") == 1)).alias(f"single_{d}") for d in ("cluster", "scenario", "constraint")
         ],
         F.sum(F.when(of("opener") & F.col("label").isin(*fixed.COMMON_OPENERS), F.col("n")).otherwise(0)).alias("common_openers"),
         F.max_by(F.when(of("opener"), F.struct("label", "n")), F.when(of("opener"), F.struct(F.col("n"), -F.col("first")))).alias("top"),
     )
-    totals = flags.groupBy("bank_id").agg(
-        F.count("*").alias("total"), F.count_if("promotional").alias("promotional"), F.count_if("low_confidence").alias("low_confidence")
-    )
-    rows = totals.join(spread, "bank_id", "left").withColumn("top_opener", F.col("top.label")).withColumn("top_opener_n", F.coalesce("top.n", F.lit(0))).drop("top")
+    rows = rows.withColumn("top_opener", F.col("top.label")).withColumn("top_opener_n", F.coalesce("top.n", F.lit(0))).drop("top")
     for name in STYLES:
         rows = rows.withColumn(f"{name}_ratio", ratio(F.col(name), F.col("total")))
     return rows

@@ -24,6 +24,7 @@ def _plan(df) -> str:
         ("bank_quotas", 2, 0),
         ("bank_audiences", 2, 1),
         ("bank_config_issues", 1, 0),
+        ("bank_style", 3, 2),
     ],
 )
 def test_readings(spark, name, reads, joins):
