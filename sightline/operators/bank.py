@@ -44,11 +44,12 @@ def load(raw: DataFrame) -> Bank:
 
     The version is the document's, else its configuration's. Topics without an id, and later ones of the same id,
     are left out; so are competitors of a selection that has not exactly three, terms without words, and minima
-    that are no whole numbers from zero on. `quotas` has the dimensions that are compared: question types (the
+    that are no whole numbers from zero on. Further columns of `raw` stay in `config`. `quotas` has the dimensions that are compared: question types (the
     default ones without quotas), and intents and intents of each type named for banks of older versions; a
     compared dimension without any quota has one row without a key.
     """
-    docs = raw.select("bank_id", F.try_parse_json("body").alias("doc"))
+    more = [c for c in raw.columns if c not in ("bank_id", "body")]
+    docs = raw.select("bank_id", F.try_parse_json("body").alias("doc"), *more)
     listed = F.try_variant_get(F.col("doc"), "$.questions", "array<variant>").isNotNull()
     shapeless = docs.where(~listed).select("bank_id")
     version = strip(F.coalesce(F.nullif(_text("doc", "$.schema_version"), F.lit("")), _text("doc", "$.config.schema_version"), F.lit("")))
@@ -58,7 +59,7 @@ def load(raw: DataFrame) -> Bank:
         strip(or_empty(_text("doc", "$.config.category_label"))).alias("category_label"),
         strip(or_empty(_text("doc", "$.config.brand_object_type"))).alias("object_type"),
         F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
-        F.size(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("questions"), "current", "doc",
+        F.size(F.try_variant_get(F.col("doc"), "$.questions", "array<variant>")).alias("questions"), "current", "doc", *more,
     )
     rows = carried(config, "doc").select("*", F.posexplode(asked("doc")).alias("pos", "x")).select("*", (F.col("pos") + 1).alias("row_no"), "x.q", "x.fields").drop("doc", "pos", "x")
     topics = docs.where("current").select("bank_id", F.explode(_topics()).alias("t")).select("bank_id", "t.*")

@@ -179,7 +179,9 @@ def _questioned(spark: SparkSession, sf_dir: str) -> bank.Bank:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bank for each brand in each two hundred parts, a question for each part: kind, names, wording, acronyms and labels by its size."""
-    p = tables.read(spark, sf_dir, "part").withColumn("s", F.col("p_size"))
+    name = F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 200).cast("string"))
+    # Dealt out by bank before the questions are written, so that all cores write them and none is shuffled.
+    p = tables.spread(tables.read(spark, sf_dir, "part").withColumns({"s": F.col("p_size"), "bank_id": name}), "bank_id")
     s = F.col("s")
     say = F.when(s % 2 == 0, F.lit("Which pump is ")).otherwise(F.lit("Compare Orlune "))
     named = F.when(s % 5 == 1, F.lit("with Mirth ")).when(s % 5 == 3, F.lit("with Mirth and Dale ")).otherwise(F.lit(""))
@@ -202,7 +204,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     head, tail = json.dumps({"schema_version": fixed.CURRENT_VERSION, "config": config})[:-1] + ', "questions": [', "]}"
     # A bank's questions are one document, as a bank is read: two hundred at most, however many parts there are.
-    lists = p.groupBy(F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 200).cast("string")).alias("bank_id")).agg(
+    lists = p.groupBy("bank_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", question.alias("q")))), lambda x: x["q"]), ", ").alias("qs")
     )
     return lists.select("bank_id", F.concat(F.lit(head), "qs", F.lit(tail)).alias("body"))

@@ -1,4 +1,4 @@
-"""Queries over JSON files that Spark writes from rows of the tables and reads back by byte ranges."""
+"""Queries over JSON files that Spark writes from rows of the tables and reads back, large ones by byte ranges."""
 
 from __future__ import annotations
 
@@ -45,9 +45,9 @@ def file_crawl_samples(spark, sf_dir):
 
 @query(ORACLE["bank_rivals"])
 def file_bank_rivals(spark, sf_dir):
-    """Question banks from files, one a bank, their questions cut by byte ranges."""
-    # A bank's name goes through its folder's, where Spark escapes what a path may not hold.
-    named = F.replace(F.col("bank_id"), F.lit("#"), F.lit("_"))
-    banks, _ = files.read_banks(spark, _folder(_documents(spark, sf_dir).select(named.alias("id"), "body")), name=FOLDER)
+    """Question banks from files, one a bank, their questions cut out of the bytes."""
+    # A bank's name goes through its file's, which is part of a URI.
+    named = F.concat(F.replace(F.col("bank_id"), F.lit("#"), F.lit("_")), F.lit(".json"))
+    banks, _ = files.read_banks(spark, files.write_files(_documents(spark, sf_dir).select(named.alias("name"), "body")))
     found = bank.rival_coverage(banks, bank.row_flags(banks))
     return found.select(F.replace(F.col("bank_id"), F.lit("_"), F.lit("#")).alias("bank_id"), "name", "all_questions", "solo", "multi")

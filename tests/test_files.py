@@ -6,9 +6,11 @@ import random
 import pandas as pd
 import pytest
 from test_answers import CRAWL, questions, raw
+from pyspark.sql import functions as F
 from test_bank_and_grounding import load, valid
 
 from sightline.operators import bank
+from sightline.plans import banks
 from sightline.sources import files, ingest
 
 ODD = {
@@ -125,3 +127,56 @@ def test_read_banks(spark, tmp_path):
     assert same(bank.findings(loaded).collect(), want) and errors.count() == 0
     asked = ingest.import_questions(files.read_questions(spark, f"{tmp_path}/b0.json", 333)[0])
     assert same(asked.drop("run_id").collect(), ingest.import_questions(raw(spark, valid())).drop("run_id").collect())
+
+
+def odd_banks():
+    """Banks in odd spellings, among them a broken file and a root list, as (name, text)."""
+    more = valid() | {"note": 'a "b" \\ [', "other": [1, {"x": "]"}], "plain": {"k": {"z": []}}}
+    more["questions"] = [*more["questions"], "junk", None, {"user_question": "Buy it, \\\"MirthFox\\\"é🙂", "x": ["}", "\\"]}, []]
+    texts = [json.dumps(valid()), json.dumps(more, indent=2, ensure_ascii=False), json.dumps({"questions": {"a": 1}}), json.dumps([valid()]), "{}", '{"questions": []}', '{"questions": [{"a": 1}, {"b"']
+    return [(f"b{k}.json", text) for k, text in enumerate(texts)]
+
+
+def test_small_files_are_read_whole(spark):
+    """Small files that are read whole, and some of them by ranges, give the same banks."""
+    written = files.write_files(spark.createDataFrame(odd_banks(), "name string, body string"))
+    sizes = sorted(r["length"] for r in written.collect())
+    assert sizes == sorted(len(text.encode()) for _, text in odd_banks())
+    found = []
+    for step in (files.RANGE_BYTES, 30):
+        read, errors = files.read_banks(spark, written, step)
+        tables = [read.config.select("bank_id", "questions", F.col("doc").cast("string")), read.rows.select("bank_id", "row_no", F.to_json("q"), F.to_json("fields"))]
+        tables += [read.shapeless, errors.select(F.substring_index("path", "/", -1), "error")]
+        found.append([sorted(str(tuple(r)) for r in t.collect()) for t in tables])
+    assert sizes[0] < 30 < sizes[-1] and found[0] == found[1]
+    # What could be cut out of the broken file is a bank too.
+    assert [len(rows) for rows in found[0]] == [4, 2 * len(valid()["questions"]) + 5, 3, 1]
+
+
+def test_many_small_files(spark):
+    """No question of a small file is joined or shuffled, and banks are written to files by all cores."""
+    written = files.write_files(spark.createDataFrame(odd_banks(), "name string, body string"))
+    rows = files.read_banks(spark, written)[0].rows
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    lists = banks._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert lists.count("RepartitionByExpression") == 1
+
+
+def test_nested_values_in_few_steps(monkeypatch):
+    """What lies within an element is passed over from bracket to bracket, not from string to string; a file that breaks off there is read once."""
+    searches = []
+
+    class Counted:
+        def search(self, *args):
+            searches.append(1)
+            return token.search(*args)
+
+    token = files.TOKEN
+    monkeypatch.setattr(files, "TOKEN", Counted())
+    row = {f"k{k}": "a,b" for k in range(500)}
+    document = {"config": row, "questions": [row] * 3}
+    assert cut(json.dumps(document).encode(), 1 << 20) == (plain(document), None)
+    assert len(searches) < 40
+    text = json.dumps(document)
+    assert "open" in cut(text[: text.rindex('"k400"')].encode(), 1 << 20)[1]
