@@ -21,7 +21,7 @@ class Bank(NamedTuple):
     """Tables of the banks; lists of configurations are exploded, one row an entry."""
 
     config: DataFrame  # bank_id, version, brand, category_label, object_type, expected_total, questions, current, doc
-    rows: DataFrame  # bank_id, row_no, q, fields, and of the bank: current, brand, category_label, object_type, specs
+    rows: DataFrame  # bank_id, row_no, q, fields, and of the bank: current, brand, category_label, object_type, specs, names
     topics: DataFrame  # bank_id, topic_id, topic
     names: DataFrame  # bank_id, kind, owner, name, pattern: brand, product, alias, competitor, formal
     category: DataFrame  # bank_id, kind, term: core_terms, product_terms, placeholder_blacklist, excluded
@@ -64,7 +64,7 @@ def load(raw: DataFrame) -> Bank:
     rows = carried(config, "doc").select("*", F.posexplode(asked("doc")).alias("pos", "x")).select("*", (F.col("pos") + 1).alias("row_no"), "x.q", "x.fields").drop("doc", "pos", "x")
     topics = docs.where("current").select("bank_id", F.explode(_topics()).alias("t")).select("bank_id", "t.*")
     rivals = docs.select("bank_id", F.explode(_formal()).alias("c")).select("bank_id", "c.*")
-    names = docs.select("bank_id", F.explode(_names()).alias("x")).select("bank_id", "x.*").withColumn("pattern", entity_pattern(F.col("name"))).where("pattern is not null")
+    names = docs.select("bank_id", F.explode(named()).alias("x")).select("bank_id", "x.*")
     category = docs.select("bank_id", F.explode(_category()).alias("x")).select("bank_id", "x.*")
     terms = docs.select("bank_id", F.explode(_term_specs()).alias("s")).select("bank_id", "s.*")
     quotas = docs.select("bank_id", F.explode(_quotas(F.col("current"))).alias("x")).select("bank_id", "x.*")
@@ -73,7 +73,7 @@ def load(raw: DataFrame) -> Bank:
 
 def carried(config: DataFrame, *more: str) -> DataFrame:
     """What a question's rules need of its bank: it comes with the question, so that no large row is joined to it."""
-    return config.select("bank_id", "current", "brand", "category_label", "object_type", _term_specs().alias("specs"), *more)
+    return config.select("bank_id", "current", "brand", "category_label", "object_type", _term_specs().alias("specs"), named().alias("names"), *more)
 
 
 def asked(doc: str) -> Column:
@@ -145,6 +145,12 @@ def _names() -> Column:
     )
 
 
+def named() -> Column:
+    """(kind, owner, name, pattern) of the names of a document that can be found."""
+    each = F.transform(_names(), lambda n: F.struct(n["kind"].alias("kind"), n["owner"].alias("owner"), n["name"].alias("name"), entity_pattern(n["name"]).alias("pattern")))
+    return F.filter(each, lambda n: n["pattern"].isNotNull())
+
+
 KINDS = {
     "core_terms": "$.config.category_expression_set.core_terms", "product_terms": "$.config.category_expression_set.product_terms",
     "placeholder_blacklist": "$.config.category_expression_set.placeholder_blacklist", "excluded": "$.config.excluded_categories"
@@ -318,8 +324,10 @@ def _template_findings(bank: Bank, flags: DataFrame) -> DataFrame:
 
 def entity_hits(bank: Bank, flags: DataFrame) -> DataFrame:
     """(bank_id, row_no, question_id, question_type, funnel_intent, is_sentiment, kind, owner, name) of names in questions."""
+    # A question brings its bank's names: joined to them, all questions could be taken for few enough to broadcast.
     cols = ["row_no", "question_id", "question_type", "funnel_intent", "is_sentiment"]
-    return flags.join(bank.names, "bank_id").where(F.rlike("text", F.col("pattern"))).select("bank_id", *cols, "kind", "owner", "name")
+    found = F.explode(F.filter("names", lambda n: F.rlike("text", n["pattern"]))).alias("n")
+    return flags.select("bank_id", *cols, found).select("bank_id", *cols, "n.kind", "n.owner", "n.name")
 
 
 def _name_findings(bank: Bank, flags: DataFrame) -> DataFrame:
@@ -445,11 +453,12 @@ def rival_coverage(bank: Bank, flags: DataFrame) -> DataFrame:
     hits = entity_hits(bank, flags).where("kind = 'formal'").select("bank_id", "row_no", "owner", "question_type", "funnel_intent").distinct()
     hits = hits.withColumn("named", F.count("*").over(Window.partitionBy("bank_id", "row_no")))
     compared = (F.col("question_type") == "branded") & (F.col("funnel_intent") == "comparison")
-    counts = hits.groupBy("bank_id", F.col("owner").alias("place")).agg(
-        F.count("*").alias("all_questions"), F.count_if(compared & (F.col("named") == 1)).alias("solo"),
-        F.count_if(compared & (F.col("named") > 1)).alias("multi")
-    )
-    return bank.rivals.select("bank_id", "place", "name").join(counts, ["bank_id", "place"], "left").fillna(0, ["all_questions", "solo", "multi"])
+    counts = {"all_questions": F.lit(1), "solo": (compared & (F.col("named") == 1)).cast("int"), "multi": (compared & (F.col("named") > 1)).cast("int")}
+    # Questions and competitors are brought together by one grouping, so that neither side can be broadcast.
+    found = hits.select("bank_id", F.col("owner").alias("place"), F.lit(None).cast("string").alias("name"), *[c.alias(n) for n, c in counts.items()])
+    both = found.unionByName(bank.rivals.select("bank_id", "place", "name", *[F.lit(0).alias(n) for n in counts]))
+    keyed = both.groupBy("bank_id", "place").agg(F.collect_list("name").alias("names"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts])
+    return keyed.select("bank_id", "place", F.explode("names").alias("name"), *counts)
 
 
 def comparison_findings(bank: Bank, flags: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import entity_pattern, normalize_name, normalize_template, or_empty, ratio, strip
+from ..functions.text import normalize_name, normalize_template, or_empty, ratio, strip
 from . import bank
 from .bank_config import config_codes
 
@@ -47,10 +47,9 @@ def _packed(raw: DataFrame) -> DataFrame:
         strip(or_empty(at("$.config.brand_object_type"))).alias("object_type"), F.try_variant_get(F.col("doc"), "$.config.expected_total", "int").alias("expected_total"),
     )
     none = bank._topics()
-    names = F.transform(bank._names(), lambda n: F.struct(n["kind"].alias("kind"), n["owner"].alias("owner"), n["name"].alias("name"), entity_pattern(n["name"]).alias("pattern")))
     return docs.select(
         "bank_id", "current", "brand", "category_label", "object_type", F.col("asked").isNotNull().alias("listed"), "asked",
-        F.when(F.col("current"), none).otherwise(F.slice(none, 1, 0)).alias("topics"), F.filter(names, lambda n: n["pattern"].isNotNull()).alias("names"),
+        F.when(F.col("current"), none).otherwise(F.slice(none, 1, 0)).alias("topics"), bank.named().alias("names"),
         F.transform(bank._formal(), lambda c: F.struct(c["place"].alias("place"), c["name"].alias("name"))).alias("rivals"), bank._category().alias("category"),
         F.coalesce(bank._term_specs(), F.array()).alias("terms"), bank._quotas(F.col("current")).alias("quotas"), F.map_entries(bank._least(F.col("current"))).alias("least"),
         config_codes().alias("config_codes"), bank._config_warnings().alias("warnings"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_bank_and_grounding import load, valid
 
 from sightline.operators import bank
-from sightline.plans import banks
+from sightline.plans import banks, registry
 from sightline.sources import files, ingest
 
 ODD = {
@@ -154,11 +154,13 @@ def test_small_files_are_read_whole(spark):
 
 
 def test_many_small_files(spark):
-    """No question of a small file is joined or shuffled, and banks are written to files by all cores."""
+    """No question of a small file is joined or shuffled, nothing that grows with the banks is broadcast, and banks are written to files by all cores."""
     written = files.write_files(spark.createDataFrame(odd_banks(), "name string, body string"))
     rows = files.read_banks(spark, written)[0].rows
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+    query = registry.QUERIES["file_bank_rivals"](spark, "/root/testdata/sf0.001")
+    assert "Join" not in query._jdf.queryExecution().optimizedPlan().toString()
     lists = banks._documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert lists.count("RepartitionByExpression") == 1
 
